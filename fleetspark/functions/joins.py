@@ -1,0 +1,28 @@
+"""Joins against tables that are expected, but not guaranteed, to be small."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, functions as F
+
+from ..session import shared_dir
+
+# Rows of a state-by-month table for 27 states over six centuries; wider tables are joined by shuffle.
+MAX_BROADCAST_ROWS = 200_000
+
+
+def join_measured(
+    big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left",
+    max_rows: int = MAX_BROADCAST_ROWS,
+) -> DataFrame:
+    """Equi-join whose strategy follows the measured size of ``small``.
+
+    ``small`` (an aggregate, so the planner cannot know its size) is checkpointed once in the
+    shared folder and counted there. Up to ``max_rows`` it is broadcast, so the big side is
+    not shuffled; beyond that the join is left to the planner, with AQE splitting hot keys.
+    """
+    shared_dir(big.sparkSession)
+    cut = small.checkpoint(eager=True)
+    fits = cut.limit(max_rows + 1).count() <= max_rows
+    return big.join(F.broadcast(cut) if fits else cut, list(on), how)
