@@ -787,7 +787,7 @@ FROM ops JOIN ufs ON sigla_estado = sg GROUP BY sigla_estado, sk_estado, ano, me
 
 # --- predictive -------------------------------------------------------------------
 
-FIELDS = """CAST(sum(cpk) AS DOUBLE) / count(cpk) / 1e4 AS y, CAST(sum(comb) AS DOUBLE) / 100e0 AS comb,
+FIELDS = """CAST(sum(cpk) AS DOUBLE) / (count(cpk) * 1e4) AS y, CAST(sum(comb) AS DOUBLE) / 100e0 AS comb,
          CAST(sum(man) AS DOUBLE) / 100e0 AS man, CAST(sum(km) AS BIGINT) AS km"""
 KEYED = f"""m0 AS (SELECT tipo_veiculo, uf AS sk_estado, ano, mes, {FIELDS} FROM {F_V} GROUP BY ALL),
 m AS (SELECT *, CAST((ano - min(ano) OVER (PARTITION BY tipo_veiculo, sk_estado)) * 12 + mes AS INTEGER) AS idx,

@@ -11,7 +11,7 @@ from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.columns import decimals_as_double, exact_mean, to_number
+from ..functions.columns import decimals_as_double, exact_mean, round_floor, to_number
 from ..operators import (
     cleaning, diagnostics, enrich, forecast, kpis, marts, prescriptive, reference_tables,
     standardize, star, views,
@@ -650,7 +650,7 @@ def _series(spark, sf):
 
 
 def _digits(df: DataFrame, digits: dict[str, int]) -> DataFrame:
-    return df.select(*(F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in df.columns))
+    return df.select(*(round_floor(c, digits[c]).alias(c) if c in digits else F.col(c) for c in df.columns))
 
 
 @query("pred_monthly_series")

@@ -27,24 +27,26 @@ def price_impact(
     """
     types = dim_veiculo.select("sk_veiculo", "tipo_veiculo")
     rows = fato.join(types, "sk_veiculo").groupBy("sk_tempo", "sk_estado", "tipo_veiculo").agg(
-        # narrow enough for the quotient of two means to keep its digits
-        exact_mean("preco_combustivel").cast("decimal(18,12)").alias("preco"),
+        F.sum("preco_combustivel").cast("decimal(16,2)").alias("s"),
+        F.count("preco_combustivel").cast("decimal(10,0)").alias("n"),
         mean("custo_por_km", 4).alias("custo_por_km"),
         mean("custo_combustivel", 2).alias("custo_combustivel"),
         F.round(exact_mean(ratio("custo_combustivel", "custo_total")) * 100, 1).alias("impacto_pct"),
     )
     group = ["tipo_veiculo", "sigla_estado"] if by_state else ["tipo_veiculo"]
-    previous = F.lag("preco").over(Window.partitionBy(*group).orderBy("ano", "mes", "sigla_estado"))
+    before = Window.partitionBy(*group).orderBy("ano", "mes", "sigla_estado")
+    s, n, s0, n0 = (F.col(c) for c in ["s", "n", "s0", "n0"])
     return (
         rows.join(dim_estado.select("sk_estado", "sigla_estado"), "sk_estado")
         .join(dim_tempo.select("sk_tempo", "ano", "mes"), "sk_tempo")
-        .withColumn("anterior", previous)
+        .withColumns({"s0": F.lag("s").over(before), "n0": F.lag("n").over(before)})
         .select(
             "ano", "mes", "tipo_veiculo", "sigla_estado",
-            F.round("preco", 2).alias("preco_combustivel"), "custo_por_km", "custo_combustivel",
+            F.round(ratio(s, n), 2).alias("preco_combustivel"), "custo_por_km", "custo_combustivel",
             "impacto_pct",
-            F.round("anterior", 2).alias("preco_anterior"),
-            percent(F.col("preco") - F.col("anterior"), "anterior", 1).alias("variacao_preco_pct"),
+            F.round(ratio(s0, n0), 2).alias("preco_anterior"),
+            # the change of the mean, over a common divisor so the quotient is taken once
+            percent(s * n0 - s0 * n, s0 * n, 1).alias("variacao_preco_pct"),
         )
     )
 
