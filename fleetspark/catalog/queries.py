@@ -11,7 +11,7 @@ from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.columns import decimals_as_double, exact_mean, round_floor, to_number
+from ..functions.columns import decimal_mean, decimals_as_double, round_floor, to_number
 from ..operators import (
     cleaning, diagnostics, enrich, forecast, kpis, marts, prescriptive, reference_tables,
     standardize, star, views,
@@ -229,7 +229,7 @@ def ref_upsert(spark, sf):
 
     def table(test):
         return rows.filter(test).groupBy("indicador", "estado").agg(
-            F.round(exact_mean("valor"), 2).alias("valor_limite"), count()
+            F.round(decimal_mean("valor"), 2).alias("valor_limite"), count()
         )
 
     return reference_tables.upsert(table(~recent), table(recent), ["indicador", "estado"])

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DecimalType
 
+from ..schemas import STAR_DIGITS
+
 ColumnLike = Column | str
 
 
@@ -44,25 +48,76 @@ def year_of_period(c: ColumnLike) -> Column:
 
 
 # --- exact arithmetic ---------------------------------------------------------
+#
+# Averages and sums of decimal columns run on whole numbers of the column's last digit: a 64-bit
+# sum is exact, does not depend on how rows are spread over tasks, and costs a third of a sum in
+# the 128-bit decimal that Spark would widen to. Results become decimals again once per group.
+
+RATIO_DIGITS = 10
+
+
+@dataclass(frozen=True)
+class Measure:
+    """A number per row as whole units of 10^-digits."""
+
+    units: Column
+    digits: int
+
+
+def fixed(c: ColumnLike, digits: int) -> Measure:
+    """A column with at most ``digits`` decimals (up to 9e15 units)."""
+    return Measure(F.rint(col(c).cast("double") * float(10**digits)).cast("long"), digits)
+
+
+def per(num: ColumnLike, den: ColumnLike) -> Measure:
+    """Row-level quotient to ten digits; NULL where the divisor is zero."""
+    quotient = col(num).cast("double") / F.nullif(col(den).cast("double"), F.lit(0.0))
+    return fixed(quotient, RATIO_DIGITS)
+
+
+def measure(c: str | Measure) -> Measure:
+    """A star measure by name, with the digits of its table type."""
+    if isinstance(c, Measure):
+        return c
+    digits = STAR_DIGITS[c]
+    return fixed(c, digits) if digits else Measure(F.col(c).cast("long"), 0)
 
-def exact_mean(c: ColumnLike) -> Column:
-    """Mean of a decimal column: an exact sum divided once, so the result does not
-    depend on how rows are spread over tasks. NULL for an empty group."""
-    return F.sum(col(c)) / F.nullif(F.count(col(c)), F.lit(0))
 
+def from_units(units: Column, digits: int) -> Column:
+    """Whole units as a decimal; a count of whole things stays an integer."""
+    if not digits:
+        return units
+    return (units.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-digits))).cast(f"decimal(22,{digits})")
 
-def mean(c: ColumnLike, digits: int) -> Column:
-    """Mean of a decimal column, rounded half away from zero."""
+
+def _quotient(units: Column, count: Column, digits: int) -> Column:
+    return units.cast("decimal(20,0)") / (F.nullif(count, F.lit(0)) * F.lit(10**digits).cast("long"))
+
+
+def total(c: str | Measure) -> Column:
+    """Exact sum."""
+    m = measure(c)
+    return from_units(F.sum(m.units), m.digits)
+
+
+def exact_mean(c: str | Measure) -> Column:
+    """Exact sum divided once, to 18 digits; NULL for an empty group."""
+    m = measure(c)
+    return _quotient(F.sum(m.units), F.count(m.units), m.digits)
+
+
+def mean(c: str | Measure, digits: int) -> Column:
+    """Mean, rounded half away from zero."""
     return F.round(exact_mean(c), digits)
 
 
-def int_mean(c: ColumnLike, digits: int) -> Column:
-    """``mean`` for an integer column."""
-    return mean(col(c).cast("decimal(18,0)"), digits)
+def decimal_mean(c: ColumnLike) -> Column:
+    """``exact_mean`` for a decimal column too wide for 64 bits."""
+    return F.sum(col(c)) / F.nullif(F.count(col(c)), F.lit(0))
 
 
 def ratio(num: ColumnLike, den: ColumnLike) -> Column:
-    """Row-level quotient; NULL where the divisor is zero."""
+    """Quotient of two decimals; NULL where the divisor is zero."""
     return col(num) / F.nullif(col(den), F.lit(0))
 
 
@@ -76,6 +131,15 @@ def percent(num: ColumnLike, den: ColumnLike, digits: int) -> Column:
     return F.round(ratio(num, den) * 100, digits)
 
 
+def share(num: str, den: str, digits: int) -> Column:
+    """Sum of one measure as a percentage of the sum of another with the same digits."""
+    return _unit_share(F.sum(measure(num).units), F.sum(measure(den).units), digits)
+
+
+def _unit_share(num: Column, den: Column, digits: int) -> Column:
+    return percent(num.cast("decimal(20,0)"), den.cast("decimal(20,0)"), digits)
+
+
 def round_floor(c: ColumnLike, digits: int) -> Column:
     """Round a double half up by ``floor``, the same in every IEEE engine."""
     scale = float(10**digits)
@@ -84,30 +148,32 @@ def round_floor(c: ColumnLike, digits: int) -> Column:
 
 # --- partial sums: aggregate by key first, join dimensions on the small result ----
 
-def partials(sums: Iterable[str] = (), means: Iterable[str] = ()) -> list[Column]:
-    """First-stage aggregates: ``s_x`` for every column, ``n_x`` for averaged ones."""
-    means = list(means)
-    every = list(dict.fromkeys([*sums, *means]))
-    return [F.sum(c).alias(f"s_{c}") for c in every] + [F.count(c).alias(f"n_{c}") for c in means]
+def partials(
+    sums: Iterable[str] = (), means: Iterable[str] = (), ratios: Mapping[str, Measure] | None = None,
+) -> list[Column]:
+    """First-stage aggregates in units: ``s_x`` for every measure, ``n_x`` for averaged ones."""
+    averaged = {c: measure(c) for c in means} | dict(ratios or {})
+    every = {c: measure(c) for c in sums} | averaged
+    return [F.sum(m.units).alias(f"s_{c}") for c, m in every.items()] + [
+        F.count(m.units).alias(f"n_{c}") for c, m in averaged.items()
+    ]
 
 
-def merged_exact(c: str) -> Column:
-    """Second-stage mean over ``partials`` rows. The sum of sums is brought back to a width whose
-    quotient keeps 18 digits (the widest decimal type would keep 6)."""
-    return F.sum(f"s_{c}").cast("decimal(30,10)") / F.nullif(F.sum(f"n_{c}"), F.lit(0))
+def merged_exact(c: str, unit: int | None = None) -> Column:
+    """Second-stage mean over ``partials`` rows; ``unit`` are the digits of a ratio."""
+    return _quotient(F.sum(f"s_{c}"), F.sum(f"n_{c}"), STAR_DIGITS[c] if unit is None else unit)
 
 
-def merged_mean(c: str, digits: int) -> Column:
-    return F.round(merged_exact(c), digits)
+def merged_mean(c: str, digits: int, unit: int | None = None) -> Column:
+    return F.round(merged_exact(c, unit), digits)
 
 
 def merged_sum(c: str) -> Column:
-    return F.sum(f"s_{c}")
+    return from_units(F.sum(f"s_{c}"), STAR_DIGITS[c])
 
 
-def share_of_sums(num: Column, den: Column, digits: int) -> Column:
-    """One money sum as a percentage of another."""
-    return percent(num.cast("decimal(24,2)"), den.cast("decimal(24,2)"), digits)
+def merged_share(num: str, den: str, digits: int) -> Column:
+    return _unit_share(F.sum(f"s_{num}"), F.sum(f"s_{den}"), digits)
 
 
 # --- classification ---------------------------------------------------------------

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import reference_data as ref
 from ..functions.columns import (
-    exact_mean, mean, merged_exact, merged_mean, partials, percent, ratio, upper_bound_band,
+    RATIO_DIGITS, exact_mean, mean, merged_exact, merged_mean, partials, per, percent, ratio, total,
+    upper_bound_band,
 )
 from .views import per_km
 
@@ -27,11 +28,11 @@ def price_impact(
     """
     types = dim_veiculo.select("sk_veiculo", "tipo_veiculo")
     rows = fato.join(types, "sk_veiculo").groupBy("sk_tempo", "sk_estado", "tipo_veiculo").agg(
-        F.sum("preco_combustivel").cast("decimal(16,2)").alias("s"),
+        total("preco_combustivel").cast("decimal(16,2)").alias("s"),
         F.count("preco_combustivel").cast("decimal(10,0)").alias("n"),
         mean("custo_por_km", 4).alias("custo_por_km"),
         mean("custo_combustivel", 2).alias("custo_combustivel"),
-        F.round(exact_mean(ratio("custo_combustivel", "custo_total")) * 100, 1).alias("impacto_pct"),
+        F.round(exact_mean(per("custo_combustivel", "custo_total")) * 100, 1).alias("impacto_pct"),
     )
     group = ["tipo_veiculo", "sigla_estado"] if by_state else ["tipo_veiculo"]
     before = Window.partitionBy(*group).orderBy("ano", "mes", "sigla_estado")
@@ -97,13 +98,13 @@ def root_cause(fato: DataFrame, dim_veiculo: DataFrame) -> DataFrame:
         "custo_comb_km": "custo_combustivel", "custo_man_km": "custo_manutencao",
         "custo_seg_km": "custo_seguro", "custo_dep_km": "custo_depreciacao",
     }
-    by_vehicle = (
-        fato.withColumns({name: per_km(cost) for name, cost in parts.items()})
-        .groupBy("sk_veiculo", "idade_veiculo")
-        .agg(F.count(F.lit(1)).alias("linhas"), *partials(means=["custo_por_km", *parts]))
+    by_vehicle = fato.groupBy("sk_veiculo", "idade_veiculo").agg(
+        F.count(F.lit(1)).alias("linhas"),
+        *partials(means=["custo_por_km"], ratios={name: per_km(cost) for name, cost in parts.items()}),
+    )
+    fuel, upkeep, wear = (
+        merged_exact(c, RATIO_DIGITS) for c in ("custo_comb_km", "custo_man_km", "custo_dep_km")
     )
-
-    fuel, upkeep, wear = (merged_exact(c) for c in ("custo_comb_km", "custo_man_km", "custo_dep_km"))
     cause = (
         F.when((fuel > upkeep) & (fuel > wear), "COMBUSTIVEL")
         .when(upkeep > wear, "MANUTENCAO")
@@ -116,7 +117,7 @@ def root_cause(fato: DataFrame, dim_veiculo: DataFrame) -> DataFrame:
         .agg(
             F.sum("linhas").alias("num_registros"),
             merged_mean("custo_por_km", 4).alias("custo_por_km"),
-            *(merged_mean(name, 4).alias(name) for name in parts),
+            *(merged_mean(name, 4, RATIO_DIGITS).alias(name) for name in parts),
             cause.alias("principal_causa"),
         )
         .orderBy("tipo_veiculo", "faixa_idade", "idade_veiculo")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import exact_mean, ratio_or_zero, year_of_period
+from ..functions.columns import decimal_mean, ratio_or_zero, year_of_period
 from ..functions.joins import join_measured
 
 VEHICLE_COLUMNS = [
@@ -73,7 +73,7 @@ def add_indicators(operations: DataFrame, indicators: DataFrame) -> DataFrame:
     period = "ano" if "ano" in indicators.columns else "periodo"
     values = [c for c in indicators.columns if c not in ("estado", "ano", "periodo")]
     yearly = indicators.groupBy("estado", year_of_period(period).alias("ano")).agg(
-        *(exact_mean(f"`{c}`").alias(c) for c in values)
+        *(decimal_mean(f"`{c}`").alias(c) for c in values)
     )
     return join_measured(operations, yearly, ["estado", "ano"])
 

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from ..functions.columns import exact_mean, round_floor
+from ..functions.columns import exact_mean, round_floor, total
 
 MONTH = ["ano", "mes"]
 ONE_SERIES = "serie"
@@ -38,8 +38,8 @@ def monthly_series(rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     rows, keys = _with_keys(rows, keys)
     monthly = rows.groupBy(*keys, *MONTH).agg(
         exact_mean(TARGET).cast("double").alias(TARGET),
-        F.sum("custo_combustivel").cast("double").alias("custo_combustivel"),
-        F.sum("custo_manutencao").cast("double").alias("custo_manutencao"),
+        total("custo_combustivel").cast("double").alias("custo_combustivel"),
+        total("custo_manutencao").cast("double").alias("custo_manutencao"),
         F.sum("km_rodado").alias("km_rodado"),
     )
     first_year = F.min("ano").over(Window.partitionBy(*keys))
@@ -151,7 +151,7 @@ def fit_arima(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     whole = Window.partitionBy(*keys)
     y, w, w1, w2, e, e1 = (F.col(c) for c in ["y", "w", "w1", "w2", "e", "e1"])
 
-    def total(product: Column, used: Column) -> Column:
+    def summed(product: Column, used: Column) -> Column:
         return F.sum(F.when(used, product)).over(whole)
 
     base = series.select(*keys, *MONTH, F.col(TARGET).alias("y"))
@@ -161,8 +161,8 @@ def fit_arima(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     a1, a2 = _solve2(*(F.col(c) for c in ["s11", "s12", "s22", "s01", "s02"]))
     one = base.withColumns(
         {
-            "s11": total(w1 * w1, two), "s12": total(w1 * w2, two), "s22": total(w2 * w2, two),
-            "s01": total(w * w1, two), "s02": total(w * w2, two),
+            "s11": summed(w1 * w1, two), "s12": summed(w1 * w2, two), "s22": summed(w2 * w2, two),
+            "s01": summed(w * w1, two), "s02": summed(w * w2, two),
         }
     ).withColumn("e", w - a1 * w1 - a2 * w2)
     lagged = one.withColumn("e1", F.lag("e").over(in_order))
@@ -171,8 +171,8 @@ def fit_arima(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     limit = F.lit(0.99)
     stage2 = lagged.withColumns(
         {
-            "t11": total(w1 * w1, has), "t12": total(w1 * e1, has), "t22": total(e1 * e1, has),
-            "t01": total(w * w1, has), "t02": total(w * e1, has),
+            "t11": summed(w1 * w1, has), "t12": summed(w1 * e1, has), "t22": summed(e1 * e1, has),
+            "t01": summed(w * w1, has), "t02": summed(w * e1, has),
         }
     ).withColumns({"phi": phi, "theta": F.greatest(F.least(theta, limit), -limit)})
     error = w - F.col("phi") * w1 - F.col("theta") * e1

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import (
-    int_mean, mean, merged_exact, merged_mean, merged_sum, partials, ratio, share_of_sums,
+    mean, merged_exact, merged_mean, merged_share, merged_sum, partials, total,
 )
 from .views import per_km
 
@@ -15,12 +15,12 @@ def kpi_custo_por_km(
 ) -> DataFrame:
     """Cost per km and its components by type, state and month."""
     types = dim_veiculo.select("sk_veiculo", "tipo_veiculo")
-    fixed = ratio(F.col("custo_seguro") + F.col("custo_depreciacao"), "km_rodado")
+    fixed_costs = F.col("custo_seguro") + F.col("custo_depreciacao")
     rows = fato.join(types, "sk_veiculo").groupBy("tipo_veiculo", "sk_estado", "sk_tempo").agg(
         mean("custo_por_km", 4).alias("valor"),
         mean(per_km("custo_combustivel"), 4).alias("componente_combustivel"),
         mean(per_km("custo_manutencao"), 4).alias("componente_manutencao"),
-        mean(fixed, 4).alias("componente_fixo"),
+        mean(per_km(fixed_costs), 4).alias("componente_fixo"),
     )
     return (
         rows.join(dim_estado.select("sk_estado", "sigla_estado"), "sk_estado")
@@ -34,16 +34,14 @@ def kpi_custo_por_km(
 
 def kpi_consumo_medio(fato: DataFrame, dim_veiculo: DataFrame) -> DataFrame:
     """Mean consumption, distance and volume by type and fuel."""
-    by_vehicle = (
-        fato.withColumn("km", F.col("km_rodado").cast("decimal(18,0)"))
-        .groupBy("sk_veiculo")
-        .agg(*partials(means=["km_por_litro_real", "km", "litros_consumidos"]))
+    by_vehicle = fato.groupBy("sk_veiculo").agg(
+        *partials(means=["km_por_litro_real", "km_rodado", "litros_consumidos"])
     )
     types = dim_veiculo.select("sk_veiculo", "tipo_veiculo", "combustivel")
     return by_vehicle.join(types, "sk_veiculo").groupBy("tipo_veiculo", "combustivel").agg(
         F.first(F.lit("Consumo Medio")).alias("kpi"),
         merged_mean("km_por_litro_real", 2).alias("km_por_litro"),
-        merged_mean("km", 0).alias("km_medio_mensal"),
+        merged_mean("km_rodado", 0).alias("km_medio_mensal"),
         merged_mean("litros_consumidos", 1).alias("litros_medio_mensal"),
     )
 
@@ -54,9 +52,9 @@ def kpi_utilizacao(fato: DataFrame, dim_estado: DataFrame, dim_tempo: DataFrame)
     rows = fato.groupBy("sk_estado", "sk_tempo").agg(
         vehicles.alias("veiculos_ativos"),
         mean("disponibilidade_pct", 1).alias("disponibilidade_media"),
-        F.sum("viagens_realizadas").alias("total_viagens"),
-        int_mean("km_rodado", 0).alias("km_medio_por_veiculo"),
-        F.round(F.sum("receita_estimada") / vehicles, 2).alias("receita_por_veiculo"),
+        total("viagens_realizadas").alias("total_viagens"),
+        mean("km_rodado", 0).alias("km_medio_por_veiculo"),
+        F.round(total("receita_estimada") / vehicles, 2).alias("receita_por_veiculo"),
     )
     return (
         rows.join(dim_estado.select("sk_estado", "sigla_estado"), "sk_estado")
@@ -73,13 +71,12 @@ def kpi_composicao_custos(fato: DataFrame, dim_tempo: DataFrame) -> DataFrame:
     parts = ["combustivel", "manutencao", "seguro", "ipva", "depreciacao"]
     costs = [f"custo_{p}" for p in parts]
     by_month = fato.groupBy("sk_tempo").agg(*partials([*costs, "custo_total"]))
-    total = merged_sum("custo_total")
     return by_month.join(dim_tempo.select("sk_tempo", "ano"), "sk_tempo").groupBy("ano").agg(
         F.first(F.lit("Composicao Custos")).alias("kpi"),
         *(merged_sum(c).alias(f"total_{p}") for c, p in zip(costs, parts)),
-        total.alias("total_geral"),
-        share_of_sums(merged_sum("custo_combustivel"), total, 1).alias("pct_combustivel"),
-        share_of_sums(merged_sum("custo_manutencao"), total, 1).alias("pct_manutencao"),
+        merged_sum("custo_total").alias("total_geral"),
+        merged_share("custo_combustivel", "custo_total", 1).alias("pct_combustivel"),
+        merged_share("custo_manutencao", "custo_total", 1).alias("pct_manutencao"),
     )
 
 

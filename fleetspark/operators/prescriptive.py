@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import reference_data as ref
-from ..functions.columns import lookup, mean, range_band
+from ..functions.columns import lookup, mean, range_band, total
 
 KPIS = list(ref.LIMITS)
 Limits = Mapping[str, tuple[float, float, str]]
@@ -20,8 +21,8 @@ def vehicle_kpis(fato: DataFrame, dim_veiculo: DataFrame, dim_estado: DataFrame)
         mean("margem_operacional", 4).alias("margem_operacional"),
         mean("disponibilidade_pct", 1).alias("disponibilidade_pct"),
         mean("km_por_litro_real", 2).alias("km_por_litro_real"),
-        F.sum("custo_total").alias("custo_total"),
-        F.sum("receita_estimada").alias("receita_total"),
+        total("custo_total").alias("custo_total"),
+        total("receita_estimada").alias("receita_total"),
     )
     vehicle = dim_veiculo.select(
         "sk_veiculo", "id_veiculo", "tipo_veiculo", "marca", "ano_fabricacao", "status", "combustivel"
@@ -97,10 +98,7 @@ def _count_class(wanted: str | None, limits: Limits) -> Column:
         class_ = kpi_class(kpi, F.col(kpi).cast("decimal(18,4)"), limits)
         hit = class_ != "NORMAL" if wanted is None else class_ == wanted
         flags.append(F.when(hit, 1).otherwise(0))
-    total = flags[0]
-    for flag in flags[1:]:
-        total = total + flag
-    return total
+    return reduce(Column.__add__, flags)
 
 
 def decisions(kpis: DataFrame, limits: Limits = ref.LIMITS) -> DataFrame:
@@ -152,18 +150,18 @@ def summary(kpis: DataFrame, limits: Limits = ref.LIMITS) -> DataFrame:
     def rows_where(test: Column) -> Column:
         return F.coalesce(F.sum(F.when(test, F.col("linhas"))), F.lit(0))
 
-    def total(name: str) -> Column:
+    def all_of(name: str) -> Column:
         return F.coalesce(F.sum(name), F.lit(0))
 
     return by_vehicle.agg(
-        total("linhas").alias("total_linhas"),
+        all_of("linhas").alias("total_linhas"),
         F.count(F.lit(1)).alias("total_veiculos"),
         rows_where(critical).alias("intervencao_imediata"),
         rows_where(~critical & attention).alias("monitorar_planejar"),
         rows_where(~critical & ~attention).alias("operacao_normal"),
-        total("alertas").alias("total_alertas"),
-        total("criticos").alias("alertas_criticos"),
-        total("atencao").alias("alertas_atencao"),
+        all_of("alertas").alias("total_alertas"),
+        all_of("criticos").alias("alertas_criticos"),
+        all_of("atencao").alias("alertas_atencao"),
     )
 
 

@@ -9,35 +9,36 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import reference_data as ref
 from ..functions.columns import (
-    exact_mean, mean, merged_mean, merged_sum, partials, ratio, share_of_sums, upper_bound_band,
+    RATIO_DIGITS, Measure, exact_mean, mean, merged_mean, merged_sum, partials, per, share, total,
+    upper_bound_band,
 )
 
 HIGH_COST_LIMIT = "1.50"
 
 
-def per_km(cost: str):
+def per_km(cost: Column | str) -> Measure:
     """Row-level cost per km, NULL at zero km."""
-    return ratio(cost, "km_rodado")
+    return per(cost, "km_rodado")
 
 
-def _profit():
-    return F.round(F.sum("receita_estimada") - F.sum("custo_total"), 2).alias("lucro_operacional")
+def _profit() -> Column:
+    return (total("receita_estimada") - total("custo_total")).alias("lucro_operacional")
 
 
 def vw_resumo_mensal(fato: DataFrame, dim_tempo: DataFrame) -> DataFrame:
     """Fleet totals and averages by month."""
     by_month = fato.groupBy("sk_tempo").agg(
         F.count_distinct("sk_veiculo").alias("total_veiculos"),
-        F.sum("km_rodado").alias("total_km_rodado"),
-        F.sum("custo_combustivel").alias("total_custo_combustivel"),
-        F.sum("custo_manutencao").alias("total_custo_manutencao"),
-        F.sum("custo_total").alias("total_custo"),
-        F.sum("receita_estimada").alias("total_receita"),
-        F.sum("viagens_realizadas").alias("total_viagens"),
+        total("km_rodado").alias("total_km_rodado"),
+        total("custo_combustivel").alias("total_custo_combustivel"),
+        total("custo_manutencao").alias("total_custo_manutencao"),
+        total("custo_total").alias("total_custo"),
+        total("receita_estimada").alias("total_receita"),
+        total("viagens_realizadas").alias("total_viagens"),
         mean("custo_por_km", 4).alias("custo_medio_por_km"),
         mean("margem_operacional", 4).alias("margem_media"),
         mean("disponibilidade_pct", 1).alias("disponibilidade_media"),
@@ -51,9 +52,9 @@ def vw_kpi_estado(fato: DataFrame, dim_estado: DataFrame) -> DataFrame:
     """Totals and averages by state."""
     by_state = fato.groupBy("sk_estado").agg(
         F.count_distinct("sk_veiculo").alias("total_veiculos"),
-        F.sum("km_rodado").alias("total_km_rodado"),
-        F.sum("custo_total").alias("total_custo"),
-        F.sum("receita_estimada").alias("total_receita"),
+        total("km_rodado").alias("total_km_rodado"),
+        total("custo_total").alias("total_custo"),
+        total("receita_estimada").alias("total_receita"),
         mean("custo_por_km", 4).alias("custo_medio_por_km"),
         mean("margem_operacional", 4).alias("margem_media"),
         mean("disponibilidade_pct", 1).alias("disponibilidade_media"),
@@ -66,17 +67,11 @@ def vw_kpi_estado(fato: DataFrame, dim_estado: DataFrame) -> DataFrame:
 def vw_kpi_tipo_veiculo(fato: DataFrame, dim_veiculo: DataFrame) -> DataFrame:
     """By vehicle type and fuel. One row per vehicle after the first stage, so the number of
     vehicles is a plain count; per-km costs are means of row ratios."""
-    by_vehicle = (
-        fato.withColumns(
-            {"comb_km": per_km("custo_combustivel"), "man_km": per_km("custo_manutencao")}
-        )
-        .groupBy("sk_veiculo")
-        .agg(
-            *partials(
-                ["km_rodado", "custo_total", "receita_estimada"],
-                ["custo_por_km", "comb_km", "man_km", "margem_operacional", "km_por_litro_real",
-                 "disponibilidade_pct"],
-            )
+    by_vehicle = fato.groupBy("sk_veiculo").agg(
+        *partials(
+            ["km_rodado", "custo_total", "receita_estimada"],
+            ["custo_por_km", "margem_operacional", "km_por_litro_real", "disponibilidade_pct"],
+            {"comb_km": per_km("custo_combustivel"), "man_km": per_km("custo_manutencao")},
         )
     )
     types = dim_veiculo.select("sk_veiculo", "tipo_veiculo", "combustivel")
@@ -86,8 +81,8 @@ def vw_kpi_tipo_veiculo(fato: DataFrame, dim_veiculo: DataFrame) -> DataFrame:
         merged_sum("custo_total").alias("total_custo"),
         merged_sum("receita_estimada").alias("total_receita"),
         merged_mean("custo_por_km", 4).alias("custo_medio_por_km"),
-        merged_mean("comb_km", 4).alias("custo_combustivel_por_km"),
-        merged_mean("man_km", 4).alias("custo_manutencao_por_km"),
+        merged_mean("comb_km", 4, RATIO_DIGITS).alias("custo_combustivel_por_km"),
+        merged_mean("man_km", 4, RATIO_DIGITS).alias("custo_manutencao_por_km"),
         merged_mean("margem_operacional", 4).alias("margem_media"),
         merged_mean("km_por_litro_real", 2).alias("consumo_medio_real"),
         merged_mean("disponibilidade_pct", 1).alias("disponibilidade_media"),
@@ -102,8 +97,8 @@ def vw_veiculos_alto_custo(fato: DataFrame, dim_veiculo: DataFrame, dim_estado:
             exact_mean("custo_por_km").alias("_custo"),
             mean("margem_operacional", 4).alias("margem_media"),
             mean("disponibilidade_pct", 1).alias("disponibilidade_media"),
-            F.sum("custo_total").alias("custo_total_periodo"),
-            F.sum("km_rodado").alias("km_total_periodo"),
+            total("custo_total").alias("custo_total_periodo"),
+            total("km_rodado").alias("km_total_periodo"),
         )
         .filter(F.col("_custo") > F.lit(HIGH_COST_LIMIT).cast("decimal(6,2)"))
     )
@@ -133,10 +128,10 @@ def vw_impacto_combustivel(
     types = dim_veiculo.select("sk_veiculo", "tipo_veiculo")
     rows = fato.join(types, "sk_veiculo").groupBy("sk_tempo", "sk_estado", "tipo_veiculo").agg(
         mean("preco_combustivel", 2).alias("preco_medio_combustivel"),
-        F.sum("litros_consumidos").alias("total_litros"),
-        F.sum("custo_combustivel").alias("total_custo_combustivel"),
-        F.sum("custo_total").alias("total_custo"),
-        share_of_sums(F.sum("custo_combustivel"), F.sum("custo_total"), 2).alias("pct_combustivel_no_custo"),
+        total("litros_consumidos").alias("total_litros"),
+        total("custo_combustivel").alias("total_custo_combustivel"),
+        total("custo_total").alias("total_custo"),
+        share("custo_combustivel", "custo_total", 2).alias("pct_combustivel_no_custo"),
     )
     return (
         rows.join(dim_tempo.select("sk_tempo", "ano", "mes"), "sk_tempo")
@@ -169,8 +164,8 @@ def vw_ranking_margem(fato: DataFrame, dim_veiculo: DataFrame, dim_estado: DataF
     rows = fato.groupBy("sk_veiculo", "sk_estado").agg(
         mean("margem_operacional", 4).alias("margem_media"),
         mean("custo_por_km", 4).alias("custo_por_km"),
-        F.sum("receita_estimada").alias("receita_total"),
-        F.sum("custo_total").alias("custo_total"),
+        total("receita_estimada").alias("receita_total"),
+        total("custo_total").alias("custo_total"),
     )
     return (
         rows.join(dim_veiculo.select("sk_veiculo", "id_veiculo", "tipo_veiculo", "marca"), "sk_veiculo")

@@ -57,3 +57,9 @@ DIM_VEICULO = {
     "consumo_medio_km_l": "decimal(6,2)",
     "capacidade_carga_t": "decimal(6,1)",
 }
+
+# Decimals of each measure (0 for whole numbers).
+STAR_DIGITS = {
+    c: int(t.removesuffix(")").split(",")[1]) if t.startswith("decimal") else 0
+    for c, t in STAR_MEASURES.items()
+}
