@@ -9,21 +9,31 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 def dense_number(
     df: DataFrame, name: str, order: Sequence[str], block: Column | None = None, blocks: int = 1024,
+    spread: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add ``name`` = 1..n.
 
     Rows are numbered inside many blocks and each block is shifted by the rows before it.
     The block of a row follows from its data only, so a task that is run again gives the same
-    numbers. ``block`` is a coarse expression the numbers should follow (a month, a key range);
-    within one value rows are spread over ``blocks`` hash blocks of their ``order`` columns, so
-    no block holds a hot value alone. Only the table of block counts meets in one task.
+    numbers. ``block`` is a coarse number the numbers should follow (a month, a key range); within
+    one value rows are spread over ``blocks`` hash blocks of their ``order`` columns (or of the
+    ``spread`` columns, cheaper when few of them tell rows apart), so no block holds a hot value
+    alone. Rows equal in all ``order`` columns must be equal. Only the table of block counts meets
+    in one task.
 
     With ``blocks=1`` numbers follow ``block`` and then ``order`` exactly.
     """
     order_cols = [F.col(c) for c in order]
+    hashed = [F.col(c) for c in (spread or order)]
     coarse = F.lit(0) if block is None else block
-    spread = F.pmod(F.xxhash64(*order_cols), F.lit(blocks)).cast("int") if blocks > 1 else F.lit(0)
-    placed = df.withColumns({"_block": coarse, "_part": spread})
+    part = F.pmod(F.xxhash64(*hashed), F.lit(blocks)).cast("int") if blocks > 1 else F.lit(0)
+    # never NULL: no row is lost in the join below, which then needs no filter on these expressions
+    placed = df.withColumns(
+        {
+            "_block": F.coalesce(coarse.cast("long"), F.lit(-1).cast("long")),
+            "_part": F.coalesce(part, F.lit(0)),
+        }
+    )
     counts = placed.groupBy("_block", "_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_block", "_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(

@@ -10,6 +10,9 @@ from ..functions.keys import dense_number
 from ..schemas import DIM_VEICULO, STAR_MEASURES
 
 FACT_KEYS = ["sk_veiculo", "sk_estado", "sk_tempo"]
+DERIVED = ["custo_total", "custo_por_km", "margem_operacional", "km_por_litro_real", "idade_veiculo"]
+# Columns that tell the rows of one vehicle and month apart.
+ROW_SPREAD = ["sk_veiculo", "km_rodado", "litros_consumidos", "receita_estimada", "viagens_realizadas"]
 
 
 def month_key(year: Column | str = "ano", month: Column | str = "mes") -> Column:
@@ -107,9 +110,11 @@ def project_fact(df: DataFrame) -> DataFrame:
 
 
 def add_fact_number(fact: DataFrame, blocks: int = 1024) -> DataFrame:
-    """``sk_fato_frota`` = 1..n, following the months."""
-    order = [c for c in fact.columns if c != "sk_tempo"]
-    numbered = dense_number(fact, "sk_fato_frota", order, F.col("sk_tempo"), blocks)
+    """``sk_fato_frota`` = 1..n, following the months. Derived measures follow from the others and
+    take no part in the order."""
+    order = [c for c in fact.columns if c != "sk_tempo" and c not in DERIVED]
+    spread = [c for c in ROW_SPREAD if c in order]
+    numbered = dense_number(fact, "sk_fato_frota", order, F.col("sk_tempo"), blocks, spread)
     return numbered.select("sk_fato_frota", *fact.columns)
 
 
