@@ -20,9 +20,16 @@ def col(c: ColumnLike) -> Column:
 
 # --- cleaning ---------------------------------------------------------------
 
+# Characters that count as white space around a text.
+WHITESPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(c: ColumnLike) -> Column:
-    """Remove any whitespace around a text (``trim`` removes only spaces)."""
-    return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
+    """Remove any white space around a text (plain ``trim`` removes only spaces)."""
+    return F.btrim(col(c), F.lit(WHITESPACE))
 
 
 def upper_strip(c: ColumnLike) -> Column:
@@ -31,7 +38,7 @@ def upper_strip(c: ColumnLike) -> Column:
 
 def to_number(c: ColumnLike, type_: str = "decimal(28,8)") -> Column:
     """Number or NULL. A decimal target has no NaN; a double target maps NaN to NULL."""
-    parsed = strip(col(c).cast("string")).try_cast(type_)
+    parsed = col(c).try_cast(type_)
     if type_ == "double":
         return F.nullif(parsed, F.lit(float("nan")))
     return parsed
