@@ -65,10 +65,21 @@ RATIO_DIGITS = 10
 
 @dataclass(frozen=True)
 class Measure:
-    """A number per row as whole units of 10^-digits."""
+    """A number per row as whole units of 10^-digits.
+
+    A measure whose units are too fine for a 64-bit sum over very many rows is ``wide``: it is
+    summed as a decimal, which costs more and cannot overflow.
+    """
 
     units: Column
     digits: int
+    wide: bool = False
+
+    def sum(self) -> Column:
+        return F.sum(self.units.cast("decimal(18,0)") if self.wide else self.units)
+
+    def count(self) -> Column:
+        return F.count(self.units)
 
 
 def fixed(c: ColumnLike, digits: int) -> Measure:
@@ -79,7 +90,7 @@ def fixed(c: ColumnLike, digits: int) -> Measure:
 def per(num: ColumnLike, den: ColumnLike) -> Measure:
     """Row-level quotient to ten digits; NULL where the divisor is zero."""
     quotient = col(num).cast("double") / F.nullif(col(den).cast("double"), F.lit(0.0))
-    return fixed(quotient, RATIO_DIGITS)
+    return Measure(fixed(quotient, RATIO_DIGITS).units, RATIO_DIGITS, wide=True)
 
 
 def measure(c: str | Measure) -> Measure:
@@ -93,24 +104,27 @@ def measure(c: str | Measure) -> Measure:
 def from_units(units: Column, digits: int) -> Column:
     """Whole units as a decimal; a count of whole things stays an integer."""
     if not digits:
-        return units
-    return (units.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-digits))).cast(f"decimal(22,{digits})")
+        return units.cast("long")
+    value = units.cast("decimal(24,0)") * F.lit(Decimal(1).scaleb(-digits))
+    return value.cast(f"decimal(26,{digits})")
 
 
 def _quotient(units: Column, count: Column, digits: int) -> Column:
-    return units.cast("decimal(20,0)") / (F.nullif(count, F.lit(0)) * F.lit(10**digits).cast("long"))
+    """Sum over count. The width chosen keeps 20 digits of the quotient."""
+    value = units.cast("decimal(24,0)") * F.lit(Decimal(1).scaleb(-digits))
+    return value.cast("decimal(28,10)") / F.nullif(count, F.lit(0))
 
 
 def total(c: str | Measure) -> Column:
     """Exact sum."""
     m = measure(c)
-    return from_units(F.sum(m.units), m.digits)
+    return from_units(m.sum(), m.digits)
 
 
 def exact_mean(c: str | Measure) -> Column:
-    """Exact sum divided once, to 18 digits; NULL for an empty group."""
+    """Exact sum divided once; NULL for an empty group."""
     m = measure(c)
-    return _quotient(F.sum(m.units), F.count(m.units), m.digits)
+    return _quotient(m.sum(), m.count(), m.digits)
 
 
 def mean(c: str | Measure, digits: int) -> Column:
@@ -140,11 +154,11 @@ def percent(num: ColumnLike, den: ColumnLike, digits: int) -> Column:
 
 def share(num: str, den: str, digits: int) -> Column:
     """Sum of one measure as a percentage of the sum of another with the same digits."""
-    return _unit_share(F.sum(measure(num).units), F.sum(measure(den).units), digits)
+    return _unit_share(measure(num).sum(), measure(den).sum(), digits)
 
 
 def _unit_share(num: Column, den: Column, digits: int) -> Column:
-    return percent(num.cast("decimal(20,0)"), den.cast("decimal(20,0)"), digits)
+    return percent(num.cast("decimal(24,0)"), den.cast("decimal(24,0)"), digits)
 
 
 def round_floor(c: ColumnLike, digits: int) -> Column:
@@ -161,14 +175,18 @@ def partials(
     """First-stage aggregates in units: ``s_x`` for every measure, ``n_x`` for averaged ones."""
     averaged = {c: measure(c) for c in means} | dict(ratios or {})
     every = {c: measure(c) for c in sums} | averaged
-    return [F.sum(m.units).alias(f"s_{c}") for c, m in every.items()] + [
-        F.count(m.units).alias(f"n_{c}") for c, m in averaged.items()
+    return [m.sum().alias(f"s_{c}") for c, m in every.items()] + [
+        m.count().alias(f"n_{c}") for c, m in averaged.items()
     ]
 
 
+def _merged(c: str) -> Column:
+    return F.sum(F.col(f"s_{c}").cast("decimal(28,0)"))
+
+
 def merged_exact(c: str, unit: int | None = None) -> Column:
     """Second-stage mean over ``partials`` rows; ``unit`` are the digits of a ratio."""
-    return _quotient(F.sum(f"s_{c}"), F.sum(f"n_{c}"), STAR_DIGITS[c] if unit is None else unit)
+    return _quotient(_merged(c), F.sum(f"n_{c}"), STAR_DIGITS[c] if unit is None else unit)
 
 
 def merged_mean(c: str, digits: int, unit: int | None = None) -> Column:
@@ -176,11 +194,11 @@ def merged_mean(c: str, digits: int, unit: int | None = None) -> Column:
 
 
 def merged_sum(c: str) -> Column:
-    return from_units(F.sum(f"s_{c}"), STAR_DIGITS[c])
+    return from_units(_merged(c), STAR_DIGITS[c])
 
 
 def merged_share(num: str, den: str, digits: int) -> Column:
-    return _unit_share(F.sum(f"s_{num}"), F.sum(f"s_{den}"), digits)
+    return _unit_share(_merged(num), _merged(den), digits)
 
 
 # --- classification ---------------------------------------------------------------

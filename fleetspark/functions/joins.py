@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import shared_dir
+from ..session import cut
 
 # Rows of a state-by-month table for 27 states over six centuries; wider tables are joined by shuffle.
 MAX_BROADCAST_ROWS = 200_000
@@ -22,7 +22,6 @@ def join_measured(
     shared folder and counted there. Up to ``max_rows`` it is broadcast, so the big side is
     not shuffled; beyond that the join is left to the planner, with AQE splitting hot keys.
     """
-    shared_dir(big.sparkSession)
-    cut = small.checkpoint(eager=True)
-    fits = cut.limit(max_rows + 1).count() <= max_rows
-    return big.join(F.broadcast(cut) if fits else cut, list(on), how)
+    written = cut(small)
+    fits = written.limit(max_rows + 1).count() <= max_rows
+    return big.join(F.broadcast(written) if fits else written, list(on), how)

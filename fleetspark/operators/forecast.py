@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from ..functions.columns import exact_mean, round_floor, total
+from ..functions.columns import merged_exact, merged_sum, partials, round_floor
 
 MONTH = ["ano", "mes"]
 ONE_SERIES = "serie"
@@ -32,20 +32,34 @@ def _with_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]
 
 # --- monthly series ---------------------------------------------------------------
 
-def monthly_series(rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def monthly_base(rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Sums and counts per series and month: the only step that reads the fact. Coarser series
+    come from it with ``roll_up``."""
+    rows, keys = _with_keys(rows, keys)
+    return rows.groupBy(*keys, *MONTH).agg(
+        *partials(["custo_combustivel", "custo_manutencao", "km_rodado"], [TARGET])
+    )
+
+
+def roll_up(base: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Mean cost per km and monthly sums per series, with a month index that starts in January
     of the series' first year as 1."""
-    rows, keys = _with_keys(rows, keys)
-    monthly = rows.groupBy(*keys, *MONTH).agg(
-        exact_mean(TARGET).cast("double").alias(TARGET),
-        total("custo_combustivel").cast("double").alias("custo_combustivel"),
-        total("custo_manutencao").cast("double").alias("custo_manutencao"),
-        F.sum("km_rodado").alias("km_rodado"),
+    base, keys = _with_keys(base, keys)
+    monthly = base.groupBy(*keys, *MONTH).agg(
+        merged_exact(TARGET).cast("double").alias(TARGET),
+        merged_sum("custo_combustivel").cast("double").alias("custo_combustivel"),
+        merged_sum("custo_manutencao").cast("double").alias("custo_manutencao"),
+        merged_sum("km_rodado").alias("km_rodado"),
     )
     first_year = F.min("ano").over(Window.partitionBy(*keys))
     return monthly.withColumn("periodo_idx", ((F.col("ano") - first_year) * 12 + F.col("mes")).cast("int"))
 
 
+def monthly_series(rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """The monthly series of fact rows."""
+    return roll_up(monthly_base(rows, keys), keys)
+
+
 def last_period(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Latest year and the latest month within it, per series."""
     series, keys = _with_keys(series, keys)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import reference_data as ref
 from ..functions.joins import join_measured
@@ -27,9 +27,9 @@ def _time_columns(df: DataFrame) -> DataFrame:
         month_key().cast("int").alias("sk_tempo"),
         F.col("ano").cast("int").alias("ano"),
         F.col("mes").cast("int").alias("mes"),
-        F.quarter(F.make_date("ano", "mes", F.lit(1))).alias("trimestre"),
+        (F.floor((F.col("mes") - 1) / 3) + 1).cast("int").alias("trimestre"),
         F.when(F.col("mes") <= 6, 1).otherwise(2).alias("semestre"),
-        F.element_at(names, F.col("mes").cast("int")).alias("nome_mes"),
+        F.get(names, F.col("mes").cast("int") - 1).alias("nome_mes"),
     )
 
 
@@ -62,12 +62,12 @@ def region_of(state: Column | str) -> Column:
 
 
 def dim_estado(operations: DataFrame) -> DataFrame:
-    """Distinct states numbered in order, with their region. The window runs over the distinct
-    two-letter codes only."""
+    """Distinct states numbered in order, with their region."""
     states = operations.select(F.col("estado").alias("sigla_estado")).dropna().distinct()
-    return states.select(
-        F.row_number().over(Window.orderBy("sigla_estado")).alias("sk_estado"),
-        "sigla_estado",
+    # blocks by first letter: numbers follow the order, and untidy input meets in no single task
+    numbered = dense_number(states, "sk_estado", ["sigla_estado"], F.ascii("sigla_estado"), blocks=1)
+    return numbered.select(
+        F.col("sk_estado").cast("int").alias("sk_estado"), "sigla_estado",
         region_of("sigla_estado").alias("regiao"),
     )
 

@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import cleaning, enrich, forecast, prescriptive, standardize, star, views
+from ..session import cut
 from ..sources import readers, writers
 
 
@@ -67,15 +68,18 @@ def run_load(spark: SparkSession, staging: str, warehouse: str, blocks: int = 10
 
 
 def predictive(loaded: dict[str, DataFrame], periods: int = 6) -> dict[str, DataFrame]:
-    """Regression, series forecast and trend by type over a star."""
+    """Regression, series forecast and trend by type over a star.
+
+    The fact is read once, into monthly sums by type; every series comes from that small table.
+    """
     rows = forecast_rows(loaded["fato_frota"], loaded["dim_tempo"], loaded["dim_veiculo"])
-    total = forecast.monthly_series(rows)
-    by_type = forecast.monthly_series(rows, ["tipo_veiculo"])
+    base = cut(forecast.monthly_base(rows, ["tipo_veiculo"]))
+    total = forecast.roll_up(base)
     fit = forecast.fit_regression(total)
     return {
         "forecast_regressao_custo_km": forecast.forecast_regression(fit, periods=periods),
         "forecast_arima_custo_km": forecast.forecast_series(total, periods=periods),
-        "forecast_tendencia_tipo": forecast.trend(by_type),
+        "forecast_tendencia_tipo": forecast.trend(forecast.roll_up(base, ["tipo_veiculo"])),
     }
 
 
@@ -92,9 +96,9 @@ def forecast_rows(fato: DataFrame, tempo: DataFrame, veiculo: DataFrame) -> Data
 
 
 def prescriptive_tables(loaded: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Alerts, decisions and summary over a star."""
-    kpis = prescriptive.vehicle_kpis(
-        loaded["fato_frota"], loaded["dim_veiculo"], loaded["dim_estado"]
+    """Alerts, decisions and summary over a star, from KPIs that are computed once."""
+    kpis = cut(
+        prescriptive.vehicle_kpis(loaded["fato_frota"], loaded["dim_veiculo"], loaded["dim_estado"])
     )
     return {
         "alertas": prescriptive.alerts(kpis),

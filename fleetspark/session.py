@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE picks broadcast joins from measured sizes, merges small shuffle partitions and
 # splits skewed ones; the forced form also splits a hot join key when the aggregate
@@ -52,3 +52,10 @@ def shared_dir(spark: SparkSession) -> str:
 def new_work_dir(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder for one run's tables."""
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared folder and go on from there, so several results need one
+    computation and a lost executor repeats a read."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
