@@ -142,10 +142,12 @@ def load_star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 # --- raw feeds --------------------------------------------------------------------
 
 def _state_names(spark: SparkSession, sf: str) -> DataFrame:
-    """``_uf`` (number), ``nome`` and ``regiao`` of the 25 states."""
-    return dim_estado(spark, sf).select(
+    """``_uf`` (number), ``nome`` and ``regiao`` of the states: 25 rows at every scale factor, so
+    they may be broadcast whatever the planner estimates."""
+    names = dim_estado(spark, sf).select(
         F.col("sk_estado").alias("_uf"), F.col("sigla_estado").alias("nome"), "regiao"
     )
+    return F.broadcast(names)
 
 
 def raw_prices(spark: SparkSession, sf: str) -> DataFrame:

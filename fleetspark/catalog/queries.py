@@ -58,7 +58,7 @@ def write_raw_csv(df: DataFrame, path: str) -> str:
 @query("src_csv_scan")
 def src_csv_scan(spark, sf):
     path = write_raw_csv(feeds.raw_fleet(spark, sf), new_work_dir(spark, "csv"))
-    rows = readers.read_registered_fleet(spark, path)
+    rows = readers.read_feed(spark, "registered_fleet", "", path)
     return rows.groupBy("ano", F.coalesce("combustivel", F.lit("?")).alias("combustivel")).agg(
         count(), F.count("quantidade").alias("com_texto")
     )
@@ -70,8 +70,7 @@ def src_latest_snapshot(spark, sf):
     fleet = feeds.raw_fleet(spark, sf)
     write_raw_csv(fleet.filter("ano < 1998"), os.path.join(folder, f"denatran_frota_{OLD}"))
     write_raw_csv(fleet, os.path.join(folder, f"denatran_frota_{NEW}"))
-    path = readers.latest_snapshot(spark, folder, "denatran_frota")
-    return readers.read_registered_fleet(spark, path).groupBy("ano").agg(count())
+    return readers.read_feed(spark, "registered_fleet", folder).groupBy("ano").agg(count())
 
 
 @query("src_staging_pick")

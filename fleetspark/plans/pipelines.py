@@ -14,20 +14,14 @@ from ..sources import readers, writers
 def run_etl(spark: SparkSession, raw: str, staging: str, date: str) -> dict[str, str]:
     """Newest raw feeds to the five staging tables. The small tables are written before the
     enrichment reads them."""
-    def newest(prefix: str) -> str:
-        return readers.latest_snapshot(spark, raw, prefix)
-
-    prices = cleaning.clean_prices(readers.read_prices(spark, newest("anp_combustivel")))
-    indicators = cleaning.clean_indicators(readers.read_indicators(spark, newest("ibge_indicadores")))
-    fleet = cleaning.clean_registered_fleet(
-        readers.read_registered_fleet(spark, newest("denatran_frota"))
-    )
-    vehicles = cleaning.clean_vehicles(
-        readers.read_vehicles(spark, newest("frota_veiculos")), "_ordem"
-    )
-    operations = cleaning.clean_operations(
-        readers.read_operations(spark, newest("frota_operacoes"))
-    )
+    def feed(name: str) -> DataFrame:
+        return readers.read_feed(spark, name, raw)
+
+    prices = cleaning.clean_prices(feed("prices"))
+    indicators = cleaning.clean_indicators(feed("indicators"))
+    fleet = cleaning.clean_registered_fleet(feed("registered_fleet"))
+    vehicles = cleaning.clean_vehicles(feed("vehicles"), "_ordem")
+    operations = cleaning.clean_operations(feed("operations"))
     small = writers.write_staging(
         {
             "anp_mensal": standardize.prices_wide(standardize.monthly_prices(prices)),

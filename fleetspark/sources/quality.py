@@ -46,10 +46,14 @@ def missing_values(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
 
 
 def orphan_keys(fato: DataFrame, dim: DataFrame, key: str, table: str = "fato_frota") -> DataFrame:
-    """Number of fact rows whose key is in no dimension row. Keys are counted before the join,
-    so a hot key is one row in it; an empty key is an orphan of no dimension."""
+    """Number of fact rows whose key is in no dimension row; an empty key is no orphan.
+
+    Keys are counted before the join, so a hot key is one row in it. The join is a left one with
+    a marker because the optimizer would push an anti join below the count, back onto the fact.
+    """
     used = fato.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    lost = used.join(dim.select(key), key, "left_anti").agg(F.sum("n").alias("v"))
+    known = dim.select(key).distinct().withColumn("_known", F.lit(True))
+    lost = used.join(known, key, "left").filter(F.col("_known").isNull()).agg(F.sum("n").alias("v"))
     return _row(lost, table, f"fk {key}", F.col("v"))
 
 

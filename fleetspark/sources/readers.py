@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from .. import reference_data as ref
 from .. import schemas
@@ -15,12 +16,23 @@ MISSING = "N/A"
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Header CSV, UTF-8, declared schema; ``N/A`` is a missing value."""
-    return (
-        spark.read.schema(schema)
-        .options(header=True, nullValue=MISSING, encoding="UTF-8", enforceSchema=True)
-        .csv(path)
-    )
+    """Header CSV, UTF-8; ``N/A`` is a missing value.
+
+    Columns are found by header, in any order. Declared ones get their type (NULL where a text
+    does not fit), others stay text, and a declared column the file lacks stays out, which is how
+    a national feed shows that it has no state. Nothing is inferred from the rows.
+    """
+    raw = spark.read.options(header=True, nullValue=MISSING, encoding="UTF-8").csv(path)
+    declared = {f.name: f.dataType.simpleString() for f in StructType.fromDDL(schema)}
+
+    def typed(name: str) -> Column:
+        c, type_ = F.col(f"`{name}`"), declared.get(name, "string")
+        if type_ == "string":
+            return c
+        value = c.try_cast("decimal(28,8)").try_cast("int") if type_ == "int" else c.try_cast(type_)
+        return value.alias(name)
+
+    return raw.select(*(typed(name) for name in raw.columns))
 
 
 def with_ordinal(df: DataFrame, name: str = "_ordem") -> DataFrame:
@@ -67,10 +79,6 @@ def latest_snapshot(spark: SparkSession, folder: str, prefix: str) -> str:
     return found["u"]["snapshot"]
 
 
-def read_latest_csv(spark: SparkSession, folder: str, prefix: str, schema: str) -> DataFrame:
-    return read_csv(spark, latest_snapshot(spark, folder, prefix), schema)
-
-
 def read_latest_parquet(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
     return spark.read.parquet(latest_snapshot(spark, folder, prefix))
 
@@ -83,26 +91,32 @@ def read_staging(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     }
 
 
-# --- feeds ------------------------------------------------------------------------
-
-def read_prices(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, schemas.PRICES_RAW)
-
-
-def read_indicators(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, schemas.INDICATORS_RAW)
-
+def read_results(spark: SparkSession, folder: str, prefix: str, schema: str) -> DataFrame:
+    """Newest result table of a name (Parquet), or an empty one before the first run."""
+    try:
+        return read_latest_parquet(spark, folder, prefix)
+    except FileNotFoundError:
+        return spark.createDataFrame([], schema)
 
-def read_registered_fleet(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, schemas.FLEET_RAW)
 
+# --- feeds ------------------------------------------------------------------------
 
-def read_vehicles(spark: SparkSession, path: str) -> DataFrame:
-    return with_ordinal(read_csv(spark, path, schemas.VEHICLES_RAW))
+# File prefix and schema of each raw feed.
+FEEDS = {
+    "prices": ("anp_combustivel", schemas.PRICES_RAW),
+    "indicators": ("ibge_indicadores", schemas.INDICATORS_RAW),
+    "registered_fleet": ("denatran_frota", schemas.FLEET_RAW),
+    "vehicles": ("frota_veiculos", schemas.VEHICLES_RAW),
+    "operations": ("frota_operacoes", schemas.OPERATIONS_RAW),
+}
 
 
-def read_operations(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, schemas.OPERATIONS_RAW)
+def read_feed(spark: SparkSession, feed: str, folder: str, path: str | None = None) -> DataFrame:
+    """A raw feed from ``path``, or its newest snapshot in ``folder``. Vehicles carry their place
+    in the feed as ``_ordem``, which decides between copies."""
+    prefix, schema = FEEDS[feed]
+    rows = read_csv(spark, path or latest_snapshot(spark, folder, prefix), schema)
+    return with_ordinal(rows) if feed == "vehicles" else rows
 
 
 # --- indicator payload ------------------------------------------------------------
@@ -157,6 +171,13 @@ def indicator_config(name: str) -> Mapping[str, str]:
     raise ValueError(f"unknown indicator {name!r}; use {[i[0] for i in ref.INDICATORS]}")
 
 
+def indicator_rows(payload: DataFrame, name: str, by_state: bool = False) -> DataFrame:
+    """Long rows of one indicator's payload with its name and description."""
+    text = indicator_config(name)["descricao"]
+    named = payload.select(F.lit(name).alias("indicador"), F.lit(text).alias("descricao"), "resultados")
+    return flatten_indicator(named, ["indicador", "descricao"], by_state)
+
+
 def lookup_indicators(rows: DataFrame, catalog: DataFrame, fail: bool = True) -> DataFrame:
     """Join rows with their catalog entry by upper-cased name.
 

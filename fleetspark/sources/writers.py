@@ -49,9 +49,8 @@ def write_star(tables: Mapping[str, DataFrame], folder: str) -> dict[str, str]:
 
 
 def read_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    star = {name: spark.read.parquet(os.path.join(folder, name)) for name in STAR_ORDER}
-    star["fato_frota"] = star["fato_frota"].drop("ano_particao")
-    return star
+    """The four tables. The fact carries ``ano_particao``; filter on it to read some years only."""
+    return {name: spark.read.parquet(os.path.join(folder, name)) for name in STAR_ORDER}
 
 
 def write_results(

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from fleetspark.operators import cleaning, standardize
 from fleetspark.plans import pipelines
 from fleetspark.session import new_work_dir
 from fleetspark.sources import readers, writers
@@ -14,10 +15,17 @@ FLEET_CSV = "ano,estado,tipo_veiculo,combustivel,quantidade\n2024,SP,AUTOMOVEL,N
 
 def test_csv_with_missing_marker(spark, tmp_path):
     (tmp_path / "denatran_frota_20240101.csv").write_text(FLEET_CSV, encoding="utf-8")
-    got = readers.read_latest_csv(spark, str(tmp_path), "denatran_frota", readers.schemas.FLEET_RAW).collect()
+    got = readers.read_feed(spark, "registered_fleet", str(tmp_path)).collect()
     assert [(r.ano, r.estado, r.combustivel, r.quantidade) for r in got] == [(2024, "SP", None, "10"), (2024, "São", "Flex", "x")]
 
 
+def test_csv_columns_follow_the_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("quantidade,extra,ano,tipo_veiculo\n5,x,2024.0,A\n6,y,bad,B\n", encoding="utf-8")
+    got = readers.read_feed(spark, "registered_fleet", "", str(tmp_path / "a.csv"))
+    assert got.columns == ["quantidade", "extra", "ano", "tipo_veiculo"]
+    assert [tuple(r) for r in got.collect()] == [("5", "x", 2024, "A"), ("6", "y", None, "B")]
+
+
 def test_latest_snapshot_of_files_and_folders(spark, tmp_path):
     for name in ["feed_20231231.csv", "feed_20240301.csv", "other_20260101.csv", "feed_notes.txt"]:
         (tmp_path / name).write_text("a\n1\n")
@@ -30,6 +38,10 @@ def test_latest_snapshot_of_files_and_folders(spark, tmp_path):
         readers.latest_snapshot(spark, str(tmp_path / "nowhere"), "feed")
 
 
+def test_results_before_the_first_run_are_empty(spark, tmp_path):
+    assert readers.read_results(spark, str(tmp_path), "decisoes", "decisao string").count() == 0
+
+
 def test_staging_needs_both_tables(spark, tmp_path):
     folder = str(tmp_path / "s")
     writers.write_staging({"veiculos_clean": spark.range(2)}, folder, "20240101")
@@ -50,6 +62,8 @@ def test_indicator_payload(spark, tmp_path):
     assert rows(from_file) == want
     text = spark.createDataFrame([(json.dumps(PAYLOAD),)], "t string").select(F.explode(readers.parse_payload("t")).alias("p"))
     by_state = readers.flatten_indicator(text.select("p.*"), by_state=True)
+    named = readers.indicator_rows(text.select("p.*"), "pib")
+    assert {(r.indicador, r.descricao) for r in named.collect()} == {("pib", "Produto Interno Bruto a precos correntes")}
     assert by_state.columns == ["periodo", "valor", "uf_id", "uf_nome"] and by_state.count() == 3
 
 
@@ -82,6 +96,13 @@ OPERATIONS = (
 )
 
 
+def test_national_indicators_have_no_state(spark, tmp_path):
+    (tmp_path / "ibge_indicadores_20250101.csv").write_text("indicador,descricao,periodo,valor\nipca,d,2024,4.62\n")
+    rows_ = cleaning.clean_indicators(readers.read_feed(spark, "indicators", str(tmp_path)))
+    wide = standardize.indicators_wide(rows_)
+    assert wide.columns == ["periodo", "IPCA"] and wide.count() == 1
+
+
 def test_whole_pipeline_from_files(spark, tmp_path):
     """Raw files to results: one row per operation, also for months 1 to 9 and years without prices."""
     raw = tmp_path / "raw"
