@@ -917,7 +917,7 @@ line AS (
 TREND_LABEL = "CASE WHEN a > 0 THEN 'CRESCENTE' ELSE 'DECRESCENTE' END AS tendencia"
 PROJECTION = f"{r('a * (n + 6) + b', 4)} AS custo_projecao_6m"
 ORACLE["pred_trend_by_type"] = f"""WITH {STAR}, {BY_TYPE}, {LINES}
-SELECT tipo_veiculo, {TREND_LABEL}, {r('a', 6)} AS inclinacao, {r('ultimo', 4)} AS custo_atual, {PROJECTION} FROM line"""
+SELECT tipo_veiculo, {TREND_LABEL}, {r('a', 6)} AS "inclinação", {r('ultimo', 4)} AS custo_atual, {PROJECTION} FROM line"""
 ORACLE["dash_g16"] = f"""WITH {STAR}, {BY_TYPE}, {LINES}
 SELECT tipo_veiculo, {TREND_LABEL}, {r('ultimo', 4)} AS custo_atual, {PROJECTION} FROM line"""
 FLEET_FORECAST = f"{TOTAL}, {regression('serie')}, {regression_forecast('serie', 500_000, 1_800_000)}"

@@ -61,14 +61,15 @@ def year_of_period(c: ColumnLike) -> Column:
 # the 128-bit decimal that Spark would widen to. Results become decimals again once per group.
 
 RATIO_DIGITS = 10
+LOW_BITS = 20
 
 
 @dataclass(frozen=True)
 class Measure:
     """A number per row as whole units of 10^-digits.
 
-    A measure whose units are too fine for a 64-bit sum over very many rows is ``wide``: it is
-    summed as a decimal, which costs more and cannot overflow.
+    A measure whose units are too fine for a 64-bit sum over very many rows is ``wide``: its high
+    and low bits are summed apart and put together once per group.
     """
 
     units: Column
@@ -76,7 +77,11 @@ class Measure:
     wide: bool = False
 
     def sum(self) -> Column:
-        return F.sum(self.units.cast("decimal(18,0)") if self.wide else self.units)
+        if not self.wide:
+            return F.sum(self.units)
+        high = F.sum(F.shiftright(self.units, LOW_BITS)).cast("decimal(20,0)")
+        low = F.sum(self.units.bitwiseAND(F.lit(2**LOW_BITS - 1).cast("long"))).cast("decimal(20,0)")
+        return (high * F.lit(Decimal(2**LOW_BITS)) + low).cast("decimal(28,0)")
 
     def count(self) -> Column:
         return F.count(self.units)

@@ -282,7 +282,7 @@ def trend(series: DataFrame, keys: Sequence[str] = ("tipo_veiculo",), min_months
     return lines.filter(F.col("n") >= min_months).select(
         *keys,
         F.when(F.col("a") > 0, "CRESCENTE").otherwise("DECRESCENTE").alias("tendencia"),
-        round_floor("a", 6).alias("inclinacao"),
+        round_floor("a", 6).alias("inclinação"),
         round_floor("ultimo", 4).alias("custo_atual"),
         round_floor(F.col("a") * (F.col("n") + 6) + F.col("b"), 4).alias("custo_projecao_6m"),
     )

@@ -10,6 +10,10 @@ from ..functions.columns import (
 from .views import per_km
 
 
+def _labelled(rows: DataFrame, kpi: str) -> DataFrame:
+    return rows.select(F.lit(kpi).alias("kpi"), "*")
+
+
 def kpi_custo_por_km(
     fato: DataFrame, dim_veiculo: DataFrame, dim_estado: DataFrame, dim_tempo: DataFrame,
 ) -> DataFrame:
@@ -38,12 +42,12 @@ def kpi_consumo_medio(fato: DataFrame, dim_veiculo: DataFrame) -> DataFrame:
         *partials(means=["km_por_litro_real", "km_rodado", "litros_consumidos"])
     )
     types = dim_veiculo.select("sk_veiculo", "tipo_veiculo", "combustivel")
-    return by_vehicle.join(types, "sk_veiculo").groupBy("tipo_veiculo", "combustivel").agg(
-        F.first(F.lit("Consumo Medio")).alias("kpi"),
+    rows = by_vehicle.join(types, "sk_veiculo").groupBy("tipo_veiculo", "combustivel").agg(
         merged_mean("km_por_litro_real", 2).alias("km_por_litro"),
         merged_mean("km_rodado", 0).alias("km_medio_mensal"),
         merged_mean("litros_consumidos", 1).alias("litros_medio_mensal"),
     )
+    return _labelled(rows, "Consumo Medio")
 
 
 def kpi_utilizacao(fato: DataFrame, dim_estado: DataFrame, dim_tempo: DataFrame) -> DataFrame:
@@ -71,13 +75,13 @@ def kpi_composicao_custos(fato: DataFrame, dim_tempo: DataFrame) -> DataFrame:
     parts = ["combustivel", "manutencao", "seguro", "ipva", "depreciacao"]
     costs = [f"custo_{p}" for p in parts]
     by_month = fato.groupBy("sk_tempo").agg(*partials([*costs, "custo_total"]))
-    return by_month.join(dim_tempo.select("sk_tempo", "ano"), "sk_tempo").groupBy("ano").agg(
-        F.first(F.lit("Composicao Custos")).alias("kpi"),
+    rows = by_month.join(dim_tempo.select("sk_tempo", "ano"), "sk_tempo").groupBy("ano").agg(
         *(merged_sum(c).alias(f"total_{p}") for c, p in zip(costs, parts)),
         merged_sum("custo_total").alias("total_geral"),
         merged_share("custo_combustivel", "custo_total", 1).alias("pct_combustivel"),
         merged_share("custo_manutencao", "custo_total", 1).alias("pct_manutencao"),
     )
+    return _labelled(rows, "Composicao Custos")
 
 
 def kpi_rentabilidade(fato: DataFrame, dim_veiculo: DataFrame) -> DataFrame:
@@ -85,11 +89,10 @@ def kpi_rentabilidade(fato: DataFrame, dim_veiculo: DataFrame) -> DataFrame:
     by_vehicle = fato.groupBy("sk_veiculo").agg(
         *partials(["receita_estimada", "custo_total"], ["margem_operacional"])
     )
-    return (
+    rows = (
         by_vehicle.join(dim_veiculo.select("sk_veiculo", "tipo_veiculo"), "sk_veiculo")
         .groupBy("tipo_veiculo")
         .agg(
-            F.first(F.lit("Rentabilidade")).alias("kpi"),
             merged_sum("receita_estimada").alias("receita_total"),
             merged_sum("custo_total").alias("custo_total"),
             (merged_sum("receita_estimada") - merged_sum("custo_total")).alias("lucro"),
@@ -97,3 +100,4 @@ def kpi_rentabilidade(fato: DataFrame, dim_veiculo: DataFrame) -> DataFrame:
         )
         .orderBy(F.col("margem_pct").desc_nulls_first(), "tipo_veiculo")
     )
+    return _labelled(rows, "Rentabilidade")

@@ -8,6 +8,7 @@ from .. import reference_data as ref
 from ..functions.joins import join_measured
 from ..functions.keys import dense_number
 from ..schemas import DIM_VEICULO, STAR_MEASURES
+from ..session import cut
 
 FACT_KEYS = ["sk_veiculo", "sk_estado", "sk_tempo"]
 DERIVED = ["custo_total", "custo_por_km", "margem_operacional", "km_por_litro_real", "idade_veiculo"]
@@ -62,8 +63,8 @@ def region_of(state: Column | str) -> Column:
 
 
 def dim_estado(operations: DataFrame) -> DataFrame:
-    """Distinct states numbered in order, with their region."""
-    states = operations.select(F.col("estado").alias("sigla_estado")).dropna().distinct()
+    """Distinct states numbered in order, with their region. The operations are read once."""
+    states = cut(operations.select(F.col("estado").alias("sigla_estado")).dropna().distinct())
     # blocks by first letter: numbers follow the order, and untidy input meets in no single task
     numbered = dense_number(states, "sk_estado", ["sigla_estado"], F.ascii("sigla_estado"), blocks=1)
     return numbered.select(

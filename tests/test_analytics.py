@@ -216,3 +216,19 @@ def test_a_vehicle_with_most_rows(spark, dims):
     got = {r.id_veiculo: r.custo_medio_por_km for r in views.vw_veiculos_alto_custo(f, dims["v"], dims["e"]).collect()}
     want = {f"V{v}": (sum(x) / len(x)).quantize(D("0.0001"), "ROUND_HALF_UP") for v, x in values.items()}
     assert got == {k: x for k, x in want.items() if x > D("1.5")}
+
+
+def test_wide_sums_are_exact(spark):
+    """Signed ratios against plain decimals, and units whose 64-bit sum would overflow."""
+    import random
+
+    from fleetspark.functions.columns import Measure, exact_mean, per
+
+    rng = random.Random(3)
+    pairs = [(D(rng.randint(-10**9, 10**9)) / 100, rng.choice([0, 1, 2, 5, 8, 1000])) for _ in range(500)]
+    df = spark.createDataFrame(pairs, "a decimal(12,2), b int")
+    got = df.agg(F.round(exact_mean(per("a", "b")), 6)).first()[0]
+    kept = [a / b for a, b in pairs if b]
+    assert got == (sum(kept) / len(kept)).quantize(D("0.000001"), "ROUND_HALF_UP")
+    big = spark.range(5000).select(F.lit(9 * 10**15).alias("u"))
+    assert big.agg(exact_mean(Measure(F.col("u"), 10, wide=True))).first()[0] == D(900000)

@@ -131,7 +131,7 @@ def test_moving_average_of_few_months_is_the_mean(spark):
 
 def test_trend(spark):
     df = series(spark, up=[1, 2, 3], down=[9, 7, 5, 3], flat=[2, 2, 2], two=[1, 5]).withColumnRenamed("k", "tipo_veiculo")
-    got = {r.tipo_veiculo: (r.tendencia, r.inclinacao, r.custo_atual, r.custo_projecao_6m) for r in forecast.trend(df).collect()}
+    got = {r.tipo_veiculo: (r.tendencia, r["inclinação"], r.custo_atual, r.custo_projecao_6m) for r in forecast.trend(df).collect()}
     assert got == {"up": ("CRESCENTE", 1.0, 3.0, 10.0), "down": ("DECRESCENTE", -2.0, 3.0, -11.0),
                    "flat": ("DECRESCENTE", 0.0, 2.0, 2.0)}
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from fleetspark.operators import cleaning, standardize
 from fleetspark.plans import pipelines
+from fleetspark.plans.dashboard import dashboard
 from fleetspark.session import new_work_dir
 from fleetspark.sources import readers, writers
 
@@ -140,11 +141,18 @@ def test_whole_pipeline_from_files(spark, tmp_path):
     assert spark.table("vw_resumo_mensal").count() == 13
     assert spark.table("vw_kpi_estado").first().regiao == "SUDESTE"
 
+    before = dashboard(spark, loaded, results)
+    assert tuple(before["decision_counts"].first()) == (0, 0, 0) and before["tbl1"].count() == 0
     written = pipelines.run_analytics(loaded, results, "20250102")
     assert set(written) == {"forecast_regressao_custo_km", "forecast_arima_custo_km", "forecast_tendencia_tipo",
                             "alertas", "decisoes", "resumo"}
     assert spark.read.parquet(written["forecast_arima_custo_km"]).count() == 6
     assert spark.read.parquet(written["decisoes"]).count() == 2
+    tables = dashboard(spark, loaded, results)
+    assert len(tables) == 20 and all(df.columns for df in tables.values())
+    assert sum(tables["decision_counts"].first()) == 2 and tables["tbl1"].count() == 2
+    assert tables["g15"].groupBy("serie").count().orderBy("serie").collect() == [("Historico", 13), ("Previsao", 6)]
+    assert tables["g16"].first().tipo_veiculo == "Caminhao"
     assert "total_linhas=2" in spark.read.text(written["resumo"]).first()[0]
 
 
