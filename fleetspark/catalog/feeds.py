@@ -130,13 +130,14 @@ def dim_tempo(spark: SparkSession, sf: str) -> DataFrame:
     return star.calendar(spark)
 
 
-def load_star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return {
-        "dim_tempo": dim_tempo(spark, sf),
-        "dim_estado": dim_estado(spark, sf),
-        "dim_veiculo": dim_veiculo(spark, sf),
-        "fato_frota": fato(spark, sf),
-    }
+STAR = {
+    "dim_tempo": dim_tempo, "dim_estado": dim_estado, "dim_veiculo": dim_veiculo, "fato_frota": fato,
+}
+
+
+def load_star(spark: SparkSession, sf: str, *names: str) -> dict[str, DataFrame]:
+    """The star, or only the tables named."""
+    return {name: STAR[name](spark, sf) for name in names or STAR}
 
 
 # --- raw feeds --------------------------------------------------------------------

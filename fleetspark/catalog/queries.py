@@ -491,7 +491,7 @@ for _name, _column in {
 
 @query("star_join_tempo")
 def star_join_tempo(spark, sf):
-    s = feeds.load_star(spark, sf)
+    s = feeds.load_star(spark, sf, "fato_frota", "dim_tempo")
     return s["fato_frota"].join(s["dim_tempo"], "sk_tempo").groupBy("ano", "trimestre", "semestre", "nome_mes").agg(
         count(), F.sum("km_rodado").alias("km")
     )
@@ -499,7 +499,7 @@ def star_join_tempo(spark, sf):
 
 @query("star_join_estado")
 def star_join_estado(spark, sf):
-    s = feeds.load_star(spark, sf)
+    s = feeds.load_star(spark, sf, "fato_frota", "dim_estado")
     return s["fato_frota"].join(s["dim_estado"], "sk_estado").groupBy("sigla_estado", "regiao").agg(
         count(), F.sum("km_rodado").alias("km")
     )
@@ -507,7 +507,7 @@ def star_join_estado(spark, sf):
 
 @query("star_join_veiculo")
 def star_join_veiculo(spark, sf):
-    s = feeds.load_star(spark, sf)
+    s = feeds.load_star(spark, sf, "fato_frota", "dim_veiculo")
     known = s["dim_veiculo"].filter("ano_fabricacao >= 1983")
     return s["fato_frota"].join(known, "sk_veiculo").groupBy("id_veiculo", "marca", "status").agg(
         count(), F.sum("km_rodado").alias("km")
@@ -625,23 +625,21 @@ for _name, (_build, _dims) in {
     "dash_g12": (marts.availability_by_type, [V]),
 }.items():
     def _star_query(spark, sf, _b=_build, _d=_dims):
-        s = feeds.load_star(spark, sf)
-        return _b(s["fato_frota"], *(s[d] for d in _d))
+        return _b(*feeds.load_star(spark, sf, "fato_frota", *_d).values())
 
     query(_name)(_star_query)
 
 
 @query("diag_impacto_preco_uf")
 def diag_impacto_preco_uf(spark, sf):
-    s = feeds.load_star(spark, sf)
-    return diagnostics.price_impact(s["fato_frota"], s[V], s[E], s[T], by_state=True)
+    s = feeds.load_star(spark, sf, "fato_frota", V, E, T)
+    return diagnostics.price_impact(*s.values(), by_state=True)
 
 
 # --- predictive -------------------------------------------------------------------
 
 def _rows(spark, sf):
-    s = feeds.load_star(spark, sf)
-    return pipelines.forecast_rows(s["fato_frota"], s[T], s[V])
+    return pipelines.forecast_rows(*feeds.load_star(spark, sf, "fato_frota", T, V).values())
 
 
 def _series(spark, sf):
@@ -743,8 +741,7 @@ def pred_pipeline(spark, sf):
 # --- prescriptive -----------------------------------------------------------------
 
 def _kpis(spark, sf):
-    s = feeds.load_star(spark, sf)
-    return prescriptive.vehicle_kpis(s["fato_frota"], s[V], s[E])
+    return prescriptive.vehicle_kpis(*feeds.load_star(spark, sf, "fato_frota", V, E).values())
 
 
 @query("presc_classify")
@@ -808,8 +805,7 @@ def presc_pipeline(spark, sf):
 # --- dashboard --------------------------------------------------------------------
 
 def _high_cost(spark, sf):
-    s = feeds.load_star(spark, sf)
-    return views.vw_veiculos_alto_custo(s["fato_frota"], s[V], s[E])
+    return views.vw_veiculos_alto_custo(*feeds.load_star(spark, sf, "fato_frota", V, E).values())
 
 
 @query("dash_decision_counts")
@@ -824,14 +820,14 @@ def dash_alto_custo_count(spark, sf):
 
 @query("dash_g7")
 def dash_g7(spark, sf):
-    s = feeds.load_star(spark, sf)
-    return marts.states_by_cost(views.vw_kpi_estado(s["fato_frota"], s[E]))
+    s = feeds.load_star(spark, sf, "fato_frota", E)
+    return marts.states_by_cost(views.vw_kpi_estado(*s.values()))
 
 
 @query("dash_g8")
 def dash_g8(spark, sf):
-    s = feeds.load_star(spark, sf)
-    return marts.lowest_margins(views.vw_ranking_margem(s["fato_frota"], s[V], s[E]))
+    s = feeds.load_star(spark, sf, "fato_frota", V, E)
+    return marts.lowest_margins(views.vw_ranking_margem(*s.values()))
 
 
 @query("dash_g11")
@@ -851,10 +847,10 @@ def dash_g14(spark, sf):
 
 @query("dash_g15")
 def dash_g15(spark, sf):
-    s = feeds.load_star(spark, sf)
+    s = feeds.load_star(spark, sf, "fato_frota", T)
     total = forecast.monthly_series(_rows(spark, sf))
     future = forecast.forecast_regression(forecast.fit_regression(total))
-    return marts.history_and_forecast(views.vw_resumo_mensal(s["fato_frota"], s[T]), future)
+    return marts.history_and_forecast(views.vw_resumo_mensal(*s.values()), future)
 
 
 @query("dash_g16")

@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    # a stack trace per column expression doubles the time to build a query
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
