@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import (
-    mean, merged_exact, merged_mean, merged_share, merged_sum, partials, total,
+    mean, merged_exact, merged_mean, merged_share, merged_sum, partials, ratio, total,
 )
-from .views import per_km
+from .views import active_vehicles, per_km
 
 
 def _labelled(rows: DataFrame, kpi: str) -> DataFrame:
@@ -52,16 +52,17 @@ def kpi_consumo_medio(fato: DataFrame, dim_veiculo: DataFrame) -> DataFrame:
 
 def kpi_utilizacao(fato: DataFrame, dim_estado: DataFrame, dim_tempo: DataFrame) -> DataFrame:
     """Active vehicles, availability, trips and revenue per vehicle by state and month."""
-    vehicles = F.count_distinct("sk_veiculo")
-    rows = fato.groupBy("sk_estado", "sk_tempo").agg(
-        vehicles.alias("veiculos_ativos"),
+    keys = ["sk_estado", "sk_tempo"]
+    rows = fato.groupBy(*keys).agg(
         mean("disponibilidade_pct", 1).alias("disponibilidade_media"),
         total("viagens_realizadas").alias("total_viagens"),
         mean("km_rodado", 0).alias("km_medio_por_veiculo"),
-        F.round(total("receita_estimada") / vehicles, 2).alias("receita_por_veiculo"),
+        total("receita_estimada").alias("receita"),
     )
     return (
-        rows.join(dim_estado.select("sk_estado", "sigla_estado"), "sk_estado")
+        rows.join(active_vehicles(fato, keys, "veiculos_ativos"), keys)
+        .withColumn("receita_por_veiculo", F.round(ratio("receita", "veiculos_ativos"), 2))
+        .join(dim_estado.select("sk_estado", "sigla_estado"), "sk_estado")
         .join(dim_tempo.select("sk_tempo", "ano", "mes"), "sk_tempo")
         .select(
             F.lit("Utilizacao Frota").alias("kpi"), "sigla_estado", "ano", "mes", "veiculos_ativos",

@@ -25,14 +25,23 @@ def per_km(cost: Column | str) -> Measure:
     return per(cost, "km_rodado")
 
 
+def active_vehicles(fato: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Distinct vehicles per key.
+
+    For keys with a month, where nearly every row is its own pair of key and vehicle: counted apart
+    from the sums, so the pairs alone are shuffled and do not drag every partial sum along.
+    """
+    return fato.select(*keys, "sk_veiculo").distinct().groupBy(*keys).agg(F.count("sk_veiculo").alias(name))
+
+
 def _profit() -> Column:
     return (total("receita_estimada") - total("custo_total")).alias("lucro_operacional")
 
 
 def vw_resumo_mensal(fato: DataFrame, dim_tempo: DataFrame) -> DataFrame:
     """Fleet totals and averages by month."""
+    vehicles = active_vehicles(fato, ["sk_tempo"], "total_veiculos")
     by_month = fato.groupBy("sk_tempo").agg(
-        F.count_distinct("sk_veiculo").alias("total_veiculos"),
         total("km_rodado").alias("total_km_rodado"),
         total("custo_combustivel").alias("total_custo_combustivel"),
         total("custo_manutencao").alias("total_custo_manutencao"),
@@ -45,7 +54,8 @@ def vw_resumo_mensal(fato: DataFrame, dim_tempo: DataFrame) -> DataFrame:
         mean("km_por_litro_real", 2).alias("consumo_medio_real"),
         _profit(),
     )
-    return dim_tempo.select("sk_tempo", "ano", "mes", "nome_mes").join(by_month, "sk_tempo").drop("sk_tempo")
+    months = dim_tempo.select("sk_tempo", "ano", "mes", "nome_mes")
+    return months.join(vehicles, "sk_tempo").join(by_month, "sk_tempo").drop("sk_tempo")
 
 
 def vw_kpi_estado(fato: DataFrame, dim_estado: DataFrame) -> DataFrame:

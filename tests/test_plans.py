@@ -7,8 +7,8 @@ import pytest
 from fleetspark.catalog.queries import QUERIES
 
 STAR = [
-    "vw_resumo_mensal", "vw_kpi_estado", "vw_kpi_tipo_veiculo", "vw_veiculos_alto_custo", "vw_impacto_combustivel",
-    "vw_eficiencia_idade", "vw_ranking_margem", "kpi_custo_por_km", "kpi_consumo_medio", "kpi_utilizacao",
+    "vw_kpi_estado", "vw_kpi_tipo_veiculo", "vw_veiculos_alto_custo", "vw_impacto_combustivel",
+    "vw_eficiencia_idade", "vw_ranking_margem", "kpi_custo_por_km", "kpi_consumo_medio",
     "kpi_composicao_custos", "kpi_rentabilidade", "diag_impacto_preco", "diag_ineficiencia", "diag_causa_raiz",
     "diag_anomalia_consumo", "presc_decisions", "presc_alerts", "presc_resumo", "dash_cards", "pred_arima",
     "pred_trend_by_type",
@@ -27,6 +27,14 @@ def test_star_queries_stay_in_the_jvm_and_read_the_fact_once(spark, sf, name):
     assert len(re.findall(r"FileScan parquet [^\n]*lineitem", text)) == 1
 
 
+@pytest.mark.parametrize("name", ["vw_resumo_mensal", "kpi_utilizacao"])
+def test_monthly_distinct_vehicles_shuffle_pairs_only(spark, sf, name):
+    """Sums and distinct vehicles are read apart; the second read is two columns wide."""
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\][^\n]*lineitem", plan(spark, sf, name))
+    assert len(scans) == 2
+    assert {"l_suppkey", "l_shipdate"} in [{c.split("#")[0] for c in s.split(",")} for s in scans]
+
+
 def test_scan_reads_only_needed_columns(spark, sf):
     scan = re.search(r"FileScan parquet \[([^\]]*)\][^\n]*lineitem", plan(spark, sf, "kpi_consumo_medio")).group(1)
     assert {c.split("#")[0] for c in scan.split(",")} == {"l_suppkey", "l_quantity", "l_tax"}
