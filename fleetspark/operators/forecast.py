@@ -77,27 +77,6 @@ FIT_FIELDS = [
 ]
 
 
-def _least_squares(points: pd.DataFrame) -> dict:
-    """Least squares with intercept; the shortest solution when regressors are dependent."""
-    x = points[REGRESSORS].to_numpy(dtype=float)
-    y = points[TARGET].to_numpy(dtype=float)
-    x_mean, y_mean = x.mean(axis=0), y.mean()
-    beta, *_ = np.linalg.lstsq(x - x_mean, y - y_mean, rcond=None)
-    error = (y - y_mean) - (x - x_mean) @ beta
-    total = float(((y - y_mean) ** 2).sum())
-    last = points[MONTH].apply(tuple, axis=1).max()
-    return {
-        "intercepto": float(y_mean - x_mean @ beta),
-        **{f"coef_{name}": float(b) for name, b in zip(REGRESSORS, beta)},
-        "r2": 1.0 - float((error**2).sum()) / total if total > 0 else 0.0,
-        "mae": float(np.abs(error).mean()),
-        "n": len(points),
-        "ano_base": int(points["ano"].min()),
-        "ultimo_ano": int(last[0]),
-        "ultimo_mes": int(last[1]),
-    }
-
-
 def fit_regression(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """One row per series: coefficients, in-sample R² (0 for a constant target), mean absolute
     error and the last month. Spark spreads the series; numpy solves one of them per call."""
@@ -105,12 +84,33 @@ def fit_regression(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     schema = StructType(
         [series.schema[k] for k in keys] + [StructField(n, t) for n, t in FIT_FIELDS]
     )
+    names = schema.names
 
+    # defined here, so that it travels to the workers whole and they need no copy of this package
     def solve(points: pd.DataFrame) -> pd.DataFrame:
         head = {k: points[k].iloc[0] for k in keys}
         points = points.dropna(subset=[TARGET, *REGRESSORS])
-        return pd.DataFrame([{**head, **_least_squares(points)}] if len(points) else [],
-                            columns=schema.names)
+        if points.empty:
+            return pd.DataFrame(columns=names)
+        x = points[REGRESSORS].to_numpy(dtype=float)
+        y = points[TARGET].to_numpy(dtype=float)
+        x_mean, y_mean = x.mean(axis=0), y.mean()
+        # the shortest solution when regressors are dependent
+        beta, *_ = np.linalg.lstsq(x - x_mean, y - y_mean, rcond=None)
+        error = (y - y_mean) - (x - x_mean) @ beta
+        total = float(((y - y_mean) ** 2).sum())
+        last = points.sort_values(MONTH).iloc[-1]
+        fit = {
+            "intercepto": float(y_mean - x_mean @ beta),
+            **{f"coef_{name}": float(b) for name, b in zip(REGRESSORS, beta)},
+            "r2": 1.0 - float((error**2).sum()) / total if total > 0 else 0.0,
+            "mae": float(np.abs(error).mean()),
+            "n": len(points),
+            "ano_base": int(points["ano"].min()),
+            "ultimo_ano": int(last["ano"]),
+            "ultimo_mes": int(last["mes"]),
+        }
+        return pd.DataFrame([{**head, **fit}], columns=names)
 
     slim = series.select(*keys, *MONTH, TARGET, *REGRESSORS)
     return slim.groupBy(*keys).applyInPandas(solve, schema)

@@ -1,0 +1,25 @@
+"""Tasks need no copy of the package: what is sent to the workers carries its own code."""
+
+import subprocess
+import sys
+
+from pyspark import cloudpickle
+
+SCRIPT = "import sys, pickle; sys.path = [p for p in sys.path if 'repo' not in p]; f = pickle.load(sys.stdin.buffer); print(f.__name__)"
+
+
+def test_regression_solver_loads_without_the_package(spark, monkeypatch, tmp_path):
+    from fleetspark.operators import forecast
+
+    sent = {}
+
+    class Grouped:
+        def applyInPandas(self, func, schema):
+            sent["func"] = func
+
+    series = spark.createDataFrame(
+        [], "k string, ano int, mes int, custo_por_km double, custo_combustivel double, km_rodado long, periodo_idx int")
+    monkeypatch.setattr(type(series), "groupBy", lambda self, *keys: Grouped())
+    forecast.fit_regression(series, ["k"])
+    out = subprocess.run([sys.executable, "-c", SCRIPT], input=cloudpickle.dumps(sent["func"]), capture_output=True, cwd=tmp_path)
+    assert out.stdout.strip() == b"solve", out.stderr.decode()
