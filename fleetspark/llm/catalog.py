@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fleetspark.llm import line_dedup, sharding
+from fleetspark.llm import line_dedup, sharding, syncmers
 
 
 def read(spark, sf_dir: str, table: str):
@@ -14,6 +14,7 @@ def on_documents(operator):
 
 
 QUERIES = {
+    "op1_closed_syncmers": on_documents(syncmers.fingerprint_documents),
     "op2_virtual_slots": on_documents(sharding.shard_documents),
     "op10_line_dedup": on_documents(line_dedup.line_digests),
 }
