@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fleetspark.llm import line_dedup, sharding, syncmers
+from fleetspark.llm import language_mix, line_dedup, quality, sharding, syncmers
 
 
 def read(spark, sf_dir: str, table: str):
@@ -16,6 +16,9 @@ def on_documents(operator):
 QUERIES = {
     "op1_closed_syncmers": on_documents(syncmers.fingerprint_documents),
     "op2_virtual_slots": on_documents(sharding.shard_documents),
+    "op3_additive_quality": lambda spark, sf_dir: quality.score_documents(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")),
+    "op8_language_mixture": on_documents(language_mix.identify_documents),
     "op10_line_dedup": on_documents(line_dedup.line_digests),
 }
 
