@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fleetspark.llm import language_mix, line_dedup, quality, sharding, syncmers
+from fleetspark.llm import language_mix, lattice_lm, line_dedup, packing, quality, sharding, syncmers
 
 
 def read(spark, sf_dir: str, table: str):
@@ -18,6 +18,8 @@ QUERIES = {
     "op2_virtual_slots": on_documents(sharding.shard_documents),
     "op3_additive_quality": lambda spark, sf_dir: quality.score_documents(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")),
+    "op4_minimum_slack": on_documents(packing.packed_digests),
+    "op6_lattice_score": on_documents(lattice_lm.score_documents),
     "op8_language_mixture": on_documents(language_mix.identify_documents),
     "op10_line_dedup": on_documents(line_dedup.line_digests),
 }
