@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from fleetspark.llm import dart_minhash, decontaminate, language_mix, lattice_lm, line_dedup, packing, quality, sharding, syncmers
+import corpus_pipeline
+from fleetspark.llm import dart_minhash, decontaminate, language_mix, lattice_lm, line_dedup, packing, quality, sharding, syncmers, templates
 
 
 def read(spark, sf_dir: str, table: str):
@@ -19,12 +20,14 @@ QUERIES = {
     "op3_additive_quality": lambda spark, sf_dir: quality.score_documents(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")),
     "op4_minimum_slack": on_documents(packing.packed_digests),
+    "op5_template_classes": lambda spark, sf_dir: templates.extract_pages(read(spark, sf_dir, "pages")),
     "op6_lattice_score": on_documents(lattice_lm.score_documents),
     "op7_dart_minhash": on_documents(dart_minhash.classes),
     "op8_language_mixture": on_documents(language_mix.identify_documents),
     "op9_simhash_windows": lambda spark, sf_dir: decontaminate.leaked_pairs(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")),
     "op10_line_dedup": on_documents(line_dedup.line_digests),
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {"op10_line_dedup": line_dedup.ORACLE}
