@@ -2,8 +2,13 @@
 
 The pieces of an existing vocabulary, each with a unigram probability, span a lattice over every word:
 one path per way to cut the word into pieces. A forward recursion in log space adds up all paths, so a
-text's score is the logarithm of its probability whatever the segmentation. The probabilities are
-learned from the training documents by expectation maximisation over the same lattice.
+word's score is the logarithm of its probability whatever the segmentation. A piece has one probability
+for each place in a word (first, inner, last, whole). They are learned from the training documents by
+expectation maximisation over the same lattice.
+
+A word that the training documents hold is an arc of its own beside the paths of its pieces, and each
+language of the training documents has its own probabilities: a text's score is the logarithm of
+its probability summed over the languages.
 """
 
 from __future__ import annotations
@@ -25,6 +30,11 @@ END = b"\n"
 #: pieces of more bytes are left out, so that a piece is a 64-bit number
 LONGEST = 8
 ROUNDS, SMOOTHING = 2, 0.01
+#: what a word's own arc gives of each count to the paths of its pieces
+DISCOUNT = 0.75
+#: so many languages, those of most training documents, have probabilities of their own; the others
+#: share one set
+LANGUAGES = 8
 #: scores of at most so many frequent words, of at most so many bytes, go to every task; the scores
 #: of all other words reach the documents by a join
 FREQUENT, FREQUENT_BYTES = 400_000, 64
@@ -37,20 +47,19 @@ _NEVER = -1e300
 # --- vocabulary -------------------------------------------------------------------
 
 
-def read_pieces(path: str) -> list[tuple[bytes, bool]]:
-    """Pieces of a byte-level vocabulary in its order, and whether each one ends a word."""
+def read_pieces(path: str) -> list[bytes]:
+    """The distinct pieces of a byte-level vocabulary, without the mark of a word's end, in its order."""
     with open(path, encoding="utf-8") as file:
         model = json.load(file)["model"]
-    letters, suffix = _byte_letters(), model["end_of_word_suffix"]
-    found = []
+    letters, suffix = _byte_letters(), model.get("end_of_word_suffix") or ""
+    found = {}
     for name in sorted(model["vocab"], key=model["vocab"].get):
-        final = name.endswith(suffix)
-        name = name.removesuffix(suffix) if final else name
-        if name and all(c in letters for c in name) and len(name) <= LONGEST * 2:
+        name = name.removesuffix(suffix)
+        if name and all(c in letters for c in name):
             piece = bytes(letters[c] for c in name)
-            if len(piece) <= LONGEST:
-                found.append((piece, final))
-    return found
+            if len(piece) <= LONGEST and piece.split() == [piece]:
+                found[piece] = None
+    return list(dict.fromkeys([*found, *(bytes([b]) for b in range(256))]))  # every word can be spelled
 
 
 class Lookup:
@@ -82,40 +91,47 @@ class Lookup:
 
 
 class Lattice:
-    """The pieces of a vocabulary and their log probabilities (natural logarithm)."""
+    """Pieces and, per language and place, their log probabilities (natural logarithm)."""
+
+    FIRST, INNER, LAST, WHOLE = range(4)
 
-    def __init__(self, pieces: list[tuple[bytes, bool]]):
+    def __init__(self, pieces: list[bytes], languages: int):
         self.n = len(pieces)
-        self.tables: dict[tuple[int, bool], Lookup] = {}
+        self.tables = {}
         for length in range(1, LONGEST + 1):
-            for final in (False, True):
-                own = [(int.from_bytes(p, "little"), i) for i, (p, f) in enumerate(pieces) if len(p) == length and f == final]
-                if own:
-                    keys, values = zip(*own)
-                    self.tables[length, final] = Lookup(np.array(keys, np.uint64), np.array(values, np.int32))
-        # before training the vocabulary's own order stands for its scores, as in a law of Zipf
-        weight = 1 / (np.arange(self.n) + 20.0)
-        self.logp = np.log(weight / weight.sum())
-
-    def edges(self, words: np.ndarray) -> dict[int, np.ndarray]:
-        """For each length, the number of the piece that starts at each place of each word (rows);
-        a piece that reaches the end of the word must be one that ends words."""
+            own = [(int.from_bytes(p, "little"), i) for i, p in enumerate(pieces) if len(p) == length]
+            if own:
+                keys, values = zip(*own)
+                self.tables[length] = Lookup(np.array(keys, np.uint64), np.array(values, np.int32))
+        # before training all pieces are alike, but single bytes, of which any word can be made, are rare
+        weight = np.array([1e-6 if len(p) == 1 else 1.0 for p in pieces])
+        self.learn(np.tile(weight, (languages, 4, 1)))
+
+    def learn(self, counts: np.ndarray) -> None:
+        """Take over counts (language, place, piece). A word begins with a first or a whole piece, and
+        goes on with an inner or a last one: the probabilities of either choice add up to 1."""
+        logp = np.log(counts)
+        for pair in ([self.FIRST, self.WHOLE], [self.INNER, self.LAST]):
+            logp[:, pair] -= np.logaddexp.reduce(logp[:, pair], axis=(1, 2))[:, None, None]
+        self.logp = np.concatenate([logp, np.full((*logp.shape[:2], 1), _NEVER)], 2)
+
+    def edges(self, words: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """For each length, the number of the piece that starts at each place of each word (rows), -1
+        for none, and the kind of place."""
         width = words.shape[1]
         wide = words.astype(np.uint64)
         keys = np.zeros_like(wide)
         out = {}
         for length in range(1, min(LONGEST, width) + 1):
             keys = keys[:, : width - length + 1] | (wide[:, length - 1 :] << np.uint64(8 * (length - 1)))
-            found = np.full(keys.shape, -1, np.int32)
-            for final, part in ((False, np.s_[:, :-1]), (True, np.s_[:, -1:])):
-                if (length, final) in self.tables and keys[part].size:
-                    found[part] = self.tables[length, final].find(keys[part])
-            out[length] = found
+            found = self.tables[length].find(keys) if length in self.tables else np.full(keys.shape, -1, np.int32)
+            kind = np.full(keys.shape[1], self.INNER)
+            kind[0], kind[-1] = self.FIRST, self.LAST if length < width else self.WHOLE
+            out[length] = found, kind
         return out
 
-    def _weights(self, edges: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
-        known = np.append(self.logp, _NEVER)
-        return {length: known[ids] for length, ids in edges.items()}
+    def _weights(self, edges: dict, language: int) -> dict[int, np.ndarray]:
+        return {length: self.logp[language][kind, ids] for length, (ids, kind) in edges.items()}
 
     @staticmethod
     def _add(terms: np.ndarray) -> np.ndarray:
@@ -129,23 +145,25 @@ class Lattice:
         return alpha
 
     def scores(self, words: np.ndarray) -> np.ndarray:
-        """Log probability of each word (rows of bytes, all of one length)."""
-        return self._forward(self._weights(self.edges(words)), *words.shape)[-1]
+        """Log probability of each word (rows of bytes, all of one length) in each language (columns)."""
+        edges = self.edges(words)
+        return np.stack([
+            self._forward(self._weights(edges, k), *words.shape)[-1] for k in range(len(self.logp))], 1)
 
-    def expected(self, words: np.ndarray, counts: np.ndarray, total: np.ndarray) -> None:
-        """Add to ``total`` how often each piece is expected in so many copies of the words."""
+    def expected(self, words: np.ndarray, language: int, total: np.ndarray) -> None:
+        """Add to ``total`` (place, piece) how often each piece is expected in the words, one of each."""
         edges = self.edges(words)
-        weights = self._weights(edges)
+        weights = self._weights(edges, language)
         rows, width = words.shape
         alpha = self._forward(weights, rows, width)
         beta = np.zeros((width + 1, rows))
         for i in range(width - 1, -1, -1):
             beta[i] = self._add(np.stack([beta[i + k] + weights[k][:, i] for k in range(1, min(LONGEST, width - i) + 1)]))
-        for length, ids in edges.items():
+        for length, (ids, kind) in edges.items():
             share = np.exp(alpha[: width - length + 1].T + weights[length] + beta[length:].T - alpha[-1][:, None])
-            share *= counts[:, None]
             able = ids >= 0
-            total += np.bincount(ids[able], share[able], minlength=len(total))
+            cell = (kind * self.n + ids)[able]
+            total += np.bincount(cell, share[able], minlength=total.size).reshape(total.shape)
 
 
 def by_length(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -169,77 +187,109 @@ def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
-def count_words(docs: DataFrame, learns: Column) -> DataFrame:
-    """``word``, ``n`` (how often in all documents) and ``c`` (in those that teach), stored."""
+def language_class(docs: DataFrame, learns: Column, most: int = LANGUAGES) -> tuple[Column, int]:
+    """The number of a row's language, -1 for a row that teaches nothing, and how many there are. NULL
+    counts as a language."""
+    name = F.coalesce(F.col("lang").cast("string"), F.lit(""))
+    found = docs.where(learns).groupBy(name.alias("lang")).count().orderBy(F.desc("count"), "lang").limit(most + 1).collect()
+    names = [r["lang"] for r in found[:most]]
+    number = F.lit(len(names))  # the languages beyond
+    for i, known in enumerate(names):
+        number = F.when(name == known, F.lit(i)).otherwise(number)
+    return F.when(learns, number).otherwise(F.lit(-1)).cast("int"), max(len(found), 1)
 
-    def tables(seen: Counter, taught: Counter) -> pa.RecordBatch:
-        words = list(seen)
+
+def count_words(docs: DataFrame, number: Column, languages: int) -> DataFrame:
+    """``word``, ``n`` (how often in all documents) and ``c0``, ``c1``, ... (in those that teach each
+    language), stored."""
+    columns = ["n", *[f"c{i}" for i in range(languages)]]
+
+    def table(seen: list[Counter]) -> pa.RecordBatch:
+        words = list(set().union(*seen))
+        total = [sum(c[w] for c in seen) for w in words]
+        counts = [pa.array([c[w] for w in words], pa.int64()) for c in seen[:-1]]
         return pa.RecordBatch.from_arrays(
-            [pa.array(words, pa.binary()), pa.array(seen.values(), pa.int64()), pa.array([taught[w] for w in words], pa.int64())],
-            names=["word", "n", "c"])
+            [pa.array(words, pa.binary()), pa.array(total, pa.int64()), *counts], names=["word", *columns])
 
     def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, taught = Counter(), Counter()
+        seen = [Counter() for _ in range(languages + 1)]  # the last one: of the texts that teach nothing
         for batch in batches:
-            for text, teaches in zip(batch.column(0), batch.column(1)):
-                words = words_of(text.as_py())
-                words.append(END)
-                seen.update(words)
-                if teaches.as_py():
-                    taught.update(words)
-                if len(seen) >= COUNTED:
-                    yield tables(seen, taught)
-                    seen, taught = Counter(), Counter()
-        if seen:
-            yield tables(seen, taught)
-
-    parts = docs.select(whole_text().cast("binary"), learns).mapInArrow(counted, "word binary, n long, c long")
-    return stored(parts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("c").alias("c")), "words")
-
-
-def train(words: DataFrame, documents: int, pieces: list[tuple[bytes, bool]], rounds: int = ROUNDS) -> tuple[Lattice, float]:
-    """The trained lattice and the log probability of the end of a text.
-
-    Every round spreads the counts of all words over the lattice, task by task; one number for each
-    piece of the vocabulary comes back.
+            for text, k in zip(batch.column(0), batch.column(1).to_pylist()):
+                seen[k].update(words_of(text.as_py()))
+                seen[k][END] += 1
+                if sum(map(len, seen)) >= COUNTED:
+                    yield table(seen)
+                    seen = [Counter() for _ in range(languages + 1)]
+        if any(seen):
+            yield table(seen)
+
+    shape = "word binary, " + ", ".join(f"{c} long" for c in columns)
+    parts = docs.select(whole_text().cast("binary"), number).mapInArrow(counted, shape)
+    return stored(parts.groupBy("word").agg(*[F.sum(c).alias(c) for c in columns]), "words")
+
+
+def train(words: DataFrame, languages: int, pieces: list[bytes], rounds: int = ROUNDS) -> Lattice:
+    """The trained lattice.
+
+    Every round spreads each language's distinct words over the lattice, task by task; what comes back
+    is one number for each language, place and piece of the vocabulary.
     """
-    lattice = Lattice(pieces)
-    end = 0.0
+    lattice = Lattice(pieces, languages)
     for _ in range(rounds):
         def spread(batches, lattice=lattice):
-            total = np.zeros(lattice.n)
+            total = np.zeros((languages, 4, lattice.n))
             for batch in batches:
-                raw, counts = batch.column(0).to_pylist(), batch.column(1).to_numpy()
-                for rows, at in by_length(raw):
-                    lattice.expected(rows, counts[at].astype(float), total)
+                raw = batch.column(0).to_pylist()
+                for k in range(languages):
+                    taught = batch.column(k + 1).to_numpy() > 0
+                    for rows, _ in by_length([w for w, t in zip(raw, taught) if t]):
+                        lattice.expected(rows, k, total[k])
             found = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(total[found])], names=["piece", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(total.ravel()[found])], names=["cell", "n"])
 
         counts = (
-            words.where((F.col("c") > 0) & (F.col("word") != END)).select("word", "c")
-            .mapInArrow(spread, "piece long, n double").groupBy("piece").agg(F.sum("n").alias("n")).toPandas()
+            words.where(F.col("word") != END).select("word", *[f"c{k}" for k in range(languages)])
+            .mapInArrow(spread, "cell long, n double").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
         )
-        total = np.full(lattice.n, SMOOTHING)
-        total[counts["piece"]] += counts["n"]
-        everything = total.sum() + documents + SMOOTHING
-        lattice.logp = np.log(total / everything)
-        end = float(np.log((documents + SMOOTHING) / everything))
-    return lattice, end
+        total = np.full((languages, 4, lattice.n), SMOOTHING)
+        total.ravel()[counts["cell"]] += counts["n"]
+        lattice.learn(total)
+    return lattice
 
 
-def score_words(words: DataFrame, lattice: Lattice, end: float) -> DataFrame:
-    """``words`` with ``lp``, the log10 probability of each word, stored."""
+def score_words(words: DataFrame, lattice: Lattice, tokens: list[int], kinds: list[int]) -> DataFrame:
+    """``words`` with ``lp0``, ``lp1``, ..., each word's log10 probability per language, stored.
+
+    ``tokens`` and ``kinds`` are each language's tokens and distinct words. A word's own arc has its
+    count less the discount; what the discounts leave goes to the pieces.
+    """
+    languages = len(tokens)
+    names = ["word", "n", *[f"c{k}" for k in range(languages)], *[f"lp{k}" for k in range(languages)]]
 
     def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = batch.column(0).to_pylist()
-            out = np.empty(len(raw))
+            spelled = np.empty((len(raw), languages))
             for rows, at in by_length(raw):
-                out[at] = lattice.scores(rows) / np.log(10)
-            out[[i for i, w in enumerate(raw) if w == END]] = end / np.log(10)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=["word", "n", "c", "lp"])
-
-    return stored(words.mapInArrow(scored, "word binary, n long, c long, lp double"), "scored-words")
+                spelled[at] = lattice.scores(rows)
+            ends = [i for i, w in enumerate(raw) if w == END]
+            out = []
+            for k in range(languages):
+                count = batch.column(k + 2).to_numpy().astype(float)
+                if not tokens[k]:  # nothing was learned: half of all tokens are ends
+                    p = spelled[:, k] + np.log(0.5)
+                    p[ends] = np.log(0.5)
+                else:
+                    with np.errstate(divide="ignore"):
+                        own = np.log(np.maximum(count - DISCOUNT, 0) / tokens[k])
+                        left = np.log(max(DISCOUNT * kinds[k], 1.0) / tokens[k])
+                        p = np.logaddexp(own, spelled[:, k] + left)
+                        p[ends] = np.log(count[ends] / tokens[k])
+                out.append(pa.array(p / np.log(10)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *out], names=names)
+
+    shape = "word binary, " + ", ".join(f"{c} {'double' if c.startswith('lp') else 'long'}" for c in names[1:])
+    return stored(words.mapInArrow(scored, shape), "scored-words")
 
 
 def frequent_words(words: DataFrame, most: int = FREQUENT) -> DataFrame:
@@ -261,67 +311,79 @@ def score_documents(docs: DataFrame, vocabulary_path: str | None = None, modulus
     """Every document with its token counts, the score of a word model and that of the lattice.
 
     Tokens are the words, A-Z in lower case, and one end per text. Learns from the rows whose
-    crc32(id) mod ``modulus`` is not ``remainder``; a NULL id teaches. NULL text is empty: its only
-    token is the end. Repeated rows are counted and scored one by one; an empty table gives an empty
-    table; if nothing teaches, all tokens are unknown.
+    crc32(id) mod ``modulus`` is not ``remainder``; a NULL id teaches, and a NULL language is one more
+    language. NULL text is empty: its only token is the end. Repeated rows are counted and scored one by one; an empty table
+    gives an empty table; if nothing teaches, all tokens are unknown.
     """
     held_out = in_class("doc_id", modulus, remainder)
-    words = count_words(docs, ~held_out)
+    number, languages = language_class(docs, ~held_out)
+    words = count_words(docs, number, languages)
+    taught = [f"c{k}" for k in range(languages)]
+    count = sum(F.col(c) for c in taught)
     found = words.agg(
-        F.sum("c").alias("tokens"), F.count_if(F.col("c") > 0).alias("known"),
-        F.max(F.when(F.col("word") == END, F.col("c"))).alias("documents"),
-    ).first()
-    tokens, known, documents = (found[k] or 0 for k in ("tokens", "known", "documents"))
+        F.sum(count).alias("tokens"), F.count_if(count > 0).alias("known"),
+        *[F.sum(c).alias(f"tokens_{c}") for c in taught],
+        *[F.count_if((F.col(c) > 0) & (F.col("word") != END)).alias(f"kinds_{c}") for c in taught],
+        *[F.max(F.when(F.col("word") == END, F.col(c))).alias(f"documents_{c}") for c in taught],
+    ).first().asDict()
+    found = {k: v or 0 for k, v in found.items()}
+    tokens, known = found["tokens"], found["known"]
     pieces = read_pieces(vocabulary_path or public_tokenizers.path("word_bpe_49k.json"))
-    lattice, end = train(words, documents, pieces)
-    scored = score_words(words, lattice, end)
+    lattice = train(words, languages, pieces)
+    scored = score_words(words, lattice, [found[f"tokens_{c}"] for c in taught], [found[f"kinds_{c}"] for c in taught])
 
-    below = tokens + 0.5 * (known + 1)
-    base = F.log10((F.col("c") + 0.5) / F.lit(below))
-    scored = scored.select("word", "n", (F.col("c") > 0).cast("long").alias("known"), base.alias("base"), "lp")
-    often = frequent_words(scored).select("word", "known", "base", "lp").toArrow()  # at most FREQUENT rows
-    shared = docs.sparkSession.sparkContext.broadcast([often.column(i).to_pylist() for i in range(4)])
+    base = F.log10((count + 0.5) / F.lit(tokens + 0.5 * (known + 1)))
+    scores = ["base", *[f"lp{k}" for k in range(languages)]]
+    scored = scored.select("word", "n", (count > 0).cast("long").alias("known"), base.alias("base"), *scores[1:])
+    often = frequent_words(scored).select("word", "known", *scores).toArrow()  # at most FREQUENT rows
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (often.column(0).to_pylist(), np.stack([often.column(i).to_numpy() for i in range(1, often.num_columns)], 1)))
+    sums = ["total", "known", *scores]
 
     def summed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per row its frequent words, added up, and one row for each of its other words."""
-        names, *values = shared.value
-        table = dict(zip(names, zip(*values)))
+        names, values = shared.value
+        place = dict(zip(names, range(len(names))))
+        types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), *[pa.int64()] * 2, *[pa.float64()] * len(scores)]
         for batch in batches:
             rows = []
             for id_, hash_, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 raw = words_of(text)
-                total, known, base, lp = len(raw) + 1, 0, 0.0, 0.0
-                for word, n in Counter([*raw, END]).items():
-                    if hit := table.get(word):
-                        known, base, lp = known + n * hit[0], base + n * hit[1], lp + n * hit[2]
-                    else:
-                        rows.append((id_, hash_, word, n, 0, 0, 0.0, 0.0))
-                rows.append((id_, hash_, None, 1, total, known, base, lp))
-            types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+                counts = Counter(raw)
+                counts[END] = 1
+                hits = [(place[w], n) for w, n in counts.items() if w in place]
+                rows += [(id_, hash_, w, n, 0, 0, *[0.0] * len(scores)) for w, n in counts.items() if w not in place]
+                at, times = np.array(hits, np.int64).reshape(-1, 2).T
+                known, *own = times @ values[at]
+                rows.append((id_, hash_, None, 1, len(raw) + 1, int(known), *own))
             arrays = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
-            whole = pa.RecordBatch.from_arrays(arrays, names=["id", "th", "word", "times", "total", "known", "base", "lp"])
-            for at in range(0, whole.num_rows, 20_000):
-                yield whole.slice(at, 20_000)
+            whole = pa.RecordBatch.from_arrays(arrays, names=["id", "th", "word", "times", *sums])
+            for start in range(0, whole.num_rows, 20_000):
+                yield whole.slice(start, 20_000)
 
+    shape = "id long, th long, word binary, times long, total long, known long, " + ", ".join(f"{c} double" for c in scores)
     parts = docs.select(
         id_key().alias("id"), F.xxhash64(whole_text()).alias("th"), whole_text().cast("binary").alias("text")
-    ).mapInArrow(summed, "id long, th long, word binary, times long, total long, known long, base double, lp double")
-    shape = ["id", "th", "copies", "total", "known", "base", "lp"]
-    own = parts.where(F.col("word").isNull()).withColumn("copies", F.col("times")).select(*shape)
-    times = F.col("times")
+    ).mapInArrow(summed, shape)
+    own = parts.where(F.col("word").isNull()).select("id", "th", F.col("times").alias("copies"), *sums)
+    nothing = F.lit(0).cast("long")
     rest = (
         parts.where(F.col("word").isNotNull()).select("id", "th", "word", "times").join(scored, "word")
-        .select("id", "th", F.lit(0).cast("long").alias("copies"), F.lit(0).cast("long").alias("total"),
-                (times * F.col("known")).alias("known"), (times * F.col("base")).alias("base"), (times * F.col("lp")).alias("lp"))
+        .select("id", "th", nothing.alias("copies"), nothing.alias("total"), *[(F.col("times") * F.col(c)).alias(c) for c in sums[1:]])
     )
     # rows that repeat an id and its text are added up as one, divided and written out again
-    sums = own.unionByName(rest).repartition("id", "th").groupBy("id", "th").agg(*[F.sum(c).alias(c) for c in shape[2:]])
-    each = sums.withColumn("doc_id", F.when(F.col("id") != NO_ID, F.col("id"))).withColumn(
-        "copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    each = own.unionByName(rest).repartition("id", "th").groupBy("id", "th").agg(*[F.sum(c).alias(c) for c in ["copies", *sums]])
+    each = each.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    every = max(sum(found[f"documents_{c}"] for c in taught), 1)
+    joint = [  # a language is as likely as its share of the training documents
+        F.col(f"lp{k}") / F.col("copies") + float(np.log10((found[f"documents_{c}"] or 1) / every)) for k, c in enumerate(taught)]
+    top = F.greatest(*joint) if len(joint) > 1 else joint[0]
+    each = each.withColumn("doc_id", F.when(F.col("id") != NO_ID, F.col("id"))).withColumn("top", top)
     return each.select(
         "doc_id", held_out.alias("held_out"), F.expr("total div copies").alias("n_tokens"),
         F.expr("known div copies").alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("base") / F.col("copies")).alias("base_score"), (F.col("lp") / F.col("copies")).alias("score"),
+        (F.col("base") / F.col("copies")).alias("base_score"),
+        (F.col("top") + F.log10(sum(F.pow(F.lit(10.0), j - F.col("top")) for j in joint))).alias("score"),
     )
 
 
