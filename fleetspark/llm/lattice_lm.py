@@ -341,38 +341,45 @@ def score_documents(docs: DataFrame, vocabulary_path: str | None = None, modulus
     sums = ["total", "known", *scores]
 
     def summed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Per row its frequent words, added up, and one row for each of its other words."""
+        """One row for each of a text's other words, and one with the sums of its frequent words under
+        a key of its own that is no word."""
         names, values = shared.value
         place = dict(zip(names, range(len(names))))
-        types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), *[pa.int64()] * 2, *[pa.float64()] * len(scores)]
+        types = [pa.int64()] * 2 + [pa.float64()] * len(scores)
         for batch in batches:
-            rows = []
+            rows, own = [], []
             for id_, hash_, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 raw = words_of(text)
                 counts = Counter(raw)
                 counts[END] = 1
                 hits = [(place[w], n) for w, n in counts.items() if w in place]
-                rows += [(id_, hash_, w, n, 0, 0, *[0.0] * len(scores)) for w, n in counts.items() if w not in place]
+                rows += [(id_, hash_, w, n) for w, n in counts.items() if w not in place]
                 at, times = np.array(hits, np.int64).reshape(-1, 2).T
-                known, *own = times @ values[at]
-                rows.append((id_, hash_, None, 1, len(raw) + 1, int(known), *own))
-            arrays = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
-            whole = pa.RecordBatch.from_arrays(arrays, names=["id", "th", "word", "times", *sums])
+                known, *scored_sums = times @ values[at]
+                rows.append((id_, hash_, END + hash_.to_bytes(8, "little", signed=True), 1))
+                own.append((len(rows) - 1, len(raw) + 1, int(known), *scored_sums))
+            at, *columns = zip(*own)
+            spread = np.full(len(rows), -1)
+            spread[list(at)] = np.arange(len(own))
+            place_of = pa.array(spread, mask=spread < 0)
+            fields = [pa.array(c, t) for c, t in zip(columns, types)]
+            struct = pa.StructArray.from_arrays(fields, sums).take(place_of)
+            arrays = [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64(), pa.int64(), pa.binary(), pa.int64()])]
+            whole = pa.RecordBatch.from_arrays([*arrays, struct], names=["id", "th", "word", "times", "own"])
             for start in range(0, whole.num_rows, 20_000):
                 yield whole.slice(start, 20_000)
 
-    shape = "id long, th long, word binary, times long, total long, known long, " + ", ".join(f"{c} double" for c in scores)
+    inner = "total long, known long, " + ", ".join(f"{c} double" for c in scores)
     parts = docs.select(
         id_key().alias("id"), F.xxhash64(whole_text()).alias("th"), whole_text().cast("binary").alias("text")
-    ).mapInArrow(summed, shape)
-    own = parts.where(F.col("word").isNull()).select("id", "th", F.col("times").alias("copies"), *sums)
-    nothing = F.lit(0).cast("long")
-    rest = (
-        parts.where(F.col("word").isNotNull()).select("id", "th", "word", "times").join(scored, "word")
-        .select("id", "th", nothing.alias("copies"), nothing.alias("total"), *[(F.col("times") * F.col(c)).alias(c) for c in sums[1:]])
-    )
+    ).mapInArrow(summed, f"id long, th long, word binary, times long, own struct<{inner.replace(' long', ': long').replace(' double', ': double')}>")
+    joined = parts.join(scored, "word", "left")
+    is_own = F.col("own").isNotNull()
+    shared_sums = [
+        F.when(is_own, F.col(f"own.{c}")).otherwise(F.col("times") * F.col(c) if c != "total" else F.lit(0)).alias(c) for c in sums]
+    joined = joined.select("id", "th", F.when(is_own, 1).otherwise(0).cast("long").alias("copies"), *shared_sums)
     # rows that repeat an id and its text are added up as one, divided and written out again
-    each = own.unionByName(rest).repartition("id", "th").groupBy("id", "th").agg(*[F.sum(c).alias(c) for c in ["copies", *sums]])
+    each = joined.repartition("id", "th").groupBy("id", "th").agg(*[F.sum(c).alias(c) for c in ["copies", *sums]])
     each = each.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     every = max(sum(found[f"documents_{c}"] for c in taught), 1)
     joint = [  # a language is as likely as its share of the training documents
