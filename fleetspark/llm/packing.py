@@ -44,11 +44,11 @@ def _byte_letters() -> dict[str, int]:
 class Encoder:
     """Ids of a byte-level tokenizer file, as the ``tokenizers`` library gives them.
 
-    Texts of long-standing letters go through the faster ``tiktoken`` with the same merges; the
-    others, and all if the file's ids don't follow its merges, through ``tokenizers``.
+    Texts of long-standing letters go through the faster ``tiktoken`` with the same merges (``pattern``
+    is how byte-level files without one of their own split a text); the others, and all if the file's ids don't follow its merges, through ``tokenizers``.
     """
 
-    def __init__(self, content: str):
+    def __init__(self, content: str, pattern: str):
         self.content = content
         self.slow = None
         self.fast = None
@@ -64,7 +64,7 @@ class Encoder:
 
             self.specials = {t["content"]: t["id"] for t in file["added_tokens"]}
             self.fast = tiktoken.Encoding(
-                "file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=vocab, special_tokens=self.specials)
+                "file", pat_str=pattern, mergeable_ranks=vocab, special_tokens=self.specials)
 
     def __call__(self, text: str) -> list[int]:
         if self.fast and not _NEWER.search(text):
@@ -76,11 +76,11 @@ class Encoder:
         return self.slow.encode(text, add_special_tokens=False).ids
 
 
-def _encoder(content: str) -> Encoder:
+def _encoder(content: str, pattern: str) -> Encoder:
     """One per worker process; it outlives the task on ``sys``."""
     kept = sys.__dict__.setdefault("_llm_encoders", {})
     if content not in kept:
-        kept[content] = Encoder(content)
+        kept[content] = Encoder(content, pattern)
     return kept[content]
 
 
@@ -169,7 +169,7 @@ class _Packer:
         self.n = sum(map(len, self.waiting.values()))
 
 
-def packer(content: str, window: int, end: int, block: int):
+def packer(content: str, pattern: str, window: int, end: int, block: int):
     """The function that packs one partition of documents."""
     names = ["doc_id", "start", "length", "doc_tokens", "ids", "sequence_id", "offset"]
     types = [pa.int64()] * 4 + [pa.binary()] + [pa.int64()] * 2
@@ -183,7 +183,7 @@ def packer(content: str, window: int, end: int, block: int):
             yield doc_id, start, len(part), len(ids), part.tobytes()
 
     def placed(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
-        encode = _encoder(content)
+        encode = _encoder(content, pattern)
         # partitions have sequences of their own, numbered apart; a repeated task repeats its numbers
         pack = _Packer(TaskContext.get().partitionId() << 33, window, block)
         for batch in batches:
@@ -224,7 +224,7 @@ def pack_documents(
     with open(tokenizer_path or public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
         content = file.read()
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(packer(content, window, end, block), PIECES)
+    return rows.mapInArrow(packer(content, public_tokenizers.PATTERN, window, end, block), PIECES)
 
 
 def sequences(pieces: DataFrame, window: int = WINDOW, pad: int = 0) -> DataFrame:

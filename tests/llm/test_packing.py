@@ -72,7 +72,7 @@ def test_little_padding_and_whole_sequences(spark, sf):
 
 def test_fast_and_plain_tokenizer_agree():
     with open(PATH, encoding="utf-8") as file:
-        encode = packing.Encoder(file.read())
+        encode = packing.Encoder(file.read(), public_tokenizers.PATTERN)
     assert encode.fast is not None
     plain = Tokenizer.from_file(PATH)
     points = [c for c in range(1, 0x590)]
