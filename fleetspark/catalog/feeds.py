@@ -18,7 +18,11 @@ from ..operators import enrich, star
 PRODUCTS = ["GASOLINA", "ETANOL", "DIESEL", "DIESEL S10", "GNV", "GASOLINA ADITIVADA"]
 SEGMENTS_IN_USE = ["AUTOMOBILE", "MACHINERY", "HOUSEHOLD"]
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-PRICES_END = "2000-01-01 00:00:00"
+# Codes of states, by state number; the last one is none.
+UFS = [
+    "RO", "AC", "AM", "RR", "PA", "AP", "TO", "MA", "PI", "CE", "RN", "PB", "PE", "AL", "SE", "BA", "MG", "ES",
+    "RJ", "SP", "PR", "SC", "RS", "MS", "XX",
+]
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -127,7 +131,9 @@ def dim_estado(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dim_tempo(spark: SparkSession, sf: str) -> DataFrame:
-    return star.calendar(spark)
+    """From the months of the fact: one narrow column is read."""
+    months = table(spark, sf, "lineitem").select(F.year("l_shipdate").alias("ano"), F.month("l_shipdate").alias("mes"))
+    return star.dim_tempo(months)
 
 
 STAR = {
@@ -143,24 +149,21 @@ def load_star(spark: SparkSession, sf: str, *names: str) -> dict[str, DataFrame]
 # --- raw feeds --------------------------------------------------------------------
 
 def _state_names(spark: SparkSession, sf: str) -> DataFrame:
-    """``_uf`` (number), ``nome`` and ``regiao`` of the states: 25 rows at every scale factor, so
-    they may be broadcast whatever the planner estimates."""
-    names = dim_estado(spark, sf).select(
+    """``_uf`` (number), ``nome`` and ``regiao`` of the states."""
+    return dim_estado(spark, sf).select(
         F.col("sk_estado").alias("_uf"), F.col("sigla_estado").alias("nome"), "regiao"
     )
-    return F.broadcast(names)
 
 
 def raw_prices(spark: SparkSession, sf: str) -> DataFrame:
     """Fuel-price feed with untidy text: padded lower-case names, prices and dates that do not
-    parse. It ends in 1999, so later operations find no price."""
+    parse."""
     price = cents(half_up(hundredths("l_extendedprice"), F.floor("l_quantity")))
     day = F.date_format("l_shipdate", "dd/MM/yyyy")
     bad_day = F.concat(F.lit("31/02/"), F.year("l_shipdate").cast("string"))
     names = F.array(*(F.lit(p.lower()) for p in PRODUCTS))
-    rows = table(spark, sf, "lineitem").filter(F.col("l_shipdate") < F.lit(PRICES_END).cast("timestamp_ntz"))
     return (
-        rows.withColumn("_uf", state_number("l_suppkey"))
+        table(spark, sf, "lineitem").withColumn("_uf", state_number("l_suppkey"))
         .join(_state_names(spark, sf), "_uf")
         .select(
             F.lower("regiao").alias("Regiao - Sigla"),
@@ -232,6 +235,11 @@ def raw_vehicles(spark: SparkSession, sf: str) -> DataFrame:
     return later.unionByName(rows)
 
 
+def with_orphans(rows: DataFrame, key: str, lost: Column) -> DataFrame:
+    """``rows`` and, once more, those with seven times eight trips under a key that no vehicle has."""
+    return rows.unionByName(rows.filter("viagens_realizadas = 56").withColumn(key, lost))
+
+
 def raw_operations(spark: SparkSession, sf: str) -> DataFrame:
     """Operations feed: money as text, a cost left out now and then, state in lower case."""
     money = [

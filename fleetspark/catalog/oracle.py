@@ -327,10 +327,20 @@ GROUP BY id_veiculo, tipo_veiculo, marca, ano_fabricacao, status, combustivel, s
 ORACLE["presc_vehicle_kpis"] = over_star(VEHICLE_KPIS)
 
 
+# Fixed values, written out here apart from the list that the Spark side reads: critical limit, attention
+# limit and the worse side of each KPI.
+LIMITS = {
+    "custo_por_km": (2.5, 1.8, "higher"),
+    "margem_operacional": (0.1, 0.2, "lower"),
+    "disponibilidade_pct": (75.0, 85.0, "lower"),
+    "km_por_litro_real": (3.0, 4.5, "lower"),
+}
+
+
 def kpi_rows(extra: bool = False) -> str:
     """Long KPI rows with class and limit, one SELECT per KPI."""
     selects = []
-    for kpi, (critical, attention, worse) in ref.LIMITS.items():
+    for kpi, (critical, attention, worse) in LIMITS.items():
         op = ">" if worse == "higher" else "<"
         hit = f"CASE WHEN {kpi} {op} {critical}e0 THEN {{0}} WHEN {kpi} {op} {attention}e0 THEN {{1}} {{2}} END"
         selects.append(
@@ -418,9 +428,31 @@ ORACLE["sink_results"] = rules(
     f"SELECT 'alertas' AS tabela, count(*) AS n, CAST(sum(CAST(limite AS DECIMAL(12,4))) AS DOUBLE) AS soma_limites FROM ({ALERTS})"
 )
 ORACLE["presc_pipeline"] = decided(
-    "SELECT classificacao AS classe, count(*) AS n FROM long WHERE classificacao <> 'NORMAL' GROUP BY 1"
-    " UNION ALL SELECT decisao, count(*) FROM dec GROUP BY 1"
-)
+    "SELECT classificacao AS classe, count(*) AS n, round(sum(limite), 4) AS soma FROM long WHERE classificacao <> 'NORMAL' GROUP BY 1"
+    " UNION ALL SELECT decisao, count(*), CAST(sum(num_alertas) AS DOUBLE) FROM dec GROUP BY 1"
+)
+# Fixed values of the reference tables: the action of each alert, the advice of each age, CO2 by fuel.
+ORACLE["ref_tables"] = rules("""
+SELECT long.kpi || '/' || classificacao || '/' || acao AS chave, count(*) AS n, round(sum(valor), 2) AS soma
+FROM long JOIN (VALUES
+  ('custo_por_km', 'CRITICO', 2.5e0, 'Substituir ou revisar operação'),
+  ('custo_por_km', 'ATENCAO', 1.8e0, 'Monitorar e planejar manutenção'),
+  ('margem_operacional', 'CRITICO', 0.1e0, 'Rever rota e composição de custos'),
+  ('margem_operacional', 'ATENCAO', 0.2e0, 'Otimizar custos operacionais'),
+  ('disponibilidade_pct', 'CRITICO', 75e0, 'Frota com baixa disponibilidade'),
+  ('disponibilidade_pct', 'ATENCAO', 85e0, 'Verificar manutenção preventiva'),
+  ('km_por_litro_real', 'CRITICO', 3e0, 'Verificar consumo anômalo'),
+  ('km_por_litro_real', 'ATENCAO', 4.5e0, 'Monitorar eficiência do veículo')
+) AS r(kpi, alerta, valor, acao) ON long.kpi = r.kpi AND classificacao = alerta GROUP BY ALL
+UNION ALL
+SELECT faixa || '/' || texto, count(*), CAST(sum(ate) AS DOUBLE) FROM w JOIN (VALUES
+  ('Nova', 0, 3, 'Manutenção preventiva padrão'), ('Jovem', 4, 6, 'Acompanhar custo de manutenção'),
+  ('Madura', 7, 9, 'Planejar substituição'), ('Antiga', 10, 14, 'Avaliar substituição imediata'),
+  ('Obsoleta', 15, 99, 'Substituir obrigatoriamente')
+) AS a(faixa, de, ate, texto) ON idade_veiculo BETWEEN de AND ate GROUP BY ALL
+UNION ALL
+SELECT fuel, count(*), sum(co2) FROM w JOIN (VALUES ('Diesel', 158e0), ('Flex', 120e0)) AS c(fuel, co2)
+ON combustivel = fuel GROUP BY ALL""")
 ORACLE["dash_decision_counts"] = decided(f"SELECT {COUNTS} FROM dec")
 ORACLE["dash_g13"] = decided("SELECT tipo_veiculo, decisao, count(*) AS qtd FROM dec GROUP BY ALL")
 ORACLE["dash_g14"] = rules("SELECT kpi, count(*) AS qtd FROM long WHERE classificacao <> 'NORMAL' GROUP BY kpi")
@@ -473,17 +505,20 @@ TIME_COLUMNS = f"""CAST(ano * 100 + mes AS INTEGER) AS sk_tempo, ano, mes,
 ORACLE["dim_tempo"] = over_star(
     f"SELECT {TIME_COLUMNS} FROM (SELECT DISTINCT ano FROM f) JOIN (SELECT DISTINCT mes FROM f) ON true"
 )
-ORACLE["dim_estado"] = over_star(
-    "SELECT CAST(row_number() OVER (ORDER BY sigla_estado) AS INTEGER) AS sk_estado, sigla_estado,"
-    f" '{ref.UNKNOWN_REGION}' AS regiao FROM (SELECT DISTINCT sigla_estado FROM {F_E})"
-)
+# written out here, apart from the lists that the Spark side reads
+UFS = """['RO', 'AC', 'AM', 'RR', 'PA', 'AP', 'TO', 'MA', 'PI', 'CE', 'RN', 'PB', 'PE', 'AL', 'SE', 'BA', 'MG', 'ES',
+ 'RJ', 'SP', 'PR', 'SC', 'RS', 'MS', 'XX']"""
+ORACLE["dim_estado"] = over_star(f"""
+SELECT CAST(row_number() OVER (ORDER BY sigla_estado) AS INTEGER) AS sk_estado, sigla_estado,
+       CASE WHEN uf < 7 THEN 'NORTE' WHEN uf < 16 THEN 'NORDESTE' WHEN uf < 20 THEN 'SUDESTE' WHEN uf < 23 THEN 'SUL'
+            WHEN uf = 23 THEN 'CENTRO OESTE' ELSE 'DESCONHECIDO' END AS regiao
+FROM (SELECT DISTINCT uf, {UFS}[uf + 1] AS sigla_estado FROM f)""")
 CLEAN_KM = "CASE WHEN km_atual = 0 THEN NULL ELSE CAST(km_atual AS DOUBLE) END"
 ORACLE["dim_veiculo"] = over_star(
     f"SELECT row_number() OVER (ORDER BY sk // 65536, id_veiculo) AS sk_veiculo, id_veiculo, tipo_veiculo, marca,"
     f" ano_fabricacao, combustivel, {CLEAN_KM} AS km_atual, status,"
     " CAST(esperado AS DOUBLE) / 100e0 AS consumo_medio_km_l, CAST(carga AS DOUBLE) AS capacidade_carga_t FROM v"
 )
-KNOWN = "f JOIN (SELECT * FROM v WHERE ano_fabricacao >= 1983) v ON f.k = v.sk"
 ORACLE["fact_surrogate_key"] = over_star(
     "SELECT row_number() OVER (ORDER BY sk_tempo) AS sk_fato_frota, sk_tempo FROM f"
 )
@@ -495,7 +530,7 @@ ORACLE["star_join_estado"] = over_star(
     f"SELECT sigla_estado, regiao, count(*) AS n, {whole('km')} AS km FROM {F_E} GROUP BY sigla_estado, regiao"
 )
 ORACLE["star_join_veiculo"] = over_star(
-    f"SELECT id_veiculo, marca, status, count(*) AS n, {whole('km')} AS km FROM {KNOWN} GROUP BY id_veiculo, marca, status"
+    f"SELECT id_veiculo, marca, status, count(*) AS n, {whole('km')} AS km FROM {F_V} GROUP BY id_veiculo, marca, status"
 )
 for _name, _expr in {
     "derive_custo_total": ("custo_total", "CAST(total AS DOUBLE) / 100e0"),
@@ -507,14 +542,17 @@ for _name, _expr in {
     ORACLE[_name] = over_star(
         f"SELECT k AS sk_veiculo, sk_tempo, CAST(km AS INTEGER) AS km_rodado, {_expr[1]} AS {_expr[0]} FROM f"
     )
+TOTAL_COST = "CAST(sum(total) AS DOUBLE) / 100e0"
 ORACLE["view_registry"] = over_star(f"""
-SELECT 'vw_resumo_mensal' AS visao, count(*) AS n FROM (SELECT DISTINCT ano, mes FROM f)
-UNION ALL SELECT 'vw_kpi_estado', count(DISTINCT uf) FROM f
-UNION ALL SELECT 'vw_kpi_tipo_veiculo', count(*) FROM (SELECT DISTINCT tipo_veiculo, combustivel FROM {F_V})
-UNION ALL SELECT 'vw_veiculos_alto_custo', count(*) FROM ({HIGH_COST})
-UNION ALL SELECT 'vw_impacto_combustivel', count(*) FROM (SELECT DISTINCT ano, mes, uf, tipo_veiculo FROM {F_V})
-UNION ALL SELECT 'vw_eficiencia_idade', count(DISTINCT {band(ref.AGE_BANDS, ref.AGE_BAND_ABOVE)}) FROM f
-UNION ALL SELECT 'vw_ranking_margem', count(*) FROM (SELECT DISTINCT k, uf FROM f)""")
+SELECT 'vw_resumo_mensal' AS visao, count(DISTINCT sk_tempo) AS n, {TOTAL_COST} AS soma FROM f
+UNION ALL SELECT 'vw_kpi_estado', count(DISTINCT uf), {TOTAL_COST} FROM f
+UNION ALL SELECT 'vw_kpi_tipo_veiculo', count(DISTINCT tipo_veiculo || combustivel), {TOTAL_COST} FROM {F_V}
+UNION ALL SELECT 'vw_veiculos_alto_custo', count(*), round(sum(custo_total_periodo), 2) FROM ({HIGH_COST})
+UNION ALL SELECT 'vw_impacto_combustivel', count(*), sum(t) / 100e0 FROM (
+  SELECT CAST(sum(total) AS DOUBLE) AS t FROM {F_V} GROUP BY sk_tempo, uf, tipo_veiculo)
+UNION ALL SELECT 'vw_eficiencia_idade', count(*), CAST(sum(c) AS DOUBLE) FROM (
+  SELECT count(DISTINCT k) AS c FROM f GROUP BY {band(ref.AGE_BANDS, ref.AGE_BAND_ABOVE)})
+UNION ALL SELECT 'vw_ranking_margem', count(*), sum(t) / 100e0 FROM (SELECT CAST(sum(total) AS DOUBLE) AS t FROM f GROUP BY k, uf)""")
 NOT_NULL = [
     ("dim_tempo", ["sk_tempo", "ano", "mes", "trimestre", "semestre", "nome_mes"]),
     ("dim_estado", ["sk_estado", "sigla_estado", "regiao"]),
@@ -530,6 +568,8 @@ ORACLE["dq_constraints"] = over_star("\nUNION ALL\n".join(
         "SELECT 'fato_frota', 'fk sk_veiculo', count(*) FROM f LEFT JOIN v ON k = sk AND ano_fabricacao >= 1983 WHERE sk IS NULL",
         "SELECT 'fato_frota', 'fk sk_estado', CAST(0 AS BIGINT)",
         "SELECT 'fato_frota', 'fk sk_tempo', CAST(0 AS BIGINT)",
+        "SELECT 'fato_frota', 'pk sk_fato_frota', count(*) FROM"
+        " (SELECT sk_tempo FROM f WHERE viagens = 56 GROUP BY sk_tempo HAVING count(*) > 1)",
     ]
     + [f"SELECT '{t}', 'not null {c}', CAST(0 AS BIGINT)" for t, cols in NOT_NULL for c in cols]
 ))
@@ -547,8 +587,7 @@ raw AS (
               ELSE strftime(l_shipdate, '%d/%m/%Y') END AS texto_data,
          {half_up('CAST(floor(l_extendedprice * 100 + 0.5e0) AS BIGINT)', 'CAST(floor(l_quantity) AS BIGINT)')} AS preco,
          floor(l_tax * 100 + 0.5e0) AS t, l_linenumber > 5 AS sem_compra
-  FROM lineitem JOIN state ON uf = {STATE.format(k='l_suppkey')}
-  WHERE l_shipdate < TIMESTAMP '2000-01-01'),
+  FROM lineitem JOIN state ON uf = {STATE.format(k='l_suppkey')}),
 cells AS (
   SELECT regiao, estado, municipio, produto, texto_data,
          CASE WHEN t = 8 THEN 'abc' WHEN t = 7 THEN 'nan' END AS venda_ruim,
@@ -658,7 +697,7 @@ WIDE = f"SELECT estado, periodo AS ano, {indicator_pivot()} FROM irow GROUP BY e
 ORACLE["std_indicator_wide"] = over_indicators(WIDE)
 ORACLE["std_indicator_wide_national"] = over_indicators(f"SELECT periodo, {indicator_pivot()} FROM irow GROUP BY periodo")
 JSON_VALUES = """SELECT indicador, periodo,
-       CASE WHEN sum(valor) <= 400000000 THEN CAST(sum(valor) AS DOUBLE) / 100e0 END AS valor,
+       CASE WHEN CAST(periodo AS INTEGER) % 5 <> length(estado) % 5 THEN CAST(sum(valor) AS DOUBLE) / 100e0 END AS valor,
        lower(estado) AS {p}_id, estado AS {p}_nome FROM irow GROUP BY indicador, estado, periodo"""
 ORACLE["src_json_indicator"] = over_indicators(JSON_VALUES.format(p="localidade"))
 ORACLE["src_json_indicator_uf"] = over_indicators(JSON_VALUES.format(p="uf"))
@@ -708,14 +747,16 @@ ORACLE["src_csv_scan"] = over_fleet(
 )
 ORACLE["src_latest_snapshot"] = over_fleet("SELECT ano, count(*) AS n FROM reg GROUP BY ano")
 ORACLE["src_staging_pick"] = (
-    "SELECT 'frota_enriquecida' AS tabela, count(*) AS n FROM lineitem UNION ALL SELECT 'veiculos_clean', count(*) FROM supplier"
+    "SELECT 'frota_enriquecida' AS tabela, count(*) AS n, CAST(sum((CAST(floor(l_quantity) AS BIGINT) - 1) * 100) AS BIGINT) AS soma"
+    " FROM lineitem UNION ALL SELECT 'veiculos_clean', count(*), CAST(sum((s_suppkey % 500) * 700) AS BIGINT) FROM supplier"
 )
-ORACLE["sink_staging"] = f"""WITH {RAW_PRICES}, {MONTHLY}, {INDICATOR_ROWS}, {FLEET_ROWS}
-SELECT 'anp_mensal' AS tabela, count(*) AS n FROM (SELECT DISTINCT estado, ano, mes FROM monthly)
-UNION ALL SELECT 'ibge_wide', count(*) FROM (SELECT DISTINCT estado, periodo FROM irow)
-UNION ALL SELECT 'denatran_resumo', count(*) FROM (SELECT DISTINCT estado, ano FROM ok)
-UNION ALL SELECT 'veiculos_clean', count(*) FROM supplier
-UNION ALL SELECT 'frota_enriquecida', count(*) FROM lineitem"""
+ORACLE["sink_staging"] = f"""WITH {STAR}, {RAW_PRICES}, {MONTHLY}, {INDICATOR_ROWS}, {FLEET_ROWS}
+SELECT 'anp_mensal' AS tabela, count(DISTINCT (estado, ano, mes)) AS n,
+       round(CAST(sum(medio) FILTER (produto = 'DIESEL') AS DOUBLE) / 100e0, 2) AS soma FROM monthly
+UNION ALL SELECT 'ibge_wide', count(*), round(sum("1-URGENT"), 2) FROM ({WIDE})
+UNION ALL SELECT 'denatran_resumo', count(*), round(sum(frota_total), 2) FROM ({SUMMARY})
+UNION ALL SELECT 'veiculos_clean', count(*), CAST(sum(km_atual) AS DOUBLE) FROM v
+UNION ALL SELECT 'frota_enriquecida', count(*), round(CAST(sum(rec) AS DOUBLE) / 100e0, 2) FROM f"""
 
 # --- vehicles, operations, enrichment -----------------------------------------------
 
@@ -749,13 +790,14 @@ SELECT id_veiculo AS veiculo_id, tipo_veiculo, sigla_estado AS estado, ano, mes,
        CAST(viagens AS INTEGER) AS viagens_realizadas, CAST(disp AS DOUBLE) / 10e0 AS disponibilidade_pct FROM ops"""
 ORACLE["fact_key_lookup"] = f"""WITH {STAR}, {OPS}
 SELECT k AS sk_veiculo, uf AS sk_estado, sk_tempo, count(*) AS n, {whole('km')} AS km
-FROM ops WHERE ano_fabricacao >= 1983 GROUP BY k, uf, sk_tempo"""
+FROM ops GROUP BY k, uf, sk_tempo"""
 ORACLE["enrich_vehicle"] = f"""WITH {STAR}, {OPS}
-SELECT CASE WHEN ano_fabricacao >= 1983 THEN marca ELSE '?' END AS marca,
-       CASE WHEN ano_fabricacao >= 1983 THEN status ELSE '?' END AS status, ano, count(*) AS n, {whole('km')} AS km,
-       CAST(sum(CASE WHEN ano_fabricacao >= 1983 THEN carga END) AS DOUBLE) AS capacidade FROM ops GROUP BY 1, 2, 3"""
+SELECT marca, status, ano, count(*) AS n, {whole('km')} AS km, CAST(sum(carga) AS DOUBLE) AS capacidade
+FROM (SELECT marca, status, ano, km, carga FROM ops
+      UNION ALL SELECT '?', '?', ano, km, NULL FROM ops WHERE viagens = 56) GROUP BY 1, 2, 3"""
 ORACLE["enrich_price"] = f"""WITH {STAR}, {OPS}, {RAW_PRICES}, {MONTHLY},
-wide AS (SELECT estado, ano, mes, {PIVOTED.replace('CAST(', '').replace(' AS DOUBLE) / 100e0', '')} FROM monthly GROUP BY estado, ano, mes)
+wide AS (SELECT estado, ano, mes, {PIVOTED.replace('CAST(', '').replace(' AS DOUBLE) / 100e0', '')} FROM monthly
+         WHERE ano < 2000 GROUP BY estado, ano, mes)
 SELECT sigla_estado AS estado, ops.ano, ops.mes, count(*) AS n, {', '.join(f'{money(c)} AS {c}' for c in PRICE_COLUMNS.values())}
 FROM ops LEFT JOIN wide ON sigla_estado = wide.estado AND ops.ano = wide.ano AND ops.mes = wide.mes
 GROUP BY sigla_estado, ops.ano, ops.mes"""
@@ -890,6 +932,7 @@ ar AS (
 
 
 ORACLE["pred_arima"] = f"WITH {STAR}, {KEYED}, {arima(K2)} SELECT * FROM ar"
+SHORT = KEYED.replace(f"FROM {F_V} GROUP", f"FROM {F_V} WHERE uf % 5 > 0 OR sk_tempo < 199507 GROUP")
 ORACLE["pred_aic"] = f"""WITH {STAR}, {KEYED}, {arima(K2)}
 SELECT {K2}, n, {r('phi', 5)} AS phi, {r('theta', 5)} AS theta,
        CASE WHEN n >= 8 AND abs(phi) < 1 THEN {r('used * ln(sse / used) + 6', 4)} END AS aic FROM hr"""
@@ -910,6 +953,14 @@ LEFT JOIN ma ON one.tipo_veiculo = ma.tipo_veiculo AND one.sk_estado = ma.sk_est
 ORACLE["pred_moving_average"] = f"WITH {STAR}, {KEYED}, {moving_average(6)}"
 ORACLE["pred_moving_average_short"] = f"WITH {STAR}, {KEYED.replace(f'FROM {F_V} GROUP', f'FROM {F_V} WHERE ano = 1995 GROUP')}, {moving_average(18)}"
 
+AVERAGES, AVERAGE_ROWS = moving_average(6).rsplit("\nSELECT", 1)
+AVERAGE_ROWS = f"SELECT{AVERAGE_ROWS}"
+ORACLE["pred_series_forecast"] = f"""WITH {STAR}, {SHORT}, {arima(K2)}, {AVERAGES}, mv AS ({AVERAGE_ROWS})
+SELECT * FROM ar UNION ALL
+SELECT mv.* FROM mv WHERE NOT EXISTS (SELECT 1 FROM ar WHERE ar.tipo_veiculo = mv.tipo_veiculo AND ar.sk_estado = mv.sk_estado)"""
+ORACLE["pred_forecast_counts"] = f"""WITH {STAR}, {SHORT}, n AS (SELECT count(DISTINCT (tipo_veiculo, sk_estado)) AS n FROM m)
+SELECT 'fim' AS tabela, n FROM n UNION ALL SELECT 'previsao', n FROM n"""
+
 LINES = """pos AS (SELECT *, CAST(row_number() OVER (PARTITION BY tipo_veiculo ORDER BY ano, mes) - 1 AS DOUBLE) AS x FROM m),
 line AS (
   SELECT tipo_veiculo, regr_slope(y, x) AS a, regr_intercept(y, x) AS b, arg_max(y, x) AS ultimo, count(*) AS n

@@ -17,7 +17,7 @@ from ..operators import (
     standardize, star, views,
 )
 from ..plans import pipelines
-from ..session import new_work_dir
+from ..session import new_work_dir, stored
 from ..sources import quality, readers, writers
 from . import feeds
 
@@ -83,16 +83,18 @@ def src_staging_pick(spark, sf):
     )
     writers.write_staging({"frota_enriquecida": slim, "veiculos_clean": vehicles}, folder, NEW)
     picked = readers.read_staging(spark, folder)
-    counts = [df.agg(count()).select(F.lit(name).alias("tabela"), "n") for name, df in picked.items()]
-    return reduce(DataFrame.unionByName, counts)
+    sums = {"frota_enriquecida": F.sum("km_rodado"), "veiculos_clean": F.sum("km_atual")}
+    totals = [df.agg(F.lit(name).alias("tabela"), count(), sums[name].alias("soma")) for name, df in picked.items()]
+    return reduce(DataFrame.unionByName, totals)
 
 
 def indicator_payloads(spark: SparkSession, sf: str) -> DataFrame:
     """Service answers built from orders: per indicator one JSON list with a series per state,
-    each a map from year to the sum of values (``...`` where the sum is over four million)."""
+    each a map from year to the sum of values (``...`` for one year in five, another one by state)."""
     cleaned = cleaning.clean_indicators(feeds.raw_indicators(spark, sf))
     yearly = cleaned.groupBy("indicador", "estado", "periodo").agg(F.sum("valor").alias("v"))
-    text = F.when(F.col("v") > 4_000_000, "...").otherwise(F.col("v").cast("decimal(20,2)").cast("string"))
+    gap = F.col("periodo").cast("int") % 5 == F.length("estado") % 5
+    text = F.when(gap, "...").otherwise(F.col("v").cast("decimal(20,2)").cast("string"))
     series = yearly.groupBy("indicador", "estado").agg(
         F.map_from_entries(F.collect_list(F.struct("periodo", text.alias("t")))).alias("serie")
     )
@@ -162,19 +164,25 @@ def sink_staging(spark, sf):
     fleet = cleaning.clean_registered_fleet(feeds.raw_fleet(spark, sf))
     paths = writers.write_staging(
         {
-            "anp_mensal": standardize.prices_wide(standardize.monthly_prices(prices)),
-            "ibge_wide": standardize.indicators_wide(indicators),
+            "anp_mensal": standardize.prices_wide(stored(standardize.monthly_prices(prices), "precos")),
+            "ibge_wide": standardize.indicators_wide(stored(indicators, "indicadores")),
             "denatran_resumo": standardize.fleet_summary(fleet, feeds.SEGMENTS_IN_USE),
             "veiculos_clean": cleaning.clean_vehicles(feeds.raw_vehicles(spark, sf), "_ordem"),
             "frota_enriquecida": feeds.measures(spark, sf),
         },
         folder, NEW,
     )
-    counts = [
-        spark.read.parquet(path).agg(count()).select(F.lit(name).alias("tabela"), "n")
+    sums = {
+        "anp_mensal": F.sum("preco_diesel"), "ibge_wide": F.sum(F.round("`1-URGENT`", 6)),
+        "denatran_resumo": F.sum("frota_total"), "veiculos_clean": F.sum("km_atual"),
+        "frota_enriquecida": F.sum("receita_estimada"),
+    }
+    totals = [
+        spark.read.parquet(path).agg(
+            F.lit(name).alias("tabela"), count(), F.round(sums[name].cast("double"), 2).alias("soma"))
         for name, path in paths.items()
     ]
-    return reduce(DataFrame.unionByName, counts)
+    return reduce(DataFrame.unionByName, totals)
 
 
 @query("sink_star_full_refresh")
@@ -192,9 +200,8 @@ def sink_results(spark, sf):
     rules = pipelines.prescriptive_tables(feeds.load_star(spark, sf))
     tables = {"alertas": rules["alertas"], "vazio": rules["alertas"].limit(0)}
     paths = writers.write_results(tables, folder, NEW, csv=True)
-    found = readers.list_snapshots(spark, folder, "").select(
-        F.regexp_extract("snapshot", r"([a-z]+)_\d{8}$", 1).alias("tabela")
-    )
+    names = [(os.path.basename(path).rsplit("_", 1)[0],) for _, path in readers.list_snapshots(spark, folder, "")]
+    found = spark.createDataFrame(names, "tabela string")
     back = spark.read.schema(rules["alertas"].schema).csv(paths["alertas"], header=True)
     totals = back.agg(F.lit("alertas").alias("tabela"), count(), F.sum("limite").alias("soma_limites"))
     return found.join(totals, "tabela", "left")
@@ -215,9 +222,18 @@ def src_star_wide(spark, sf):
 
 @query("view_registry")
 def view_registry(spark, sf):
-    names = views.register_views(feeds.load_star(spark, sf))
-    counts = [spark.table(v).agg(count()).select(F.lit(v).alias("visao"), "n") for v in names]
-    return reduce(DataFrame.unionByName, counts)
+    """The rows of each view and the sum of one of its columns, over a fact that is derived once."""
+    s = feeds.load_star(spark, sf, "fato_frota", "dim_estado", "dim_veiculo")
+    names = views.register_views(s | {"fato_frota": stored(s["fato_frota"], "fato")})
+    sums = {
+        "vw_resumo_mensal": "total_custo", "vw_kpi_estado": "total_custo", "vw_kpi_tipo_veiculo": "total_custo",
+        "vw_veiculos_alto_custo": "custo_total_periodo", "vw_impacto_combustivel": "total_custo",
+        "vw_eficiencia_idade": "total_veiculos", "vw_ranking_margem": "custo_total",
+    }
+    totals = [
+        spark.table(v).agg(F.lit(v).alias("visao"), count(), F.sum(sums[v]).cast("double").alias("soma")) for v in names
+    ]
+    return reduce(DataFrame.unionByName, totals)
 
 
 @query("ref_upsert")
@@ -234,17 +250,40 @@ def ref_upsert(spark, sf):
     return reference_tables.upsert(table(~recent), table(recent), ["indicador", "estado"])
 
 
+@query("ref_tables")
+def ref_tables(spark, sf):
+    """The reference tables read back from the warehouse, joined to the alerts and decisions of the star."""
+    folder = new_work_dir(spark, "warehouse")
+    ref = {
+        name: spark.read.parquet(writers.write_dimension(df, folder, name))
+        for name, df in reference_tables.reference_rows(spark).items()
+    }
+    kpi_rows = stored(_kpis(spark, sf), "kpis")
+    limits = prescriptive.alerts(kpi_rows).select("kpi", F.col("classificacao").alias("tipo_alerta"), "limite").join(
+        ref["ref_limites_kpi"], ["kpi", "tipo_alerta"])
+    ages = kpi_rows.join(ref["ref_faixa_idade"], F.col("idade_veiculo").between(F.col("idade_min"), F.col("idade_max")))
+    fuels = kpi_rows.join(ref["ref_combustivel"], F.col("combustivel") == F.col("tipo_combustivel"))
+    value = lambda c: F.sum(c).cast("double").alias("soma")
+    return (
+        limits.groupBy(F.concat_ws("/", "kpi", "tipo_alerta", "acao_recomendada").alias("chave")).agg(count(), value("valor_limite"))
+        .unionByName(ages.groupBy(F.concat_ws("/", "faixa", "recomendacao").alias("chave")).agg(count(), value("idade_max")))
+        .unionByName(fuels.groupBy(F.col("tipo_combustivel").alias("chave")).agg(count(), value("emissoes_co2_g_km")))
+    )
+
+
 @query("dq_constraints")
 def dq_constraints(spark, sf):
     """Checks on a star with planted defects: old vehicles missing, states of one region twice,
-    no distance where a vehicle stood still."""
+    no distance where a vehicle stood still, one fact number a month for all operations of 56 trips."""
     s = feeds.load_star(spark, sf)
+    shared = F.when(F.col("viagens_realizadas") == 56, -F.col("sk_tempo")).otherwise(F.col("sk_fato_frota"))
+    fato = star.add_fact_number(s["fato_frota"], blocks=16).withColumn("sk_fato_frota", shared)
     estado = s["dim_estado"]
     damaged = {
         "dim_tempo": s["dim_tempo"],
         "dim_estado": estado.unionByName(estado.filter("regiao = 'ASIA'")),
         "dim_veiculo": s["dim_veiculo"].filter("ano_fabricacao >= 1983"),
-        "fato_frota": s["fato_frota"].withColumn("km_rodado", F.nullif("km_rodado", F.lit(0))),
+        "fato_frota": fato.withColumn("km_rodado", F.nullif("km_rodado", F.lit(0))),
     }
     return quality.constraint_report(damaged)
 
@@ -396,7 +435,7 @@ def std_price_pivot(spark, sf):
 
 @query("std_price_names")
 def std_price_names(spark, sf):
-    wide = standardize.prices_wide(standardize.monthly_prices(_prices(spark, sf)))
+    wide = standardize.prices_wide(stored(standardize.monthly_prices(_prices(spark, sf)), "precos"))
     names = [c for c in wide.columns if c.startswith("preco_")]
     return wide.unpivot(["estado", "ano", "mes"], names, "coluna", "preco").groupBy("coluna").agg(
         F.count("preco").alias("n"), F.sum("preco").alias("soma")
@@ -444,8 +483,9 @@ def _vehicles(spark, sf):
 
 @query("enrich_vehicle")
 def enrich_vehicle(spark, sf):
-    known = _vehicles(spark, sf).filter("ano_fabricacao >= 1983")
-    return enrich.add_vehicle(_operations(spark, sf), known).groupBy(
+    unknown = F.concat(F.lit("X"), "veiculo_id")
+    rows = feeds.with_orphans(_operations(spark, sf), "veiculo_id", unknown)
+    return enrich.add_vehicle(rows, _vehicles(spark, sf)).groupBy(
         F.coalesce("marca", F.lit("?")).alias("marca"), F.coalesce("status", F.lit("?")).alias("status"), "ano"
     ).agg(count(), F.sum("km_rodado").alias("km"), F.sum("capacidade_carga_t").alias("capacidade"))
 
@@ -454,7 +494,8 @@ def enrich_vehicle(spark, sf):
 def enrich_price(spark, sf):
     wide = _prices_wide(spark, sf)
     prices = [c for c in wide.columns if c.startswith("preco_")]
-    rows = enrich.add_prices(_operations(spark, sf), wide)
+    # later operations find no price
+    rows = enrich.add_prices(_operations(spark, sf), wide.filter("ano < 2000"))
     return rows.groupBy("estado", "ano", "mes").agg(count(), *(F.sum(c).alias(c) for c in prices))
 
 
@@ -508,8 +549,8 @@ def star_join_estado(spark, sf):
 @query("star_join_veiculo")
 def star_join_veiculo(spark, sf):
     s = feeds.load_star(spark, sf, "fato_frota", "dim_veiculo")
-    known = s["dim_veiculo"].filter("ano_fabricacao >= 1983")
-    return s["fato_frota"].join(known, "sk_veiculo").groupBy("id_veiculo", "marca", "status").agg(
+    rows = feeds.with_orphans(s["fato_frota"], "sk_veiculo", -1 - F.col("sk_veiculo"))
+    return rows.join(s["dim_veiculo"], "sk_veiculo").groupBy("id_veiculo", "marca", "status").agg(
         count(), F.sum("km_rodado").alias("km")
     )
 
@@ -552,7 +593,10 @@ def dim_tempo(spark, sf):
 
 @query("dim_estado")
 def dim_estado(spark, sf):
-    return star.dim_estado(_operations(spark, sf))
+    """States by the codes of the federal units, so that every region is met."""
+    number = F.col("sk_estado")
+    codes = feeds.measures(spark, sf).select(F.get(F.array(*(F.lit(u) for u in feeds.UFS)), number).alias("estado"))
+    return star.dim_estado(codes)
 
 
 @query("dim_veiculo")
@@ -565,8 +609,8 @@ def dim_veiculo(spark, sf):
 @query("fact_key_lookup")
 def fact_key_lookup(spark, sf):
     s = feeds.load_star(spark, sf)
-    known = s["dim_veiculo"].filter("ano_fabricacao >= 1983")
-    keyed = star.add_fact_keys(_operations(spark, sf), s["dim_tempo"], s["dim_estado"], known)
+    rows = feeds.with_orphans(_operations(spark, sf), "veiculo_id", F.concat(F.lit("X"), "veiculo_id"))
+    keyed = star.add_fact_keys(rows, s["dim_tempo"], s["dim_estado"], s["dim_veiculo"])
     return keyed.groupBy(*star.FACT_KEYS).agg(count(), F.sum("km_rodado").alias("km"))
 
 
@@ -593,35 +637,35 @@ def star_pipeline(spark, sf):
 
 # --- SQL analytics ----------------------------------------------------------------
 
-T, E, V = "dim_tempo", "dim_estado", "dim_veiculo"
+E, V = "dim_estado", "dim_veiculo"
 for _name, (_build, _dims) in {
-    "vw_resumo_mensal": (views.vw_resumo_mensal, [T]),
+    "vw_resumo_mensal": (views.vw_resumo_mensal, []),
     "vw_kpi_estado": (views.vw_kpi_estado, [E]),
     "vw_kpi_tipo_veiculo": (views.vw_kpi_tipo_veiculo, [V]),
     "vw_veiculos_alto_custo": (views.vw_veiculos_alto_custo, [V, E]),
-    "vw_impacto_combustivel": (views.vw_impacto_combustivel, [T, E, V]),
+    "vw_impacto_combustivel": (views.vw_impacto_combustivel, [E, V]),
     "vw_eficiencia_idade": (views.vw_eficiencia_idade, []),
     "vw_ranking_margem": (views.vw_ranking_margem, [V, E]),
-    "kpi_custo_por_km": (kpis.kpi_custo_por_km, [V, E, T]),
+    "kpi_custo_por_km": (kpis.kpi_custo_por_km, [V, E]),
     "kpi_consumo_medio": (kpis.kpi_consumo_medio, [V]),
-    "kpi_utilizacao": (kpis.kpi_utilizacao, [E, T]),
-    "kpi_composicao_custos": (kpis.kpi_composicao_custos, [T]),
+    "kpi_utilizacao": (kpis.kpi_utilizacao, [E]),
+    "kpi_composicao_custos": (kpis.kpi_composicao_custos, []),
     "kpi_rentabilidade": (kpis.kpi_rentabilidade, [V]),
-    "diag_impacto_preco": (diagnostics.price_impact, [V, E, T]),
+    "diag_impacto_preco": (diagnostics.price_impact, [V, E]),
     "diag_ineficiencia": (diagnostics.inefficient_vehicles, [V, E]),
     "diag_causa_raiz": (diagnostics.root_cause, [V]),
     "diag_idade_manutencao": (diagnostics.age_and_maintenance, []),
     "diag_anomalia_consumo": (diagnostics.consumption_anomalies, [V, E]),
     "presc_vehicle_kpis": (prescriptive.vehicle_kpis, [V, E]),
     "dash_cards": (marts.cards, []),
-    "dash_g1": (marts.monthly_cost_by_type, [V, T]),
-    "dash_g2": (marts.revenue_and_cost_by_year, [T]),
+    "dash_g1": (marts.monthly_cost_by_type, [V]),
+    "dash_g2": (marts.revenue_and_cost_by_year, []),
     "dash_g3": (marts.cost_by_region, [E]),
     "dash_g4": (marts.cost_parts_by_type, [V]),
     "dash_g5": (marts.cost_by_type, [V]),
     "dash_g6": (marts.consumption_by_type, [V]),
     "dash_g9": (marts.cost_by_age_band, []),
-    "dash_g10": (marts.maintenance_and_fuel_by_year, [T]),
+    "dash_g10": (marts.maintenance_and_fuel_by_year, []),
     "dash_g12": (marts.availability_by_type, [V]),
 }.items():
     def _star_query(spark, sf, _b=_build, _d=_dims):
@@ -632,18 +676,15 @@ for _name, (_build, _dims) in {
 
 @query("diag_impacto_preco_uf")
 def diag_impacto_preco_uf(spark, sf):
-    s = feeds.load_star(spark, sf, "fato_frota", V, E, T)
+    s = feeds.load_star(spark, sf, "fato_frota", V, E)
     return diagnostics.price_impact(*s.values(), by_state=True)
 
 
 # --- predictive -------------------------------------------------------------------
 
-def _rows(spark, sf):
-    return pipelines.forecast_rows(*feeds.load_star(spark, sf, "fato_frota", T, V).values())
-
-
-def _series(spark, sf):
-    return forecast.monthly_series(_rows(spark, sf), SERIES)
+def _series(spark, sf, keys=SERIES, test="true"):
+    s = feeds.load_star(spark, sf, "fato_frota", V)
+    return forecast.monthly_series(s["fato_frota"].filter(test), keys, s[V])
 
 
 def _digits(df: DataFrame, digits: dict[str, int]) -> DataFrame:
@@ -657,7 +698,7 @@ def pred_monthly_series(spark, sf):
 
 @query("pred_monthly_series_total")
 def pred_monthly_series_total(spark, sf):
-    return _digits(forecast.monthly_series(_rows(spark, sf)), {"custo_por_km": 6})
+    return _digits(_series(spark, sf, []), {"custo_por_km": 6})
 
 
 @query("pred_linreg_fit")
@@ -707,13 +748,30 @@ def pred_moving_average(spark, sf):
 @query("pred_moving_average_short")
 def pred_moving_average_short(spark, sf):
     """Series of one year asked for 18 months: the mean of the series throughout."""
-    first_year = forecast.monthly_series(_rows(spark, sf).filter("ano = 1995"), SERIES)
+    first_year = _series(spark, sf, test="sk_tempo BETWEEN 199501 AND 199512")
     return forecast.moving_average(first_year, SERIES, periods=18)
 
 
 @query("pred_trend_by_type")
 def pred_trend_by_type(spark, sf):
-    return forecast.trend(forecast.monthly_series(_rows(spark, sf), ["tipo_veiculo"]))
+    return forecast.trend(_series(spark, sf, ["tipo_veiculo"]))
+
+
+@query("pred_series_forecast")
+def pred_series_forecast(spark, sf):
+    """Every series has a forecast, also those of one state in five, which end after half a year."""
+    kept = "sk_estado % 5 > 0 OR sk_tempo < 199507"
+    return forecast.forecast_series(_series(spark, sf, test=kept), SERIES)
+
+
+@query("pred_forecast_counts")
+def pred_forecast_counts(spark, sf):
+    """As many series with a last period as with a forecast."""
+    kept = "sk_estado % 5 > 0 OR sk_tempo < 199507"
+    series = _series(spark, sf, test=kept)
+    ends = forecast.last_period(series, SERIES).agg(F.lit("fim").alias("tabela"), count())
+    return ends.unionByName(
+        forecast.forecast_series(series, SERIES).filter("periodo = 1").agg(F.lit("previsao").alias("tabela"), count()))
 
 
 @query("pred_pipeline")
@@ -727,7 +785,8 @@ def pred_pipeline(spark, sf):
         F.lit("regressao").alias("tabela"), F.concat_ws("/", "mes", "ano").alias("chave"),
         F.col("custo_por_km_previsto").alias("valor"),
     )
-    arima = tables["forecast_arima_custo_km"].select(
+    fitted = [tables[n] for n in ("forecast_arima_custo_km", "forecast_media_movel") if n in tables]
+    arima = reduce(DataFrame.unionByName, fitted).select(
         F.lit("serie").alias("tabela"), F.col("periodo").cast("string").alias("chave"),
         F.col("valor_previsto").alias("valor"),
     )
@@ -797,8 +856,10 @@ def presc_pipeline(spark, sf):
     rules = pipelines.prescriptive_tables(s)
     folder = new_work_dir(spark, "prescriptive")
     paths = writers.write_results({k: rules[k] for k in ("alertas", "decisoes")}, folder, NEW)
-    alert_rows = spark.read.parquet(paths["alertas"]).groupBy(F.col("classificacao").alias("classe")).agg(count())
-    decided = spark.read.parquet(paths["decisoes"]).groupBy(F.col("decisao").alias("classe")).agg(count())
+    alert_rows = spark.read.parquet(paths["alertas"]).groupBy(F.col("classificacao").alias("classe")).agg(
+        count(), F.sum("limite").cast("double").alias("soma"))
+    decided = spark.read.parquet(paths["decisoes"]).groupBy(F.col("decisao").alias("classe")).agg(
+        count(), F.sum("num_alertas").cast("double").alias("soma"))
     return alert_rows.unionByName(decided)
 
 
@@ -847,15 +908,14 @@ def dash_g14(spark, sf):
 
 @query("dash_g15")
 def dash_g15(spark, sf):
-    s = feeds.load_star(spark, sf, "fato_frota", T)
-    total = forecast.monthly_series(_rows(spark, sf))
-    future = forecast.forecast_regression(forecast.fit_regression(total))
-    return marts.history_and_forecast(views.vw_resumo_mensal(*s.values()), future)
+    fato = feeds.fato(spark, sf)
+    future = forecast.forecast_regression(forecast.fit_regression(forecast.monthly_series(fato)))
+    return marts.history_and_forecast(views.vw_resumo_mensal(fato), future)
 
 
 @query("dash_g16")
 def dash_g16(spark, sf):
-    return marts.trend_by_type(forecast.trend(forecast.monthly_series(_rows(spark, sf), ["tipo_veiculo"])))
+    return marts.trend_by_type(forecast.trend(_series(spark, sf, ["tipo_veiculo"])))
 
 
 @query("dash_tbl1")

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import reference_data as ref
 from ..functions.columns import strip, to_date_br, to_number, upper_strip
 
-MONEY = "decimal(12,2)"
-PRICE = "decimal(12,4)"
+# Wider than the star's types: a valid number is kept here, and one that a table type cannot hold fails
+# when it is loaded there.
+MONEY = "decimal(18,2)"
+PRICE = "decimal(18,4)"
 COST_COLUMNS = [
     "custo_combustivel", "custo_manutencao", "custo_seguro", "custo_ipva", "custo_depreciacao",
     "receita_estimada",
@@ -30,16 +32,17 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
 def keep_first_by_key(df: DataFrame, keys: Sequence[str], ordinal: str) -> DataFrame:
     """Keep the row of each key that comes first by ``ordinal``.
 
-    ``min_by`` folds the copies of a key before the shuffle, so a key that holds a large part
-    of the table reaches its reducer as one row per task (a ranking window would sort them all).
+    Spark limits the ranking window to one row per key in every task before the shuffle, so a key
+    that holds a large part of the table reaches its reducer as one row per task. Each task sorts its
+    rows by key and ordinal for that (an aggregate by ``min_by`` would sort them too, and carry
+    the rows as structs).
     """
-    rest = [c for c in df.columns if c not in keys]
-    first = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.col(ordinal)).alias("_first"))
-    return first.select(*keys, "_first.*").select(*df.columns)
+    by_key = Window.partitionBy(*keys).orderBy(ordinal)
+    return df.withColumn("_rank", F.row_number().over(by_key)).filter("_rank = 1").drop("_rank")
 
 
 def parse_numbers(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Text to numbers, NULL where the text is none."""
+    """Text to numbers, NULL where the text is none; a number that does not fit is an error."""
     return df.withColumns({c: to_number(c, t) for c, t in types.items() if c in df.columns})
 
 
@@ -113,7 +116,7 @@ def clean_vehicles(df: DataFrame, ordinal: str) -> DataFrame:
         .drop(ordinal)
         .transform(upper_text, ["estado"])
         .transform(strip_text, ["tipo_veiculo", "marca", "combustivel"])
-        .transform(parse_numbers, {"km_atual": "int", "consumo_medio_km_l": "decimal(6,2)"})
+        .transform(parse_numbers, {"km_atual": "int", "consumo_medio_km_l": "decimal(18,2)"})
     )
 
 

@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import reference_data as ref
 from ..functions.columns import (
-    RATIO_DIGITS, exact_mean, mean, merged_exact, merged_mean, partials, per, percent, ratio, total,
-    upper_bound_band,
+    RATIO_DIGITS, exact_mean, mean, merged_exact, merged_mean, partials, per, percent,
+    rounded_quotient, upper_bound_band,
 )
-from .views import per_km
+from .star import add_months
+from .views import by_month_and_type, per_km
 
 
 def _dec(text: str) -> Column:
@@ -17,8 +18,7 @@ def _dec(text: str) -> Column:
 
 
 def price_impact(
-    fato: DataFrame, dim_veiculo: DataFrame, dim_estado: DataFrame, dim_tempo: DataFrame,
-    by_state: bool = False,
+    fato: DataFrame, dim_veiculo: DataFrame, dim_estado: DataFrame, by_state: bool = False,
 ) -> DataFrame:
     """Fuel price, its share of cost and the change against the previous row of the type.
 
@@ -26,28 +26,33 @@ def price_impact(
     previous row definite; ``by_state`` compares each state with its own previous month instead.
     The window runs on the aggregate (states x months per type).
     """
-    types = dim_veiculo.select("sk_veiculo", "tipo_veiculo")
-    rows = fato.join(types, "sk_veiculo").groupBy("sk_tempo", "sk_estado", "tipo_veiculo").agg(
-        total("preco_combustivel").cast("decimal(16,2)").alias("s"),
-        F.count("preco_combustivel").cast("decimal(10,0)").alias("n"),
-        mean("custo_por_km", 4).alias("custo_por_km"),
-        mean("custo_combustivel", 2).alias("custo_combustivel"),
-        F.round(exact_mean(per("custo_combustivel", "custo_total")) * 100, 1).alias("impacto_pct"),
+    rows = by_month_and_type(
+        fato, dim_veiculo, ["sk_tempo", "sk_estado"],
+        partials(
+            means=["preco_combustivel", "custo_por_km", "custo_combustivel"],
+            ratios={"impacto": per("custo_combustivel", "custo_total")},
+        ),
+    ).agg(
+        F.sum("s_preco_combustivel").cast("decimal(20,0)").alias("s"),  # in cents
+        F.sum("n_preco_combustivel").cast("decimal(18,0)").alias("n"),
+        merged_mean("custo_por_km", 4).alias("custo_por_km"),
+        merged_mean("custo_combustivel", 2).alias("custo_combustivel"),
+        F.round(merged_exact("impacto", RATIO_DIGITS) * 100, 1).alias("impacto_pct"),
     )
     group = ["tipo_veiculo", "sigla_estado"] if by_state else ["tipo_veiculo"]
     before = Window.partitionBy(*group).orderBy("ano", "mes", "sigla_estado")
     s, n, s0, n0 = (F.col(c) for c in ["s", "n", "s0", "n0"])
     return (
         rows.join(dim_estado.select("sk_estado", "sigla_estado"), "sk_estado")
-        .join(dim_tempo.select("sk_tempo", "ano", "mes"), "sk_tempo")
+        .transform(add_months, "ano", "mes")
         .withColumns({"s0": F.lag("s").over(before), "n0": F.lag("n").over(before)})
         .select(
             "ano", "mes", "tipo_veiculo", "sigla_estado",
-            F.round(ratio(s, n), 2).alias("preco_combustivel"), "custo_por_km", "custo_combustivel",
+            rounded_quotient(s, n, 2).alias("preco_combustivel"), "custo_por_km", "custo_combustivel",
             "impacto_pct",
-            F.round(ratio(s0, n0), 2).alias("preco_anterior"),
+            rounded_quotient(s0, n0, 2).alias("preco_anterior"),
             # the change of the mean, over a common divisor so the quotient is taken once
-            percent(s * n0 - s0 * n, s0 * n, 1).alias("variacao_preco_pct"),
+            rounded_quotient((s * n0 - s0 * n) * 1000, s0 * n, 1).alias("variacao_preco_pct"),
         )
     )
 

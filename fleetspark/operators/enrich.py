@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import decimal_mean, ratio_or_zero, year_of_period
-from ..functions.joins import join_measured
 
 VEHICLE_COLUMNS = [
     "veiculo_id", "marca", "ano_fabricacao", "km_atual", "status", "consumo_medio_km_l",
@@ -59,7 +58,7 @@ def add_vehicle(operations: DataFrame, vehicles: DataFrame) -> DataFrame:
 
 
 def add_prices(operations: DataFrame, prices: DataFrame) -> DataFrame:
-    return join_measured(operations, prices, ["estado", "ano", "mes"])
+    return operations.join(prices, ["estado", "ano", "mes"], "left")
 
 
 def add_indicators(operations: DataFrame, indicators: DataFrame) -> DataFrame:
@@ -75,12 +74,12 @@ def add_indicators(operations: DataFrame, indicators: DataFrame) -> DataFrame:
     yearly = indicators.groupBy("estado", year_of_period(period).alias("ano")).agg(
         *(decimal_mean(f"`{c}`").alias(c) for c in values)
     )
-    return join_measured(operations, yearly, ["estado", "ano"])
+    return operations.join(yearly, ["estado", "ano"], "left")
 
 
 def add_registered_fleet(operations: DataFrame, fleet: DataFrame) -> DataFrame:
     slim = fleet.select("estado", "ano", "frota_total", "frota_operacional")
-    return join_measured(operations, slim, ["estado", "ano"])
+    return operations.join(slim, ["estado", "ano"], "left")
 
 
 def enrich(

@@ -8,12 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from ..functions.columns import merged_exact, merged_sum, partials, round_floor
+from .star import add_months
 
 MONTH = ["ano", "mes"]
 ONE_SERIES = "serie"
@@ -32,13 +30,27 @@ def _with_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]
 
 # --- monthly series ---------------------------------------------------------------
 
-def monthly_base(rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def monthly_base(rows: DataFrame, keys: Sequence[str] = (), dim_veiculo: DataFrame | None = None) -> DataFrame:
     """Sums and counts per series and month: the only step that reads the fact. Coarser series
-    come from it with ``roll_up``."""
+    come from it with ``roll_up``.
+
+    ``rows`` have ``ano`` and ``mes``, or ``sk_tempo``. With the key ``tipo_veiculo`` the vehicle table
+    gives the type; it joins what the fact folds to per vehicle and month.
+    """
     rows, keys = _with_keys(rows, keys)
-    return rows.groupBy(*keys, *MONTH).agg(
-        *partials(["custo_combustivel", "custo_manutencao", "km_rodado"], [TARGET])
-    )
+    month = MONTH if "ano" in rows.columns else ["sk_tempo"]
+    sums = partials(["custo_combustivel", "custo_manutencao", "km_rodado"], [TARGET])
+    if "tipo_veiculo" in keys and dim_veiculo is not None:
+        own = [k for k in keys if k != "tipo_veiculo"]
+        folded = rows.groupBy("sk_veiculo", *own, *month).agg(*sums)
+        parts = [c for c in folded.columns if c[:2] in ("s_", "n_")]
+        typed = folded.join(dim_veiculo.select("sk_veiculo", "tipo_veiculo"), "sk_veiculo")
+        base = typed.groupBy(*keys, *month).agg(
+            *(F.sum(F.col(c).cast("decimal(28,0)")).cast("decimal(28,0)").alias(c) for c in parts)
+        )
+    else:
+        base = rows.groupBy(*keys, *month).agg(*sums)
+    return base if month == MONTH else base.transform(add_months, *MONTH).drop("sk_tempo")
 
 
 def roll_up(base: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -55,9 +67,9 @@ def roll_up(base: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return monthly.withColumn("periodo_idx", ((F.col("ano") - first_year) * 12 + F.col("mes")).cast("int"))
 
 
-def monthly_series(rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def monthly_series(rows: DataFrame, keys: Sequence[str] = (), dim_veiculo: DataFrame | None = None) -> DataFrame:
     """The monthly series of fact rows."""
-    return roll_up(monthly_base(rows, keys), keys)
+    return roll_up(monthly_base(rows, keys, dim_veiculo), keys)
 
 
 def last_period(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -69,51 +81,66 @@ def last_period(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 # --- linear regression ------------------------------------------------------------
 
-FIT_FIELDS = [
-    ("intercepto", DoubleType()), ("coef_periodo_idx", DoubleType()),
-    ("coef_km_rodado", DoubleType()), ("coef_custo_combustivel", DoubleType()),
-    ("r2", DoubleType()), ("mae", DoubleType()), ("n", LongType()),
-    ("ano_base", LongType()), ("ultimo_ano", LongType()), ("ultimo_mes", LongType()),
-]
+# a regressor that the ones before it explain up to this share of its variation has coefficient 0
+DEPENDENT = 1e-10
 
 
 def fit_regression(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """One row per series: coefficients, in-sample R² (0 for a constant target), mean absolute
-    error and the last month. Spark spreads the series; numpy solves one of them per call."""
+    error and the last month.
+
+    Least squares on centred values: the regressors are made orthogonal one after the other
+    (month, distance, fuel cost), each against the ones before it. One that is constant, or that depends
+    on the ones before it, gets the coefficient 0. All sums are windows over one series, so one
+    shuffle serves means, sums and errors. Months with a missing value teach nothing.
+    """
     series, keys = _with_keys(series, keys)
-    schema = StructType(
-        [series.schema[k] for k in keys] + [StructField(n, t) for n, t in FIT_FIELDS]
+    whole = Window.partitionBy(*keys)
+    names = dict(zip("pqzw", [*REGRESSORS, TARGET]))
+    points = series.select(
+        *keys, *MONTH, *(F.col(c).cast("double").alias(x) for x, c in names.items())
+    ).dropna(subset=list(names))
+    points = points.withColumns({f"m{x}": F.avg(x).over(whole) for x in names} | {"n": F.count(F.lit(1)).over(whole)})
+    points = points.withColumns({f"c{x}": F.col(x) - F.col(f"m{x}") for x in names})
+    pairs = ["pp", "pq", "pz", "pw", "qq", "qz", "qw", "zz", "zw", "ww"]
+    points = points.withColumns({xy: F.sum(F.col(f"c{xy[0]}") * F.col(f"c{xy[1]}")).over(whole) for xy in pairs})
+    pp, pq, pz, pw, qq, qz, qw, zz, zw, ww = (F.col(xy) for xy in pairs)
+
+    def varies(left: Column, of: Column, mean: str) -> Column:
+        """Whether a variation is more than what rounding leaves of ``of`` or of a constant."""
+        return (left > F.lit(DEPENDENT) * of) & (left > F.lit(DEPENDENT**2) * F.col("n") * F.col(mean) * F.col(mean))
+
+    def over(num: Column, den: str, able: str) -> Column:
+        return F.when(F.col(able), num / F.col(den)).otherwise(0.0)
+
+    steps = [
+        {"up": varies(pp, pp, "mp")},
+        {"qp": over(pq, "pp", "up"), "zp": over(pz, "pp", "up"), "wp": over(pw, "pp", "up")},
+        {"q1": qq - F.col("qp") * pq, "qz1": qz - F.col("qp") * pz, "qw1": qw - F.col("qp") * pw},
+        {"uq": varies(F.col("q1"), qq, "mq")},
+        {"zq": over(F.col("qz1"), "q1", "uq"), "wq": over(F.col("qw1"), "q1", "uq")},
+        {"z1": zz - F.col("zp") * pz - F.col("zq") * F.col("qz1"), "zw1": zw - F.col("zp") * pw - F.col("zq") * F.col("qw1")},
+        {"uz": varies(F.col("z1"), zz, "mz")},
+        {"bz": over(F.col("zw1"), "z1", "uz")},
+        {"bq": F.col("wq") - F.col("bz") * F.col("zq")},
+        {"bp": F.col("wp") - F.col("bz") * F.col("zp") - F.col("bq") * F.col("qp")},
+        {"erro": F.col("cw") - F.col("bp") * F.col("cp") - F.col("bq") * F.col("cq") - F.col("bz") * F.col("cz")},
+    ]
+    for step in steps:
+        points = points.withColumns(step)
+    b0 = F.col("mw") - F.col("bp") * F.col("mp") - F.col("bq") * F.col("mq") - F.col("bz") * F.col("mz")
+    fits = points.groupBy(*keys).agg(
+        F.first(b0).alias("intercepto"), F.first("bp").alias("coef_periodo_idx"),
+        F.first("bq").alias("coef_km_rodado"), F.first("bz").alias("coef_custo_combustivel"),
+        F.first(F.when(varies(ww, ww, "mw"), ww)).alias("ww"), F.sum(F.col("erro") * F.col("erro")).alias("sse"),
+        F.avg(F.abs("erro")).alias("mae"), F.count(F.lit(1)).alias("n"),
+        F.min("ano").cast("long").alias("ano_base"), F.max(F.struct(*MONTH)).alias("u"),
+    )
+    return fits.select(
+        *keys, "intercepto", "coef_periodo_idx", "coef_km_rodado", "coef_custo_combustivel",
+        F.coalesce(1.0 - F.col("sse") / F.col("ww"), F.lit(0.0)).alias("r2"), "mae", "n", "ano_base",
+        F.col("u.ano").cast("long").alias("ultimo_ano"), F.col("u.mes").cast("long").alias("ultimo_mes"),
     )
-    names = schema.names
-
-    # defined here, so that it travels to the workers whole and they need no copy of this package
-    def solve(points: pd.DataFrame) -> pd.DataFrame:
-        head = {k: points[k].iloc[0] for k in keys}
-        points = points.dropna(subset=[TARGET, *REGRESSORS])
-        if points.empty:
-            return pd.DataFrame(columns=names)
-        x = points[REGRESSORS].to_numpy(dtype=float)
-        y = points[TARGET].to_numpy(dtype=float)
-        x_mean, y_mean = x.mean(axis=0), y.mean()
-        # the shortest solution when regressors are dependent
-        beta, *_ = np.linalg.lstsq(x - x_mean, y - y_mean, rcond=None)
-        error = (y - y_mean) - (x - x_mean) @ beta
-        total = float(((y - y_mean) ** 2).sum())
-        last = points.sort_values(MONTH).iloc[-1]
-        fit = {
-            "intercepto": float(y_mean - x_mean @ beta),
-            **{f"coef_{name}": float(b) for name, b in zip(REGRESSORS, beta)},
-            "r2": 1.0 - float((error**2).sum()) / total if total > 0 else 0.0,
-            "mae": float(np.abs(error).mean()),
-            "n": len(points),
-            "ano_base": int(points["ano"].min()),
-            "ultimo_ano": int(last["ano"]),
-            "ultimo_mes": int(last["mes"]),
-        }
-        return pd.DataFrame([{**head, **fit}], columns=names)
-
-    slim = series.select(*keys, *MONTH, TARGET, *REGRESSORS)
-    return slim.groupBy(*keys).applyInPandas(solve, schema)
 
 
 def forecast_regression(
@@ -151,13 +178,14 @@ def _solve2(a11: Column, a12: Column, a22: Column, b1: Column, b2: Column) -> tu
     return (b1 * a22 - b2 * a12) / safe, (b2 * a11 - b1 * a12) / safe
 
 
-def fit_arima(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def fit_arima(series: DataFrame, keys: Sequence[str] = (), min_points: int = MIN_ARIMA_POINTS) -> DataFrame:
     """ARIMA(1,1,1) without constant by two least-squares stages (Hannan-Rissanen).
 
     Stage one regresses the monthly change on its two predecessors and keeps the residuals;
     stage two regresses it on its predecessor and the previous residual, which gives ``phi`` and
     ``theta``. Everything is a window over one series, so one shuffle serves both stages.
-    ``valido`` is false for fewer than 8 months, a singular stage or abs(phi) >= 1. ``aic`` is
+    ``valido`` is false for fewer than ``min_points`` months, as two stages on three lost months would
+    fit noise, for a singular stage or abs(phi) >= 1. ``aic`` is
     conditional on the first changes and not comparable with an exact-likelihood one.
     """
     series, keys = _with_keys(series, keys)
@@ -197,7 +225,7 @@ def fit_arima(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         latest,
     )
     valid = (
-        (F.col("n") >= MIN_ARIMA_POINTS) & F.col("phi").isNotNull() & F.col("theta").isNotNull()
+        (F.col("n") >= min_points) & F.col("phi").isNotNull() & F.col("theta").isNotNull()
         & (F.abs("phi") < 1)
     )
     aic = F.col("usados") * F.log(F.col("sse") / F.col("usados")) + F.lit(2.0 * 3)
@@ -254,13 +282,17 @@ def moving_average(series: DataFrame, keys: Sequence[str] = (), periods: int = 6
     )
 
 
-def forecast_series(series: DataFrame, keys: Sequence[str] = (), periods: int = 6) -> DataFrame:
-    """ARIMA where it could be fitted, else the moving average, per series."""
+def fallback(series: DataFrame, fit: DataFrame, keys: Sequence[str] = (), periods: int = 6) -> DataFrame:
+    """The moving average of the series that ARIMA could not be fitted to."""
     keys_ = list(keys) or [ONE_SERIES]
-    fit = fit_arima(series, keys)
     rest = fit.filter(~F.col("valido")).select(*keys_)
-    fallback = moving_average(series, keys, periods).join(rest, keys_, "left_semi")
-    return forecast_arima(fit, keys, periods).unionByName(fallback)
+    return moving_average(series, keys, periods).join(rest, keys_, "left_semi")
+
+
+def forecast_series(series: DataFrame, keys: Sequence[str] = (), periods: int = 6) -> DataFrame:
+    """ARIMA where it could be fitted, else the moving average: every series has a forecast."""
+    fit = fit_arima(series, keys)
+    return forecast_arima(fit, keys, periods).unionByName(fallback(series, fit, keys, periods))
 
 
 # --- trend ------------------------------------------------------------------------

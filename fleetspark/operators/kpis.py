@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import (
-    mean, merged_exact, merged_mean, merged_share, merged_sum, partials, ratio, total,
+    RATIO_DIGITS, mean, merged_exact, merged_mean, merged_share, merged_sum, partials, ratio, total,
 )
-from .views import active_vehicles, per_km
+from .star import add_months
+from .views import active_vehicles, by_month_and_type, per_km
 
 
 def _labelled(rows: DataFrame, kpi: str) -> DataFrame:
@@ -15,20 +16,23 @@ def _labelled(rows: DataFrame, kpi: str) -> DataFrame:
 
 
 def kpi_custo_por_km(
-    fato: DataFrame, dim_veiculo: DataFrame, dim_estado: DataFrame, dim_tempo: DataFrame,
+    fato: DataFrame, dim_veiculo: DataFrame, dim_estado: DataFrame,
 ) -> DataFrame:
     """Cost per km and its components by type, state and month."""
-    types = dim_veiculo.select("sk_veiculo", "tipo_veiculo")
-    fixed_costs = F.col("custo_seguro") + F.col("custo_depreciacao")
-    rows = fato.join(types, "sk_veiculo").groupBy("tipo_veiculo", "sk_estado", "sk_tempo").agg(
-        mean("custo_por_km", 4).alias("valor"),
-        mean(per_km("custo_combustivel"), 4).alias("componente_combustivel"),
-        mean(per_km("custo_manutencao"), 4).alias("componente_manutencao"),
-        mean(per_km(fixed_costs), 4).alias("componente_fixo"),
+    parts = {
+        "componente_combustivel": per_km("custo_combustivel"),
+        "componente_manutencao": per_km("custo_manutencao"),
+        "componente_fixo": per_km(F.col("custo_seguro") + F.col("custo_depreciacao")),
+    }
+    rows = by_month_and_type(
+        fato, dim_veiculo, ["sk_estado", "sk_tempo"], partials(means=["custo_por_km"], ratios=parts)
+    ).agg(
+        merged_mean("custo_por_km", 4).alias("valor"),
+        *(merged_mean(name, 4, RATIO_DIGITS).alias(name) for name in parts),
     )
     return (
         rows.join(dim_estado.select("sk_estado", "sigla_estado"), "sk_estado")
-        .join(dim_tempo.select("sk_tempo", "ano", "mes"), "sk_tempo")
+        .transform(add_months, "ano", "mes")
         .select(
             F.lit("Custo por Km").alias("kpi"), "tipo_veiculo", "sigla_estado", "ano", "mes",
             "valor", "componente_combustivel", "componente_manutencao", "componente_fixo",
@@ -50,7 +54,7 @@ def kpi_consumo_medio(fato: DataFrame, dim_veiculo: DataFrame) -> DataFrame:
     return _labelled(rows, "Consumo Medio")
 
 
-def kpi_utilizacao(fato: DataFrame, dim_estado: DataFrame, dim_tempo: DataFrame) -> DataFrame:
+def kpi_utilizacao(fato: DataFrame, dim_estado: DataFrame) -> DataFrame:
     """Active vehicles, availability, trips and revenue per vehicle by state and month."""
     keys = ["sk_estado", "sk_tempo"]
     rows = fato.groupBy(*keys).agg(
@@ -63,7 +67,7 @@ def kpi_utilizacao(fato: DataFrame, dim_estado: DataFrame, dim_tempo: DataFrame)
         rows.join(active_vehicles(fato, keys, "veiculos_ativos"), keys)
         .withColumn("receita_por_veiculo", F.round(ratio("receita", "veiculos_ativos"), 2))
         .join(dim_estado.select("sk_estado", "sigla_estado"), "sk_estado")
-        .join(dim_tempo.select("sk_tempo", "ano", "mes"), "sk_tempo")
+        .transform(add_months, "ano", "mes")
         .select(
             F.lit("Utilizacao Frota").alias("kpi"), "sigla_estado", "ano", "mes", "veiculos_ativos",
             "disponibilidade_media", "total_viagens", "km_medio_por_veiculo", "receita_por_veiculo",
@@ -71,12 +75,12 @@ def kpi_utilizacao(fato: DataFrame, dim_estado: DataFrame, dim_tempo: DataFrame)
     )
 
 
-def kpi_composicao_custos(fato: DataFrame, dim_tempo: DataFrame) -> DataFrame:
+def kpi_composicao_custos(fato: DataFrame) -> DataFrame:
     """Cost components and their shares by year."""
     parts = ["combustivel", "manutencao", "seguro", "ipva", "depreciacao"]
     costs = [f"custo_{p}" for p in parts]
     by_month = fato.groupBy("sk_tempo").agg(*partials([*costs, "custo_total"]))
-    rows = by_month.join(dim_tempo.select("sk_tempo", "ano"), "sk_tempo").groupBy("ano").agg(
+    rows = by_month.transform(add_months, "ano").groupBy("ano").agg(
         *(merged_sum(c).alias(f"total_{p}") for c, p in zip(costs, parts)),
         merged_sum("custo_total").alias("total_geral"),
         merged_share("custo_combustivel", "custo_total", 1).alias("pct_combustivel"),

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import exact_mean, merged_exact, merged_mean, merged_sum, partials
+from ..functions.columns import merged_exact, merged_mean, merged_sum, partials
 from . import views
 from .prescriptive import DECISION_ORDER
+from .star import add_months
+from .views import by_month_and_type
 
 MEAN_DIGITS = 6
 
@@ -54,31 +56,30 @@ def high_cost_count(high_cost: DataFrame) -> DataFrame:
     return high_cost.agg(F.count(F.lit(1)).alias("veiculos_criticos"))
 
 
-def monthly_cost_by_type(fato: DataFrame, dim_veiculo: DataFrame, dim_tempo: DataFrame) -> DataFrame:
+def monthly_cost_by_type(fato: DataFrame, dim_veiculo: DataFrame) -> DataFrame:
     """Mean cost per km by month and type."""
-    types = dim_veiculo.select("sk_veiculo", "tipo_veiculo")
-    rows = fato.join(types, "sk_veiculo").groupBy("sk_tempo", "tipo_veiculo").agg(
-        F.round(exact_mean("custo_por_km"), MEAN_DIGITS).alias("custo_km")
+    rows = by_month_and_type(fato, dim_veiculo, ["sk_tempo"], partials(means=["custo_por_km"])).agg(
+        _merged("custo_por_km").alias("custo_km")
     )
-    return rows.join(dim_tempo.select("sk_tempo", "ano", "mes", "nome_mes"), "sk_tempo").select(
+    return rows.transform(add_months, "ano", "mes", "nome_mes").select(
         "ano", "mes", "nome_mes", "tipo_veiculo", "custo_km"
     )
 
 
-def _yearly(fato: DataFrame, dim_tempo: DataFrame, sums: dict[str, str]) -> DataFrame:
+def _yearly(fato: DataFrame, sums: dict[str, str]) -> DataFrame:
     by_month = fato.groupBy("sk_tempo").agg(*partials(sums))
-    return by_month.join(dim_tempo.select("sk_tempo", "ano"), "sk_tempo").groupBy("ano").agg(
+    return by_month.transform(add_months, "ano").groupBy("ano").agg(
         *(merged_sum(c).alias(name) for c, name in sums.items())
     )
 
 
-def revenue_and_cost_by_year(fato: DataFrame, dim_tempo: DataFrame) -> DataFrame:
-    return _yearly(fato, dim_tempo, {"receita_estimada": "receita", "custo_total": "custo"})
+def revenue_and_cost_by_year(fato: DataFrame) -> DataFrame:
+    return _yearly(fato, {"receita_estimada": "receita", "custo_total": "custo"})
 
 
-def maintenance_and_fuel_by_year(fato: DataFrame, dim_tempo: DataFrame) -> DataFrame:
+def maintenance_and_fuel_by_year(fato: DataFrame) -> DataFrame:
     return _yearly(
-        fato, dim_tempo, {"custo_manutencao": "manutencao", "custo_combustivel": "combustivel"}
+        fato, {"custo_manutencao": "manutencao", "custo_combustivel": "combustivel"}
     )
 
 

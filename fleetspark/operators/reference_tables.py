@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -30,17 +31,22 @@ def reference_rows(spark: SparkSession) -> dict[str, DataFrame]:
     ages = spark.createDataFrame(
         ref.AGE_REFERENCE, "faixa string, idade_min int, idade_max int, recomendacao string"
     )
+    limit_rows = [
+        (kpi, str(limit), alert, action)
+        for kpi, *actions in ref.LIMIT_ACTIONS
+        for limit, alert, action in zip(ref.LIMITS[kpi][:2], ["CRITICO", "ATENCAO"], actions)
+    ]
     limits = spark.createDataFrame(
-        ref.LIMIT_REFERENCE,
+        limit_rows,
         "kpi string, valor_limite string, tipo_alerta string, acao_recomendada string",
     ).withColumn("valor_limite", F.col("valor_limite").cast("decimal(8,2)"))
     return {"ref_combustivel": fuels, "ref_faixa_idade": ages, "ref_limites_kpi": limits}
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``old`` and ``new`` with the new row where both have the key. Rows fold by key
-    before the shuffle. ``new`` must hold a key once."""
-    rest = [c for c in old.columns if c not in keys]
-    both = old.withColumn("_age", F.lit(0)).unionByName(new.select(*old.columns).withColumn("_age", F.lit(1)))
-    newest = both.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_age").alias("_row"))
-    return newest.select(*keys, "_row.*").select(*old.columns)
+    """Rows of ``old`` and ``new`` with the new row where both have the key. ``new`` must hold a key
+    once. The old rows whose key is new are left out by a join, so nothing is sorted by key to fold;
+    NULL keys are equal to each other."""
+    replaced = new.select(*(F.col(k).alias(f"_{k}") for k in keys))
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
+    return old.join(replaced, same, "left_anti").unionByName(new.select(*old.columns))

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import reference_data as ref
-from ..functions.joins import join_measured
 from ..functions.keys import dense_number
 from ..schemas import DIM_VEICULO, STAR_MEASURES
-from ..session import cut
+from ..session import cut, stored
 
 FACT_KEYS = ["sk_veiculo", "sk_estado", "sk_tempo"]
 DERIVED = ["custo_total", "custo_por_km", "margem_operacional", "km_por_litro_real", "idade_veiculo"]
@@ -47,13 +46,16 @@ def dim_tempo(operations: DataFrame) -> DataFrame:
     )
 
 
-def calendar(spark: SparkSession, first_year: int = 1900, last_year: int = 2199) -> DataFrame:
-    """The same dimension for a fixed span of years, for queries that need no scan for it."""
-    months = spark.range((last_year - first_year + 1) * 12)
-    return months.select(
-        (F.lit(first_year) + F.floor(F.col("id") / 12)).cast("int").alias("ano"),
-        (F.col("id") % 12 + 1).cast("int").alias("mes"),
-    ).transform(_time_columns)
+def add_months(df: DataFrame, *names: str) -> DataFrame:
+    """Columns of the time dimension that follow from ``sk_tempo``: an aggregate by month needs no join
+    for them."""
+    mes = (F.col("sk_tempo") % 100).cast("int")
+    columns = {
+        "ano": F.floor(F.col("sk_tempo") / 100).cast("int"),
+        "mes": mes,
+        "nome_mes": F.get(F.array(*(F.lit(m) for m in ref.MONTH_NAMES)), mes - 1),
+    }
+    return df.withColumns({name: columns[name] for name in names})
 
 
 def region_of(state: Column | str) -> Column:
@@ -88,16 +90,16 @@ def add_fact_keys(
 ) -> DataFrame:
     """Look up the three keys; rows without all of them are dropped.
 
-    Months match on numbers, so every month finds its key. The time and state tables are
-    expected to be tiny and are measured before they are broadcast; the vehicle table is joined
-    as the planner sees fit.
+    Months match on numbers, so every month finds its key. The dimensions are read from their
+    written tables, so the planner knows their size and broadcasts the small ones; hot keys of the
+    others are split by AQE.
     """
     months = tempo.select("sk_tempo", "ano", "mes")
     states = estado.select("sk_estado", F.col("sigla_estado").alias("estado"))
     ids = veiculo.select("sk_veiculo", F.col("id_veiculo").alias("veiculo_id"))
     return (
-        enriched.transform(join_measured, months, ["ano", "mes"], "inner")
-        .transform(join_measured, states, ["estado"], "inner")
+        enriched.join(months, ["ano", "mes"])
+        .join(states, "estado")
         .join(ids, "veiculo_id")
     )
 
@@ -112,7 +114,9 @@ def project_fact(df: DataFrame) -> DataFrame:
 
 def add_fact_number(fact: DataFrame, blocks: int = 1024) -> DataFrame:
     """``sk_fato_frota`` = 1..n, following the months. Derived measures follow from the others and
-    take no part in the order."""
+    take no part in the order. The fact is written first: counting the blocks reads a few of its
+    columns, and nothing is derived twice."""
+    fact = stored(fact, "fato")
     order = [c for c in fact.columns if c != "sk_tempo" and c not in DERIVED]
     spread = [c for c in ROW_SPREAD if c in order]
     numbered = dense_number(fact, "sk_fato_frota", order, F.col("sk_tempo"), blocks, spread)

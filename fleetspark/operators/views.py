@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, GroupedData, functions as F
 
 from .. import reference_data as ref
 from ..functions.columns import (
-    RATIO_DIGITS, Measure, exact_mean, mean, merged_mean, merged_sum, partials, per, share, total,
-    upper_bound_band,
+    RATIO_DIGITS, Measure, exact_mean, mean, merged_mean, merged_share, merged_sum, partials, per,
+    total, upper_bound_band,
 )
+from .star import add_months
 
 HIGH_COST_LIMIT = "1.50"
 
@@ -34,11 +35,22 @@ def active_vehicles(fato: DataFrame, keys: list[str], name: str) -> DataFrame:
     return fato.select(*keys, "sk_veiculo").distinct().groupBy(*keys).agg(F.count("sk_veiculo").alias(name))
 
 
+def by_month_and_type(fato: DataFrame, dim_veiculo: DataFrame, keys: list[str], sums: list[Column]) -> GroupedData:
+    """Groups of ``keys`` and vehicle type over partial sums per ``keys`` and vehicle.
+
+    The fact folds before the vehicle table joins: copies of a hot vehicle's months meet map-side, and
+    however large the vehicle table is, no fact row is moved for it.
+    """
+    folded = fato.groupBy(*keys, "sk_veiculo").agg(*sums)
+    types = dim_veiculo.select("sk_veiculo", "tipo_veiculo")
+    return folded.join(types, "sk_veiculo").groupBy(*keys, "tipo_veiculo")
+
+
 def _profit() -> Column:
     return (total("receita_estimada") - total("custo_total")).alias("lucro_operacional")
 
 
-def vw_resumo_mensal(fato: DataFrame, dim_tempo: DataFrame) -> DataFrame:
+def vw_resumo_mensal(fato: DataFrame) -> DataFrame:
     """Fleet totals and averages by month."""
     vehicles = active_vehicles(fato, ["sk_tempo"], "total_veiculos")
     by_month = fato.groupBy("sk_tempo").agg(
@@ -54,8 +66,8 @@ def vw_resumo_mensal(fato: DataFrame, dim_tempo: DataFrame) -> DataFrame:
         mean("km_por_litro_real", 2).alias("consumo_medio_real"),
         _profit(),
     )
-    months = dim_tempo.select("sk_tempo", "ano", "mes", "nome_mes")
-    return months.join(vehicles, "sk_tempo").join(by_month, "sk_tempo").drop("sk_tempo")
+    rows = vehicles.join(by_month, "sk_tempo").transform(add_months, "ano", "mes", "nome_mes")
+    return rows.select("ano", "mes", "nome_mes", *[c for c in rows.columns if c not in ("sk_tempo", "ano", "mes", "nome_mes")])
 
 
 def vw_kpi_estado(fato: DataFrame, dim_estado: DataFrame) -> DataFrame:
@@ -128,23 +140,21 @@ def vw_veiculos_alto_custo(fato: DataFrame, dim_veiculo: DataFrame, dim_estado:
 
 
 def vw_impacto_combustivel(
-    fato: DataFrame, dim_tempo: DataFrame, dim_estado: DataFrame, dim_veiculo: DataFrame,
+    fato: DataFrame, dim_estado: DataFrame, dim_veiculo: DataFrame,
 ) -> DataFrame:
-    """Fuel price, volume and share of cost by month, state and type (a ratio of sums).
-
-    A vehicle has about one row per month, so there is nothing to fold before the type is known;
-    the type is joined to the fact and the result grouped once.
-    """
-    types = dim_veiculo.select("sk_veiculo", "tipo_veiculo")
-    rows = fato.join(types, "sk_veiculo").groupBy("sk_tempo", "sk_estado", "tipo_veiculo").agg(
-        mean("preco_combustivel", 2).alias("preco_medio_combustivel"),
-        total("litros_consumidos").alias("total_litros"),
-        total("custo_combustivel").alias("total_custo_combustivel"),
-        total("custo_total").alias("total_custo"),
-        share("custo_combustivel", "custo_total", 2).alias("pct_combustivel_no_custo"),
+    """Fuel price, volume and share of cost by month, state and type (a ratio of sums)."""
+    rows = by_month_and_type(
+        fato, dim_veiculo, ["sk_tempo", "sk_estado"],
+        partials(["litros_consumidos", "custo_combustivel", "custo_total"], ["preco_combustivel"]),
+    ).agg(
+        merged_mean("preco_combustivel", 2).alias("preco_medio_combustivel"),
+        merged_sum("litros_consumidos").alias("total_litros"),
+        merged_sum("custo_combustivel").alias("total_custo_combustivel"),
+        merged_sum("custo_total").alias("total_custo"),
+        merged_share("custo_combustivel", "custo_total", 2).alias("pct_combustivel_no_custo"),
     )
     return (
-        rows.join(dim_tempo.select("sk_tempo", "ano", "mes"), "sk_tempo")
+        rows.transform(add_months, "ano", "mes")
         .join(dim_estado.select("sk_estado", "sigla_estado"), "sk_estado")
         .select(
             "ano", "mes", "sigla_estado", "tipo_veiculo", "preco_medio_combustivel", "total_litros",
@@ -189,15 +199,14 @@ def vw_ranking_margem(fato: DataFrame, dim_veiculo: DataFrame, dim_estado: DataF
 
 
 def register_views(star: Mapping[str, DataFrame]) -> list[str]:
-    """Create the seven temp views over a star (``fato_frota`` and the three dimensions)."""
-    fato, tempo = star["fato_frota"], star["dim_tempo"]
-    estado, veiculo = star["dim_estado"], star["dim_veiculo"]
+    """Create the seven temp views over a star."""
+    fato, estado, veiculo = star["fato_frota"], star["dim_estado"], star["dim_veiculo"]
     views = {
-        "vw_resumo_mensal": vw_resumo_mensal(fato, tempo),
+        "vw_resumo_mensal": vw_resumo_mensal(fato),
         "vw_kpi_estado": vw_kpi_estado(fato, estado),
         "vw_kpi_tipo_veiculo": vw_kpi_tipo_veiculo(fato, veiculo),
         "vw_veiculos_alto_custo": vw_veiculos_alto_custo(fato, veiculo, estado),
-        "vw_impacto_combustivel": vw_impacto_combustivel(fato, tempo, estado, veiculo),
+        "vw_impacto_combustivel": vw_impacto_combustivel(fato, estado, veiculo),
         "vw_eficiencia_idade": vw_eficiencia_idade(fato),
         "vw_ranking_margem": vw_ranking_margem(fato, veiculo, estado),
     }

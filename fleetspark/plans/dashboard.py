@@ -28,8 +28,7 @@ TREND = (
 
 def dashboard(spark: SparkSession, star: dict[str, DataFrame], results: str) -> dict[str, DataFrame]:
     """Cards, sixteen charts and the priority table by name; nothing runs until one is read."""
-    fato, tempo = star["fato_frota"], star["dim_tempo"]
-    estado, veiculo = star["dim_estado"], star["dim_veiculo"]
+    fato, estado, veiculo = star["fato_frota"], star["dim_estado"], star["dim_veiculo"]
 
     def result(folder: str, prefix: str, schema: str) -> DataFrame:
         return readers.read_results(spark, os.path.join(results, folder), prefix, schema)
@@ -43,8 +42,8 @@ def dashboard(spark: SparkSession, star: dict[str, DataFrame], results: str) ->
         "cards": marts.cards(fato),
         "decision_counts": marts.decision_counts(decided),
         "alto_custo_count": marts.high_cost_count(high_cost),
-        "g1": marts.monthly_cost_by_type(fato, veiculo, tempo),
-        "g2": marts.revenue_and_cost_by_year(fato, tempo),
+        "g1": marts.monthly_cost_by_type(fato, veiculo),
+        "g2": marts.revenue_and_cost_by_year(fato),
         "g3": marts.cost_by_region(fato, estado),
         "g4": marts.cost_parts_by_type(fato, veiculo),
         "g5": marts.cost_by_type(fato, veiculo),
@@ -52,12 +51,12 @@ def dashboard(spark: SparkSession, star: dict[str, DataFrame], results: str) ->
         "g7": marts.states_by_cost(views.vw_kpi_estado(fato, estado)),
         "g8": marts.lowest_margins(views.vw_ranking_margem(fato, veiculo, estado)),
         "g9": marts.cost_by_age_band(fato),
-        "g10": marts.maintenance_and_fuel_by_year(fato, tempo),
+        "g10": marts.maintenance_and_fuel_by_year(fato),
         "g11": marts.dearest_vehicles(high_cost),
         "g12": marts.availability_by_type(fato, veiculo),
         "g13": marts.decisions_by_type(decided),
         "g14": marts.alerts_by_kpi(alert_rows),
-        "g15": marts.history_and_forecast(views.vw_resumo_mensal(fato, tempo), regression),
+        "g15": marts.history_and_forecast(views.vw_resumo_mensal(fato), regression),
         "g16": marts.trend_by_type(trends),
         "tbl1": marts.priority_table(decided),
     }

@@ -6,8 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import cleaning, enrich, forecast, prescriptive, standardize, star, views
-from ..session import cut
+from ..operators import cleaning, enrich, forecast, prescriptive, reference_tables, standardize, star, views
+from ..session import cut, stored
 from ..sources import readers, writers
 
 
@@ -22,10 +22,11 @@ def run_etl(spark: SparkSession, raw: str, staging: str, date: str) -> dict[str,
     fleet = cleaning.clean_registered_fleet(feed("registered_fleet"))
     vehicles = cleaning.clean_vehicles(feed("vehicles"), "_ordem")
     operations = cleaning.clean_operations(feed("operations"))
+    # a pivot looks for its columns first: from the written monthly tables, not from the feeds again
     small = writers.write_staging(
         {
-            "anp_mensal": standardize.prices_wide(standardize.monthly_prices(prices)),
-            "ibge_wide": standardize.indicators_wide(indicators),
+            "anp_mensal": standardize.prices_wide(stored(standardize.monthly_prices(prices), "precos")),
+            "ibge_wide": standardize.indicators_wide(stored(indicators, "indicadores")),
             "denatran_resumo": standardize.fleet_summary(fleet),
             "veiculos_clean": vehicles,
         },
@@ -40,7 +41,8 @@ def run_etl(spark: SparkSession, raw: str, staging: str, date: str) -> dict[str,
 
 
 def run_load(spark: SparkSession, staging: str, warehouse: str, blocks: int = 1024) -> dict[str, DataFrame]:
-    """Newest staging tables to a fresh star, read back, with its views registered."""
+    """Newest staging tables to a fresh star and its reference tables; the star is read back, with its
+    views registered."""
     tables = readers.read_staging(spark, staging)
     enriched, vehicles = tables["frota_enriquecida"], tables["veiculos_clean"]
     dims = {
@@ -50,7 +52,7 @@ def run_load(spark: SparkSession, staging: str, warehouse: str, blocks: int = 10
     }
     written = {
         name: spark.read.parquet(writers.write_dimension(df, warehouse, name))
-        for name, df in dims.items()
+        for name, df in (dims | reference_tables.reference_rows(spark)).items()
     }
     fact = star.fato_frota(
         enriched, written["dim_tempo"], written["dim_estado"], written["dim_veiculo"], blocks
@@ -62,33 +64,22 @@ def run_load(spark: SparkSession, staging: str, warehouse: str, blocks: int = 10
 
 
 def predictive(loaded: dict[str, DataFrame], periods: int = 6) -> dict[str, DataFrame]:
-    """Regression, series forecast and trend by type over a star.
+    """Regression, series forecast and trend by type over a star; a series that ARIMA does not fit has its
+    forecast in the table of moving averages instead.
 
     The fact is read once, into monthly sums by type; every series comes from that small table.
     """
-    rows = forecast_rows(loaded["fato_frota"], loaded["dim_tempo"], loaded["dim_veiculo"])
-    base = cut(forecast.monthly_base(rows, ["tipo_veiculo"]))
+    base = cut(forecast.monthly_base(loaded["fato_frota"], ["tipo_veiculo"], loaded["dim_veiculo"]))
     total = forecast.roll_up(base)
-    fit = forecast.fit_regression(total)
+    fit, arima = forecast.fit_regression(total), forecast.fit_arima(total)
     return {
         "forecast_regressao_custo_km": forecast.forecast_regression(fit, periods=periods),
-        "forecast_arima_custo_km": forecast.forecast_series(total, periods=periods),
+        "forecast_arima_custo_km": forecast.forecast_arima(arima, periods=periods),
+        "forecast_media_movel": forecast.fallback(total, arima, periods=periods),
         "forecast_tendencia_tipo": forecast.trend(forecast.roll_up(base, ["tipo_veiculo"])),
     }
 
 
-def forecast_rows(fato: DataFrame, tempo: DataFrame, veiculo: DataFrame) -> DataFrame:
-    """The fact columns the forecasts read, with month and type; state and type can tell series apart."""
-    return (
-        fato.select(
-            "sk_veiculo", "sk_estado", "sk_tempo", "custo_por_km", "custo_combustivel",
-            "custo_manutencao", "km_rodado",
-        )
-        .join(tempo.select("sk_tempo", "ano", "mes"), "sk_tempo")
-        .join(veiculo.select("sk_veiculo", "tipo_veiculo"), "sk_veiculo")
-    )
-
-
 def prescriptive_tables(loaded: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Alerts, decisions and summary over a star, from KPIs that are computed once."""
     kpis = cut(

@@ -98,14 +98,11 @@ AGE_REFERENCE = [
     ("Obsoleta", 15, 99, "Substituir obrigatoriamente"),
 ]
 
-# Limit reference (KPI, limit, alert, action).
-LIMIT_REFERENCE = [
-    ("custo_por_km", "2.50", "CRITICO", "Substituir ou revisar operação"),
-    ("custo_por_km", "1.80", "ATENCAO", "Monitorar e planejar manutenção"),
-    ("margem_operacional", "0.10", "CRITICO", "Rever rota e composição de custos"),
-    ("margem_operacional", "0.20", "ATENCAO", "Otimizar custos operacionais"),
-    ("disponibilidade_pct", "85.0", "ATENCAO", "Verificar manutenção preventiva"),
-    ("disponibilidade_pct", "75.0", "CRITICO", "Frota com baixa disponibilidade"),
-    ("km_por_litro_real", "3.0", "CRITICO", "Verificar consumo anômalo"),
-    ("km_por_litro_real", "4.5", "ATENCAO", "Monitorar eficiência do veículo"),
+# Actions of the limit reference (KPI, when critical, when in attention); the limits are
+# those of LIMITS.
+LIMIT_ACTIONS = [
+    ("custo_por_km", "Substituir ou revisar operação", "Monitorar e planejar manutenção"),
+    ("margem_operacional", "Rever rota e composição de custos", "Otimizar custos operacionais"),
+    ("disponibilidade_pct", "Frota com baixa disponibilidade", "Verificar manutenção preventiva"),
+    ("km_por_litro_real", "Verificar consumo anômalo", "Monitorar eficiência do veículo"),
 ]

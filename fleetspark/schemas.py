@@ -11,13 +11,13 @@ FLEET_RAW = "ano int, estado string, tipo_veiculo string, combustivel string, qu
 VEHICLES_RAW = (
     "veiculo_id string, tipo_veiculo string, marca string, ano_fabricacao int, estado string,"
     " combustivel string, consumo_medio_km_l string, km_atual string, status string,"
-    " capacidade_carga_t decimal(6,1)"
+    " capacidade_carga_t decimal(18,1)"
 )
 OPERATIONS_RAW = (
     "veiculo_id string, tipo_veiculo string, estado string, ano int, mes int, km_rodado int,"
-    " litros_consumidos decimal(12,2), preco_combustivel decimal(6,2), custo_combustivel string,"
+    " litros_consumidos decimal(18,2), preco_combustivel decimal(18,2), custo_combustivel string,"
     " custo_manutencao string, custo_seguro string, custo_ipva string, custo_depreciacao string,"
-    " receita_estimada string, viagens_realizadas int, disponibilidade_pct decimal(5,1)"
+    " receita_estimada string, viagens_realizadas int, disponibilidade_pct decimal(18,1)"
 )
 
 # One element of the indicator service's answer; a file holds a list of them.

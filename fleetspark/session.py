@@ -56,6 +56,14 @@ def new_work_dir(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex[:12]}")
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and go on from the files: it is computed once, a
+    lost executor repeats a read, and the planner knows its size."""
+    path = new_work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from there, so several results need one
     computation and a lost executor repeats a read."""

@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import stored
+
 PRIMARY_KEYS = {
     "dim_tempo": "sk_tempo",
     "dim_estado": "sk_estado",
@@ -45,27 +47,72 @@ def missing_values(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     return _row(long, table, F.col("x.c"), F.col("x.v"))
 
 
-def orphan_keys(fato: DataFrame, dim: DataFrame, key: str, table: str = "fato_frota") -> DataFrame:
-    """Number of fact rows whose key is in no dimension row; an empty key is no orphan.
+def fact_values(fato: DataFrame) -> DataFrame:
+    """How often each value of the checked columns occurs, ``coluna, valor, n``, stored: the one read of
+    the fact. Of a column that is no key only missing (NULL) and present (0) are told apart. Copies of
+    a hot key fold before the shuffle."""
+    keys = [c for c in [PRIMARY_KEYS["fato_frota"], *FOREIGN_KEYS] if c in fato.columns]
+    rest = [c for c in REQUIRED["fato_frota"] if c in fato.columns and c not in keys]
+    values = [F.struct(F.lit(c).alias("coluna"), F.col(c).cast("long").alias("valor")) for c in keys]
+    values += [
+        F.struct(F.lit(c).alias("coluna"), F.when(F.col(c).isNotNull(), F.lit(0).cast("long")).alias("valor"))
+        for c in rest
+    ]
+    long = fato.select(F.inline(F.array(*values)))
+    return stored(long.groupBy("coluna", "valor").agg(F.count(F.lit(1)).alias("n")), "valores")
+
 
-    Keys are counted before the join, so a hot key is one row in it. The join is a left one with
-    a marker because the optimizer would push an anti join below the count, back onto the fact.
+def fact_checks(fato: DataFrame, star: Mapping[str, DataFrame]) -> DataFrame:
+    """Unique key, required columns and keys without a dimension row of the fact.
+
+    An empty key is no orphan. The dimensions join counted values, so a hot key is one row; the join is
+    a left one with a marker because an anti join would be pushed below the count.
     """
-    used = fato.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    known = dim.select(key).distinct().withColumn("_known", F.lit(True))
-    lost = used.join(known, key, "left").filter(F.col("_known").isNull()).agg(F.sum("n").alias("v"))
-    return _row(lost, table, f"fk {key}", F.col("v"))
+    table = "fato_frota"
+    values = fact_values(fato)
+    primary = PRIMARY_KEYS[table]
+    required = [c for c in REQUIRED[table] if c in fato.columns]
+    named = [f"not null {c}" for c in required]
+    measured = values.groupBy("coluna").agg(
+        F.sum(F.when(F.col("valor").isNull(), F.col("n"))).alias("vazios"),
+        F.count_if(F.col("valor").isNotNull() & (F.col("n") > 1)).alias("repetidos"),
+    )
+    checks = [(f"pk {primary}", primary, "repetidos")] if primary in fato.columns else []
+    checks += [(name, c, "vazios") for name, c in zip(named, required)]
+    dims = {key: star[dim] for key, dim in FOREIGN_KEYS.items() if dim in star}
+    known = [
+        dim.select(F.lit(key).alias("coluna"), F.col(key).cast("long").alias("valor")).distinct()
+        for key, dim in dims.items()
+    ]
+    expected = values.sparkSession.createDataFrame(checks, "verificacao string, coluna string, medida string")
+    out = expected.join(measured, "coluna", "left").select(
+        F.lit(table).alias("tabela"), "verificacao",
+        F.coalesce(F.when(F.col("medida") == "repetidos", F.col("repetidos")).otherwise(F.col("vazios")), F.lit(0))
+        .cast("long").alias("violacoes"),
+    )
+    if not known:
+        return out
+    found = reduce(DataFrame.unionByName, known).withColumn("_known", F.lit(True))
+    used = values.filter(F.col("valor").isNotNull() & F.col("coluna").isin(*dims))
+    lost = used.join(found, ["coluna", "valor"], "left").groupBy("coluna").agg(
+        F.sum(F.when(F.col("_known").isNull(), F.col("n"))).alias("v")
+    )
+    keys = values.sparkSession.createDataFrame([(k,) for k in dims], "coluna string")
+    orphans = keys.join(lost, "coluna", "left").select(
+        F.lit(table).alias("tabela"), F.concat(F.lit("fk "), "coluna").alias("verificacao"),
+        F.coalesce("v", F.lit(0)).cast("long").alias("violacoes"),
+    )
+    return out.unionByName(orphans)
 
 
 def constraint_report(star: Mapping[str, DataFrame]) -> DataFrame:
     """All checks on the tables present: one row per check with its number of violations."""
     checks = []
     for table, df in star.items():
+        if table == "fato_frota":
+            checks.append(fact_checks(df, star))
+            continue
         if PRIMARY_KEYS[table] in df.columns:
             checks.append(duplicate_keys(df, table, PRIMARY_KEYS[table]))
         checks.append(missing_values(df, table, [c for c in REQUIRED[table] if c in df.columns]))
-    if "fato_frota" in star:
-        for key, table in FOREIGN_KEYS.items():
-            if table in star:
-                checks.append(orphan_keys(star["fato_frota"], star[table], key))
     return reduce(DataFrame.unionByName, checks)

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from .. import reference_data as ref
 from .. import schemas
+from ..functions.columns import to_number
 
 MISSING = "N/A"
 
@@ -19,18 +20,18 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Header CSV, UTF-8; ``N/A`` is a missing value.
 
     Columns are found by header, in any order. Declared ones get their type (NULL where a text
-    does not fit), others stay text, and a declared column the file lacks stays out, which is how
-    a national feed shows that it has no state. Nothing is inferred from the rows.
+    is no number, an error where a number does not fit), others stay text, and a declared column the
+    files lack stays out, which is how a national feed shows that it has no state. Nothing is inferred
+    from the rows. The part files of a snapshot share one header: a file with another one is an error
+    when it is read.
     """
-    raw = spark.read.options(header=True, nullValue=MISSING, encoding="UTF-8").csv(path)
+    # with its header enforced, a file whose columns stand in another order fails instead of being misread
+    raw = spark.read.options(header=True, nullValue=MISSING, encoding="UTF-8", enforceSchema=False).csv(path)
     declared = {f.name: f.dataType.simpleString() for f in StructType.fromDDL(schema)}
 
     def typed(name: str) -> Column:
         c, type_ = F.col(f"`{name}`"), declared.get(name, "string")
-        if type_ == "string":
-            return c
-        value = c.try_cast("decimal(28,8)").try_cast("int") if type_ == "int" else c.try_cast(type_)
-        return value.alias(name)
+        return c if type_ == "string" else to_number(c, type_).alias(name)
 
     return raw.select(*(typed(name) for name in raw.columns))
 
@@ -46,37 +47,28 @@ def with_ordinal(df: DataFrame, name: str = "_ordem") -> DataFrame:
 
 # --- newest snapshot --------------------------------------------------------------
 
-def list_snapshots(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
-    """Snapshots ``<prefix>_<yyyymmdd>`` (a file or a folder of part files) with their date.
+def list_snapshots(spark: SparkSession, folder: str, prefix: str) -> list[tuple[str, str]]:
+    """Date and path of the snapshots ``<prefix>..._<yyyymmdd>`` (a file or a folder of part files).
 
-    Only names are read; file contents are not.
+    The names matching in this one folder are listed, nothing below them; file contents are not read.
     """
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .load(folder).select("path")
-    )
-    pattern = rf"^(.*/{prefix}[^/]*_(\d{{8}})(?:\.[A-Za-z.]+)?)(?:/.*)?$"
-    return (
-        files.select(
-            F.regexp_extract("path", pattern, 1).alias("snapshot"),
-            F.regexp_extract("path", pattern, 2).alias("data"),
-        )
-        .filter(F.col("snapshot") != "")
-        .distinct()
-    )
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(folder, f"{prefix}*_????????*")
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(place) or []
+    found = []
+    for file in files:
+        name = re.fullmatch(r".*_(\d{8})(?:\.[A-Za-z.]+)?", file.getPath().getName())
+        if name:
+            found.append((name[1], file.getPath().toString()))
+    return sorted(found)
 
 
 def latest_snapshot(spark: SparkSession, folder: str, prefix: str) -> str:
     """Path of the newest snapshot; fails when there is none."""
-    try:
-        found = list_snapshots(spark, folder, prefix).agg(
-            F.max(F.struct("data", "snapshot")).alias("u")
-        ).first()
-    except AnalysisException as error:
-        raise FileNotFoundError(f"no folder {folder}") from error
-    if found is None or found["u"] is None:
+    found = list_snapshots(spark, folder, prefix)
+    if not found:
         raise FileNotFoundError(f"no snapshot {prefix}_<yyyymmdd> in {folder}")
-    return found["u"]["snapshot"]
+    return found[-1][1]
 
 
 def read_latest_parquet(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
@@ -151,7 +143,7 @@ def flatten_indicator(
             F.explode("s.serie").alias("periodo", "texto"),
         )
         .select(
-            *keep, "periodo", F.col("texto").try_cast("decimal(24,6)").alias("valor"),
+            *keep, "periodo", to_number("texto", "decimal(24,6)").alias("valor"),
             f"{place}_id", f"{place}_nome",
         )
     )

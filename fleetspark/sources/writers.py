@@ -11,6 +11,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..session import stored
+
 STAR_ORDER = ["dim_tempo", "dim_estado", "dim_veiculo", "fato_frota"]
 
 
@@ -19,10 +21,11 @@ def write_staging(tables: Mapping[str, DataFrame], folder: str, date: str) -> di
     paths = {}
     for name, df in tables.items():
         path = os.path.join(folder, f"{name}_{date}")
-        writer = df.write.mode("overwrite")
         if name == "frota_enriquecida":
-            writer = writer.partitionBy("ano")
-        writer.parquet(path)
+            # the rows of a year meet in a few tasks, a large year in more, and not in every task's file
+            df.hint("rebalance", "ano").write.mode("overwrite").partitionBy("ano").parquet(path)
+        else:
+            df.write.mode("overwrite").parquet(path)
         paths[name] = path
     return paths
 
@@ -31,7 +34,7 @@ def write_fact(fact: DataFrame, folder: str) -> str:
     """Replace the fact, partitioned by year so queries for some years read only those."""
     path = os.path.join(folder, "fato_frota")
     by_year = fact.withColumn("ano_particao", F.floor(F.col("sk_tempo") / 100).cast("int"))
-    by_year.write.mode("overwrite").partitionBy("ano_particao").parquet(path)
+    by_year.hint("rebalance", "ano_particao").write.mode("overwrite").partitionBy("ano_particao").parquet(path)
     return path
 
 
@@ -56,9 +59,11 @@ def read_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 def write_results(
     tables: Mapping[str, DataFrame], folder: str, date: str, csv: bool = False,
 ) -> dict[str, str]:
-    """Write ``<name>_<date>`` per non-empty result table, as Parquet or header CSV."""
+    """Write ``<name>_<date>`` per non-empty result table, as Parquet or header CSV. A table is computed
+    once, into the shared folder; whether it has rows shows there."""
     paths = {}
     for name, df in tables.items():
+        df = stored(df, name)
         if df.isEmpty():
             continue
         path = os.path.join(folder, f"{name}_{date}")

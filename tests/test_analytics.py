@@ -30,9 +30,7 @@ def dims(spark):
         " combustivel string, status string, consumo_medio_km_l decimal(6,2)",
     )
     estado = spark.createDataFrame([(1, "SP", "SUDESTE"), (2, "AC", "NORTE")], "sk_estado int, sigla_estado string, regiao string")
-    from fleetspark.operators import star
-
-    return {"v": veiculo, "e": estado, "t": star.calendar(spark, 2023, 2025)}
+    return {"v": veiculo, "e": estado}
 
 
 def fact(spark, *changes):
@@ -123,12 +121,12 @@ def test_price_change_against_the_previous_row(spark, dims):
     f = fact(spark, {"sk_tempo": 202401, "preco_combustivel": D("5")}, {"sk_tempo": 202401, "sk_estado": 2, "preco_combustivel": D("0")},
              {"sk_tempo": 202402, "preco_combustivel": D("6")})
     got = [(r.sigla_estado, r.mes, r.preco_anterior and float(r.preco_anterior), r.variacao_preco_pct and float(r.variacao_preco_pct))
-           for r in diagnostics.price_impact(f, dims["v"], dims["e"], dims["t"]).orderBy("mes", "sigla_estado").collect()]
+           for r in diagnostics.price_impact(f, dims["v"], dims["e"]).orderBy("mes", "sigla_estado").collect()]
     assert got[0] == ("AC", 1, None, None)
     assert got[1][:2] == ("SP", 1) and got[1][3] is None  # the previous price is 0
     assert got[2] == ("SP", 2, 5.0, 20.0)
     by_state = {(r.sigla_estado, r.mes): r.variacao_preco_pct for r in
-                diagnostics.price_impact(f, dims["v"], dims["e"], dims["t"], by_state=True).collect()}
+                diagnostics.price_impact(f, dims["v"], dims["e"], by_state=True).collect()}
     assert float(by_state[("SP", 2)]) == 20.0 and by_state[("SP", 1)] is None
 
 
@@ -162,7 +160,7 @@ def test_availability_band(spark, dims):
 
 def test_revenue_per_vehicle(spark, dims):
     f = fact(spark, {}, {"receita_estimada": D("100")}, {"sk_veiculo": 2, "receita_estimada": D("0.01")})
-    r = kpis.kpi_utilizacao(f, dims["e"], dims["t"]).first()
+    r = kpis.kpi_utilizacao(f, dims["e"]).first()
     assert (r.veiculos_ativos, float(r.receita_por_veiculo)) == (2, 250.01)
 
 
@@ -182,7 +180,7 @@ def test_totals_agree_over_groupings(spark, sf):
     overall = f.agg(F.sum("custo_total")).first()[0]
     by_state = views.vw_kpi_estado(f, s["dim_estado"]).agg(F.sum("total_custo")).first()[0]
     by_type = views.vw_kpi_tipo_veiculo(f, s["dim_veiculo"]).agg(F.sum("total_custo")).first()[0]
-    by_year = kpis.kpi_composicao_custos(f, s["dim_tempo"]).agg(F.sum("total_geral")).first()[0]
+    by_year = kpis.kpi_composicao_custos(f).agg(F.sum("total_geral")).first()[0]
     assert overall == by_state == by_type == by_year
 
 

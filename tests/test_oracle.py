@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from fleetspark.catalog.oracle import ORACLE
+from fleetspark.catalog.queries import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark"
@@ -27,19 +29,20 @@ def plain(value):
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= entry_point.queries().items() and ORACLE.items() <= entry_point.oracle_sql().items()
 
 
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf, duck, name):
-    df = entry_point.queries()[name](spark, sf)
+    df = QUERIES[name](spark, sf)
     columns = sorted(df.columns)
     got = sorted((tuple(plain(r[c]) for c in columns) for r in df.collect()), key=repr)
-    cursor = duck.execute(entry_point.oracle_sql()[name])
+    cursor = duck.execute(ORACLE[name])
     names = [d[0] for d in cursor.description]
     types = {d[0]: str(d[1]) for d in cursor.description}
     assert sorted(names) == columns

@@ -1,4 +1,5 @@
 import json
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -27,6 +28,28 @@ def test_csv_columns_follow_the_header(spark, tmp_path):
     assert [tuple(r) for r in got.collect()] == [("5", "x", 2024, "A"), ("6", "y", None, "B")]
 
 
+def test_part_files_with_another_header_fail(spark, tmp_path):
+    folder = tmp_path / "denatran_frota_20240101"
+    folder.mkdir()
+    (folder / "part-0.csv").write_text("ano,estado,quantidade\n2024,SP,5\n")
+    (folder / "part-1.csv").write_text("estado,quantidade,ano\nRJ,9,2023\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_feed(spark, "registered_fleet", str(tmp_path)).collect()
+
+
+def test_numbers_are_kept_or_fail(spark, tmp_path):
+    """Wide numbers stay, a whole number may come with a point, and what no type holds is an error."""
+    line = "V1,Pickup,sp,2024,1,12000.0,20.5,10000.0,100000000000.00,50,20,,30,400,4,1234567.5\n"
+    (tmp_path / "frota_operacoes_20240101.csv").write_text(OPERATIONS + line)
+    clean = cleaning.clean_operations(readers.read_feed(spark, "operations", str(tmp_path))).first()
+    assert (clean.km_rodado, clean.preco_combustivel, clean.custo_combustivel, clean.disponibilidade_pct) == (
+        12000, Decimal("10000.00"), Decimal("100000000000.00"), Decimal("1234567.5"))
+    for bad in (line.replace("12000.0", "12.7"), line.replace("100000000000.00", "1e30"), line.replace("12000.0", "3e9")):
+        (tmp_path / "frota_operacoes_20240101.csv").write_text(OPERATIONS + bad)
+        with pytest.raises(Exception, match="number does not fit"):
+            cleaning.clean_operations(readers.read_feed(spark, "operations", str(tmp_path))).collect()
+
+
 def test_latest_snapshot_of_files_and_folders(spark, tmp_path):
     for name in ["feed_20231231.csv", "feed_20240301.csv", "other_20260101.csv", "feed_notes.txt"]:
         (tmp_path / name).write_text("a\n1\n")
@@ -140,13 +163,15 @@ def test_whole_pipeline_from_files(spark, tmp_path):
     assert fact.filter("sk_tempo = 202401").count() == 1
     assert spark.table("vw_resumo_mensal").count() == 13
     assert spark.table("vw_kpi_estado").first().regiao == "SUDESTE"
+    limits = spark.read.parquet(f"{warehouse}/ref_limites_kpi")
+    assert limits.filter("kpi = 'custo_por_km' AND tipo_alerta = 'CRITICO'").first().valor_limite == Decimal("2.50")
 
     before = dashboard(spark, loaded, results)
     assert tuple(before["decision_counts"].first()) == (0, 0, 0) and before["tbl1"].count() == 0
     written = pipelines.run_analytics(loaded, results, "20250102")
-    assert set(written) == {"forecast_regressao_custo_km", "forecast_arima_custo_km", "forecast_tendencia_tipo",
+    assert set(written) == {"forecast_regressao_custo_km", "forecast_media_movel", "forecast_tendencia_tipo",
                             "alertas", "decisoes", "resumo"}
-    assert spark.read.parquet(written["forecast_arima_custo_km"]).count() == 6
+    assert spark.read.parquet(written["forecast_media_movel"]).count() == 6  # a flat series has no ARIMA
     assert spark.read.parquet(written["decisoes"]).count() == 2
     tables = dashboard(spark, loaded, results)
     assert len(tables) == 20 and all(df.columns for df in tables.values())

@@ -1,8 +1,5 @@
 from decimal import Decimal
 
-import pytest
-
-from fleetspark.functions.joins import join_measured
 from fleetspark.operators import enrich, standardize
 
 from .conftest import rows
@@ -84,20 +81,6 @@ def test_monthly_periods_do_not_multiply_operations(spark):
     assert enrich.add_indicators(ops, wide.drop("estado")) is ops
 
 
-@pytest.mark.parametrize("limit, strategy", [(10, "BroadcastHashJoin"), (1, "SortMergeJoin")])
-def test_join_measured_follows_size(spark, limit, strategy):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        big = spark.range(100).selectExpr("id % 5 AS k", "id")
-        small = spark.range(4).selectExpr("id AS k", "id * 10 AS v")
-        joined = join_measured(big, small, ["k"], max_rows=limit)
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-        assert strategy in plan
-        assert joined.count() == 100 and joined.filter("v IS NULL").count() == 20
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_unknown_vehicle_stays(spark):
     ops = spark.createDataFrame([("V1", 1), ("V9", 2)], "veiculo_id string, x int")
     vehicles = spark.createDataFrame([("V1", "A")], "veiculo_id string, marca string")

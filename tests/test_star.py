@@ -15,7 +15,8 @@ def test_dim_tempo_is_the_cross_product_of_years_and_months(spark):
     assert [r.sk_tempo for r in got] == [202401, 202402, 202412, 202501, 202502, 202512]
     last = got[-1]
     assert (last.trimestre, last.semestre, last.nome_mes) == (4, 2, "Dez")
-    assert star.calendar(spark, 2024, 2025).count() == 24
+    wide = star.add_months(spark.createDataFrame([(225003,), (189912,)], "sk_tempo int"), "ano", "mes", "nome_mes")
+    assert rows(wide) == [(1899, 12, "Dez", 189912), (2250, 3, "Mar", 225003)]
 
 
 def test_dim_estado_regions(spark):
