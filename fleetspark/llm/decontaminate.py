@@ -106,28 +106,36 @@ def leaks(
     item id stays NULL; repeated rows give one row. Other columns are not read.
 
     The items are written first, so Spark knows their size: it sends a small table to all tasks and
-    then no document moves; a large one is joined by shuffle. The windows found are few and carry hashes
-    of their own words only.
+    then no shingle moves; a large one is joined by shuffle. The shingles found are written too, and
+    joined to the texts they stand in; windows carry hashes of their own words only and are written.
     """
     items = benchmark_items(benchmark)
     sizes = sorted(r["k"] for r in items.select("k").distinct().collect())  # at most five
-    rows = docs.select(
-        id_key(id_col).alias("id"), F.xxhash64(whole_text(text_col)).alias("th"), word_hashes(whole_text(text_col)).alias("words"))
-    windows = None
+    texts = docs.select(
+        id_key(id_col).alias("id"), F.xxhash64(whole_text(text_col)).alias("th"), whole_text(text_col).alias("text"))
+    rows = texts.select("id", "th", word_hashes(F.col("text")).alias("words"))
+    hits = None
     for k in sizes:
         wanted = stored(
             items.where(F.col("k") == k).select("item", "n", F.posexplode("hashes").alias("offset", "hash")), "shingles")
-        placed = rows.select("id", "th", "words", F.posexplode(shingles(F.col("words"), k)).alias("pos", "hash")).join(wanted, "hash")
-        start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("offset"), F.size("words") - F.col("n")))
-        found = placed.select(
-            "id", "th", "item", F.lit(k).alias("k"), start.alias("start"), F.slice("words", start + 1, F.col("n")).alias("words"))
-        windows = found if windows is None else windows.unionByName(found)
-    if windows is None:  # no item has a word
+        # the outer form: for the plain one Spark adds a filter on the array's size below, with the words
+        # put into the lambda, where they would be split again for every shingle
+        runs = rows.select("id", "th", F.posexplode_outer(shingles(F.col("words"), k)).alias("pos", "hash"))
+        placed = runs.join(wanted, "hash")
+        found = placed.select("id", "th", "item", "n", F.lit(k).alias("k"), (F.col("pos") - F.col("offset")).alias("shift"))
+        hits = found if hits is None else hits.unionByName(found)
+    if hits is None:  # no item has a word
         nothing = "id long, th long, item_id long, similarity double, start int"
         return docs.sparkSession.createDataFrame([], nothing)
-    windows = windows.distinct().select("id", "th", "item", "start", sized_shingles(F.col("words"), F.col("k")).alias("hashes"))
-    coded = windows.withColumn("code", simhash(F.col("hashes")))
-    probes = coded.select("*", F.inline(blocks(F.col("code"), radius)))
+    hits = stored(hits.distinct(), "hits")
+    held = texts.join(hits, ["id", "th"]).withColumn("words", word_hashes(F.col("text")))
+    start = F.greatest(F.lit(0), F.least("shift", F.size("words") - F.col("n")))
+    windows = held.select(
+        "id", "th", "item", "k", start.alias("start"), F.slice("words", start + 1, F.col("n")).alias("words")).distinct()
+    windows = windows.select("id", "th", "item", "start", sized_shingles(F.col("words"), F.col("k")).alias("hashes"))
+    # written too: else Spark tests the codes for NULL below the join above, spelled out down to the text
+    coded = stored(windows.withColumn("code", simhash(F.col("hashes"))), "windows")
+    probes = coded.select("*", F.inline_outer(blocks(F.col("code"), radius)))
     indexed = stored(items.select("item", F.col("code").alias("item_code"), F.inline(blocks(F.col("code"), radius))), "blocks")
     near = (
         probes.join(indexed, ["item", "block", "bits"])
