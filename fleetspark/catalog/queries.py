@@ -216,8 +216,7 @@ def sink_summary(spark, sf):
 
 @query("src_star_wide")
 def src_star_wide(spark, sf):
-    s = feeds.load_star(spark, sf)
-    return star.frota_wide(s["fato_frota"], s["dim_tempo"], s["dim_estado"], s["dim_veiculo"])
+    return star.frota_wide(*feeds.load_star(spark, sf, "fato_frota", "dim_estado", "dim_veiculo").values())
 
 
 @query("view_registry")
@@ -628,7 +627,7 @@ def fact_project_cast(spark, sf):
 def star_pipeline(spark, sf):
     staging = run_raw_to_staging(spark, sf)
     loaded = pipelines.run_load(spark, staging, new_work_dir(spark, "star"), blocks=16)
-    rows = star.frota_wide(*(loaded[t] for t in ("fato_frota", "dim_tempo", "dim_estado", "dim_veiculo")))
+    rows = star.frota_wide(*(loaded[t] for t in ("fato_frota", "dim_estado", "dim_veiculo")))
     return rows.groupBy("sigla_estado", "regiao", "sk_estado", "ano", "nome_mes", "tipo_veiculo").agg(
         count(), F.sum("km_rodado").alias("km"), F.sum("custo_total").alias("custo_total"),
         F.sum("custo_por_km").alias("soma_custo_km"),
@@ -761,14 +760,14 @@ def pred_trend_by_type(spark, sf):
 def pred_series_forecast(spark, sf):
     """Every series has a forecast, also those of one state in five, which end after half a year."""
     kept = "sk_estado % 5 > 0 OR sk_tempo < 199507"
-    return forecast.forecast_series(_series(spark, sf, test=kept), SERIES)
+    return forecast.forecast_series(stored(_series(spark, sf, test=kept), "series"), SERIES)
 
 
 @query("pred_forecast_counts")
 def pred_forecast_counts(spark, sf):
     """As many series with a last period as with a forecast."""
     kept = "sk_estado % 5 > 0 OR sk_tempo < 199507"
-    series = _series(spark, sf, test=kept)
+    series = stored(_series(spark, sf, test=kept), "series")
     ends = forecast.last_period(series, SERIES).agg(F.lit("fim").alias("tabela"), count())
     return ends.unionByName(
         forecast.forecast_series(series, SERIES).filter("periodo = 1").agg(F.lit("previsao").alias("tabela"), count()))

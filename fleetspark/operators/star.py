@@ -133,19 +133,18 @@ def fato_frota(
     )
 
 
-def frota_wide(
-    fato: DataFrame, tempo: DataFrame, estado: DataFrame, veiculo: DataFrame,
-) -> DataFrame:
-    """The fact with the dimension columns that downstream users read."""
+def frota_wide(fato: DataFrame, estado: DataFrame, veiculo: DataFrame) -> DataFrame:
+    """The fact with the dimension columns that downstream users read; those of the month follow from its
+    key."""
     measures = [c for c in STAR_MEASURES if c in fato.columns]
     return (
         fato.select(*FACT_KEYS, *measures)
-        .join(tempo.select("sk_tempo", "ano", "mes", "nome_mes"), "sk_tempo")
         .join(estado, "sk_estado")
         .join(
             veiculo.select("sk_veiculo", "tipo_veiculo", "id_veiculo", "marca", "consumo_medio_km_l"),
             "sk_veiculo",
         )
+        .transform(add_months, "ano", "mes", "nome_mes")
         .select(
             *measures, *FACT_KEYS, "tipo_veiculo", "id_veiculo", "marca", "consumo_medio_km_l",
             "sigla_estado", "regiao", "ano", "mes", "nome_mes",

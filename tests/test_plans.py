@@ -11,7 +11,7 @@ STAR = [
     "vw_eficiencia_idade", "vw_ranking_margem", "kpi_custo_por_km", "kpi_consumo_medio",
     "kpi_composicao_custos", "kpi_rentabilidade", "diag_impacto_preco", "diag_ineficiencia", "diag_causa_raiz",
     "diag_anomalia_consumo", "presc_decisions", "presc_alerts", "presc_resumo", "dash_cards", "pred_arima",
-    "pred_trend_by_type",
+    "pred_trend_by_type", "pred_linreg_fit", "pred_linreg_metrics", "pred_linreg_forecast",
 ]
 
 
@@ -45,7 +45,10 @@ def test_price_feed_reads_every_row(spark, sf):
     assert "LessThan" not in scan
 
 
-@pytest.mark.parametrize("name", ["vw_veiculos_alto_custo", "vw_ranking_margem", "presc_vehicle_kpis", "vw_kpi_tipo_veiculo"])
+@pytest.mark.parametrize("name", [
+    "vw_veiculos_alto_custo", "vw_ranking_margem", "presc_vehicle_kpis", "vw_kpi_tipo_veiculo", "vw_impacto_combustivel",
+    "kpi_custo_por_km", "diag_impacto_preco", "dash_g1", "pred_monthly_series", "pred_trend_by_type",
+])
 def test_fact_folds_before_vehicles_join(spark, sf, name):
     """The vehicle table is joined above the aggregate of the fact, never to its rows."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -61,6 +64,36 @@ def test_fact_folds_before_vehicles_join(spark, sf, name):
     assert "partial_sum" in between
 
 
+@pytest.mark.parametrize("name", [*STAR, "src_star_wide", "fact_project_cast", "dash_g15", "derive_margem"])
+def test_generated_methods_stay_small_enough_to_compile(spark, sf, name):
+    """HotSpot leaves a method of more than 8,000 bytes to the interpreter."""
+    plan_ = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan()
+    stages = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenStringSeq(plan_)
+    assert all(stages.apply(i)._3().maxMethodCodeSize() < 8000 for i in range(stages.size()))
+
+
+def test_the_fact_is_derived_once_before_it_is_numbered(spark, sf):
+    """What is left to read is the written fact: its few spread columns for the counts, then the rows."""
+    text = plan(spark, sf, "fact_surrogate_key")
+    assert "lineitem" not in text
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\]", text)
+    assert len(scans) == 2 and min(len(s.split(",")) for s in scans) <= 6
+
+
+def test_series_of_both_forecasts_are_summed_once(spark, sf):
+    assert "lineitem" not in plan(spark, sf, "pred_series_forecast")
+
+
+def test_constraints_read_the_fact_once(spark, sf):
+    assert "lineitem" not in re.sub(r"(?s)collect_set.*", "", plan(spark, sf, "dq_constraints"))
+
+
+def test_first_row_of_a_key_is_ranked_before_the_shuffle(spark, sf):
+    text = plan(spark, sf, "clean_dedup_key")
+    assert "WindowGroupLimit" in text and "SortAggregate" not in text
+    assert "SortAggregate" not in plan(spark, sf, "ref_upsert")
+
+
 def test_top_n_does_not_sort_everything(spark, sf):
     assert "TakeOrderedAndProject" in plan(spark, sf, "presc_top_n")
     assert "TakeOrderedAndProject" in plan(spark, sf, "dash_g8")
