@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import compress, repeat
 
 import numpy as np
 import public_tokenizers
@@ -37,9 +38,10 @@ DISCOUNT = 0.75
 LANGUAGES = 8
 #: scores of at most so many frequent words, of at most so many bytes, go to every task; the scores
 #: of all other words reach the documents by a join
-FREQUENT, FREQUENT_BYTES = 400_000, 64
-#: words that a task counts before it hands them on; words of one length that numpy works on at once
-COUNTED, TOGETHER = 300_000, 4096
+FREQUENT, FREQUENT_BYTES = 250_000, 64
+#: words that a task counts before it hands them on; words that it takes at once; words of one length
+#: among them that numpy works on at once
+COUNTED, GATHERED, TOGETHER = 150_000, 50_000, 4096
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _NEVER = -1e300
 
@@ -179,6 +181,18 @@ def by_length(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield raw.reshape(len(some), -1), some
 
 
+def gathered(batches: Iterable[pa.RecordBatch], rows: int = GATHERED) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at least ``rows``, so that many words have the same length."""
+    waiting: list[pa.RecordBatch] = []
+    for batch in batches:
+        waiting.append(batch)
+        if sum(b.num_rows for b in waiting) >= rows:
+            yield pa.concat_batches(waiting)
+            waiting = []
+    if waiting:
+        yield pa.concat_batches(waiting)
+
+
 # --- the passes over the corpus ---------------------------------------------------
 
 
@@ -206,10 +220,9 @@ def count_words(docs: DataFrame, number: Column, languages: int) -> DataFrame:
 
     def table(seen: list[Counter]) -> pa.RecordBatch:
         words = list(set().union(*seen))
-        total = [sum(c[w] for c in seen) for w in words]
-        counts = [pa.array([c[w] for w in words], pa.int64()) for c in seen[:-1]]
+        counts = [np.fromiter(map(c.get, words, repeat(0)), np.int64, len(words)) for c in seen]
         return pa.RecordBatch.from_arrays(
-            [pa.array(words, pa.binary()), pa.array(total, pa.int64()), *counts], names=["word", *columns])
+            [pa.array(words, pa.binary()), *map(pa.array, (sum(counts), *counts[:-1]))], names=["word", *columns])
 
     def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = [Counter() for _ in range(languages + 1)]  # the last one: of the texts that teach nothing
@@ -238,11 +251,11 @@ def train(words: DataFrame, languages: int, pieces: list[bytes], rounds: int = R
     for _ in range(rounds):
         def spread(batches, lattice=lattice):
             total = np.zeros((languages, 4, lattice.n))
-            for batch in batches:
+            for batch in gathered(batches):
                 raw = batch.column(0).to_pylist()
                 for k in range(languages):
                     taught = batch.column(k + 1).to_numpy() > 0
-                    for rows, _ in by_length([w for w, t in zip(raw, taught) if t]):
+                    for rows, _ in by_length(list(compress(raw, taught))):
                         lattice.expected(rows, k, total[k])
             found = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(total.ravel()[found])], names=["cell", "n"])
@@ -267,7 +280,7 @@ def score_words(words: DataFrame, lattice: Lattice, tokens: list[int], kinds: li
     names = ["word", "n", *[f"c{k}" for k in range(languages)], *[f"lp{k}" for k in range(languages)]]
 
     def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in gathered(batches):
             raw = batch.column(0).to_pylist()
             spelled = np.empty((len(raw), languages))
             for rows, at in by_length(raw):
@@ -344,28 +357,33 @@ def score_documents(docs: DataFrame, vocabulary_path: str | None = None, modulus
         """One row for each of a text's other words, and one with the sums of its frequent words under
         a key of its own that is no word."""
         names, values = shared.value
-        place = dict(zip(names, range(len(names))))
-        types = [pa.int64()] * 2 + [pa.float64()] * len(scores)
+        place = dict(zip(names, range(len(names)))).get
         for batch in batches:
-            rows, own = [], []
-            for id_, hash_, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                raw = words_of(text)
+            words, times, lengths, sums_of, totals = [], [], [], [], []
+            hashes = batch.column(1).to_pylist()
+            for hash_, text in zip(hashes, batch.column(2)):
+                raw = words_of(text.as_py())
                 counts = Counter(raw)
                 counts[END] = 1
-                hits = [(place[w], n) for w, n in counts.items() if w in place]
-                rows += [(id_, hash_, w, n) for w, n in counts.items() if w not in place]
-                at, times = np.array(hits, np.int64).reshape(-1, 2).T
-                known, *scored_sums = times @ values[at]
-                rows.append((id_, hash_, END + hash_.to_bytes(8, "little", signed=True), 1))
-                own.append((len(rows) - 1, len(raw) + 1, int(known), *scored_sums))
-            at, *columns = zip(*own)
-            spread = np.full(len(rows), -1)
-            spread[list(at)] = np.arange(len(own))
-            place_of = pa.array(spread, mask=spread < 0)
-            fields = [pa.array(c, t) for c, t in zip(columns, types)]
-            struct = pa.StructArray.from_arrays(fields, sums).take(place_of)
-            arrays = [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64(), pa.int64(), pa.binary(), pa.int64()])]
-            whole = pa.RecordBatch.from_arrays([*arrays, struct], names=["id", "th", "word", "times", "own"])
+                at = np.fromiter(map(place, counts, repeat(-1)), np.int64, len(counts))
+                n = np.fromiter(counts.values(), np.int64, len(counts))
+                other = at < 0
+                words += compress(counts, other)
+                words.append(END + hash_.to_bytes(8, "little", signed=True))
+                times += [n[other], [1]]
+                lengths.append(int(other.sum()) + 1)
+                totals.append(len(raw) + 1)
+                sums_of.append(n[~other] @ values[at[~other]])
+            last = np.cumsum(lengths) - 1
+            place_of = np.full(len(words), -1)
+            place_of[last] = np.arange(len(last))
+            known, *columns = np.stack(sums_of, 1)
+            fields = [pa.array(totals, pa.int64()), pa.array(known.astype(np.int64)), *map(pa.array, columns)]
+            own = pa.StructArray.from_arrays(fields, sums).take(pa.array(place_of, mask=place_of < 0))
+            whole = pa.RecordBatch.from_arrays([
+                pa.array(np.repeat(batch.column(0).to_numpy(), lengths)), pa.array(np.repeat(batch.column(1).to_numpy(), lengths)),
+                pa.array(words, pa.binary()), pa.array(np.concatenate(times)), own,
+            ], names=["id", "th", "word", "times", "own"])
             for start in range(0, whole.num_rows, 20_000):
                 yield whole.slice(start, 20_000)
 
