@@ -38,6 +38,7 @@ def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     chosen = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q] or HEADLINE
+    chosen = list(QUERIES) if chosen == ["all"] else chosen
     spark = build_session(
         f"local[{cpus}]", "bench",
         **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "12g",

@@ -64,6 +64,26 @@ def test_regression_equals_spark_ml(spark):
     assert fit.r2 == pytest.approx(model.summary.r2) and fit.mae == pytest.approx(model.summary.meanAbsoluteError)
 
 
+def test_dependent_regressors_get_the_coefficient_zero(spark):
+    df = series(spark, a=[0] * 20).withColumns({"km_rodado": F.col("periodo_idx") * 7 + 3, "custo_combustivel": F.lit(0.1)})
+    fit = forecast.fit_regression(df.withColumn("custo_por_km", 1 + F.col("periodo_idx") * 0.5), ["k"]).first()
+    assert (fit.coef_km_rodado, fit.coef_custo_combustivel) == (0, 0)
+    assert np.allclose([fit.intercepto, fit.coef_periodo_idx, fit.r2], [1, 0.5, 1]) and fit.mae < 1e-9
+    missing = df.withColumn("custo_por_km", F.when(F.col("mes") != 3, 1 + F.col("periodo_idx") * 0.5))
+    assert forecast.fit_regression(missing, ["k"]).first().n == 18
+
+
+def test_series_with_the_type_fold_before_the_vehicles_join(spark):
+    fact = spark.createDataFrame([(1, 202401, "1.0", 10), (1, 202401, "2.0", 20), (2, 202402, "4.0", 40), (3, 202401, "6.0", 60)],
+                                 "sk_veiculo long, sk_tempo int, custo_por_km string, km_rodado int")
+    fact = fact.withColumns({"custo_por_km": F.col("custo_por_km").cast("decimal(12,4)"),
+                             "custo_combustivel": F.lit(1).cast("decimal(12,2)"), "custo_manutencao": F.lit(2).cast("decimal(12,2)")})
+    types = spark.createDataFrame([(1, "A"), (2, "A"), (3, "A")], "sk_veiculo long, tipo_veiculo string")
+    got = [(r.tipo_veiculo, r.ano, r.mes, r.custo_por_km, r.km_rodado) for r in
+           forecast.monthly_series(fact, ["tipo_veiculo"], types).orderBy("mes").collect()]
+    assert got == [("A", 2024, 1, 3.0, 90), ("A", 2024, 2, 4.0, 40)]
+
+
 def test_constant_and_tiny_series(spark):
     fits = {r.k: r for r in forecast.fit_regression(series(spark, c=[2.5] * 12, one=[7.0]), ["k"]).collect()}
     assert fits["c"].r2 == 0 and fits["c"].intercepto == pytest.approx(2.5)
