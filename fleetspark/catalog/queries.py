@@ -147,7 +147,7 @@ def src_indicator_lookup(spark, sf):
 
 @query("src_union_indicators")
 def src_union_indicators(spark, sf):
-    rows = cleaning.clean_indicators(feeds.raw_indicators(spark, sf))
+    rows = stored(cleaning.clean_indicators(feeds.raw_indicators(spark, sf)), "indicadores")  # each branch reads it
     tables = [rows.filter(F.col("indicador") == p) for p in feeds.PRIORITIES[1:]]
     national = rows.filter(F.col("indicador") == feeds.PRIORITIES[0]).drop("estado")
     both = readers.union_indicators([national, *tables, rows.limit(0)])
