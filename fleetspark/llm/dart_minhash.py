@@ -16,7 +16,7 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fleetspark.llm.common import NO_ID, id_key, ship, stored, whole_text
 
@@ -24,8 +24,10 @@ SHINGLE, SIMILAR = 5, 0.8
 #: of two documents with similarity 0.8, 0.7 of a million pairs miss all bands
 BANDS, ROWS = 30, 5
 COORDINATES = BANDS * ROWS
-#: buckets up to this size try all their pairs; larger ones try their centres, then split by the next band
-SMALL, LEVELS = 8, 3
+#: buckets up to this size try all their pairs; larger ones try so many centres, then split by the next band
+SMALL, CENTRES, LEVELS = 8, 3, 3
+#: for documents whose large buckets mostly hold documents of another class: further partners per bucket
+PARTNERS = 4
 #: coordinates that must agree before texts are compared: five standard deviations below 0.8
 AGREE = int(COORDINATES * SIMILAR - 5 * (COORDINATES * SIMILAR * (1 - SIMILAR)) ** 0.5)
 _WORD = re.compile(r"[^\W_]+")
@@ -141,12 +143,25 @@ def sign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 # --- candidates -------------------------------------------------------------------
 
 
+def _ordered(*columns: str) -> list[Column]:
+    """Both ends of a pair, the smaller one first."""
+    return [F.least(*columns).alias("a"), F.greatest(*columns).alias("b")]
+
+
+def _each_once(rows: DataFrame, others: str) -> DataFrame:
+    """The pairs of ``node`` and each of ``others``. The bands of a node mostly name the same few, so they
+    are put together per node (an array for each of its bands) before they become rows."""
+    merged = rows.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_set(others))).alias("others"))
+    return merged.select("node", F.explode("others").alias("other")).where("node != other")
+
+
 def _level_pairs(rows: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs of nodes that share a bucket, and the rows of the buckets too large to try all pairs.
+    """Pairs of nodes that share a bucket, and the rows of the buckets too large to try all pairs, with
+    the bucket's first ``centre``.
 
     ``rows`` has ``node``, ``band`` and ``h1`` .. ``h<LEVELS>``. In a large bucket each node is paired
-    with its centres: the node with the most company over all bands, and two that differ from band
-    to band. Work grows with the number of nodes, not with its square.
+    with the centres, the nodes with the most company over all bands, as an original has among its changed
+    copies. Work grows with the number of nodes, not with its square.
     """
     key = ["band", f"h{level}"]
     sizes = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -155,38 +170,19 @@ def _level_pairs(rows: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
     tried = small.alias("x").join(small.withColumnRenamed("node", "other"), key).where("node < other")
     large = shared.where(F.col("size") > SMALL)
     company = large.groupBy("node").agg(F.sum("size").alias("company"))
+    # the ranking is cut to a few rows per bucket in every task, before the shuffle
+    rank = F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("company"), "node"))
+    ranked = large.select(*key, "node").join(company, "node").withColumn("rank", rank).where(F.col("rank") <= CENTRES)
+    centres = ranked.groupBy(*key).agg(F.collect_list(F.struct("rank", "node")).alias("found"))  # CENTRES at most
+    centres = stored(centres.select(*key, F.array_sort("found")["node"].alias("centres")), "centres")
+    large = stored(large.drop("size").join(centres, key).withColumn("centre", F.get("centres", F.lit(0))), "large")
+    starred = _each_once(large, "centres")
+    pairs = tried.select("node", "other").unionByName(starred).select(*_ordered("node", "other"))
+    return pairs, large.drop("centres")
 
-    def random_order(salt: int) -> Column:
-        # a mask orders the nodes another way in each band, and gives the node back when applied again
-        return F.col("node").bitwiseXOR(F.shiftright(F.xxhash64("band", F.lit(salt)), 1))
 
-    centres = large.join(company, "node").groupBy(*key).agg(
-        F.max_by("node", F.struct("company", F.col("node"))).alias("c0"),
-        F.min(random_order(1)).alias("c1"), F.min(random_order(2)).alias("c2"),
-    )
-    masked = [F.col(f"c{i}").bitwiseXOR(F.shiftright(F.xxhash64("band", F.lit(i)), 1)) for i in (1, 2)]
-    centres = stored(
-        centres.select(*key, F.array_distinct(F.array("c0", *masked)).alias("centres")), "centres")
-    starred = large.join(centres, key).select("node", F.explode("centres").alias("other")).where("node != other")
-    pairs = tried.select("node", "other").unionByName(starred).select(
-        F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-    return pairs, large.drop("size")
-
-
-def candidates(nodes: DataFrame) -> DataFrame:
-    """Distinct pairs ``a < b`` that share a band and agree in enough coordinates."""
-    bands = F.transform(
-        F.sequence(F.lit(0), F.lit(BANDS - 1)),
-        lambda i: F.struct(
-            i.alias("band"),
-            *[F.xxhash64(*[F.get(F.col("bands"), (i + j) % BANDS) for j in range(level)]).alias(f"h{level}")
-              for level in range(1, LEVELS + 1)]),
-    )
-    rows = nodes.where(F.size("bands") > 0).select("node", F.inline(bands))
-    found = None
-    for level in range(1, LEVELS + 1):
-        pairs, rows = _level_pairs(rows, level)
-        found = pairs if found is None else found.unionByName(pairs)
+def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The distinct pairs that agree in enough coordinates, stored."""
 
     def agreeing(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,11 +193,56 @@ def candidates(nodes: DataFrame) -> DataFrame:
 
     sig = nodes.select("node", "sig")
     both = (
-        found.distinct()
+        pairs.distinct()
         .join(sig.withColumnsRenamed({"node": "a", "sig": "sig_a"}), "a")
         .join(sig.withColumnsRenamed({"node": "b", "sig": "sig_b"}), "b")
     )
-    return both.select("a", "b", "sig_a", "sig_b").mapInArrow(agreeing, "a long, b long")
+    return stored(both.select("a", "b", "sig_a", "sig_b").mapInArrow(agreeing, "a long, b long"), "pairs")
+
+
+def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs ``a < b`` that share a band and agree in enough coordinates; and the rows of large
+    buckets, ``node, band, level, bucket, centre``."""
+    bands = F.transform(
+        F.sequence(F.lit(0), F.lit(BANDS - 1)),
+        lambda i: F.struct(
+            i.alias("band"),
+            *[F.xxhash64(*[F.get(F.col("bands"), (i + j) % BANDS) for j in range(level)]).alias(f"h{level}")
+              for level in range(1, LEVELS + 1)]),
+    )
+    rows = nodes.where(F.size("bands") > 0).select("node", F.inline(bands))
+    found = large = None
+    for level in range(1, LEVELS + 1):
+        pairs, rows = _level_pairs(rows, level)
+        part = rows.select("node", "band", F.lit(level).alias("level"), F.col(f"h{level}").alias("bucket"), "centre")
+        rows = rows.drop("centre")
+        found, large = (pairs, part) if found is None else (found.unionByName(pairs), large.unionByName(part))
+    return _agreeing(found, nodes), large
+
+
+def further_candidates(large: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
+    """More pairs for the nodes of large buckets that are in another class (``node, component``) than
+    the bucket's centre: with each other in turn, as far as their buckets are small, and with nodes that
+    another order puts first in each bucket. The others need none: they are linked already."""
+    own = classes.withColumnRenamed("component", "own")
+    theirs = classes.withColumnsRenamed({"node": "centre", "component": "theirs"})
+    key = ["band", "level", "bucket"]
+    apart = stored(
+        large.join(own, "node", "left").join(theirs, "centre", "left")
+        .where(F.coalesce("own", "node") != F.coalesce("theirs", "centre")).select(*key, "node"),
+        "apart")
+    few = apart.groupBy(*key).agg(F.count(F.lit(1)).alias("size")).where((F.col("size") > 1) & (F.col("size") <= SMALL))
+    among = apart.join(few, key).select(*key, "node")
+    among = among.join(among.withColumnRenamed("node", "other"), key).where("node < other")
+    # a mask orders the nodes another way, and gives the node back when applied again
+    masks = [F.shiftright(F.xxhash64(*key, F.lit(i)), 1) for i in range(PARTNERS)]
+    wanted = apart.select(*key).distinct()
+    firsts = large.join(wanted, key).groupBy(*key).agg(
+        *[F.min(F.col("node").bitwiseXOR(m)).alias(f"m{i}") for i, m in enumerate(masks)])
+    partners = F.array_distinct(F.array(*[F.col(f"m{i}").bitwiseXOR(m) for i, m in enumerate(masks)]))
+    partners = stored(firsts.select(*key, partners.alias("partners")), "partners")
+    others = _each_once(apart.join(partners, key), "partners")
+    return _agreeing(among.select("node", "other").unionByName(others).select(*_ordered("node", "other")), nodes)
 
 
 def verify(pairs: DataFrame, texts: DataFrame, similar: float = SIMILAR) -> DataFrame:
@@ -236,26 +277,43 @@ def verify(pairs: DataFrame, texts: DataFrame, similar: float = SIMILAR) -> Data
     return both.select("a", "b", "text_a", "text_b").mapInArrow(alike, "a long, b long, similarity double")
 
 
+def _relabelled(edges: DataFrame, labels: DataFrame) -> DataFrame:
+    """The distinct edges between the labels of both ends; a node without a label is its own."""
+    of_a = labels.withColumnsRenamed({"node": "a", "component": "to_a"})
+    of_b = labels.withColumnsRenamed({"node": "b", "component": "to_b"})
+    ends = edges.join(of_a, "a", "left").join(of_b, "b", "left").select(
+        F.coalesce("to_a", "a").alias("x"), F.coalesce("to_b", "b").alias("y"))
+    return ends.where("x != y").select(*_ordered("x", "y")).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``component``, the smallest node reachable from it, for the nodes of ``edges``.
 
-    Every round a node takes the smallest label around it and then that label's own label, so the
-    distance still to go about halves. Each round is written to the shared folder.
+    Every node points to its smallest neighbour if that is smaller; pointers are followed, twice as far
+    each time, to the nodes that point nowhere. Then only edges between these are left, few after
+    the first round. Each step is written to the shared folder.
     """
-    both = stored(
-        edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("component")), "labels")
+    edges = stored(edges.where("a != b").select(*_ordered("a", "b")).distinct(), "edges")
+    found = None
     while True:
-        seen = labels.withColumnsRenamed({"node": "b", "component": "near"})
-        around = both.join(seen, "b").groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near"))
-        lower = labels.join(around, "node").select(
-            "node", F.col("component").alias("old"), F.least("component", "near").alias("next"))
-        jump = labels.withColumnsRenamed({"node": "next", "component": "further"})
-        moved = stored(
-            lower.join(jump, "next").select("node", "old", F.least("next", "further").alias("component")), "labels")
-        if moved.where("component != old").isEmpty():
-            return moved.select("node", "component")
-        labels = moved.select("node", "component")
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        smallest = F.least("node", F.min("b")).alias("component")
+        labels = stored(both.groupBy(F.col("a").alias("node")).agg(smallest), "labels")
+        while True:
+            jump = labels.select(F.col("node").alias("component"), F.col("component").alias("further"))
+            moved = stored(labels.join(jump, "component"), "labels")
+            labels = moved.select("node", F.col("further").alias("component"))
+            if moved.where("component != further").isEmpty():
+                break
+        if found is None:
+            found = labels
+        else:
+            jump = labels.select(F.col("node").alias("component"), F.col("component").alias("further"))
+            found = stored(found.join(jump, "component", "left").select(
+                "node", F.coalesce("further", "component").alias("component")), "labels")
+        edges = stored(_relabelled(edges, labels), "edges")
+        if edges.isEmpty():
+            return found
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:
@@ -273,16 +331,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = signed.select("id", "k1", "k2").join(nodes.select("k1", "k2", "node"), ["k1", "k2"]).select("id", "node")
     # a repeated id may stand in several classes of equal words; it joins them
     own = nodes.groupBy("node").agg(F.first("bands").alias("bands"), F.first("sig").alias("sig"))
-    pairs = stored(candidates(stored(own, "own")), "pairs")
-    involved = stored(
-        pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "involved")
+    own = stored(own, "own")
+    pairs, large = candidates(own)
+    involved = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+    involved = stored(involved.unionByName(large.select("node")).distinct(), "involved")
     texts = docs.select(id_key(id_col).alias("node"), whole_text(text_col).alias("text")).join(involved, "node")
     texts = stored(texts.groupBy("node").agg(F.min("text").alias("text")), "texts")
-    edges = verify(pairs, texts, similar).select("a", "b")
+    edges = stored(verify(pairs, texts, similar).select("a", "b"), "links")
+    first = components(edges)
+    more = verify(further_candidates(large, own, first), texts, similar).select("a", "b")
     twice = members.where("id != node").select(F.col("node").alias("a"), F.col("id").alias("b"))
     twice = twice.join(own.select(F.col("node").alias("b")), "b", "left_semi").select("a", "b").distinct()
-    found = components(edges.unionByName(twice))
-    return members.join(found, "node", "left").select("id", F.coalesce("component", "node").alias("class_id"))
+    second = components(_relabelled(more.unionByName(twice), first))
+    second = second.select(F.col("node").alias("component"), F.col("component").alias("further"))
+    labelled = members.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return labelled.join(second, "component", "left").select("id", F.coalesce("further", "component").alias("class_id"))
 
 
 def classes(docs: DataFrame) -> DataFrame:
