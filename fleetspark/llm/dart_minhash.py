@@ -28,6 +28,9 @@ COORDINATES = BANDS * ROWS
 SMALL, CENTRES, LEVELS = 8, 3, 3
 #: for documents whose large buckets mostly hold documents of another class: further partners per bucket
 PARTNERS = 4
+#: what is still apart is joined on its rarest shingles; documents of sizes within this factor go together,
+#: and a shingle of many documents is cut into blocks of about so many
+SIZES, BLOCK = 1.03, 256
 #: coordinates that must agree before texts are compared: five standard deviations below 0.8
 AGREE = int(COORDINATES * SIMILAR - 5 * (COORDINATES * SIMILAR * (1 - SIMILAR)) ** 0.5)
 _WORD = re.compile(r"[^\W_]+")
@@ -59,6 +62,13 @@ def shingle_weights(words: list[str], size: int = SHINGLE) -> tuple[np.ndarray,
     return np.unique(total, return_counts=True)
 
 
+def numbered(shingles: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """One hash for each unit of weight above each shingle."""
+    cells = np.repeat(_mix(shingles * _M), weights)
+    first = np.cumsum(weights) - weights
+    return _mix(cells + (np.arange(len(cells)) - np.repeat(first, weights)).astype(np.uint64) * _M)
+
+
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     _, at, bt = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
     common = np.minimum(a[1][at], b[1][bt]).sum()
@@ -73,9 +83,7 @@ def darts(shingles: np.ndarray, weights: np.ndarray, k: int = COORDINATES) -> np
     that depends on the cell alone. About k log k + 2k darts are thrown, and more while a
     coordinate is without one.
     """
-    cells = np.repeat(_mix(shingles * _M), weights)
-    first = np.cumsum(weights) - weights
-    cells = _mix(cells + (np.arange(len(cells)) - np.repeat(first, weights)).astype(np.uint64) * _M)
+    cells = numbered(shingles, weights)
     horizon = k * (np.log(k) + 2) / len(cells)
 
     def waits(rows: np.ndarray, start: int, count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -245,6 +253,101 @@ def further_candidates(large: DataFrame, nodes: DataFrame, classes: DataFrame) -
     return _agreeing(among.select("node", "other").unionByName(others).select(*_ordered("node", "other")), nodes)
 
 
+def unresolved(large: DataFrame, classes: DataFrame) -> DataFrame:
+    """``node`` and ``component`` of the nodes whose large buckets hold more than one class."""
+    key = ["band", "bucket"]
+    rows = stored(large.where("level = 1").join(classes, "node").select(*key, "node", "component"), "classed")
+    several = rows.groupBy(*key).agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
+    return stored(rows.join(stored(several.select(*key), "several"), key).select("node", "component").distinct(), "unresolved")
+
+
+def _size_classes() -> np.ndarray:
+    """The smallest size of each class of sizes."""
+    out = [1]
+    while out[-1] < 2**31:
+        out.append(max(out[-1] + 1, int(out[-1] * SIZES)))
+    return np.array(out)
+
+
+def remaining_candidates(rows: DataFrame, texts: DataFrame, nodes: DataFrame, similar: float) -> DataFrame:
+    """All pairs of ``rows`` (``node, component``) of different components that can be as similar as asked for
+    and agree in enough coordinates, by an exact prefix join.
+
+    Two texts of n and m shingles have at least similar / (1 + similar) * (n + m) in common, so the first
+    common one, in any order of all shingles, stands that near the front of both. Shingles of one component
+    come first and need no join, then the rare ones: what a whole template shares comes last. The place
+    depends on both sizes, so a shingle is joined per pair of size classes.
+    """
+    lowest = _size_classes()
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in range(0, batch.num_rows, 200):
+                some = batch.slice(part, 200)
+                found = [numbered(*shingle_weights(words_of(t.as_py()))).view(np.int64) for t in some.column(2)]
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0), some.column(1), pa.array(map(len, found), pa.int64()), pa.array(found, pa.list_(pa.int64()))],
+                    names=["node", "component", "n", "tokens"])
+
+    def prefixes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def table(found: list) -> pa.RecordBatch:
+            lengths = [len(f[0]) for f in found]
+            rest = [pa.array(np.repeat(np.array([f[i] for f in found], np.int64), lengths)) for i in (1, 2, 3)]
+            keys = np.concatenate([f[0] for f in found]).view(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(keys), *rest], names=["key", "side", "node", "component"])
+
+        found, total = [], 0
+        for batch in batches:
+            for node, component, n, tokens in zip(*[batch.column(i) for i in range(4)]):
+                node, component, n = node.as_py(), component.as_py(), n.as_py()
+                tokens = tokens.values.to_numpy().view(np.uint64)
+                least, most = int(np.ceil(similar * n - 1e-6)), int(n / similar + 1e-6)
+                own, low, high = np.searchsorted(lowest, [n, max(least, 1), most], "right") - 1
+                for other in range(low, high + 1):
+                    common = int(np.ceil(similar / (1 + similar) * (n + max(least, int(lowest[other]))) - 1e-6))
+                    front = tokens[: max(0, len(tokens) + 1 - common)]
+                    if not len(front):
+                        continue
+                    pair = np.uint64(min(own, other) * len(lowest) + max(own, other))
+                    keys = _mix(front * _M + pair)
+                    for side in (0, 1) if own == other else (int(own > other),):
+                        found.append((keys, side, node, component))
+                        total += len(keys)
+                if total > 200_000:
+                    yield table(found)
+                    found, total = [], 0
+        if found:
+            yield table(found)
+
+    def crossed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x, y in zip(batch.column(0), batch.column(1)):
+                (a, of_a), (b, of_b) = ([s.values.field(i).to_numpy() for i in (0, 1)] for s in (x, y))
+                i, j = np.nonzero(of_a[:, None] != of_b[None, :])
+                first, second = np.minimum(a[i], b[j]), np.maximum(a[i], b[j])
+                yield pa.RecordBatch.from_arrays([pa.array(first), pa.array(second)], names=["a", "b"])
+
+    held = rows.join(texts, "node").select("node", "component", "text").mapInArrow(
+        cut, "node long, component long, n long, tokens array<long>")
+    held = stored(held, "shingles")
+    each = held.select("node", "component", "n", F.explode("tokens").alias("token"))
+    spread = [F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("holders")]
+    shared = stored(each.groupBy("token").agg(*spread).where("x != y").select("token", "holders"), "shared")
+    ranked = each.join(shared, "token").groupBy("node", "component", "n").agg(
+        F.array_sort(F.collect_list(F.struct("holders", "token")))["token"].alias("tokens"))
+    fronts = ranked.mapInArrow(prefixes, "key long, side long, node long, component long")
+    fronts = stored(fronts, "fronts")
+    sides = [F.min("side").alias("s"), F.max("side").alias("t")]
+    keys = fronts.groupBy("key").agg(*spread, *sides).where("x != y and s != t").select("key", "holders")
+    salt = F.pmod(F.xxhash64("node"), F.ceil(F.col("holders") / BLOCK)).alias("salt")
+    blocks = fronts.join(stored(keys, "keys"), "key").groupBy("key", "side", salt).agg(
+        F.collect_list(F.struct("node", "component")).alias("held"))
+    blocks = stored(blocks, "blocks")
+    left = blocks.where("side = 0").select("key", F.col("held").alias("x"))
+    right = blocks.where("side = 1").select("key", F.col("held").alias("y"))
+    return _agreeing(left.join(right, "key").select("x", "y").mapInArrow(crossed, "a long, b long"), nodes)
+
+
 def verify(pairs: DataFrame, texts: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """The pairs whose texts have at least the weighted Jaccard similarity ``similar``."""
 
@@ -316,6 +419,12 @@ def components(edges: DataFrame) -> DataFrame:
             return found
 
 
+def _followed(labels: DataFrame, further: DataFrame) -> DataFrame:
+    """``labels`` with each component replaced by what ``further`` makes of it."""
+    jump = further.select(F.col("node").alias("component"), F.col("component").alias("further"))
+    return labels.join(jump, "component", "left").select("node", F.coalesce("further", "component").alias("component"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:
     """``id`` and ``class_id``, the smallest id of its class, once for every row of ``docs``.
 
@@ -342,10 +451,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = verify(further_candidates(large, own, first), texts, similar).select("a", "b")
     twice = members.where("id != node").select(F.col("node").alias("a"), F.col("id").alias("b"))
     twice = twice.join(own.select(F.col("node").alias("b")), "b", "left_semi").select("a", "b").distinct()
-    second = components(_relabelled(more.unionByName(twice), first))
-    second = second.select(F.col("node").alias("component"), F.col("component").alias("further"))
-    labelled = members.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    return labelled.join(second, "component", "left").select("id", F.coalesce("further", "component").alias("class_id"))
+    labels = own.select("node").join(first, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    labels = stored(_followed(labels, components(_relabelled(more.unionByName(twice), first))), "labels")
+    left = unresolved(large, labels)
+    if not left.isEmpty():
+        last = verify(remaining_candidates(left, texts, own, similar), texts, similar).select("a", "b")
+        labels = _followed(labels, components(_relabelled(last, labels)))
+    return members.join(labels, "node").select("id", F.col("component").alias("class_id"))
 
 
 def classes(docs: DataFrame) -> DataFrame:

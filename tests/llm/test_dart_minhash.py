@@ -105,3 +105,27 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(500, 600)], "a long, b long")
     got = dict(map(tuple, dm.components(edges).collect()))
     assert got == {**{i: 0 for i in range(101)}, 500: 500, 600: 500}
+
+
+def template_group(groups, background, pair, words=400, seed=3):
+    """Texts of one template, two by two: all alike by about ``background``, the two of a pair by ``pair``.
+
+    Words changed at the end break as many shingles as words, so a share of u changed words of n leaves
+    a similarity of (1 - u) / (1 + u)."""
+    rng = np.random.default_rng(seed)
+    base = prose(seed, words).split()
+    own, both = ((1 - s) / (1 + s) for s in (pair, background))
+    rows = []
+    for g in range(groups):
+        for k in range(2):
+            tail = [f"g{g}x{i}" for i in range(int(words * (both - own)))] + [f"g{g}k{k}y{i}" for i in range(int(words * own) - 4)]
+            rows.append((len(rows), " ".join(base[: words - len(tail)] + tail)))
+    return [rows[i] for i in rng.permutation(len(rows))]
+
+
+def test_pairs_in_large_buckets_of_a_template(spark):
+    rows = template_group(150, 0.75, 0.81)
+    sets = dict((i, dm.shingle_weights(dm.words_of(t))) for i, t in rows)
+    assert 0.7 < dm.weighted_jaccard(sets[0], sets[2]) < 0.8 <= dm.weighted_jaccard(sets[0], sets[1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert found(docs) == sorted((i, i - i % 2) for i, _ in rows)
