@@ -123,13 +123,13 @@ def bands_of(signature: np.ndarray) -> np.ndarray:
 
 
 def sign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, 128-bit digest of its words (of its text if it has none), hashes of the bands and one
-    byte of each coordinate. A text without words has no bands."""
+    """Per row: id, hash of the text, 128-bit digest of its words (of its text if it has none), hashes of the
+    bands and one byte of each coordinate. A text without words has no bands."""
 
     def signed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for id_, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for id_, th, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 text = text.as_py()
                 words = words_of(text)
                 raw = " ".join(words) if words else "\n" + text
@@ -137,15 +137,16 @@ def sign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                 high, low = np.frombuffer(key, np.int64).tolist()
                 signature = darts(*shingle_weights(words)) if words else None
                 rows.append((
-                    id_, high, low, bands_of(signature).tolist() if words else [],
+                    id_, th, high, low, bands_of(signature).tolist() if words else [],
                     (signature >> np.uint64(56)).astype(np.uint8).tobytes() if words else b""))
-            columns = list(zip(*rows)) or [[]] * 5
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+            columns = list(zip(*rows)) or [[]] * 6
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)], names=["id", "k1", "k2", "bands", "sig"])
+                [pa.array(c, t) for c, t in zip(columns, types)], names=["id", "th", "k1", "k2", "bands", "sig"])
 
-    rows = docs.select(id_key(id_col).alias("id"), whole_text(text_col).alias("text"))
-    return rows.mapInArrow(signed, "id long, k1 long, k2 long, bands array<long>, sig binary")
+    text = whole_text(text_col)
+    rows = docs.select(id_key(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    return rows.mapInArrow(signed, "id long, th long, k1 long, k2 long, bands array<long>, sig binary")
 
 
 # --- candidates -------------------------------------------------------------------
@@ -428,36 +429,40 @@ def _followed(labels: DataFrame, further: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:
     """``id`` and ``class_id``, the smallest id of its class, once for every row of ``docs``.
 
-    A class is what links of similarity ``similar`` or more connect. Documents with the same words are
-    one node of the graph, so copies cost one row each. Texts without words are alike only if equal;
+    A class is what links of similarity ``similar`` or more connect. Each distinct text is a node of the
+    graph, whatever its ids: documents with the same words cost one row each. Texts without words are alike only if equal;
     NULL counts as empty. A NULL id counts as the smallest id; rows that repeat an id are one document.
     An empty table gives an empty table. Other columns are not read.
     """
     signed = stored(sign(docs, id_col, text_col), "signatures")
-    nodes = stored(
-        signed.groupBy("k1", "k2").agg(F.min("id").alias("node"), F.first("bands").alias("bands"), F.first("sig").alias("sig")),
+    own = stored(
+        signed.groupBy("k1", "k2").agg(
+            F.min(F.struct("id", "th")).alias("source"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+        .select(F.monotonically_increasing_id().alias("node"), "k1", "k2", "source.id", "source.th", "bands", "sig"),
         "nodes")
-    members = signed.select("id", "k1", "k2").join(nodes.select("k1", "k2", "node"), ["k1", "k2"]).select("id", "node")
-    # a repeated id may stand in several classes of equal words; it joins them
-    own = nodes.groupBy("node").agg(F.first("bands").alias("bands"), F.first("sig").alias("sig"))
-    own = stored(own, "own")
+    members = stored(signed.select("id", "k1", "k2").join(own.select("k1", "k2", "node"), ["k1", "k2"]).select("id", "node"), "members")
     pairs, large = candidates(own)
     involved = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
     involved = stored(involved.unionByName(large.select("node")).distinct(), "involved")
-    texts = docs.select(id_key(id_col).alias("node"), whole_text(text_col).alias("text")).join(involved, "node")
+    rows = docs.select(id_key(id_col).alias("id"), whole_text(text_col).alias("text")).withColumn("th", F.xxhash64("text"))
+    texts = rows.join(own.select("node", "id", "th").join(involved, "node"), ["id", "th"]).select("node", "text")
     texts = stored(texts.groupBy("node").agg(F.min("text").alias("text")), "texts")
     edges = stored(verify(pairs, texts, similar).select("a", "b"), "links")
     first = components(edges)
     more = verify(further_candidates(large, own, first), texts, similar).select("a", "b")
-    twice = members.where("id != node").select(F.col("node").alias("a"), F.col("id").alias("b"))
-    twice = twice.join(own.select(F.col("node").alias("b")), "b", "left_semi").select("a", "b").distinct()
+    # a repeated id may stand in several nodes; it joins them
+    several = members.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a != b")
+    twice = members.join(stored(several.select("id", "a"), "repeated"), "id").select("a", F.col("node").alias("b")).where("a != b").distinct()
     labels = own.select("node").join(first, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
     labels = stored(_followed(labels, components(_relabelled(more.unionByName(twice), first))), "labels")
     left = unresolved(large, labels)
     if not left.isEmpty():
         last = verify(remaining_candidates(left, texts, own, similar), texts, similar).select("a", "b")
         labels = _followed(labels, components(_relabelled(last, labels)))
-    return members.join(labels, "node").select("id", F.col("component").alias("class_id"))
+    labels = stored(labels.join(own.select("node", "id"), "node"), "labels")
+    named = labels.groupBy("component").agg(F.min("id").alias("class_id"))
+    named = stored(labels.join(stored(named, "named"), "component").select("node", "class_id"), "classes")
+    return members.join(named, "node").select("id", "class_id")
 
 
 def classes(docs: DataFrame) -> DataFrame:

@@ -129,3 +129,14 @@ def test_pairs_in_large_buckets_of_a_template(spark):
     assert 0.7 < dm.weighted_jaccard(sets[0], sets[2]) < 0.8 <= dm.weighted_jaccard(sets[0], sets[1])
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert found(docs) == sorted((i, i - i % 2) for i, _ in rows)
+
+
+def test_texts_of_repeated_and_null_ids_keep_their_links(spark):
+    a, b, c = "aaa " + prose(21, 120), prose(22, 120), prose(23, 120)
+    rows = [(1, a), (1, b), (2, b), (3, changed(b, [60]))]
+    rows += [(10, prose(24, 120)), (10, c), (11, changed(c, [50])), (12, changed(c, [90]))]
+    assert a < b
+    assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == exact_classes(rows)
+    rows = [(None, prose(30 + i, 100)) for i in range(6)] + [(20 + i, changed(prose(30 + i, 100), [40])) for i in range(6)] + [(40, prose(40, 100))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert found(docs) == exact_classes([(dm.NO_ID if i is None else i, t) for i, t in rows])
