@@ -1,8 +1,8 @@
 """Benchmark decontamination by SimHash windows, in SQL expressions alone.
 
-A window has the size of a benchmark item and lies where one of the item's shingles stands in a
-document, shifted by the shingle's place in the item. A window as similar as asked for holds at least
-one of the item's shingles, so windows elsewhere need no look. Windows and items have 64-bit SimHashes;
+A window has the size of a benchmark item and starts at any word from where it holds as many of the
+item's shingles as the similarity asked for needs; other windows cannot reach it. Windows and items have
+64-bit SimHashes;
 blocks of bits, one more than the radius, find all pairs within the radius. Exact weighted similarity of
 the shingles decides.
 """
@@ -81,6 +81,24 @@ def weighted_similarity(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))
 
 
+def window_starts(places: Column, length: Column, n: Column, k: Column, similar: float) -> Column:
+    """All starts of windows of ``n`` words that hold enough of an item's shingles, which stand at
+    ``places``, in order, of a document of ``length`` words. Sets of m and w shingles of the similarity
+    have similar / (1 + similar) * (m + w) in common."""
+    last = n - k
+    need = F.ceil((last + 1 + F.least(last, length - k) + 1) * (similar / (1 + similar)) - 1e-6).cast("int")
+
+    def starts(need: Column) -> Column:
+        # so many places in a row lie in the windows from the last one's distance to the first one
+        low = lambda i: F.get(places, i + need - 1) - last
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(places) - need), lambda i: _let(
+            F.greatest(low(i), F.coalesce(F.get(places, i - 1) + 1, low(i))),
+            lambda lo: F.when(lo <= F.get(places, i), F.sequence(lo, F.get(places, i))).otherwise(F.array().cast("array<int>")))))
+
+    inside = lambda at: F.greatest(F.lit(0), F.least(at, length - n))
+    return _let(need, lambda c: F.when(F.size(places) >= c, F.array_distinct(F.transform(starts(c), inside))))
+
+
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
     """The items with their shingles and SimHash, stored; items without words match nothing."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), word_hashes(whole_text()).alias("words"))
@@ -106,32 +124,36 @@ def leaks(
     item id stays NULL; repeated rows give one row. Other columns are not read.
 
     The items are written first, so Spark knows their size: it sends a small table to all tasks and
-    then no shingle moves; a large one is joined by shuffle. The shingles found are written too, and
-    joined to the texts they stand in; windows carry hashes of their own words only and are written.
+    then no shingle moves; a large one is joined by shuffle. The starts that the shingles found
+    allow are written too and joined to the texts; windows carry hashes of their own words only and are written.
     """
     items = benchmark_items(benchmark)
     sizes = sorted(r["k"] for r in items.select("k").distinct().collect())  # at most five
     texts = docs.select(
         id_key(id_col).alias("id"), F.xxhash64(whole_text(text_col)).alias("th"), whole_text(text_col).alias("text"))
-    rows = texts.select("id", "th", word_hashes(F.col("text")).alias("words"))
+    rows = texts.select("id", "th", word_hashes(F.col("text")).alias("words")).withColumn("length", F.size("words"))
     hits = None
     for k in sizes:
         wanted = stored(
-            items.where(F.col("k") == k).select("item", "n", F.posexplode("hashes").alias("offset", "hash")), "shingles")
+            items.where(F.col("k") == k).select("item", "n", F.explode(F.array_distinct("hashes")).alias("hash")), "shingles")
         # the outer form: for the plain one Spark adds a filter on the array's size below, with the words
         # put into the lambda, where they would be split again for every shingle
-        runs = rows.select("id", "th", F.posexplode_outer(shingles(F.col("words"), k)).alias("pos", "hash"))
+        runs = rows.select("id", "th", "length", F.posexplode_outer(shingles(F.col("words"), k)).alias("pos", "hash"))
         placed = runs.join(wanted, "hash")
-        found = placed.select("id", "th", "item", "n", F.lit(k).alias("k"), (F.col("pos") - F.col("offset")).alias("shift"))
+        found = placed.select("id", "th", "length", "item", "n", F.lit(k).alias("k"), "pos")
         hits = found if hits is None else hits.unionByName(found)
     if hits is None:  # no item has a word
         nothing = "id long, th long, item_id long, similarity double, start int"
         return docs.sparkSession.createDataFrame([], nothing)
-    hits = stored(hits.distinct(), "hits")
-    held = texts.join(hits, ["id", "th"]).withColumn("words", word_hashes(F.col("text")))
-    start = F.greatest(F.lit(0), F.least("shift", F.size("words") - F.col("n")))
-    windows = held.select(
-        "id", "th", "item", "k", start.alias("start"), F.slice("words", start + 1, F.col("n")).alias("words")).distinct()
+    hits = hits.groupBy("id", "th", "length", "item", "n", "k").agg(F.sort_array(F.collect_set("pos")).alias("places"))
+    # fewer places than this share of the item's are enough nowhere
+    hits = hits.where(F.size("places") >= similar * (F.col("n") - F.col("k") + 1) - 1e-6)
+    starts = window_starts(F.col("places"), F.col("length"), F.col("n"), F.col("k"), similar)
+    hits = stored(hits.select("id", "th", "item", "n", "k", starts.alias("starts")), "hits")
+    held = texts.join(hits.where("size(starts) > 0"), ["id", "th"]).withColumn("words", word_hashes(F.col("text")))
+    windows = held.select("id", "th", "item", "n", "k", "words", F.explode("starts").alias("start"))
+    windows = windows.select(
+        "id", "th", "item", "k", "start", F.slice("words", F.col("start") + 1, F.col("n")).alias("words")).distinct()
     windows = windows.select("id", "th", "item", "start", sized_shingles(F.col("words"), F.col("k")).alias("hashes"))
     # written too: else Spark tests the codes for NULL below the join above, spelled out down to the text
     coded = stored(windows.withColumn("code", simhash(F.col("hashes"))), "windows")

@@ -116,3 +116,17 @@ def test_no_python_in_the_plan(spark, odd_docs):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     plan = dc.leaked_pairs(odd_docs, items)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_insertions_with_cut_ends_equal_brute_force(spark):
+    """Passages with words cut at both ends and others put in the middle: no shingle's shift is the best start."""
+    items, docs = [], []
+    for j, (n, cut, added) in enumerate([(100, 2, 5), (150, 2, 11), (300, 2, 27), (100, 1, 7), (150, 3, 8), (60, 2, 2)]):
+        item = " ".join(f"{w}{j}n{i}" for i, w in enumerate(prose(400 + j, n).split()))
+        words = item.split()[cut : n - cut]
+        middle = len(words) // 2
+        words[middle:middle] = [f"new{i}" for i in range(added)]
+        items.append((j, item))
+        docs.append((j, prose(500 + j, 37) + " " + " ".join(words) + " " + prose(600 + j, 41)))
+    assert len(brute(docs, items)) >= 3
+    assert found(spark, docs, items) == brute(docs, items)
