@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from fleetspark.llm import dart_minhash, decontaminate, language_mix, lattice_lm, line_dedup, packing, quality, sharding, syncmers, templates
+from fleetspark.llm import (
+    byte_bpe, dart_minhash, decontaminate, language_mix, lattice_lm, line_dedup, packing, quality, sharding, syncmers, templates,
+)
 
 
 def read(spark, sf_dir: str, table: str):
@@ -27,6 +29,7 @@ QUERIES = {
     "op9_simhash_windows": lambda spark, sf_dir: decontaminate.leaked_pairs(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")),
     "op10_line_dedup": on_documents(line_dedup.line_digests),
+    "op11_overlapping_bpe": on_documents(byte_bpe.round_trips),
     "pipeline": corpus_pipeline.run,
 }
 
