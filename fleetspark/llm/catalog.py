@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import corpus_pipeline
 from fleetspark.llm import (
-    byte_bpe, dart_minhash, decontaminate, language_mix, lattice_lm, line_dedup, packing, quality, sharding, syncmers, templates,
+    byte_bpe, dart_minhash, decontaminate, divergence, language_mix, lattice_lm, line_dedup, packing, quality, sharding, syncmers,
+    templates, vector_codes,
 )
 
 
@@ -30,7 +31,11 @@ QUERIES = {
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")),
     "op10_line_dedup": on_documents(line_dedup.line_digests),
     "op11_overlapping_bpe": on_documents(byte_bpe.round_trips),
+    "op12_sequency_codes": lambda spark, sf_dir: vector_codes.compress(read(spark, sf_dir, "embeddings")),
+    "op13_count_cells": on_documents(divergence.audit),
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE = {"op10_line_dedup": line_dedup.ORACLE}
+ORACLE = {
+    "op10_line_dedup": line_dedup.ORACLE, "op12_sequency_codes": vector_codes.ORACLE, "op13_count_cells": divergence.ORACLE,
+}
