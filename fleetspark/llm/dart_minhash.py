@@ -21,16 +21,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from fleetspark.llm.common import NO_ID, id_key, ship, stored, whole_text
 
 SHINGLE, SIMILAR = 5, 0.8
-#: of two documents with similarity 0.8, 0.7 of a million pairs miss all bands
+#: of a million pairs of similarity 0.8, seven miss all bands: (1 - 0.8^5)^30
 BANDS, ROWS = 30, 5
 COORDINATES = BANDS * ROWS
 #: buckets up to this size try all their pairs; larger ones try so many centres, then split by the next band
 SMALL, CENTRES, LEVELS = 8, 3, 3
 #: for documents whose large buckets mostly hold documents of another class: further partners per bucket
 PARTNERS = 4
-#: what is still apart is joined on its rarest shingles; documents of sizes within this factor go together,
-#: and a shingle of many documents is cut into blocks of about so many
-SIZES, BLOCK = 1.03, 256
+#: what is still apart is joined on its rarest shingles. Documents of one class and of sizes within this factor are a
+#: unit, split where they have more than so many shingles; a shingle of many units is cut into blocks of about so many
+SIZES, MASS, BLOCK = 1.03, 20_000, 256
+UNIT = ["component", "size", "salt"]
 #: coordinates that must agree before texts are compared: five standard deviations below 0.8
 AGREE = int(COORDINATES * SIMILAR - 5 * (COORDINATES * SIMILAR * (1 - SIMILAR)) ** 0.5)
 _WORD = re.compile(r"[^\W_]+")
@@ -270,14 +271,17 @@ def _size_classes() -> np.ndarray:
     return np.array(out)
 
 
-def remaining_candidates(rows: DataFrame, texts: DataFrame, nodes: DataFrame, similar: float) -> DataFrame:
-    """All pairs of ``rows`` (``node, component``) of different components that can be as similar as asked for
-    and agree in enough coordinates, by an exact prefix join.
+def _least_common(n: int, m: int, similar: float) -> int:
+    """How many shingles two documents of n and m of them must share to be as similar."""
+    return int(np.ceil(similar / (1 + similar) * (n + m) - 1e-6))
 
-    Two texts of n and m shingles have at least similar / (1 + similar) * (n + m) in common, so the first
-    common one, in any order of all shingles, stands that near the front of both. Shingles of one component
-    come first and need no join, then the rare ones: what a whole template shares comes last. The place
-    depends on both sizes, so a shingle is joined per pair of size classes.
+
+def _units(rows: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The documents of ``rows`` (``node, component``) with ``tokens``, and the units they make up by
+    ``component, size, salt``: ``unit, nodes, node`` (its first), ``least`` and ``most`` shingles, and the ``tokens`` of them all.
+
+    A unit is part of one class, of documents of about one size. Its shingles are put together in the task that reads
+    the texts, so a class of near copies is a few rows whatever their number.
     """
     lowest = _size_classes()
 
@@ -286,33 +290,88 @@ def remaining_candidates(rows: DataFrame, texts: DataFrame, nodes: DataFrame, si
             for part in range(0, batch.num_rows, 200):
                 some = batch.slice(part, 200)
                 found = [numbered(*shingle_weights(words_of(t.as_py()))).view(np.int64) for t in some.column(2)]
+                lengths = np.array([len(f) for f in found], np.int64)
+                size = np.searchsorted(lowest, lengths, "right") - 1
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0), some.column(1), pa.array(map(len, found), pa.int64()), pa.array(found, pa.list_(pa.int64()))],
-                    names=["node", "component", "n", "tokens"])
+                    [some.column(0), some.column(1), pa.array(size), pa.array(lengths), pa.array(found, pa.list_(pa.int64()))],
+                    names=["node", "component", "size", "n", "tokens"])
+
+    def merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """``component, size, salt, nodes, node, least, most, tokens`` of the units as far as this task has them."""
+        held: dict = {}
+        total = 0
+
+        def table() -> pa.RecordBatch:
+            rows = [(*key, *values[:4], np.fromiter(values[4], np.int64, len(values[4]))) for key, values in held.items()]
+            columns = list(zip(*rows))
+            types = [pa.int64()] * 7 + [pa.list_(pa.int64())]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, types)],
+                names=["component", "size", "salt", "nodes", "node", "least", "most", "tokens"])
+
+        for batch in batches:
+            keys = zip(*(batch.column(i).to_pylist() for i in range(5)))
+            for (component, size, salt, node, n), tokens in zip(keys, batch.column(5)):
+                unit = held.setdefault((component, size, salt), [0, node, n, n, set()])
+                unit[:4] = unit[0] + 1, min(unit[1], node), min(unit[2], n), max(unit[3], n)
+                before = len(unit[4])
+                unit[4].update(tokens.values.to_numpy().tolist())
+                total += len(unit[4]) - before
+                if total > 1_000_000:
+                    yield table()
+                    held.clear()
+                    total = 0
+        if held:
+            yield table()
+
+    held = rows.join(texts, "node").select("node", "component", "text").mapInArrow(
+        cut, "node long, component long, size long, n long, tokens array<long>")
+    held = stored(held, "shingles")
+    salts = held.groupBy("component", "size").agg(F.ceil(F.sum("n") / MASS).alias("salts"))
+    salt = F.pmod(F.xxhash64("node"), F.greatest("salts", F.lit(1))).alias("salt")
+    salted = held.join(stored(salts, "salts"), ["component", "size"]).select("component", "size", salt, "node", "n", "tokens")
+    parts = salted.mapInArrow(
+        merged, "component long, size long, salt long, nodes long, node long, least long, most long, tokens array<long>")
+    # a unit has at most MASS shingles, or those of a few documents
+    units = parts.groupBy(*UNIT).agg(
+        F.sum("nodes").alias("nodes"), F.min("node").alias("node"), F.min("least").alias("least"), F.max("most").alias("most"),
+        F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("tokens"))
+    return salted, stored(units.select(F.monotonically_increasing_id().alias("unit"), "*"), "units")
+
+
+def _unit_pairs(units: DataFrame, similar: float) -> DataFrame:
+    """Pairs ``a < b`` of units of different classes that may hold documents as similar as asked for, by an exact
+    prefix join.
+
+    Two texts of n and m shingles have at least similar / (1 + similar) * (n + m) in common, so the first
+    common one, in any order of all shingles, stands that near the front of both units. Shingles of one class need no
+    join; of the others the rare ones come first: what a whole template shares comes last. The place
+    depends on both sizes, so a shingle is joined per pair of size classes.
+    """
+    lowest = _size_classes()
 
     def prefixes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def table(found: list) -> pa.RecordBatch:
             lengths = [len(f[0]) for f in found]
             rest = [pa.array(np.repeat(np.array([f[i] for f in found], np.int64), lengths)) for i in (1, 2, 3)]
             keys = np.concatenate([f[0] for f in found]).view(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(keys), *rest], names=["key", "side", "node", "component"])
+            return pa.RecordBatch.from_arrays([pa.array(keys), *rest], names=["key", "side", "unit", "component"])
 
         found, total = [], 0
         for batch in batches:
-            for node, component, n, tokens in zip(*[batch.column(i) for i in range(4)]):
-                node, component, n = node.as_py(), component.as_py(), n.as_py()
+            for unit, component, low, high, tokens in zip(*(batch.column(i).to_pylist() for i in range(4)), batch.column(4)):
                 tokens = tokens.values.to_numpy().view(np.uint64)
-                least, most = int(np.ceil(similar * n - 1e-6)), int(n / similar + 1e-6)
-                own, low, high = np.searchsorted(lowest, [n, max(least, 1), most], "right") - 1
-                for other in range(low, high + 1):
-                    common = int(np.ceil(similar / (1 + similar) * (n + max(least, int(lowest[other]))) - 1e-6))
+                least, most = int(np.ceil(similar * low - 1e-6)), int(high / similar + 1e-6)
+                own, first, last = np.searchsorted(lowest, [low, max(least, 1), most], "right") - 1
+                for other in range(first, last + 1):
+                    common = _least_common(low, max(least, int(lowest[other])), similar)
                     front = tokens[: max(0, len(tokens) + 1 - common)]
                     if not len(front):
                         continue
                     pair = np.uint64(min(own, other) * len(lowest) + max(own, other))
                     keys = _mix(front * _M + pair)
                     for side in (0, 1) if own == other else (int(own > other),):
-                        found.append((keys, side, node, component))
+                        found.append((keys, side, unit, component))
                         total += len(keys)
                 if total > 200_000:
                     yield table(found)
@@ -328,25 +387,98 @@ def remaining_candidates(rows: DataFrame, texts: DataFrame, nodes: DataFrame, si
                 first, second = np.minimum(a[i], b[j]), np.maximum(a[i], b[j])
                 yield pa.RecordBatch.from_arrays([pa.array(first), pa.array(second)], names=["a", "b"])
 
-    held = rows.join(texts, "node").select("node", "component", "text").mapInArrow(
-        cut, "node long, component long, n long, tokens array<long>")
-    held = stored(held, "shingles")
-    each = held.select("node", "component", "n", F.explode("tokens").alias("token"))
+    each = units.select("unit", "component", "least", "most", F.explode("tokens").alias("token"))
     spread = [F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("holders")]
     shared = stored(each.groupBy("token").agg(*spread).where("x != y").select("token", "holders"), "shared")
-    ranked = each.join(shared, "token").groupBy("node", "component", "n").agg(
+    ranked = each.join(shared, "token").groupBy("unit", "component", "least", "most").agg(
         F.array_sort(F.collect_list(F.struct("holders", "token")))["token"].alias("tokens"))
-    fronts = ranked.mapInArrow(prefixes, "key long, side long, node long, component long")
-    fronts = stored(fronts, "fronts")
+    fronts = stored(ranked.mapInArrow(prefixes, "key long, side long, unit long, component long"), "fronts")
     sides = [F.min("side").alias("s"), F.max("side").alias("t")]
     keys = fronts.groupBy("key").agg(*spread, *sides).where("x != y and s != t").select("key", "holders")
-    salt = F.pmod(F.xxhash64("node"), F.ceil(F.col("holders") / BLOCK)).alias("salt")
+    salt = F.pmod(F.xxhash64("unit"), F.ceil(F.col("holders") / BLOCK)).alias("salt")
     blocks = fronts.join(stored(keys, "keys"), "key").groupBy("key", "side", salt).agg(
-        F.collect_list(F.struct("node", "component")).alias("held"))
+        F.collect_list(F.struct("unit", "component")).alias("held"))
     blocks = stored(blocks, "blocks")
     left = blocks.where("side = 0").select("key", F.col("held").alias("x"))
     right = blocks.where("side = 1").select("key", F.col("held").alias("y"))
-    return _agreeing(left.join(right, "key").select("x", "y").mapInArrow(crossed, "a long, b long"), nodes)
+    return left.join(right, "key").select("x", "y").mapInArrow(crossed, "a long, b long").distinct()
+
+
+def _first_link(x: list[np.ndarray], y: list[np.ndarray], similar: float) -> tuple[int, int] | None:
+    """Places of two documents, shingles of each given, that are as similar as asked for; one such pair is
+    enough. Counts what one of the smaller side has in common with all of the other at once."""
+    swapped = len(x) > len(y)
+    few, many = (y, x) if swapped else (x, y)
+    lengths = np.array([len(m) for m in many])
+    tokens, owner = np.concatenate(many), np.repeat(np.arange(len(many)), lengths)
+    order = np.argsort(tokens, kind="stable")
+    tokens, owner = tokens[order], owner[order]
+    for i, own in enumerate(few):
+        start, end = np.searchsorted(tokens, own), np.searchsorted(tokens, own, "right")
+        reach = end - start
+        at = np.repeat(start - np.cumsum(reach) + reach, reach) + np.arange(reach.sum())
+        common = np.bincount(owner[at], minlength=len(many))
+        found = np.flatnonzero(common / (lengths + len(own) - common) >= similar)
+        if len(found):
+            return (int(found[0]), i) if swapped else (i, int(found[0]))
+    return None
+
+
+def _unit_links(pairs: DataFrame, documents: DataFrame, units: DataFrame, similar: float) -> DataFrame:
+    """One link ``a, b`` between nodes for each pair of units that has any. Members are brought together only for
+    pairs whose shingles, all taken together, have enough in common."""
+
+    def enough(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for n, m, x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4), batch.column(5)):
+                common = len(np.intersect1d(x.values.to_numpy(), y.values.to_numpy(), assume_unique=True))
+                keep.append(common >= _least_common(n, m, similar))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(i).filter(pa.array(keep, pa.bool_())) for i in (0, 1)], names=["a", "b"])
+
+    def linked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for pair in zip(batch.column(0), batch.column(1)):
+                (x, of_x), (y, of_y) = ([side.values.field(i) for i in (0, 1)] for side in pair)
+                sides = [[tokens.values.to_numpy() for tokens in side] for side in (of_x, of_y)]
+                if place := _first_link(*sides, similar):
+                    found.append((x[place[0]].as_py(), y[place[1]].as_py()))
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    kept = units.select("unit", "least", "tokens")
+    both = (
+        pairs.join(kept.withColumnsRenamed({"unit": "a", "least": "n", "tokens": "x"}), "a")
+        .join(kept.withColumnsRenamed({"unit": "b", "least": "m", "tokens": "y"}), "b")
+    )
+    near = stored(both.select("a", "b", "n", "m", "x", "y").mapInArrow(enough, "a long, b long"), "near-units")
+    wanted = near.select(F.col("a").alias("unit")).unionByName(near.select(F.col("b").alias("unit"))).distinct()
+    wanted = stored(units.select("unit", *UNIT).join(wanted, "unit"), "wanted-units")
+    held = documents.join(wanted, UNIT).groupBy("unit").agg(F.collect_list(F.struct("node", "tokens")).alias("held"))
+    held = stored(held, "unit-members")
+    both = (
+        near.join(held.withColumnsRenamed({"unit": "a", "held": "x"}), "a")
+        .join(held.withColumnsRenamed({"unit": "b", "held": "y"}), "b")
+    )
+    return both.select("x", "y").mapInArrow(linked, "a long, b long")
+
+
+def remaining_links(rows: DataFrame, texts: DataFrame, nodes: DataFrame, similar: float) -> DataFrame:
+    """Links between different classes of ``rows`` (``node, component``) that connect all of them that any link
+    of the similarity does. Work goes by units of a class; only what may be linked comes back as documents."""
+    documents, units = _units(rows, texts)
+    pairs = stored(_unit_pairs(units, similar), "unit-pairs")
+    single = units.where("nodes = 1").select("unit", "node")
+    alone = (
+        pairs.join(single.withColumnsRenamed({"unit": "a", "node": "x"}), "a", "left")
+        .join(single.withColumnsRenamed({"unit": "b", "node": "y"}), "b", "left")
+    )
+    alone = stored(alone, "unit-pairs")
+    singles = alone.where("x IS NOT NULL AND y IS NOT NULL").select(*_ordered("x", "y"))
+    links = verify(_agreeing(singles, nodes), texts, similar).select("a", "b")
+    several = alone.where("x IS NULL OR y IS NULL").select("a", "b")
+    return links.unionByName(_unit_links(several, documents, units, similar))
 
 
 def verify(pairs: DataFrame, texts: DataFrame, similar: float = SIMILAR) -> DataFrame:
@@ -426,21 +558,17 @@ def _followed(labels: DataFrame, further: DataFrame) -> DataFrame:
     return labels.join(jump, "component", "left").select("node", F.coalesce("further", "component").alias("component"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:
-    """``id`` and ``class_id``, the smallest id of its class, once for every row of ``docs``.
-
-    A class is what links of similarity ``similar`` or more connect. Each distinct text is a node of the
-    graph, whatever its ids: documents with the same words cost one row each. Texts without words are alike only if equal;
-    NULL counts as empty. A NULL id counts as the smallest id; rows that repeat an id are one document.
-    An empty table gives an empty table. Other columns are not read.
-    """
+def _classes(docs: DataFrame, id_col: str, text_col: str, similar: float) -> DataFrame:
+    """``id, th, class_id, first``, once for every row of ``docs``: the smallest id of its class, NO_ID
+    if none has an id, and whether the row stands for its class (copies of it under the same id do, too)."""
     signed = stored(sign(docs, id_col, text_col), "signatures")
+    # rows without an id come last, so they name a class only among themselves
+    place = F.struct(F.col("id") == NO_ID, "id", "th")
     own = stored(
         signed.groupBy("k1", "k2").agg(
-            F.min(F.struct("id", "th")).alias("source"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+            F.min(place).alias("source"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
         .select(F.monotonically_increasing_id().alias("node"), "k1", "k2", "source.id", "source.th", "bands", "sig"),
         "nodes")
-    members = stored(signed.select("id", "k1", "k2").join(own.select("k1", "k2", "node"), ["k1", "k2"]).select("id", "node"), "members")
     pairs, large = candidates(own)
     involved = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
     involved = stored(involved.unionByName(large.select("node")).distinct(), "involved")
@@ -450,19 +578,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     edges = stored(verify(pairs, texts, similar).select("a", "b"), "links")
     first = components(edges)
     more = verify(further_candidates(large, own, first), texts, similar).select("a", "b")
-    # a repeated id may stand in several nodes; it joins them
-    several = members.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a != b")
-    twice = members.join(stored(several.select("id", "a"), "repeated"), "id").select("a", F.col("node").alias("b")).where("a != b").distinct()
     labels = own.select("node").join(first, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
-    labels = stored(_followed(labels, components(_relabelled(more.unionByName(twice), first))), "labels")
+    labels = stored(_followed(labels, components(_relabelled(more, first))), "labels")
     left = unresolved(large, labels)
     if not left.isEmpty():
-        last = verify(remaining_candidates(left, texts, own, similar), texts, similar).select("a", "b")
+        last = remaining_links(left, texts, own, similar)
         labels = _followed(labels, components(_relabelled(last, labels)))
-    labels = stored(labels.join(own.select("node", "id"), "node"), "labels")
-    named = labels.groupBy("component").agg(F.min("id").alias("class_id"))
-    named = stored(labels.join(stored(named, "named"), "component").select("node", "class_id"), "classes")
-    return members.join(named, "node").select("id", "class_id")
+    labels = stored(labels.join(own.select("node", "id", "th"), "node"), "labels")
+    named = labels.groupBy("component").agg(F.min(place).alias("named"))
+    named = labels.join(stored(named, "named"), "component").select("node", "named")
+    named = stored(named.join(own.select("node", "k1", "k2"), "node").drop("node"), "classes")
+    of_row = signed.select("id", "th", "k1", "k2").join(named, ["k1", "k2"])
+    is_first = (F.col("id") == F.col("named.id")) & (F.col("th") == F.col("named.th"))
+    return of_row.select("id", "th", F.col("named.id").alias("class_id"), is_first.alias("first"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:
+    """``id`` and ``class_id``, the smallest id of its class, once for every row of ``docs``.
+
+    A class is what links of similarity ``similar`` or more connect. Each distinct text is a node of the
+    graph, whatever its ids: documents with the same words cost one row each. Texts without words are alike only if equal;
+    NULL counts as empty. Rows without an id, or that repeat one, are documents of their own, each in the class of its
+    text; a class of rows without ids only has the id NO_ID. An empty table gives an empty table. Other columns are not read.
+    """
+    return _classes(docs, id_col, text_col, similar).select("id", "class_id")
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -472,10 +611,19 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, whose document is the first of its class."""
-    lost = near_duplicates(docs, id_col, text_col).where("id != class_id").select("id").distinct()
-    rows = docs.select(F.struct("*").alias("row"), id_key(id_col).alias("id"))
-    return rows.join(stored(lost, "lost"), "id", "left_anti").select("row.*")
+    """One row of ``docs``, all columns, of each class: that of the smallest id, and the first by its other
+    columns' hash of rows that repeat both id and text."""
+    found = stored(_classes(docs, id_col, text_col, SIMILAR), "keepers")
+    copies = found.where("first").groupBy("id", "th").agg(F.count(F.lit(1)).alias("copies"))
+    keepers = stored(copies, "firsts")
+    rows = docs.select(
+        F.struct("*").alias("row"), id_key(id_col).alias("id"), F.xxhash64(whole_text(text_col)).alias("th"), F.lit(1).alias("one"))
+    rows = rows.withColumn("mark", F.xxhash64(F.to_json(F.struct("row"))))
+    once = rows.join(keepers.where("copies = 1"), ["id", "th"], "left_semi")
+    # Spark cuts the ranking to one row per key in every task, before the shuffle
+    rank = F.row_number().over(Window.partitionBy("id", "th").orderBy("mark"))
+    again = rows.join(keepers.where("copies > 1"), ["id", "th"], "left_semi").withColumn("rank", rank).where("rank = 1")
+    return once.select("row.*").unionByName(again.select("row.*"))
 
 
 ship(__name__)

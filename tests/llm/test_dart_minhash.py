@@ -6,22 +6,23 @@ from tests.llm.conftest import prose
 
 
 def exact_classes(rows, similar=0.8):
-    """Smallest id of each row's class, by comparing all pairs."""
-    sets = [(i, t, dm.shingle_weights(dm.words_of(t))) for i, t in rows]
-    parent = {i: i for i, *_ in sets}
+    """Smallest id in the class of each row, by comparing all pairs of rows; ids link nothing."""
+    sets = [(t or "", dm.shingle_weights(dm.words_of(t))) for _, t in rows]
+    parent = list(range(len(rows)))
 
     def root(x):
         while parent[x] != x:
             x = parent[x]
         return x
 
-    for a, (i, s, x) in enumerate(sets):
-        for j, t, y in sets[:a]:
-            same = i == j or (s or "") == (t or "") or (len(x[0]) and len(y[0]) and dm.weighted_jaccard(x, y) >= similar)
-            if same:
-                u, v = sorted((root(i), root(j)))
-                parent[v] = u
-    return sorted((i, root(i)) for i, *_ in sets)
+    for i, (s, x) in enumerate(sets):
+        for j, (t, y) in enumerate(sets[:i]):
+            if s == t or (len(x[0]) and len(y[0]) and dm.weighted_jaccard(x, y) >= similar):
+                parent[root(i)] = root(j)
+    named = {}
+    for i, (id_, _) in enumerate(rows):
+        named[root(i)] = min(named.get(root(i), (True, 0)), (id_ == dm.NO_ID, id_))
+    return sorted((id_, named[root(i)][1]) for i, (id_, _) in enumerate(rows))
 
 
 def changed(text, places, word="changed"):
@@ -65,19 +66,30 @@ def test_odd_rows(odd_docs, odd_rows, no_docs):
     assert found(odd_docs) == exact_classes(rows)
     assert dm.near_duplicates(no_docs).collect() == []
     shown = {r.doc_id: r.class_id for r in dm.classes(odd_docs).collect()}
-    assert shown[6] == 1 and shown[2] == shown[3] and shown[5] == 5 and None in shown
+    assert shown[6] == 1 and shown[2] == shown[3] == 2 and shown[5] == 5 and None in shown
 
 
-def test_one_row_of_each_class_stays(odd_docs, odd_rows):
+def test_one_row_of_each_class_stays(odd_docs, odd_rows, no_docs):
     kept = dm.keep_one(odd_docs)
     assert kept.columns == odd_docs.columns
     ids = [r.doc_id for r in kept.collect()]
-    assert 1 in ids and 6 not in ids and 11 in ids and 12 not in ids
+    assert sorted(ids, key=str) == sorted([1, 2, 4, 5, 7, 8, None, 9, 10, 11, 13], key=str)
+    assert dm.keep_one(no_docs).collect() == []
 
 
-def test_repeated_ids_are_one_document(spark):
-    rows = [(1, prose(1)), (1, prose(2)), (2, prose(2)), (3, prose(3))]
-    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == [(1, 1), (1, 1), (2, 1), (3, 3)]
+def test_copies_under_one_id_or_none_leave_one_row(spark):
+    a, b = prose(61, 90), prose(62, 90)
+    rows = [(None, a, k) for k in range(9)] + [(5, b, k) for k in range(7)] + [(None, b, 7), (5, prose(63), 0), (None, prose(64), 0), (4, changed(b, [40]), 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, k int")
+    runs = [sorted(map(repr, dm.keep_one(docs.repartition(n)).collect())) for n in (3, 5)]
+    kept = dm.keep_one(docs).collect()
+    assert runs[0] == runs[1] == sorted(map(repr, kept))
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(0, a), (4, changed(b, [40])), (5, prose(63)), (0, prose(64))])
+
+
+def test_rows_of_one_id_are_documents_of_their_own(spark):
+    rows = [(1, prose(1)), (1, prose(2)), (2, prose(2)), (3, prose(3)), (3, prose(1))]
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == [(1, 1), (1, 1), (2, 1), (3, 1), (3, 3)]
 
 
 @pytest.mark.parametrize("overlap", [0.5, 0.8, 0.95])
@@ -140,3 +152,41 @@ def test_texts_of_repeated_and_null_ids_keep_their_links(spark):
     rows = [(None, prose(30 + i, 100)) for i in range(6)] + [(20 + i, changed(prose(30 + i, 100), [40])) for i in range(6)] + [(40, prose(40, 100))]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert found(docs) == exact_classes([(dm.NO_ID if i is None else i, t) for i, t in rows])
+
+
+def mixed_group():
+    """A settled group of near copies with outsiders: far ones, ones just below and just above the similarity, and a
+    second group that only one of its members links to."""
+    base = prose(70, 300).split()
+    cut = lambda n, mark: " ".join(base[: 300 - n] + [f"{mark}{i}" for i in range(n)])
+    rows = [(i, " ".join(base[: 290] + [f"n{i}x{j}" for j in range(10)])) for i in range(80)]
+    rows += [(200, cut(60, "far")), (201, cut(45, "below")), (202, cut(24, "above")), (203, prose(71, 300))]
+    rows += [(300 + i, " ".join(base[: 230] + [f"h{j}" for j in range(60)] + [f"m{i}x{j}" for j in range(10)])) for i in range(20)]
+    rows += [(400, " ".join(base[: 262] + [f"h{j}" for j in range(38)]))]
+    return rows
+
+
+def test_outsiders_of_a_settled_group(spark, monkeypatch):
+    rows = mixed_group()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = exact_classes(rows)
+    assert len({c for _, c in want}) >= 3
+    assert found(docs) == want
+    monkeypatch.setattr(dm, "MASS", 900)  # units of three documents
+    monkeypatch.setattr(dm, "BLOCK", 4)
+    assert found(docs) == want
+
+
+def test_unit_links_are_those_of_all_pairs(spark):
+    rows = mixed_group()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    nodes = docs.selectExpr("doc_id AS node", "text")
+    signed = dm.sign(docs).selectExpr("id AS node", "sig")
+    labels = nodes.selectExpr("node", "CASE WHEN node < 200 THEN 0 WHEN node BETWEEN 300 AND 399 THEN 300 ELSE node END AS component")
+    got = dm.remaining_links(labels, nodes, signed, 0.8).collect()
+    sets = {i: dm.shingle_weights(dm.words_of(t)) for i, t in rows}
+    part = {r.node: r.component for r in labels.collect()}
+    want = {tuple(sorted((part[i], part[j]))) for i in sets for j in sets
+            if part[i] < part[j] and dm.weighted_jaccard(sets[i], sets[j]) >= 0.8}
+    assert want and {tuple(sorted((part[r.a], part[r.b]))) for r in got} == want
+    assert all(dm.weighted_jaccard(sets[r.a], sets[r.b]) >= 0.8 for r in got)

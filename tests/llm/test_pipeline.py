@@ -77,7 +77,7 @@ def test_empty_tables(spark, table_dir, tmp_path):
 def test_entry_lists_the_queries():
     code = "import __spark_entry__ as e; print(*e.queries()); assert set(e.oracle_sql()) <= set(e.queries())"
     out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, check=True).stdout.split()
-    assert {x.split("_")[0] for x in QUERIES} == {*(f"op{n}" for n in range(1, 11)), "pipeline"}
+    assert {x.split("_")[0] for x in QUERIES} == {*(f"op{n}" for n in range(1, 14)), "pipeline"}
     assert set(QUERIES) <= set(out) and len(out) > 100 and "op10_line_dedup" in ORACLE
 
 
@@ -94,6 +94,15 @@ def test_entry_works_without_the_subpackage(tmp_path):
         assert out.returncode == 0, out.stderr
 
 
+def test_entry_fails_if_part_of_the_subpackage_is_lost(tmp_path):
+    import shutil
+
+    gone = shutil.ignore_patterns(".git", "corpus_pipeline.py", "__pycache__")
+    shutil.copytree(ROOT, tmp_path / "repo", ignore=gone)
+    out = subprocess.run([sys.executable, "-c", "import __spark_entry__"], cwd=tmp_path / "repo", capture_output=True, text=True)
+    assert out.returncode != 0 and "corpus_pipeline" in out.stderr
+
+
 def test_tasks_need_no_copy_of_the_package():
     """What is sent to the workers carries its own code."""
     from pyspark import cloudpickle
