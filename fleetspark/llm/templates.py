@@ -1,36 +1,40 @@
 """Main text of web pages by equivalence classes of template tokens.
 
-A token is an element with its path, or a block of text with its path. Tokens of one host that occur
-equally often on each of its pages form a class; classes that many pages share make up the host's
-template, nested as their paths are. A text in the same class as the element around it is part of the
-template: wherever the element stands, so does the text. What stands in the other slots is data, unless
+Pages of one host with the same kinds of elements have one shape. A token is an element with its path, or a
+block of text with its path. Tokens of one shape that occur equally often on each of its pages form a class, and
+classes nest as the elements do: a text in the class of the element around it, of the container around
+that, or of the whole page stands wherever that stands, so it is template. What stands in the other slots is data, unless
 a slot is a menu, a notice or another part around the article.
 
 Counts per page meet as sums of page hashes: tokens with equal sums have equal occurrence vectors. So
-a host of any size is summed up where its pages lie.
+a shape of any number of pages is summed up where its pages lie.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
 from hashlib import blake2b
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetspark.llm.common import ship, stored
 
-#: a class is part of the template if it is on so many pages and on this share of the host's pages
-LEAST_PAGES, LEAST_SHARE = 3, 0.2
-#: text in the class of its element is fixed if it is on so many pages
-FIXED_PAGES = 5
+#: a text is template if it is in a class on so many different pages of its shape; fewer prove nothing, as copies
+#: of one article agree too
+PAGES = 5
+#: inside articles, texts are template only if a shape's template texts make up at most this share of its articles:
+#: what repeats beyond that is the articles themselves
+SHARE = 0.2
 #: a slot is a menu if more than this share of its text is in links
 LINKS = 0.5
-#: paths are compared to this depth
-DEPTH = 40
+#: an element named like a part around the article is none if it holds the article or, on a page without a marked
+#: one, more than this share of the text; elements marked as main yield to articles that hold this share of their text
+MOST = 0.5
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
@@ -40,12 +44,14 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_MAIN = re.compile(r"(?:^|\s)(?:main|content|main-content|article|article-body|post-content|entry-content|story)(?:$|\s)", re.I)
+#: parts of a class or id that name what stands around an article, and those that show another sense (has-sidebar)
 _AROUND = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner\w*|menu\w*|nav|navbar|navigation|breadcrumbs?|sidebar\w*"
+    r"ad|ads|advert\w*|sponsor\w*|promo\w*|banner\w*|menu\w*|nav|navbar|navigation|breadcrumbs?|sidebar\w*"
     r"|footer|masthead|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|newsletter|subscribe|signup|login"
-    r"|share|sharing|social|related|recommend\w*|comments?|commentlist|replies|reply|respond|disqus|widgets?|toolbar"
-    r"|pagination|pager|skip|complementary|contentinfo|search|dialog)(?:$|[\s_-])", re.I)
-_MAIN = re.compile(r"(?:^|\s)(?:main|content|main-content|article|article-body|post-content|entry-content|story)(?:$|\s)", re.I)
+    r"|share|sharing|social|related|recommend\w*|widgets?|toolbar|pagination|pager|skip|complementary|contentinfo|search|dialog")
+_READERS = re.compile(r"comments?|commentlist|replies|reply|respond|disqus")
+_OTHER = {"has", "no", "non", "not", "with", "without", "free", "is", "result", "results", "enabled", "disabled"}
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BLOCKS = {
@@ -56,7 +62,9 @@ BLOCKS = {
 }
 #: elements that follow each other as rows do; of the others, the first, second, ... have roles of their own
 ROWS = {"p", "li", "dt", "dd", "tr", "td", "th", "option", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "br", "hr"}
-AROUND = {"aside", "button", "dialog", "fieldset", "footer", "form", "head", "label", "menu", "nav", "option"}
+#: parts around the article whatever they hold; the others only while they don't hold it
+AROUND = {"aside", "button", "dialog", "footer", "head", "label", "menu", "nav", "option"}
+SOFT = {"fieldset", "form", "header"}
 #: an element of these kinds ends an open one of the kinds named, up to the next container
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -65,36 +73,103 @@ ENDS = {
 }
 
 
-def blocks(page: str) -> tuple[list[tuple[str, str, int, int]], list[str]]:
-    """Blocks of text outside the parts around the article, as (path, text, characters in links, kind), kind being 2 inside
-    an article, 1 inside another element marked as main, else 0; and the paths of all elements."""
-    found: list[tuple[str, str, int, int]] = []
-    paths: list[str] = []
-    children: list[dict[str, int]] = [{}]  # of the open elements, how many of each path so far
-    stack: list[tuple[str, str, bool, int]] = [("", "", False, 0)]  # name, path, is around, kind
+# --- one page ---------------------------------------------------------------------
+
+
+@dataclass
+class Block:
+    """A block of text, the element it stands in and that one's nearest container, ``kind`` 2 inside an article, 1 inside
+    another element marked as main, else 0."""
+
+    text: str
+    path: int
+    container: int
+    linked: int
+    kind: int
+    inside: tuple[int, ...] = ()
+
+
+@dataclass
+class Page:
+    """Blocks outside the parts around the article, the paths of all elements, and the shape they make up."""
+
+    blocks: list[Block] = field(default_factory=list)
+    paths: list[int] = field(default_factory=list)
+    shape: int = 0
+
+
+def _signed(number: int) -> int:
+    return number - 2**64 if number >= 2**63 else number
+
+
+def step(parent: int, name: str) -> int:
+    """The path of an element: that of its parent and one step, hashed, so paths of any depth are one number."""
+    return _signed(xxhash.xxh64_intdigest(name, seed=parent % 2**64))
+
+
+def path_of(path: str) -> int:
+    """The number of a path such as ``/html/body/div.note``."""
+    out = 0
+    for name in path.strip("/").split("/"):
+        out = step(out, name)
+    return out
+
+
+def named_like(marks: list[str]) -> str:
+    """What the classes and ids of an element call it: "readers" for comments, "around", or nothing."""
+    found = ""
+    for mark in " ".join(marks).lower().split():
+        parts = [p for p in re.split(r"[-_]+", mark) if p]
+        if _OTHER.intersection(parts):
+            continue
+        if any(map(_READERS.fullmatch, parts)):
+            return "readers"
+        if any(map(_AROUND.fullmatch, parts)):
+            found = "around"
+    return found
+
+
+def parse(page: str) -> Page:
+    """Blocks and elements of a page. Elements that are open are known by their name, path, plain path (without
+    numbers), container, whether they are around the article, kind, and the doubtful elements they are in."""
+    out = Page()
+    shape: set[int] = set()
+    children: list[dict[int, int]] = [{}]  # of the open elements, how many of each path so far
+    stack: list[tuple] = [("", 0, 0, 0, False, 0, ())]
+    doubtful: list[list] = []  # of each doubtful element: characters in it, holds the article, is for readers
     parts: list[str] = []
     linked = 0
     links = 0
+    marked = False  # whether any element is an article or marked as main
 
     def end_block() -> None:
         nonlocal linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                found.append((stack[-1][1], text, min(linked, len(text)), stack[-1][3]))
+                _, path, _, container, _, kind, inside = stack[-1]
+                out.blocks.append(Block(text, path, container, min(linked, len(text)), kind, inside))
+                for k in inside:
+                    doubtful[k][0] += len(text)
+                    doubtful[k][1] |= kind > 0 and k < doubts_before[-1]
             parts.clear()
         linked = 0
 
+    doubts_before = [0]  # number of doubtful elements when the outermost article or main of the open ones began
+
+    def leave(at: int) -> None:
+        del stack[at:], children[at:], doubts_before[at:]
+
     def close(name: str) -> None:
         for at in range(len(stack) - 1, 0, -1):
             if stack[at][0] == name:
                 end_block()
-                del stack[at:], children[at:]
+                leave(at)
                 return
 
     def text(raw: str) -> None:
         nonlocal linked
-        if raw and not stack[-1][2]:
+        if raw and not stack[-1][4]:
             raw = html.unescape(raw) if "&" in raw else raw
             parts.append(raw)
             if links:
@@ -125,55 +200,78 @@ def blocks(page: str) -> tuple[list[tuple[str, str, int, int]], list[str]]:
             continue
         end_block()
         if stack[-1][0] == "p":  # no element of these kinds stands in a paragraph
-            del stack[-1], children[-1]
+            leave(len(stack) - 1)
         if name in ENDS:
             ended, bound = ENDS[name]
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] in bound:
                     break
                 if stack[k][0] in ended:
-                    del stack[k:], children[k:]
+                    leave(k)
                     break
         if name in VOID:
             continue
         marks = [m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)] if attributes else []
-        _, path, around, kind = stack[-1]
-        if name == "article":
-            kind = 2
+        _, parent, plain, container, around, kind, inside = stack[-1]
+        like = named_like(marks) if marks and name not in ("body", "html") else ""
+        before = doubts_before[-1] if kind else len(doubtful)
+        if name == "article" and like != "readers":
+            kind, like = 2, ""
         elif name == "main" or any(map(_MAIN.search, marks)):
-            kind = max(kind, 1)
-        around = (
-            around or name in AROUND or (name == "header" and not kind)
-            or (name not in ("body", "html") and any(map(_AROUND.search, marks)))
-        )
-        if len(stack) <= DEPTH:
-            path = f"{path}/{name}" + (f".{marks[0].split()[0]}" if marks and marks[0].split() else "")
-            if name not in ROWS:
-                children[-1][path] = nth = children[-1].get(path, 0) + 1
-                path += str(nth) if nth > 1 else ""
-        stack.append((name, path, around, kind))
+            kind, like = max(kind, 1), "" if like != "readers" else like
+        around, marked = around or name in AROUND, marked or kind > 0
+        if like or name in SOFT and not (name == "header" and kind):
+            inside = (*inside, len(doubtful))
+            doubtful.append([0, False, like == "readers"])
+        called = name + (f".{marks[0].split()[0]}" if marks and marks[0].split() else "")
+        plain, path = step(plain, called), step(parent, called)
+        if name not in ROWS:
+            children[-1][path] = nth = children[-1].get(path, 0) + 1
+            path = step(parent, f"{called}{nth}") if nth > 1 else path
+            container = path
+        stack.append((name, path, plain, container, around, kind, inside))
         children.append({})
-        paths.append(path)
+        doubts_before.append(before)
+        out.paths.append(path)
+        shape.add(plain)
     text(page[at:])
     end_block()
-    return found, paths
+    total = sum(len(b.text) for b in out.blocks)
+    gone = {k for k, (chars, holds, readers) in enumerate(doubtful)
+            if not holds and (marked or readers or chars <= MOST * total)}
+    out.blocks = [b for b in out.blocks if not gone.intersection(b.inside)]
+    out.shape = _signed(xxhash.xxh64_intdigest(" ".join(map(str, sorted(shape)))))
+    return out
 
 
-def main_text(page: str | None, dropped: Iterable[str] = ()) -> str:
-    """The text of a page's article. ``dropped`` are the slots, and the texts, of the host's template that
-    are no data; they count outside an article only, and only if something is left without them."""
-    found, _ = blocks(page or "")
-    best = max((kind for *_, kind in found), default=0)
-    chosen = [(path, text) for path, text, _, kind in found if kind == best]
-    if not best:
-        gone = set(dropped)
-        kept = [(p, t) for p, t in chosen if p not in gone and f"{p}\n{text_mark(t)}" not in gone]
-        chosen = kept or chosen
-    return "\n\n".join(text for _, text in chosen)
+def best_kind(sizes: list[tuple[int, int]]) -> int:
+    """The least kind of block that is main text, of the (kind, characters) of all: articles if they hold enough of what
+    is marked as main, else all that is marked, else everything."""
+    marked, articles = (sum(n for kind, n in sizes if kind >= least) for least in (1, 2))
+    return 2 if articles and articles >= MOST * marked else 1 if marked else 0
 
 
-def text_mark(text: str) -> str:
-    return blake2b(text.encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
+def main_text(page: str | None, dropped: Iterable[int] = ()) -> str:
+    """The text of a page's article. ``dropped`` are the tokens of its template that are no data: paths of
+    elements and texts. They go only if something is left without them."""
+    found = parse(page or "").blocks
+    return chosen_text([(b.text, b.path, text_token(b.path, b.text), b.kind) for b in found], dropped)
+
+
+def chosen_text(blocks: list[tuple[str, int, int, int]], dropped: Iterable[int]) -> str:
+    least = best_kind([(kind, len(text)) for text, _, _, kind in blocks])
+    main = [(text, path, token) for text, path, token, kind in blocks if kind >= least]
+    gone = set(dropped)
+    # a menu of links is a matter of pages without a mark; within an article, lists of links are data
+    kept = [text for text, path, token in main if token not in gone and (least or path not in gone)]
+    return "\n\n".join(kept or [text for text, *_ in main])
+
+
+def text_token(path: int, text: str) -> int:
+    return _signed(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), seed=path % 2**64) ^ 1)
+
+
+# --- tables -----------------------------------------------------------------------
 
 
 def host_of(url: Column) -> Column:
@@ -182,92 +280,115 @@ def host_of(url: Column) -> Column:
     return F.regexp_replace(host, r"^www\.", "")
 
 
-def token_counts(pages: DataFrame) -> DataFrame:
-    """Per host and token: ``pages`` it is on, ``v0`` .. ``v2`` (its occurrence vector as sums of page
-    hashes), characters of its text and of the part in links. The host itself is the empty token."""
+BLOCK = "array<struct<text string, path long, container long, linked int, kind int, token long>>"
+
 
-    def table(sums: dict) -> pa.RecordBatch:
-        columns = list(zip(*[(*key, *values) for key, values in sums.items()]))
-        types = [pa.string(), pa.string()] + [pa.int64()] * 6
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, types)], names=["host", "token", "pages", "v0", "v1", "v2", "chars", "linked"])
+def parsed(pages: DataFrame) -> DataFrame:
+    """``page_id, url, host, shape, mark`` (a hash of the page), ``paths`` of its elements and ``blocks``."""
+    fields = [("text", pa.string()), ("path", pa.int64()), ("container", pa.int64()), ("linked", pa.int32()),
+              ("kind", pa.int32()), ("token", pa.int64())]
 
-    def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict = defaultdict(lambda: [0] * 6)
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for host, page in zip(batch.column(0), batch.column(1)):
-                host, page = host.as_py(), page.as_py() or ""
-                mark = int.from_bytes(blake2b(page.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-                hashes = [mark >> s & 0xFFFFF for s in (0, 20, 40)]  # 20 bits each: sums stay far below 2^63
-                found, paths = blocks(page)
-                seen: dict = defaultdict(lambda: [0, 0, 0])
-                seen[""][0] = 1
-                for path in paths:
-                    seen[path][0] += 1
-                for path, text, linked, kind in found:
-                    seen[path][1] += len(text)
-                    seen[path][2] += linked
-                    if not kind:
-                        seen[f"{path}\n{text_mark(text)}"][0] += 1
-                for token, (n, chars, linked) in seen.items():
-                    total = sums[host, token]
-                    for i, v in enumerate((1, *[n * h for h in hashes], chars, linked)):
-                        total[i] += v
-                if len(sums) > 100_000:
-                    yield table(sums)
-                    sums.clear()
-        if sums:
-            yield table(sums)
-
-    shape = "host string, token string, pages long, v0 long, v1 long, v2 long, chars long, linked long"
-    parts = pages.select(host_of(F.col("url")).alias("host"), F.col("html").cast("string")).mapInArrow(counted, shape)
-    return parts.groupBy("host", "token").agg(*[F.sum(c).alias(c) for c in ("pages", "v0", "v1", "v2", "chars", "linked")])
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                texts = [p.as_py() or "" for p in part.column(3)]
+                found = [parse(t) for t in texts]
+                marks = [_signed(int.from_bytes(blake2b(t.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little"))
+                         for t in texts]
+                blocks = [[(b.text, b.path, b.container, b.linked, b.kind, text_token(b.path, b.text)) for b in f.blocks] for f in found]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), part.column(2), pa.array([f.shape for f in found], pa.int64()),
+                     pa.array(marks, pa.int64()), pa.array([f.paths for f in found], pa.list_(pa.int64())),
+                     pa.array([[dict(zip([n for n, _ in fields], b)) for b in bs] for bs in blocks], pa.list_(pa.struct(fields)))],
+                    names=["page_id", "url", "host", "shape", "mark", "paths", "blocks"])
+
+    rows = pages.select(
+        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
+        host_of(F.col("url")).alias("host"), F.col("html").cast("string").alias("html"))
+    return rows.mapInArrow(
+        run, f"page_id long, url string, host string, shape long, mark long, paths array<long>, blocks {BLOCK}")
+
+
+GROUP = ["host", "shape"]
+VECTOR = ["v0", "v1", "v2"]
+
+
+def _vector(n: Column) -> list[Column]:
+    """An occurrence vector as three sums of page hashes of 20 bits, which stay far below 2^63."""
+    return [F.sum(n * F.shiftrightunsigned("mark", 20 * i).bitwiseAND(F.lit(0xFFFFF).cast("long"))).alias(v) for i, v in enumerate(VECTOR)]
+
+
+def element_counts(pages: DataFrame) -> DataFrame:
+    """Per shape and element ``path``: its occurrence vector, characters of its own text and of the part in
+    links. The page itself is the path 0."""
+    paths = pages.select(*GROUP, "mark", F.explode(F.concat("paths", F.array(F.lit(0).cast("long")))).alias("path"))
+    vectors = paths.groupBy(*GROUP, "path").agg(*_vector(F.lit(1).cast("long")))
+    texts = pages.select(*GROUP, F.inline(F.transform("blocks", lambda b: F.struct(
+        b["path"].alias("path"), F.char_length(b["text"]).alias("chars"), b["linked"].alias("linked")))))
+    sizes = texts.groupBy(*GROUP, "path").agg(F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
+    return vectors.join(sizes, [*GROUP, "path"], "left").na.fill(0, ["chars", "linked"])
+
+
+def text_counts(pages: DataFrame) -> DataFrame:
+    """Per shape and text ``token``: its vector, ``path`` and ``container``, on how many different ``pages`` it is,
+    characters, and those within articles. Only texts on enough pages."""
+    rows = pages.select(*GROUP, "mark", F.inline(F.transform("blocks", lambda b: F.struct(
+        b["token"].alias("token"), b["path"].alias("path"), b["container"].alias("container"),
+        F.char_length(b["text"]).alias("chars"), F.when(b["kind"] > 0, F.char_length(b["text"])).otherwise(0).alias("inside")))))
+    per_page = rows.groupBy(*GROUP, "token", "mark").agg(
+        F.first("path").alias("path"), F.first("container").alias("container"),
+        F.sum("chars").alias("chars"), F.sum("inside").alias("inside"), F.count(F.lit(1)).alias("n"))
+    return per_page.groupBy(*GROUP, "token").agg(
+        F.first("path").alias("path"), F.first("container").alias("container"), F.count(F.lit(1)).alias("pages"),
+        F.sum("chars").alias("chars"), F.sum("inside").alias("inside"), *_vector(F.col("n"))).where(F.col("pages") >= PAGES)
 
 
 def host_templates(pages: DataFrame) -> DataFrame:
-    """Per host the tokens of its template that hold no data, ``dropped``.
+    """``host, shape, dropped``: the tokens of each shape's template that hold no data, from ``parsed`` pages.
 
-    A token takes part if enough of the host's pages have it, so a host's template is at most a few
-    times as large as one page. Classes are valid when they nest: a text whose class is that of the
-    element around it stands in every occurrence of the element and is fixed. An element most of whose
-    text is in links is a menu.
+    An element most of whose text is in links is a menu. A text is fixed if it is on enough different pages and its class
+    is that of its element, of the container around it, or of the page. Fixed texts within articles count only
+    while they are a small share of the shape's articles.
     """
-    counts = stored(token_counts(pages), "tokens")
-    hosts = counts.where(F.col("token") == "").select("host", F.col("pages").alias("all_pages"))
-    frequent = counts.where(F.col("token") != "").join(hosts, "host").where(
-        (F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= LEAST_SHARE * F.col("all_pages")))
-    is_text = F.col("token").contains("\n")
-    elements = frequent.where(~is_text)
-    menus = elements.where(F.col("linked") > LINKS * F.col("chars")).select("host", "token")
-    texts = frequent.where(is_text & (F.col("pages") >= FIXED_PAGES))
-    texts = texts.select("host", "token", F.substring_index("token", "\n", 1).alias("path"), "v0", "v1", "v2")
-    around = elements.select("host", F.col("token").alias("path"), "v0", "v1", "v2")
-    fixed = texts.join(around, ["host", "path", "v0", "v1", "v2"]).select("host", "token")
-    return menus.unionByName(fixed).groupBy("host").agg(F.sort_array(F.collect_set("token")).alias("dropped"))
+    elements = stored(element_counts(pages), "elements")
+    menus = elements.where(F.col("linked") > LINKS * F.col("chars")).select(*GROUP, F.col("path").alias("token"))
+    texts = stored(text_counts(pages), "texts")
+    around = F.array_distinct(F.array("path", "container", F.lit(0).cast("long")))
+    classes = texts.select(*GROUP, "token", "inside", *VECTOR, F.explode(around).alias("path"))
+    fixed = classes.join(elements.select(*GROUP, "path", *VECTOR), [*GROUP, "path", *VECTOR]).select(*GROUP, "token", "inside").distinct()
+    sizes = pages.select(*GROUP, F.aggregate(
+        "blocks", F.lit(0).cast("long"), lambda n, b: n + F.when(b["kind"] > 0, F.char_length(b["text"])).otherwise(0)).alias("chars"))
+    sizes = sizes.groupBy(*GROUP).agg(F.sum("chars").alias("articles"))
+    taken = fixed.groupBy(*GROUP).agg(F.sum("inside").alias("taken"))
+    able = taken.join(sizes, GROUP).where(F.col("taken") <= SHARE * F.col("articles")).select(*GROUP, F.lit(True).alias("able"))
+    fixed = fixed.join(able, GROUP, "left").where("inside = 0 OR able").select(*GROUP, "token")
+    return menus.unionByName(fixed).groupBy(*GROUP).agg(F.sort_array(F.collect_set("token")).alias("dropped"))
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` of every row.
 
     The text is the article's blocks in order, joined by two line feeds, character references decoded and
-    white space within a block turned into one space. A page without an element marked as
-    article or main is taken whole, without the slots that the host's template shows to be no data.
+    white space within a block turned into one space. Texts that the template of the page's host and shape shows to be no
+    data go. A page without an element marked as article or main is taken whole, but for that and for menus.
     NULL html is empty, and so is its text; pages with a NULL or unreadable url are one host; repeated
     rows get the same text; an empty table gives an empty table. Other columns are not read.
     """
 
     def extracted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [main_text(p.as_py(), d.as_py() or ()) for p, d in zip(batch.column(2), batch.column(3))]
+            found = []
+            for blocks, dropped in zip(batch.column(2), batch.column(3)):
+                rows = [(b["text"], b["path"], b["token"], b["kind"]) for b in blocks.as_py()]
+                found.append(chosen_text(rows, dropped.as_py() or ()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.string()), pa.array(map(len, found), pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])
 
-    rows = pages.select(
-        F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"),
-        host_of(F.col("url")).alias("host"))
-    templates = stored(host_templates(pages), "templates")
-    return rows.join(templates, "host", "left").select("page_id", "url", "html", "dropped").mapInArrow(
+    rows = stored(parsed(pages), "parsed")
+    templates = stored(host_templates(rows), "templates")
+    return rows.join(templates, GROUP, "left").select("page_id", "url", "blocks", "dropped").mapInArrow(
         extracted, "page_id long, url string, text string, n_chars long")
 
 
