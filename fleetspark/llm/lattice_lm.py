@@ -28,14 +28,14 @@ from fleetspark.llm.packing import _byte_letters
 
 #: stands for the end of a text among the words; no word holds white space
 END = b"\n"
-#: pieces of more bytes are left out, so that a piece is a 64-bit number
-LONGEST = 8
+#: a piece of so many bytes is looked up as a 64-bit number; longer ones begin with such a number
+SHORT = 8
 ROUNDS, SMOOTHING = 2, 0.01
 #: what a word's own arc gives of each count to the paths of its pieces
 DISCOUNT = 0.75
 #: so many languages, those of most training documents, have probabilities of their own; the others
-#: share one set
-LANGUAGES = 8
+#: share one set. A language takes 1.3 MB in every task
+LANGUAGES = 32
 #: scores of at most so many frequent words, of at most so many bytes, go to every task; the scores
 #: of all other words reach the documents by a join
 FREQUENT, FREQUENT_BYTES = 250_000, 64
@@ -59,7 +59,7 @@ def read_pieces(path: str) -> list[bytes]:
         name = name.removesuffix(suffix)
         if name and all(c in letters for c in name):
             piece = bytes(letters[c] for c in name)
-            if len(piece) <= LONGEST and piece.split() == [piece]:
+            if piece.split() == [piece]:
                 found[piece] = None
     return list(dict.fromkeys([*found, *(bytes([b]) for b in range(256))]))  # every word can be spelled
 
@@ -99,12 +99,20 @@ class Lattice:
 
     def __init__(self, pieces: list[bytes], languages: int):
         self.n = len(pieces)
+        self.long = {p: i for i, p in enumerate(pieces) if len(p) > SHORT}
         self.tables = {}
-        for length in range(1, LONGEST + 1):
+        for length in range(1, SHORT + 1):
             own = [(int.from_bytes(p, "little"), i) for i, p in enumerate(pieces) if len(p) == length]
             if own:
                 keys, values = zip(*own)
                 self.tables[length] = Lookup(np.array(keys, np.uint64), np.array(values, np.int32))
+        #: by the number a long piece begins with, the lengths of such pieces
+        starts: dict[int, set[int]] = {}
+        for p in self.long:
+            starts.setdefault(int.from_bytes(p[:SHORT], "little"), set()).add(len(p))
+        self.lengths = [sorted(found) for found in starts.values()]
+        if starts:
+            self.starts = Lookup(np.array(list(starts), np.uint64), np.arange(len(starts), dtype=np.int32))
         # before training all pieces are alike, but single bytes, of which any word can be made, are rare
         weight = np.array([1e-6 if len(p) == 1 else 1.0 for p in pieces])
         self.learn(np.tile(weight, (languages, 4, 1)))
@@ -117,19 +125,34 @@ class Lattice:
             logp[:, pair] -= np.logaddexp.reduce(logp[:, pair], axis=(1, 2))[:, None, None]
         self.logp = np.concatenate([logp, np.full((*logp.shape[:2], 1), _NEVER)], 2)
 
+    def _kind(self, places: int, last: int) -> np.ndarray:
+        kind = np.full(places, self.INNER)
+        kind[0], kind[-1] = self.FIRST, last
+        return kind
+
     def edges(self, words: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-        """For each length, the number of the piece that starts at each place of each word (rows), -1
-        for none, and the kind of place."""
+        """For each length that any word has a piece of, the number of the piece that starts at each place of
+        each word (rows), -1 for none, and the kind of place."""
         width = words.shape[1]
         wide = words.astype(np.uint64)
         keys = np.zeros_like(wide)
         out = {}
-        for length in range(1, min(LONGEST, width) + 1):
+        for length in range(1, min(SHORT, width) + 1):
             keys = keys[:, : width - length + 1] | (wide[:, length - 1 :] << np.uint64(8 * (length - 1)))
-            found = self.tables[length].find(keys) if length in self.tables else np.full(keys.shape, -1, np.int32)
-            kind = np.full(keys.shape[1], self.INNER)
-            kind[0], kind[-1] = self.FIRST, self.LAST if length < width else self.WHOLE
-            out[length] = found, kind
+            if length in self.tables:
+                kind = self._kind(keys.shape[1], self.LAST if length < width else self.WHOLE)
+                out[length] = self.tables[length].find(keys), kind
+        if width > SHORT and self.long:
+            begin = self.starts.find(keys)
+            for row, place in zip(*(x.tolist() for x in np.nonzero(begin >= 0))):
+                for length in self.lengths[begin[row, place]]:
+                    found = self.long.get(words[row, place : place + length].tobytes(), -1) if place + length <= width else -1
+                    if found >= 0:
+                        if length not in out:
+                            places = width - length + 1
+                            out[length] = np.full((len(words), places), -1, np.int32), self._kind(
+                                places, self.LAST if length < width else self.WHOLE)
+                        out[length][0][row, place] = found
         return out
 
     def _weights(self, edges: dict, language: int) -> dict[int, np.ndarray]:
@@ -143,7 +166,7 @@ class Lattice:
     def _forward(self, weights: dict[int, np.ndarray], rows: int, width: int) -> np.ndarray:
         alpha = np.zeros((width + 1, rows))
         for j in range(1, width + 1):
-            alpha[j] = self._add(np.stack([alpha[j - k] + weights[k][:, j - k] for k in range(1, min(LONGEST, j) + 1)]))
+            alpha[j] = self._add(np.stack([alpha[j - k] + w[:, j - k] for k, w in weights.items() if k <= j]))
         return alpha
 
     def scores(self, words: np.ndarray) -> np.ndarray:
@@ -160,7 +183,7 @@ class Lattice:
         alpha = self._forward(weights, rows, width)
         beta = np.zeros((width + 1, rows))
         for i in range(width - 1, -1, -1):
-            beta[i] = self._add(np.stack([beta[i + k] + weights[k][:, i] for k in range(1, min(LONGEST, width - i) + 1)]))
+            beta[i] = self._add(np.stack([beta[i + k] + w[:, i] for k, w in weights.items() if k <= width - i]))
         for length, (ids, kind) in edges.items():
             share = np.exp(alpha[: width - length + 1].T + weights[length] + beta[length:].T - alpha[-1][:, None])
             able = ids >= 0
@@ -396,8 +419,8 @@ def score_documents(docs: DataFrame, vocabulary_path: str | None = None, modulus
     shared_sums = [
         F.when(is_own, F.col(f"own.{c}")).otherwise(F.col("times") * F.col(c) if c != "total" else F.lit(0)).alias(c) for c in sums]
     joined = joined.select("id", "th", F.when(is_own, 1).otherwise(0).cast("long").alias("copies"), *shared_sums)
-    # rows that repeat an id and its text are added up as one, divided and written out again
-    each = joined.repartition("id", "th").groupBy("id", "th").agg(*[F.sum(c).alias(c) for c in ["copies", *sums]])
+    # rows that repeat an id and its text are added up as one, in the map task first, divided and written out again
+    each = joined.groupBy("id", "th").agg(*[F.sum(c).alias(c) for c in ["copies", *sums]])
     each = each.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     every = max(sum(found[f"documents_{c}"] for c in taught), 1)
     joint = [  # a language is as likely as its share of the training documents

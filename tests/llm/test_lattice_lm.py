@@ -7,7 +7,7 @@ import pytest
 
 from fleetspark.llm import lattice_lm
 
-PIECES = [b"a", b"b", b"ab", b"ba", b"abab"]
+PIECES = [b"a", b"b", b"ab", b"ba", b"abab", b"ababbaabab", b"ababbaababb", b"babbaabab"]
 
 
 def every_cut(word):
@@ -34,14 +34,14 @@ def lattice():
     return made
 
 
-@pytest.mark.parametrize("word", [b"a", b"ab", b"abab", b"ababbaab", b"bbbbbbbbbbb"])
+@pytest.mark.parametrize("word", [b"a", b"ab", b"abab", b"ababbaab", b"bbbbbbbbbbb", b"ababbaabab", b"ababbaababbab", b"bababbaababb"])
 def test_score_is_the_sum_over_all_cuts(lattice, word):
     rows = np.frombuffer(word, np.uint8)[None]
     assert math.exp(lattice.scores(rows)[0, 0]) == pytest.approx(sum(weight(lattice, c) for c in every_cut(word)))
 
 
 def test_expected_counts_are_those_of_all_cuts(lattice):
-    word = b"ababba"
+    word = b"ababbaababba"
     total = np.zeros((4, len(PIECES)))
     lattice.expected(np.frombuffer(word, np.uint8)[None], 0, total)
     cuts = list(every_cut(word))
@@ -54,6 +54,20 @@ def test_expected_counts_are_those_of_all_cuts(lattice):
     assert total.sum(0) == pytest.approx(want)
 
 
+def test_every_piece_of_the_vocabulary_is_an_arc():
+    import json
+
+    path = lattice_lm.public_tokenizers.path("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as file:
+        names = {n.removesuffix("</w>") for n in json.load(file)["model"]["vocab"]}
+    pieces = lattice_lm.read_pieces(path)
+    assert len(pieces) == len(names) == 40_986 and max(map(len, pieces)) > 20
+    made = lattice_lm.Lattice(pieces, 1)
+    for rows, at in lattice_lm.by_length(pieces):  # each piece is an arc from end to end of itself as a word
+        whole, kind = made.edges(rows)[rows.shape[1]]
+        assert (whole[:, 0] == at).all() and (kind == [made.WHOLE]).all()
+
+
 def test_probabilities_of_words_add_up_to_one():
     made = lattice_lm.Lattice([b"a", b"b", b"ab"], 1)
     made.learn(np.array([[[2, 1, 1], [0.2, 0.1, 0.1], [2, 2, 1], [5, 5, 9]]], float))
