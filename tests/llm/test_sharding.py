@@ -47,3 +47,60 @@ def test_rebalancing_edits_few_slots():
 
 def test_empty_table(no_docs):
     assert sharding.shard_documents(no_docs).collect() == []
+
+
+def test_a_restarted_job_goes_on_from_the_stored_map(spark, sf, tmp_path):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    path = str(tmp_path / "maps")
+    assert sharding.read_map(spark, path) is None
+    run = lambda d, n=4: {(r.doc_id, r.text_crc32): r for r in sharding.shard_documents(d, n, 256, path).collect()}
+    first, again = run(docs), run(docs)
+    assert {r.map_version for r in [*first.values(), *again.values()]} == {1}
+    assert {k: (r.shard, r.slot) for k, r in first.items()} == {k: (r.shard, r.slot) for k, r in again.items()}
+    # a fifth shard: the next version, beside the first, moves rows into the new shard only
+    grown = run(docs, 5)
+    old, new = sharding.read_map(spark, path, 1), sharding.read_map(spark, path)
+    assert (old.version, old.shards, new.version, new.shards) == (1, 4, 2, 5) and sharding.read_map(spark, path, 7) is None
+    assert all(r.map_version == 2 and r.shard in (first[k].shard, new.shard_of[r.virtual_slot]) for k, r in grown.items())
+    edited = [s for s in range(256) if old.shard_of[s] != new.shard_of[s]]
+    assert 0 < len(edited) < 256 / 3
+    # more rows than the map was made for: shards that are too unlike get the next version of it
+    more = docs.unionByName(docs.where("doc_id < 20").selectExpr("doc_id + 100000 AS doc_id", "repeat(text, 9) AS text"))
+    size = Counter()
+    for r in run(more, 5).values():
+        size[r.shard] += r.size
+    assert sharding.read_map(spark, path).version in (2, 3) and max(size.values()) < 1.3 * min(size.values())
+    try:
+        sharding.shard_documents(docs, 5, 128, path)
+        raise AssertionError("another number of slots was taken")
+    except ValueError as error:
+        assert "256 slots" in str(error)
+
+
+def test_copies_of_one_row_spread(spark):
+    """A third of all rows is one row: no slot and no shard has more than its part of it."""
+    text = "copy of a text " * 20
+    docs = spark.range(6000).selectExpr("IF(id < 2000, 7, id) AS doc_id", f"IF(id < 2000, '{text}', concat('t', id, repeat('x', 200))) AS text")
+    rows = sharding.shard_documents(docs.repartition(5), 8, 512).collect()
+    assert len(rows) == 6000 and sum(r.doc_id == 7 for r in rows) == 2000
+    held, size, places = Counter(), Counter(), defaultdict(list)
+    for r in rows:
+        held[r.virtual_slot] += r.doc_id == 7
+        size[r.shard] += r.size
+        places[r.shard].append(r.slot)
+    assert max(held.values()) <= 3 * sharding.COPIES
+    assert max(size.values()) < 1.05 * min(size.values())
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+
+
+def test_places_equal_numbering_slot_by_slot(spark, sf):
+    """The whole result by loops: rows of a slot in order, slots of a shard in order."""
+    rows = sharding.shard_documents(spark.read.parquet(f"{sf}/documents.parquet"), shards=4, slots=64).collect()
+    load = Counter()
+    for r in rows:
+        load[r.virtual_slot] += r.size
+    assert sharding.first_map(load, 4, 64).shard_of == tuple(
+        {r.virtual_slot: r.shard for r in rows}.get(s, sharding.first_map(load, 4, 64).shard_of[s]) for s in range(64))
+    for shard in range(4):
+        own = sorted((r for r in rows if r.shard == shard), key=lambda r: (r.virtual_slot, r.doc_id, r.size, r.text_crc32))
+        assert [r.slot for r in own] == list(range(len(own)))
