@@ -3,7 +3,8 @@
 Words are the letters. A run of ``K`` words is an anchor when the smallest hash of its inner runs of
 ``S`` words stands at its first or last place. Whether a run is chosen depends on its own words only,
 so equal passages choose equal anchors wherever they stand. A fingerprint keeps the ``KEPT`` smallest
-anchor hashes of a text, in the order of the text.
+anchor hashes of a text, in the order of the text: its places are those of the anchors to each other, and two
+fingerprints are alike as far as their common anchors follow each other in the same order.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from math import ceil, isqrt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fleetspark.llm.common import NO_ID, WHITE, id_key, whole_text
+from fleetspark.llm.common import NO_ID, WHITE, id_key, stored, whole_text
 
 K, S, KEPT = 5, 2, 64
 #: anchor hashes have 48 bits, 12 hexadecimal digits in a fingerprint
@@ -72,12 +73,25 @@ def printed(kept: Column) -> Column:
     return F.array_join(F.transform(kept, lambda x: F.lpad(F.lower(F.hex(x)), BITS // 4, "0")), "")
 
 
+def in_order(a: Column, b: Column) -> Column:
+    """How many of the anchors common to both follow each other in the same order in both: the longest
+    increasing run of their places in ``b``, taken in the order of ``a``."""
+
+    def placed(ends: Column, at: Column) -> Column:
+        # ends[k] is the smallest place at which a run of k + 1 anchors may end
+        before = F.size(F.filter(ends, lambda e: e < at))
+        return _let(before, lambda k: F.concat(F.slice(ends, 1, k), F.array(at), F.slice(ends, k + 2, F.lit(KEPT))))
+
+    places = F.transform(F.array_intersect(a, b), lambda x: F.array_position(b, x))
+    return F.size(F.aggregate(places, F.array().cast("array<bigint>"), placed))
+
+
 def likeness(a: Column, b: Column) -> Column:
-    """Share of common anchors among the smallest of both sketches, an estimate of the Jaccard
-    similarity of all anchors; 1 for two empty sketches, 0 for one."""
+    """Share of common anchors in the same order among the smallest of both sketches; with all in order an
+    estimate of the Jaccard similarity of all anchors. 1 for two equal sketches, empty ones too, 0 for one empty one."""
 
     def share(top: Column) -> Column:
-        return F.size(F.array_intersect(F.array_intersect(a, b), top)) / F.size(top)
+        return in_order(F.array_intersect(a, top), F.array_intersect(b, top)) / F.size(top)
 
     both = F.slice(F.sort_array(F.array_union(a, b)), 1, KEPT)
     return F.when(a == b, F.lit(1.0)).when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(
@@ -96,17 +110,37 @@ def _ranges(keys: DataFrame) -> tuple[int, list[int]]:
     return first, sorted({x for x in found if x > first})
 
 
-def with_next(docs: DataFrame, id_col: str, carried: dict[str, Column]) -> DataFrame:
+def with_next(docs: DataFrame, id_col: str, text_col: str, carried: dict[str, Column]) -> DataFrame:
     """``key``, the columns ``carried`` and ``next_<name>`` for each of them: the same of the document
-    with the next id; the last document is followed by the first. Ties of the id follow the first
-    carried column; a NULL id stands before all others.
+    with the next larger id; the largest id is followed by the smallest. A NULL id stands before all others.
 
-    Documents are dealt by ranges of ids. The first document of a range visits the range before,
-    so each row finds its successor in its own task.
+    Rows that share an id are all followed by the same document, and of several with the next id
+    the one whose text has the smallest hash stands for them. So they need no order among themselves: one of them
+    takes part in the search, and the others join what it finds.
     """
-    keys = docs.select(id_key(id_col).alias("key"))
-    first, bounds = _ranges(keys)
-    rows = docs.select(id_key(id_col).alias("key"), *[c.alias(n) for n, c in carried.items()])
+    th = F.xxhash64(whole_text(text_col))
+    rows = docs.select(id_key(id_col).alias("key"), th.alias("th"), *[c.alias(n) for n, c in carried.items()])
+    shared = docs.select(id_key(id_col).alias("key"), th.alias("th")).groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("th").alias("th")).where("n > 1").select("key", "th")
+    shared = stored(shared, "shared-ids")
+    if shared.isEmpty():
+        return _with_next(rows.drop("th"), list(carried))
+    names = list(carried)
+    single = rows.join(shared.select("key"), "key", "left_anti").drop("th")
+    # copies of one text under one id fold in the map task
+    stand = rows.join(shared, ["key", "th"], "left_semi").groupBy("key").agg(*[F.first(n).alias(n) for n in names])
+    found = stored(_with_next(single.unionByName(stand), names), "followed")
+    # written, so its size is known: one row for each shared id is sent to the rows of those ids, or split by AQE
+    following = stored(
+        found.select("key", *[f"next_{n}" for n in names]).join(shared.select("key"), "key", "left_semi"), "followers")
+    repeated = rows.drop("th").join(following, "key")
+    return found.join(shared.select("key"), "key", "left_anti").unionByName(repeated)
+
+
+def _with_next(rows: DataFrame, names: list[str]) -> DataFrame:
+    """The same for rows of ``key`` and ``names`` with no id twice. Documents are dealt by ranges of ids. The first
+    one of a range visits the range before, so each row finds its successor in its own task."""
+    first, bounds = _ranges(rows.select("key"))
     # bounds in groups: a search looks at one bound of each group and at one group
     width = max(1, isqrt(len(bounds)))
     groups = [bounds[i : i + width] for i in range(0, len(bounds), width)]
@@ -134,9 +168,8 @@ def with_next(docs: DataFrame, id_col: str, carried: dict[str, Column]) -> DataF
         F.when(starts, stand(at - 1, 0, True)),
         F.when(key == (first if first is not None else 0), stand(F.lit(len(bounds)), 1, True)),
     ))
-    names = list(carried)
     dealt = rows.select("key", *names, F.inline(places))
-    order = Window.partitionBy("bucket").orderBy("after", "key", names[0])
+    order = Window.partitionBy("bucket").orderBy("after", "key")
     following = {f"next_{n}": F.lead(n).over(order) for n in names}
     return dealt.withColumns(following).where(~F.col("guest")).drop("bucket", "after", "guest")
 
@@ -146,11 +179,11 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     The edited text has the last half of the code points replaced by as many (or all) first ones of
     the next document. NULL text is empty; an empty text has the empty fingerprint, which is like
-    the empty one only; repeated rows follow each other; a lone document follows itself. An empty
+    the empty one only; rows that repeat an id, or have none, share the next document; a lone document follows itself. An empty
     table gives an empty table. Columns other than id and text are not read.
     """
     text = whole_text(text_col)
-    pairs = with_next(docs.select(id_col, text_col), id_col, {"text": text, "sketch": sketch(text)})
+    pairs = with_next(docs.select(id_col, text_col), id_col, text_col, {"text": text, "sketch": sketch(text)})
     half = F.floor(F.char_length("text") / 2).cast("int")
     edited = F.concat(
         F.left("text", F.char_length("text") - half), F.left("next_text", half)
