@@ -614,16 +614,17 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """One row of ``docs``, all columns, of each class: that of the smallest id, and the first by its other
     columns' hash of rows that repeat both id and text."""
     found = stored(_classes(docs, id_col, text_col, SIMILAR), "keepers")
-    copies = found.where("first").groupBy("id", "th").agg(F.count(F.lit(1)).alias("copies"))
-    keepers = stored(copies, "firsts")
-    rows = docs.select(
-        F.struct("*").alias("row"), id_key(id_col).alias("id"), F.xxhash64(whole_text(text_col)).alias("th"), F.lit(1).alias("one"))
-    rows = rows.withColumn("mark", F.xxhash64(F.to_json(F.struct("row"))))
-    once = rows.join(keepers.where("copies = 1"), ["id", "th"], "left_semi")
+    lost = stored(found.where("NOT first").select("id", "th").distinct(), "lost")
+    copies = found.where("first").groupBy("id", "th").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id", "th")
+    copies = stored(copies, "copies")
+    rows = docs.select(F.struct("*").alias("row"), id_key(id_col).alias("id"), F.xxhash64(whole_text(text_col)).alias("th"))
+    kept = rows.join(lost, ["id", "th"], "left_anti")
+    if copies.isEmpty():
+        return kept.select("row.*")
     # Spark cuts the ranking to one row per key in every task, before the shuffle
-    rank = F.row_number().over(Window.partitionBy("id", "th").orderBy("mark"))
-    again = rows.join(keepers.where("copies > 1"), ["id", "th"], "left_semi").withColumn("rank", rank).where("rank = 1")
-    return once.select("row.*").unionByName(again.select("row.*"))
+    order = Window.partitionBy("id", "th").orderBy(F.xxhash64(F.to_json(F.struct("row"))))
+    again = kept.join(copies, ["id", "th"], "left_semi").withColumn("rank", F.row_number().over(order)).where("rank = 1")
+    return kept.join(copies, ["id", "th"], "left_anti").select("row.*").unionByName(again.select("row.*"))
 
 
 ship(__name__)

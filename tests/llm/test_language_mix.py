@@ -45,3 +45,37 @@ def test_held_out_languages_teach_nothing(spark, sf):
     lied = docs.selectExpr("doc_id", "text", "CASE WHEN crc32(CAST(doc_id AS string)) % 4 = 2 THEN 'xx' ELSE lang END AS lang")
     run = lambda d: sorted((r.doc_id, r.lang_pred, r.score) for r in language_mix.identify_documents(d).collect())
     assert run(docs) == run(lied)
+
+
+def penalised(like, text):
+    """The best set of languages by trying all, each with shares fitted to the end."""
+    from itertools import combinations
+
+    bins, counts = language_mix.trigram_counts(text)
+    rows, found = like[bins], []
+    for size in range(1, like.shape[1] + 1):
+        for chosen in combinations(range(like.shape[1]), size):
+            share = np.full(size, 1 / size)
+            for _ in range(400):
+                joint = rows[:, chosen] * share
+                share = (counts / joint.sum(1)) @ joint / counts.sum()
+            value = float(counts @ np.log(rows[:, chosen] @ share)) / language_mix.OVERLAP
+            found.append((value - (size - 1) * (language_mix.PENALTY + 0.5 * np.log(counts.sum())), chosen, share))
+    return max(found, key=lambda f: f[0])[1:]
+
+
+def test_the_chosen_set_is_the_best_of_all_sets(spark, sf):
+    docs = spark.read.parquet(f"{sf.replace('0.001', '0.01')}/documents.parquet")
+    names, like = language_mix.train(docs)
+    rows = docs.where("length(text) BETWEEN 700 AND 4000").orderBy("doc_id").limit(40).collect()
+    texts = [r.text for r in rows]
+    texts += [a.text[:600] + " " + b.text[:700] for a, b in zip(rows[::2], rows[1::2])]
+    texts += [" ".join(r.text[:500] for r in rows[k : k + 3]) for k in range(8)]
+    sizes = set()
+    for text in texts:
+        chosen, shares = language_mix.identify(like, text)
+        want, share = penalised(like, text)
+        assert set(chosen) == set(want)
+        assert np.allclose(sorted(shares), sorted(share), atol=0.03)
+        sizes.add(len(chosen))
+    assert {1, 2} <= sizes
