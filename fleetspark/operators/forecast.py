@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.window import WindowSpec
 
 from ..functions.columns import merged_exact, merged_sum, partials, round_floor
 from .star import add_months
@@ -18,6 +19,9 @@ ONE_SERIES = "serie"
 REGRESSORS = ["periodo_idx", "km_rodado", "custo_combustivel"]
 TARGET = "custo_por_km"
 MIN_ARIMA_POINTS = 8
+ARIMA, AVERAGE = "arima_hr", "media_movel_3m"
+# why a series has the model it has
+FITTED, SHORT, SINGULAR, UNSTABLE = "ajustado", "poucos_meses", "singular", "instavel"
 
 
 def _with_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -178,15 +182,18 @@ def _solve2(a11: Column, a12: Column, a22: Column, b1: Column, b2: Column) -> tu
     return (b1 * a22 - b2 * a12) / safe, (b2 * a11 - b1 * a12) / safe
 
 
-def fit_arima(series: DataFrame, keys: Sequence[str] = (), min_points: int = MIN_ARIMA_POINTS) -> DataFrame:
+def fit_arima(
+    series: DataFrame, keys: Sequence[str] = (), min_points: int = MIN_ARIMA_POINTS, averages: int = 0,
+) -> DataFrame:
     """ARIMA(1,1,1) without constant by two least-squares stages (Hannan-Rissanen).
 
     Stage one regresses the monthly change on its two predecessors and keeps the residuals;
     stage two regresses it on its predecessor and the previous residual, which gives ``phi`` and
     ``theta``. Everything is a window over one series, so one shuffle serves both stages.
     ``valido`` is false for fewer than ``min_points`` months, as two stages on three lost months would
-    fit noise, for a singular stage or abs(phi) >= 1. ``aic`` is
-    conditional on the first changes and not comparable with an exact-likelihood one.
+    fit noise, for a singular stage or abs(phi) >= 1; ``motivo`` says which. ``aic`` is
+    conditional on the first changes and not comparable with an exact-likelihood one. With ``averages``
+    the row also has what ``moving_average`` needs for so many steps, from the same windows.
     """
     series, keys = _with_keys(series, keys)
     in_order = Window.partitionBy(*keys).orderBy(*MONTH)
@@ -196,7 +203,8 @@ def fit_arima(series: DataFrame, keys: Sequence[str] = (), min_points: int = MIN
     def summed(product: Column, used: Column) -> Column:
         return F.sum(F.when(used, product)).over(whole)
 
-    base = series.select(*keys, *MONTH, F.col(TARGET).alias("y"))
+    more = _averages(in_order, whole) if averages else {}
+    base = series.select(*keys, *MONTH, F.col(TARGET).alias("y"), *(c.alias(x) for x, c in more.items()))
     base = base.withColumn("w", y - F.lag("y").over(in_order))
     base = base.withColumns({"w1": F.lag("w", 1).over(in_order), "w2": F.lag("w", 2).over(in_order)})
     two = w2.isNotNull()
@@ -222,18 +230,24 @@ def fit_arima(series: DataFrame, keys: Sequence[str] = (), min_points: int = MIN
     out = stage2.groupBy(*keys).agg(
         F.count("y").alias("n"), F.first("phi").alias("phi"), F.first("theta").alias("theta"),
         F.sum(F.when(has, error * error)).alias("sse"), F.count(F.when(has, 1)).alias("usados"),
-        latest,
+        latest, *(_kept_averages("y", averages) if averages else []),
     )
     valid = (
         (F.col("n") >= min_points) & F.col("phi").isNotNull() & F.col("theta").isNotNull()
         & (F.abs("phi") < 1)
     )
+    reason = (
+        F.when(F.col("n") < min_points, SHORT)
+        .when(F.col("phi").isNull() | F.col("theta").isNull(), SINGULAR)
+        .when(F.abs("phi") < 1, FITTED).otherwise(UNSTABLE)
+    )
     aic = F.col("usados") * F.log(F.col("sse") / F.col("usados")) + F.lit(2.0 * 3)
     return out.select(
-        *keys, "n", "phi", "theta", F.coalesce(valid, F.lit(False)).alias("valido"),
+        *keys, "n", "phi", "theta", F.coalesce(valid, F.lit(False)).alias("valido"), reason.alias("motivo"),
         F.when(valid & (F.col("sse") > 0), aic).alias("aic"),
         F.col("u.y").alias("y_ultimo"),
         (F.col("phi") * F.col("u.w") + F.col("theta") * F.col("u.e")).alias("delta_1"),
+        *(["meses", "geral", "medias"] if averages else []),
     )
 
 
@@ -241,45 +255,51 @@ def forecast_arima(fit: DataFrame, keys: Sequence[str] = (), periods: int = 6) -
     """Closed-form forecast of the valid fits: last value plus a geometric sum of the next change."""
     keys = list(keys) or [ONE_SERIES]
     steps = fit.filter("valido").withColumn("periodo", F.explode(F.sequence(F.lit(1), F.lit(periods))))
-    path = (F.lit(1.0) - F.pow("phi", F.col("periodo").cast("double"))) / (F.lit(1.0) - F.col("phi"))
     return steps.select(
-        *keys, "periodo",
-        round_floor(F.col("y_ultimo") + F.col("delta_1") * path, 4).alias("valor_previsto"),
-        F.lit("arima_hr").alias("modelo"),
-    )
+        *keys, "periodo", round_floor(_arima_value(), 4).alias("valor_previsto"), F.lit(ARIMA).alias("modelo"))
+
+
+def _arima_value() -> Column:
+    path = (F.lit(1.0) - F.pow("phi", F.col("periodo").cast("double"))) / (F.lit(1.0) - F.col("phi"))
+    return F.col("y_ultimo") + F.col("delta_1") * path
 
 
 # --- moving average ---------------------------------------------------------------
 
+def _averages(in_order: WindowSpec, whole: WindowSpec) -> dict[str, Column]:
+    """Three-month means and the place of each month of a series."""
+    three = in_order.rowsBetween(-2, 0)
+    return {
+        "media": F.when(F.count(TARGET).over(three) == 3, F.avg(TARGET).over(three)),
+        "pos": F.row_number().over(in_order),
+        "meses": F.count(F.lit(1)).over(whole),
+    }
+
+
+def _kept_averages(target: str, periods: int) -> list[Column]:
+    """Number of months, mean of the series and its last ``periods`` three-month means by place."""
+    last = F.when(F.col("pos") > F.col("meses") - periods, F.struct("pos", "media"))
+    return [
+        F.first("meses").alias("meses"), F.avg(target).alias("geral"),
+        F.map_from_entries(F.collect_list(last)).alias("medias"),
+    ]
+
+
+def _average_value(periods: int) -> Column:
+    rolling = F.try_element_at("medias", (F.col("meses") - periods + F.col("periodo")).cast("int"))
+    return F.when(F.col("meses") >= periods, rolling).otherwise(F.col("geral"))
+
+
 def moving_average(series: DataFrame, keys: Sequence[str] = (), periods: int = 6) -> DataFrame:
     """The last ``periods`` three-month means as the forecast; the series mean throughout when the
     series has fewer months than that. Places before the third month have no mean and stay NULL."""
     series, keys = _with_keys(series, keys)
-    in_order = Window.partitionBy(*keys).orderBy(*MONTH)
-    whole = Window.partitionBy(*keys)
-    three = in_order.rowsBetween(-2, 0)
-    rows = series.select(
-        *keys, *MONTH, TARGET,
-        F.when(F.count(TARGET).over(three) == 3, F.avg(TARGET).over(three)).alias("media"),
-        F.row_number().over(in_order).alias("pos"),
-        F.count(F.lit(1)).over(whole).alias("n"),
-    )
-    folded = rows.groupBy(*keys).agg(
-        F.first("n").alias("n"),
-        F.avg(TARGET).alias("geral"),
-        F.map_from_entries(
-            F.collect_list(F.when(F.col("pos") > F.col("n") - periods, F.struct("pos", "media")))
-        ).alias("medias"),
-    )
-    step = F.explode(F.sequence(F.lit(1), F.lit(periods))).alias("periodo")
-    placed = folded.select(*keys, "n", "geral", "medias", step)
-    rolling = F.try_element_at("medias", (F.col("n") - periods + F.col("periodo")).cast("int"))
+    columns = _averages(Window.partitionBy(*keys).orderBy(*MONTH), Window.partitionBy(*keys))
+    rows = series.select(*keys, *MONTH, TARGET, *(c.alias(x) for x, c in columns.items()))
+    folded = rows.groupBy(*keys).agg(*_kept_averages(TARGET, periods))
+    placed = folded.withColumn("periodo", F.explode(F.sequence(F.lit(1), F.lit(periods))))
     return placed.select(
-        *keys, "periodo",
-        round_floor(F.when(F.col("n") >= periods, rolling).otherwise(F.col("geral")), 4)
-        .alias("valor_previsto"),
-        F.lit("media_movel_3m").alias("modelo"),
-    )
+        *keys, "periodo", round_floor(_average_value(periods), 4).alias("valor_previsto"), F.lit(AVERAGE).alias("modelo"))
 
 
 def fallback(series: DataFrame, fit: DataFrame, keys: Sequence[str] = (), periods: int = 6) -> DataFrame:
@@ -290,9 +310,16 @@ def fallback(series: DataFrame, fit: DataFrame, keys: Sequence[str] = (), period
 
 
 def forecast_series(series: DataFrame, keys: Sequence[str] = (), periods: int = 6) -> DataFrame:
-    """ARIMA where it could be fitted, else the moving average: every series has a forecast."""
-    fit = fit_arima(series, keys)
-    return forecast_arima(fit, keys, periods).unionByName(fallback(series, fit, keys, periods))
+    """A forecast for every series: ARIMA where it could be fitted, else the moving average, with the model
+    and the reason for it (``motivo``). The windows of one shuffle give both."""
+    fit = fit_arima(series, keys, averages=periods)
+    keys = list(keys) or [ONE_SERIES]
+    steps = fit.withColumn("periodo", F.explode(F.sequence(F.lit(1), F.lit(periods))))
+    value = F.when(F.col("valido"), _arima_value()).otherwise(_average_value(periods))
+    return steps.select(
+        *keys, "periodo", round_floor(value, 4).alias("valor_previsto"),
+        F.when(F.col("valido"), ARIMA).otherwise(AVERAGE).alias("modelo"), "motivo",
+    )
 
 
 # --- trend ------------------------------------------------------------------------

@@ -133,13 +133,26 @@ def test_arima_recovers_its_parameters(spark):
 
 
 def test_short_and_singular_series_fall_back(spark):
-    df = series(spark, short=[1, 2, 4, 3, 5, 4, 6], flat=[3.0] * 20, good=arma(60, 0.5, 0.2, 3))
+    wild = [2.0**i + 0.1 * (i % 3) for i in range(12)]
+    df = series(spark, short=[1, 2, 4, 3, 5, 4, 6], flat=[3.0] * 20, good=arma(60, 0.5, 0.2, 3), wild=wild, one=[2.0])
     got = {}
     for r in forecast.forecast_series(df, ["k"]).orderBy("k", "periodo").collect():
-        got.setdefault((r.k, r.modelo), []).append(r.valor_previsto)
-    assert set(got) == {("short", "media_movel_3m"), ("flat", "media_movel_3m"), ("good", "arima_hr")}
-    assert got[("flat", "media_movel_3m")] == [3.0] * 6
-    assert got[("short", "media_movel_3m")] == [None, 2.3333, 3.0, 4.0, 4.0, 5.0]
+        got.setdefault((r.k, r.modelo, r.motivo), []).append(r.valor_previsto)
+    average = "media_movel_3m"
+    assert set(got) == {("short", average, "poucos_meses"), ("flat", average, "singular"), ("good", "arima_hr", "ajustado"),
+                        ("wild", average, "instavel"), ("one", average, "poucos_meses")}
+    assert got[("flat", average, "singular")] == [3.0] * 6
+    assert got[("short", average, "poucos_meses")] == [None, 2.3333, 3.0, 4.0, 4.0, 5.0]
+    assert got[("one", average, "poucos_meses")] == [2.0] * 6
+
+
+def test_one_pass_equals_both_models_apart(spark):
+    df = series(spark, short=[1, 2, 4, 3, 5, 4, 6], good=arma(60, 0.5, 0.2, 3), flat=[1.5] * 9)
+    fit = forecast.fit_arima(df, ["k"])
+    apart = forecast.forecast_arima(fit, ["k"]).unionByName(forecast.fallback(df, fit, ["k"]))
+    assert rows(forecast.forecast_series(df, ["k"]).drop("motivo")) == rows(apart)
+    plan = forecast.forecast_series(df.repartition(3), ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(k") == 1
 
 
 def test_moving_average_of_few_months_is_the_mean(spark):
