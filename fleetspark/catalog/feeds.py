@@ -13,16 +13,14 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .. import reference_data as ref
 from ..operators import enrich, star
 
 PRODUCTS = ["GASOLINA", "ETANOL", "DIESEL", "DIESEL S10", "GNV", "GASOLINA ADITIVADA"]
 SEGMENTS_IN_USE = ["AUTOMOBILE", "MACHINERY", "HOUSEHOLD"]
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-# Codes of states, by state number; the last one is none.
-UFS = [
-    "RO", "AC", "AM", "RR", "PA", "AP", "TO", "MA", "PI", "CE", "RN", "PB", "PE", "AL", "SE", "BA", "MG", "ES",
-    "RJ", "SP", "PR", "SC", "RS", "MS", "XX",
-]
+# Codes of states by state number, region after region; the last of the numbers is none.
+UFS = [*[uf for states in ref.REGIONS.values() for uf in states][:24], "XX"]
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:

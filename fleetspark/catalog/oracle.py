@@ -6,9 +6,38 @@ whole numbers (``half_up``), so an expected value is exact and not the result of
 
 from __future__ import annotations
 
-from .. import reference_data as ref
 from .feeds import PRIORITIES, PRODUCTS, SEGMENTS_IN_USE
 
+# Fixed values, written out here apart from the lists that the Spark side reads.
+MONTH_NAMES = ["Jan", "Fev", "Mar", "Abr", "Mai", "Jun", "Jul", "Ago", "Set", "Out", "Nov", "Dez"]
+UNKNOWN_REGION = "DESCONHECIDO"
+AGE_BANDS = [(3, "Nova (0-3)"), (6, "Jovem (4-6)"), (9, "Madura (7-9)"), (14, "Antiga (10-14)")]
+AGE_BAND_ABOVE = "Obsoleta (15+)"
+AGE_YEARS = [(3, "0-3 anos"), (6, "4-6 anos"), (9, "7-9 anos"), (14, "10-14 anos")]
+AGE_YEARS_ABOVE = "15+ anos"
+ACTIONS = {
+    "custo_por_km_CRITICO": "Substituir veículo ou revisar operação imediatamente",
+    "custo_por_km_ATENCAO": "Agendar revisão e monitorar custo semanalmente",
+    "margem_operacional_CRITICO": "Rever rota e composição de custos - operação deficitária",
+    "margem_operacional_ATENCAO": "Otimizar custos operacionais e negociar fornecedores",
+    "disponibilidade_pct_CRITICO": "Frota com baixa disponibilidade - ampliar reserva ou terceirizar",
+    "disponibilidade_pct_ATENCAO": "Intensificar manutenção preventiva",
+    "km_por_litro_real_CRITICO": "Consumo anômalo - inspecionar motor e pneus imediatamente",
+    "km_por_litro_real_ATENCAO": "Monitorar eficiência - verificar calibragem e hábitos de condução",
+}
+DEFAULT_ACTION = "Manter monitoramento padrão"
+AGE_ADVICE = [
+    (0, 3, "Manutenção preventiva padrão - veículo no auge"),
+    (4, 6, "Acompanhar custo de manutenção - planejar reserva"),
+    (7, 9, "Planejar substituição - custo tende a subir"),
+    (10, 14, "Avaliar substituição imediata - custo elevado de manutenção"),
+    (15, 99, "Substituir obrigatoriamente - veículo obsoleto e ineficiente"),
+]
+DEFAULT_ADVICE = "Verificar estado geral do veículo"
+DECISIONS = ["INTERVENCAO IMEDIATA", "MONITORAR E PLANEJAR", "OPERACAO NORMAL"]
+INDICATORS = [("IPCA", "7060", "Indice Nacional de Precos ao Consumidor Amplo"), ("PIB", "6784", "Produto Interno Bruto a precos correntes"),
+              ("SALARIO", "5938", "Rendimento medio mensal"), ("POPULACAO", "6579", "Projecao da populacao")]
+
 # --- exact rounding ---------------------------------------------------------------
 
 
@@ -109,7 +138,7 @@ e AS (
   FROM nation JOIN region ON n_regionkey = r_regionkey)
 """
 
-MONTHS = "[" + ", ".join(f"'{m}'" for m in ref.MONTH_NAMES) + "]"
+MONTHS = "[" + ", ".join(f"'{m}'" for m in MONTH_NAMES) + "]"
 
 
 def over_star(select: str) -> str:
@@ -207,7 +236,7 @@ SELECT ano, mes, sigla_estado, tipo_veiculo, {avg('preco', 2, 2)} AS preco_medio
 FROM {F_V_E} GROUP BY ano, mes, sigla_estado, tipo_veiculo""")
 
 ORACLE["vw_eficiencia_idade"] = over_star(f"""
-SELECT {band(ref.AGE_BANDS, ref.AGE_BAND_ABOVE)} AS faixa_idade, {VEHICLES},
+SELECT {band(AGE_BANDS, AGE_BAND_ABOVE)} AS faixa_idade, {VEHICLES},
        {avg('cpk', 4, 4)} AS custo_medio_por_km, {avg('man', 2, 2)} AS custo_medio_manutencao,
        {avg('disp', 1, 1)} AS disponibilidade_media, {avg('kml', 2, 2)} AS consumo_medio_real
 FROM f GROUP BY 1""")
@@ -291,7 +320,7 @@ HAVING sum(cpk) > 10000 * count(cpk)""")
 ORACLE["diag_causa_raiz"] = over_star(f""", u AS (
   SELECT tipo_veiculo, idade, cpk, {per_km('comb')} AS c, {per_km('man')} AS m, {per_km('seg')} AS s,
          {per_km('dep')} AS d0 FROM {F_V})
-SELECT tipo_veiculo, idade AS idade_veiculo, {band(ref.AGE_YEARS, ref.AGE_YEARS_ABOVE)} AS faixa_idade,
+SELECT tipo_veiculo, idade AS idade_veiculo, {band(AGE_YEARS, AGE_YEARS_ABOVE)} AS faixa_idade,
        count(*) AS num_registros, {avg('cpk', 4, 4)} AS custo_por_km, {avg('c', 13, 4)} AS custo_comb_km,
        {avg('m', 13, 4)} AS custo_man_km, {avg('s', 13, 4)} AS custo_seg_km, {avg('d0', 13, 4)} AS custo_dep_km,
        CASE WHEN sum(c) > sum(m) AND sum(c) > sum(d0) THEN 'COMBUSTIVEL'
@@ -362,13 +391,13 @@ def rules(select: str, extra: bool = False) -> str:
 
 
 ACTION = "CASE kpi || '_' || classificacao {} ELSE '{}' END".format(
-    " ".join(f"WHEN '{k}' THEN '{t}'" for k, t in ref.ACTIONS.items()), ref.DEFAULT_ACTION
+    " ".join(f"WHEN '{k}' THEN '{t}'" for k, t in ACTIONS.items()), DEFAULT_ACTION
 )
 
 
 def advice(age: str) -> str:
-    whens = " ".join(f"WHEN {age} BETWEEN {a} AND {b} THEN '{t}'" for a, b, t in ref.AGE_ADVICE)
-    return f"CASE {whens} ELSE '{ref.DEFAULT_ADVICE}' END"
+    whens = " ".join(f"WHEN {age} BETWEEN {a} AND {b} THEN '{t}'" for a, b, t in AGE_ADVICE)
+    return f"CASE {whens} ELSE '{DEFAULT_ADVICE}' END"
 
 
 ORACLE["presc_classify"] = rules(
@@ -389,8 +418,8 @@ DECIDED = f"""per AS (
 dec AS (
   SELECT id_veiculo AS veiculo_id, tipo_veiculo, marca, sigla_estado AS estado, custo_por_km, margem_operacional,
          idade_veiculo,
-         CASE WHEN cr > 0 THEN '{ref.DECISIONS[0]}' WHEN atn > 0 THEN '{ref.DECISIONS[1]}'
-              ELSE '{ref.DECISIONS[2]}' END AS decisao,
+         CASE WHEN cr > 0 THEN '{DECISIONS[0]}' WHEN atn > 0 THEN '{DECISIONS[1]}'
+              ELSE '{DECISIONS[2]}' END AS decisao,
          CAST(CASE WHEN cr > 0 THEN 1 WHEN atn > 0 THEN 2 ELSE 3 END AS INTEGER) AS prioridade,
          {advice('idade_veiculo')} AS recomendacao_idade, cr + atn AS num_alertas
   FROM w JOIN per ON w.id_veiculo = per.id0)"""
@@ -519,6 +548,14 @@ ORACLE["dim_veiculo"] = over_star(
     f" ano_fabricacao, combustivel, {CLEAN_KM} AS km_atual, status,"
     " CAST(esperado AS DOUBLE) / 100e0 AS consumo_medio_km_l, CAST(carga AS DOUBLE) AS capacidade_carga_t FROM v"
 )
+ORACLE["dim_veiculo_hash"] = over_star(
+    "SELECT id_veiculo, tipo_veiculo, CAST(1 AS BIGINT) AS ids_por_chave, count(k) AS operacoes"
+    " FROM v LEFT JOIN f ON k = sk GROUP BY id_veiculo, tipo_veiculo"
+)
+ORACLE["dim_veiculo_colisoes"] = over_star(
+    "SELECT sk % 7 AS sk_veiculo, count(*) AS ids, min(id_veiculo) AS primeiro_id, max(id_veiculo) AS ultimo_id"
+    " FROM v GROUP BY sk % 7 HAVING count(*) > 1"
+)
 ORACLE["fact_surrogate_key"] = over_star(
     "SELECT row_number() OVER (ORDER BY sk_tempo) AS sk_fato_frota, sk_tempo FROM f"
 )
@@ -551,7 +588,7 @@ UNION ALL SELECT 'vw_veiculos_alto_custo', count(*), round(sum(custo_total_perio
 UNION ALL SELECT 'vw_impacto_combustivel', count(*), sum(t) / 100e0 FROM (
   SELECT CAST(sum(total) AS DOUBLE) AS t FROM {F_V} GROUP BY sk_tempo, uf, tipo_veiculo)
 UNION ALL SELECT 'vw_eficiencia_idade', count(*), CAST(sum(c) AS DOUBLE) FROM (
-  SELECT count(DISTINCT k) AS c FROM f GROUP BY {band(ref.AGE_BANDS, ref.AGE_BAND_ABOVE)})
+  SELECT count(DISTINCT k) AS c FROM f GROUP BY {band(AGE_BANDS, AGE_BAND_ABOVE)})
 UNION ALL SELECT 'vw_ranking_margem', count(*), sum(t) / 100e0 FROM (SELECT CAST(sum(total) AS DOUBLE) AS t FROM f GROUP BY k, uf)""")
 NOT_NULL = [
     ("dim_tempo", ["sk_tempo", "ano", "mes", "trimestre", "semestre", "nome_mes"]),
@@ -712,7 +749,7 @@ ORACLE["ref_upsert"] = over_indicators(f""", g AS (
   FROM irow GROUP BY ALL)
 SELECT indicador, estado, valor_limite, n FROM g
 QUALIFY row_number() OVER (PARTITION BY indicador, estado ORDER BY nova DESC) = 1""").replace(")\n\n, g AS", "),\ng AS", 1)
-CATALOG = ", ".join(f"('{n}', '{a}', '{d}')" for n, a, _, d in ref.INDICATORS)
+CATALOG = ", ".join(f"('{n}', '{a}', '{d}')" for n, a, d in INDICATORS)
 ORACLE["src_indicator_lookup"] = f"""
 SELECT indicador, agregado, descricao, count(*) AS n
 FROM (SELECT (['ipca', 'Pib', 'SALARIO', 'populacao', 'selic'])[1 + o_custkey % 5] AS indicador FROM orders)
@@ -822,7 +859,7 @@ LEFT JOIN s ON sigla_estado = s.estado AND ops.ano = s.ano GROUP BY sigla_estado
 ORACLE["star_pipeline"] = f"""WITH {STAR}, {OPS}, ufs AS (
   SELECT sigla_estado AS sg, CAST(row_number() OVER (ORDER BY sigla_estado) AS INTEGER) AS sk_estado
   FROM (SELECT DISTINCT sigla_estado FROM ops))
-SELECT sigla_estado, '{ref.UNKNOWN_REGION}' AS regiao, sk_estado, ano, {MONTHS}[mes] AS nome_mes, tipo_veiculo,
+SELECT sigla_estado, '{UNKNOWN_REGION}' AS regiao, sk_estado, ano, {MONTHS}[mes] AS nome_mes, tipo_veiculo,
        count(*) AS n, {whole('km')} AS km, {money('total')} AS custo_total,
        CAST(sum(cpk) AS DOUBLE) / 10000e0 AS soma_custo_km
 FROM ops JOIN ufs ON sigla_estado = sg GROUP BY sigla_estado, sk_estado, ano, mes, tipo_veiculo"""
@@ -931,8 +968,6 @@ ar AS (
   FROM hr, (SELECT unnest(range(1, 7)) AS i) WHERE n >= 8 AND abs(phi) < 1)"""
 
 
-ORACLE["pred_arima"] = f"WITH {STAR}, {KEYED}, {arima(K2)} SELECT * FROM ar"
-SHORT = KEYED.replace(f"FROM {F_V} GROUP", f"FROM {F_V} WHERE uf % 5 > 0 OR sk_tempo < 199507 GROUP")
 ORACLE["pred_aic"] = f"""WITH {STAR}, {KEYED}, {arima(K2)}
 SELECT {K2}, n, {r('phi', 5)} AS phi, {r('theta', 5)} AS theta,
        CASE WHEN n >= 8 AND abs(phi) < 1 THEN {r('used * ln(sse / used) + 6', 4)} END AS aic FROM hr"""
@@ -955,10 +990,28 @@ ORACLE["pred_moving_average_short"] = f"WITH {STAR}, {KEYED.replace(f'FROM {F_V}
 
 AVERAGES, AVERAGE_ROWS = moving_average(6).rsplit("\nSELECT", 1)
 AVERAGE_ROWS = f"SELECT{AVERAGE_ROWS}"
-ORACLE["pred_series_forecast"] = f"""WITH {STAR}, {SHORT}, {arima(K2)}, {AVERAGES}, mv AS ({AVERAGE_ROWS})
-SELECT * FROM ar UNION ALL
-SELECT mv.* FROM mv WHERE NOT EXISTS (SELECT 1 FROM ar WHERE ar.tipo_veiculo = mv.tipo_veiculo AND ar.sk_estado = mv.sk_estado)"""
-ORACLE["pred_forecast_counts"] = f"""WITH {STAR}, {SHORT}, n AS (SELECT count(DISTINCT (tipo_veiculo, sk_estado)) AS n FROM m)
+
+
+def every_series(series: str) -> str:
+    """ARIMA where it fits, else the moving average, and why."""
+    return f"""WITH {STAR}, {series}, {arima(K2)}, {AVERAGES}, mv AS ({AVERAGE_ROWS}),
+why AS (
+  SELECT {K2}, CASE WHEN count(*) < 8 THEN 'poucos_meses' WHEN any_value(phi) IS NULL OR any_value(theta) IS NULL THEN 'singular'
+    WHEN abs(any_value(phi)) < 1 THEN 'ajustado' ELSE 'instavel' END AS motivo
+  FROM m LEFT JOIN st2 USING ({K2}) GROUP BY {K2})
+SELECT *, 'ajustado' AS motivo FROM ar UNION ALL
+SELECT mv.*, motivo FROM mv JOIN why USING ({K2}) WHERE motivo <> 'ajustado'"""
+
+
+ORACLE["pred_arima"] = every_series(KEYED)
+PLANTED = KEYED.replace("m AS (", "real AS (") + """,
+m AS (
+  SELECT tipo_veiculo, sk_estado, ano, mes, y FROM real UNION ALL
+  SELECT tipo_veiculo, CAST(-1 - sk_estado AS INTEGER), ano, mes,
+         CASE sk_estado % 5 WHEN 1 THEN 2e0 WHEN 2 THEN power(1.2e0, idx) + idx * 7 % 5 / 10e0 ELSE y END
+  FROM real WHERE sk_estado % 5 = 0 AND ano * 100 + mes < 199507 OR sk_estado % 5 IN (1, 2))"""
+ORACLE["pred_series_forecast"] = every_series(PLANTED)
+ORACLE["pred_forecast_counts"] = f"""WITH {STAR}, {KEYED}, n AS (SELECT count(DISTINCT (tipo_veiculo, sk_estado)) AS n FROM m)
 SELECT 'fim' AS tabela, n FROM n UNION ALL SELECT 'previsao', n FROM n"""
 
 LINES = """pos AS (SELECT *, CAST(row_number() OVER (PARTITION BY tipo_veiculo ORDER BY ano, mes) - 1 AS DOUBLE) AS x FROM m),

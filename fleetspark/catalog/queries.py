@@ -276,13 +276,16 @@ def dq_constraints(spark, sf):
     no distance where a vehicle stood still, one fact number a month for all operations of 56 trips."""
     s = feeds.load_star(spark, sf)
     shared = F.when(F.col("viagens_realizadas") == 56, -F.col("sk_tempo")).otherwise(F.col("sk_fato_frota"))
-    fato = star.add_fact_number(s["fato_frota"], blocks=16).withColumn("sk_fato_frota", shared)
+    fato = star.add_fact_number(s["fato_frota"], blocks=16).withColumns(
+        {"sk_fato_frota": shared, "km_rodado": F.nullif("km_rodado", F.lit(0))})
+    # a fact is a stored table; the checks read its columns one after the other
+    fato = stored(fato.select("sk_fato_frota", *star.FACT_KEYS, "km_rodado"), "fato")
     estado = s["dim_estado"]
     damaged = {
         "dim_tempo": s["dim_tempo"],
         "dim_estado": estado.unionByName(estado.filter("regiao = 'ASIA'")),
         "dim_veiculo": s["dim_veiculo"].filter("ano_fabricacao >= 1983"),
-        "fato_frota": fato.withColumn("km_rodado", F.nullif("km_rodado", F.lit(0))),
+        "fato_frota": fato,
     }
     return quality.constraint_report(damaged)
 
@@ -605,6 +608,27 @@ def dim_veiculo(spark, sf):
     return dim.withColumn("km_atual", F.col("km_atual").cast("double"))
 
 
+@query("dim_veiculo_hash")
+def dim_veiculo_hash(spark, sf):
+    """Vehicles by hashed keys: how many ids share the key, and the operations that find it without a join
+    to look it up. The hash itself is no result, as only Spark computes it."""
+    dim = star.dim_veiculo(_vehicles(spark, sf), hashed=True)
+    ids = dim.groupBy("sk_veiculo").agg(F.count_distinct("id_veiculo").alias("ids_por_chave"))
+    vehicle = F.concat(F.lit("V"), F.col("sk_veiculo").cast("string"))
+    rows = feeds.measures(spark, sf).select(star.vehicle_key(vehicle).alias("sk_veiculo"))
+    used = rows.groupBy("sk_veiculo").agg(F.count(F.lit(1)).alias("operacoes"))
+    return dim.join(ids, "sk_veiculo").join(used, "sk_veiculo", "left").select(
+        "id_veiculo", "tipo_veiculo", "ids_por_chave", F.coalesce("operacoes", F.lit(0)).alias("operacoes"))
+
+
+@query("dim_veiculo_colisoes")
+def dim_veiculo_colisoes(spark, sf):
+    """Planted collisions: keys that keep only the vehicle number's remainder by 7, and one repeated row for each."""
+    dim = star.dim_veiculo(_vehicles(spark, sf), hashed=True)
+    short = dim.withColumn("sk_veiculo", F.substring("id_veiculo", 2, 18).cast("long") % 7)
+    return star.key_collisions(short.unionByName(short))
+
+
 @query("fact_key_lookup")
 def fact_key_lookup(spark, sf):
     s = feeds.load_star(spark, sf)
@@ -729,8 +753,8 @@ def pred_last_period(spark, sf):
 
 @query("pred_arima")
 def pred_arima(spark, sf):
-    fit = forecast.fit_arima(_series(spark, sf), SERIES)
-    return forecast.forecast_arima(fit, SERIES)
+    """Every series of the whole fact; one that ARIMA does not fit says why and has its moving average."""
+    return forecast.forecast_series(_series(spark, sf), SERIES)
 
 
 @query("pred_aic")
@@ -758,16 +782,21 @@ def pred_trend_by_type(spark, sf):
 
 @query("pred_series_forecast")
 def pred_series_forecast(spark, sf):
-    """Every series has a forecast, also those of one state in five, which end after half a year."""
-    kept = "sk_estado % 5 > 0 OR sk_tempo < 199507"
-    return forecast.forecast_series(stored(_series(spark, sf, test=kept), "series"), SERIES)
+    """The whole fact's series and, as further ones, those of one state in five cut after half a year, of another one
+    at a constant cost, and of a third one growing ever faster."""
+    series = stored(_series(spark, sf), "series")
+    kind = F.col("sk_estado") % 5
+    planted = series.filter("sk_estado % 5 = 0 AND ano * 100 + mes < 199507 OR sk_estado % 5 IN (1, 2)")
+    wild = F.pow(F.lit(1.2), F.col("periodo_idx")) + F.col("periodo_idx") * 7 % 5 / 10
+    cost = F.when(kind == 1, 2.0).when(kind == 2, wild).otherwise(F.col("custo_por_km"))
+    planted = planted.withColumns({"custo_por_km": cost, "sk_estado": (-1 - F.col("sk_estado")).cast("int")})
+    return forecast.forecast_series(series.unionByName(planted), SERIES)
 
 
 @query("pred_forecast_counts")
 def pred_forecast_counts(spark, sf):
-    """As many series with a last period as with a forecast."""
-    kept = "sk_estado % 5 > 0 OR sk_tempo < 199507"
-    series = stored(_series(spark, sf, test=kept), "series")
+    """As many series with a last period as with a forecast, over the whole fact."""
+    series = stored(_series(spark, sf), "series")
     ends = forecast.last_period(series, SERIES).agg(F.lit("fim").alias("tabela"), count())
     return ends.unionByName(
         forecast.forecast_series(series, SERIES).filter("periodo = 1").agg(F.lit("previsao").alias("tabela"), count()))

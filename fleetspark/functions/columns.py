@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType
 
 from ..schemas import STAR_DIGITS
@@ -89,7 +89,7 @@ class Measure:
     wide: bool = False
 
     def sum(self) -> Column:
-        if not self.wide:
+        if not self.wide and raises_overflow():
             return F.sum(self.units)
         high = F.sum(F.shiftright(self.units, LOW_BITS)).cast("decimal(20,0)")
         low = F.sum(self.units.bitwiseAND(F.lit(2**LOW_BITS - 1).cast("long"))).cast("decimal(20,0)")
@@ -99,9 +99,24 @@ class Measure:
         return F.count(self.units)
 
 
+def raises_overflow() -> bool:
+    """Whether sums and casts of the session fail on overflow (ANSI). Where they would wrap or give NULL instead,
+    sums are wide and casts checked."""
+    session = SparkSession.getActiveSession()
+    return session is None or session.conf.get("spark.sql.ansi.enabled") == "true"
+
+
+def kept_cast(c: ColumnLike, type_: str) -> Column:
+    """A cast that fails on a value which the type cannot hold, whatever the session's setting."""
+    if raises_overflow():
+        return col(c).cast(type_)
+    error = F.raise_error(F.concat(F.lit(f"number does not fit {type_}: "), col(c).cast("string"))).cast(type_)
+    return F.coalesce(col(c).try_cast(type_), F.when(col(c).isNotNull(), error))
+
+
 def fixed(c: ColumnLike, digits: int) -> Measure:
     """A column with at most ``digits`` decimals (up to 9e15 units)."""
-    return Measure(F.rint(col(c).cast("double") * float(10**digits)).cast("long"), digits)
+    return Measure(kept_cast(F.rint(col(c).cast("double") * float(10**digits)), "long"), digits)
 
 
 def per(num: ColumnLike, den: ColumnLike) -> Measure:
@@ -121,7 +136,7 @@ def measure(c: str | Measure) -> Measure:
 def from_units(units: Column, digits: int) -> Column:
     """Whole units as a decimal; a count of whole things stays an integer."""
     if not digits:
-        return units.cast("long")
+        return kept_cast(units, "long")
     value = units.cast("decimal(24,0)") * F.lit(Decimal(1).scaleb(-digits))
     return value.cast(f"decimal(26,{digits})")
 
@@ -186,9 +201,11 @@ def _unit_share(num: Column, den: Column, digits: int) -> Column:
 
 
 def round_floor(c: ColumnLike, digits: int) -> Column:
-    """Round a double half up by ``floor``, the same in every IEEE engine."""
+    """Round a double half up by ``floor``, the same in every IEEE engine. One too large to have such digits
+    (and for the whole number that ``floor`` makes) stays as it is."""
     scale = float(10**digits)
-    return F.floor(col(c) * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+    up = col(c) * F.lit(scale) + F.lit(0.5)
+    return F.when(F.abs(up) < F.lit(2.0**53), F.floor(up).cast("double")).otherwise(up) / F.lit(scale)
 
 
 # --- partial sums: aggregate by key first, join dimensions on the small result ----

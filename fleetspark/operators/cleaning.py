@@ -50,6 +50,12 @@ def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(columns))
 
 
+def usable(df: DataFrame, column: str, type_: str) -> DataFrame:
+    """Rows whose text in ``column`` is a number. Copies of a row are alike in this, so rows may go before
+    copies are looked for and are not shuffled for that."""
+    return df.filter(to_number(column, type_).isNotNull())
+
+
 def upper_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: upper_strip(c) for c in columns if c in df.columns})
 
@@ -79,9 +85,9 @@ def clean_prices(df: DataFrame) -> DataFrame:
     """Fuel prices: one row per station observation with a usable sale price."""
     return (
         df.transform(rename_headers)
+        .transform(usable, "valor_venda", PRICE)
         .transform(drop_duplicate_rows)
         .transform(parse_numbers, {"valor_venda": PRICE, "valor_compra": PRICE})
-        .transform(require, ["valor_venda"])
         .transform(upper_text, ["estado", "produto", "regiao"])
         .transform(parse_dates, "data_coleta")
         .transform(add_year_month, "data_coleta")
@@ -91,9 +97,9 @@ def clean_prices(df: DataFrame) -> DataFrame:
 def clean_indicators(df: DataFrame) -> DataFrame:
     """Economic indicators, long form, with a usable value; ``estado`` is optional."""
     return (
-        df.transform(drop_duplicate_rows)
+        df.transform(usable, "valor", "decimal(24,6)")
+        .transform(drop_duplicate_rows)
         .transform(parse_numbers, {"valor": "decimal(24,6)"})
-        .transform(require, ["valor"])
         .transform(upper_text, ["estado", "indicador"])
         .transform(period_as_text)
     )
@@ -102,10 +108,10 @@ def clean_indicators(df: DataFrame) -> DataFrame:
 def clean_registered_fleet(df: DataFrame) -> DataFrame:
     """Registered vehicles by year, state and type with a usable quantity."""
     return (
-        df.transform(drop_duplicate_rows)
+        df.transform(usable, "quantidade", "decimal(18,2)")
+        .transform(drop_duplicate_rows)
         .transform(upper_text, ["estado", "tipo_veiculo", "combustivel"])
         .transform(parse_numbers, {"quantidade": "decimal(18,2)"})
-        .transform(require, ["quantidade"])
     )
 
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import reference_data as ref
+from ..functions.columns import kept_cast
 from ..functions.keys import dense_number
 from ..schemas import DIM_VEICULO, STAR_MEASURES
-from ..session import cut, stored
+from ..session import stored
 
 FACT_KEYS = ["sk_veiculo", "sk_estado", "sk_tempo"]
 DERIVED = ["custo_total", "custo_por_km", "margem_operacional", "km_por_litro_real", "idade_veiculo"]
@@ -66,7 +67,7 @@ def region_of(state: Column | str) -> Column:
 
 def dim_estado(operations: DataFrame) -> DataFrame:
     """Distinct states numbered in order, with their region. The operations are read once."""
-    states = cut(operations.select(F.col("estado").alias("sigla_estado")).dropna().distinct())
+    states = stored(operations.select(F.col("estado").alias("sigla_estado")).dropna().distinct(), "estados")
     # blocks by first letter: numbers follow the order, and untidy input meets in no single task
     numbered = dense_number(states, "sk_estado", ["sigla_estado"], F.ascii("sigla_estado"), blocks=1)
     return numbered.select(
@@ -75,16 +76,41 @@ def dim_estado(operations: DataFrame) -> DataFrame:
     )
 
 
-def dim_veiculo(vehicles: DataFrame, block: Column | None = None, blocks: int = 1024) -> DataFrame:
-    """Vehicle dimension with a dense key; columns missing in the source are left out."""
+def vehicle_key(vehicle: Column | str) -> Column:
+    """A 64-bit key that follows from the id alone, so no table is needed to find it; NULL for no id."""
+    as_col = F.col(vehicle) if isinstance(vehicle, str) else vehicle
+    return F.when(as_col.isNotNull(), F.xxhash64(as_col))
+
+
+def dim_veiculo(
+    vehicles: DataFrame, block: Column | None = None, blocks: int = 1024, hashed: bool = False,
+) -> DataFrame:
+    """Vehicle dimension; columns missing in the source are left out.
+
+    Its key is dense, 1..n, for registries that are small beside the fact: the registry is written once and
+    numbered from there. With ``hashed`` it is ``vehicle_key``: one pass, no shuffle, the same key in every run and for
+    every registry; ``key_collisions`` tells whether two ids share one.
+    """
     renamed = vehicles.withColumnRenamed("veiculo_id", "id_veiculo")
     typed = renamed.select(
         *(F.col(c).cast(t).alias(c) for c, t in DIM_VEICULO.items() if c in renamed.columns)
     )
+    if hashed:
+        return typed.select(vehicle_key("id_veiculo").alias("sk_veiculo"), *typed.columns)
+    typed = stored(typed, "veiculos")
     numbered = dense_number(typed, "sk_veiculo", ["id_veiculo"], block, blocks)
     return numbered.select(F.col("sk_veiculo").cast("long").alias("sk_veiculo"), *typed.columns)
 
 
+def key_collisions(dim: DataFrame, key: str = "sk_veiculo", id_col: str = "id_veiculo") -> DataFrame:
+    """Keys that stand for more than one id: how many, the first and the last of them. Repeated rows of one
+    id are no collision; a missing key or id takes no part."""
+    pairs = dim.select(key, id_col).dropna().distinct()
+    counted = pairs.groupBy(key).agg(
+        F.count(F.lit(1)).alias("ids"), F.min(id_col).alias("primeiro_id"), F.max(id_col).alias("ultimo_id"))
+    return counted.filter(F.col("ids") > 1)
+
+
 def add_fact_keys(
     enriched: DataFrame, tempo: DataFrame, estado: DataFrame, veiculo: DataFrame,
 ) -> DataFrame:
@@ -108,7 +134,7 @@ def project_fact(df: DataFrame) -> DataFrame:
     """Keys and the available measures in their table types."""
     return df.select(
         *(F.col(k) for k in FACT_KEYS),
-        *(F.col(c).cast(t).alias(c) for c, t in STAR_MEASURES.items() if c in df.columns),
+        *(kept_cast(c, t).alias(c) for c, t in STAR_MEASURES.items() if c in df.columns),
     )
 
 

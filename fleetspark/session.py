@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +20,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # sums and casts that overflow fail; other sessions get wide sums and checked casts instead
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
@@ -51,9 +56,31 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
+
 def new_work_dir(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder for one run's tables."""
-    return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex[:12]}")
+    return os.path.join(_run_folder.get() or shared_dir(spark), f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder in whatever store the cluster uses."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def working_tables(spark: SparkSession) -> Iterator[str]:
+    """Working tables of the steps inside lie in one folder, which goes when they are through. What they
+    return must be written, as nothing can be read from that folder afterwards."""
+    folder = new_work_dir(spark, "run")
+    token = _run_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _run_folder.reset(token)
+        remove(spark, folder)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

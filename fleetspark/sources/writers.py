@@ -11,7 +11,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import stored
+from ..session import remove
 
 STAR_ORDER = ["dim_tempo", "dim_estado", "dim_veiculo", "fato_frota"]
 
@@ -59,17 +59,22 @@ def read_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 def write_results(
     tables: Mapping[str, DataFrame], folder: str, date: str, csv: bool = False,
 ) -> dict[str, str]:
-    """Write ``<name>_<date>`` per non-empty result table, as Parquet or header CSV. A table is computed
-    once, into the shared folder; whether it has rows shows there."""
+    """Write ``<name>_<date>`` per non-empty result table, as Parquet or header CSV. A table is computed and
+    written once; what turns out to be empty is removed again."""
     paths = {}
     for name, df in tables.items():
-        df = stored(df, name)
-        if df.isEmpty():
-            continue
         path = os.path.join(folder, f"{name}_{date}")
-        writer = df.write.mode("overwrite")
-        writer.option("header", True).csv(path) if csv else writer.parquet(path)
-        paths[name] = path
+        spark, writer = df.sparkSession, df.write.mode("overwrite")
+        if csv:
+            writer.option("header", True).csv(path)
+            written = spark.read.schema(df.schema).option("header", True).csv(path)
+        else:
+            writer.parquet(path)
+            written = spark.read.schema(df.schema).parquet(path)
+        if written.isEmpty():
+            remove(spark, path)
+        else:
+            paths[name] = path
     return paths
 
 

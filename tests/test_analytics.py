@@ -230,3 +230,27 @@ def test_wide_sums_are_exact(spark):
     assert got == (sum(kept) / len(kept)).quantize(D("0.000001"), "ROUND_HALF_UP")
     big = spark.range(5000).select(F.lit(9 * 10**15).alias("u"))
     assert big.agg(exact_mean(Measure(F.col("u"), 10, wide=True))).first()[0] == D(900000)
+
+
+def test_sums_are_kept_without_the_overflow_check(spark):
+    """With ANSI off a sum past 64 bits is right as a decimal, and fails where a whole number was promised; a cast that
+    does not fit fails."""
+    from fleetspark.functions import columns
+    from fleetspark.operators import star
+
+    big = spark.createDataFrame([(9 * 10**15,)] * 2000, "n long")
+    money = columns.Measure(F.col("n"), 2)
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert big.agg(columns.total(money).alias("s")).first().s == D(9 * 10**15 * 2000) / 100
+        with pytest.raises(Exception, match="does not fit"):
+            big.agg(columns.total(columns.Measure(F.col("n"), 0)).alias("s")).collect()
+        fact = spark.createDataFrame([(1, 1, 202401, 2**40)], "sk_veiculo long, sk_estado int, sk_tempo int, km_rodado long")
+        with pytest.raises(Exception, match="does not fit"):
+            star.project_fact(fact).collect()
+        narrow = spark.createDataFrame([(1,), (2,), (None,)], "km_rodado int")
+        assert narrow.agg(columns.total("km_rodado").alias("s")).first().s == 3
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    with pytest.raises(Exception, match="OVERFLOW"):
+        big.agg(columns.total(money).alias("s")).collect()

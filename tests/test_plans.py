@@ -5,6 +5,7 @@ import re
 import pytest
 
 from fleetspark.catalog.queries import QUERIES
+from fleetspark.operators import star
 
 STAR = [
     "vw_kpi_estado", "vw_kpi_tipo_veiculo", "vw_veiculos_alto_custo", "vw_impacto_combustivel",
@@ -84,8 +85,24 @@ def test_series_of_both_forecasts_are_summed_once(spark, sf):
     assert "lineitem" not in plan(spark, sf, "pred_series_forecast")
 
 
-def test_constraints_read_the_fact_once(spark, sf):
-    assert "lineitem" not in re.sub(r"(?s)collect_set.*", "", plan(spark, sf, "dq_constraints"))
+def test_constraints_read_each_column_of_the_fact_once(spark, sf):
+    """What is left is the key column, folded to words, and a second look at those that repeat a value. No table
+    that is written has a row per fact key."""
+    text = plan(spark, sf, "dq_constraints")
+    assert "lineitem" not in re.sub(r"(?s)collect_set.*", "", text)
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\][^\n]*/fato-", text)
+    assert len(scans) == 2 and all(s.split("#")[0] == "sk_fato_frota" and "," not in s for s in scans)
+    words = text[text.index("bit_or"):]
+    assert "partial_bit_or" in words and "LeftSemi" in text
+
+
+@pytest.mark.parametrize("hashed", [True, False])
+def test_vehicles_are_read_once(spark, sf, hashed):
+    """Hashed keys need no shuffle; numbers are given to the written registry."""
+    vehicles = spark.read.parquet(f"{sf}/supplier.parquet").selectExpr("concat('V', s_suppkey) AS veiculo_id", "s_name AS marca")
+    text = star.dim_veiculo(vehicles, blocks=4, hashed=hashed)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"FileScan parquet [^\n]*supplier", text)) == (1 if hashed else 0)
+    assert ("Exchange" not in text and "Window" not in text) if hashed else len(re.findall("FileScan parquet", text)) == 2
 
 
 def test_first_row_of_a_key_is_ranked_before_the_shuffle(spark, sf):

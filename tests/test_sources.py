@@ -1,4 +1,5 @@
 import json
+import os
 from decimal import Decimal
 
 import pytest
@@ -7,7 +8,8 @@ from pyspark.sql import functions as F
 from fleetspark.operators import cleaning, standardize
 from fleetspark.plans import pipelines
 from fleetspark.plans.dashboard import dashboard
-from fleetspark.session import new_work_dir
+from fleetspark.schemas import DIM_VEICULO, STAR_MEASURES
+from fleetspark.session import new_work_dir, shared_dir, stored, working_tables
 from fleetspark.sources import readers, writers
 
 from .conftest import rows
@@ -181,5 +183,33 @@ def test_whole_pipeline_from_files(spark, tmp_path):
     assert "total_linhas=2" in spark.read.text(written["resumo"]).first()[0]
 
 
+def test_working_tables_go_with_their_run(spark, tmp_path):
+    with working_tables(spark) as folder:
+        assert stored(spark.range(3), "x").count() == 3
+        assert os.path.dirname(new_work_dir(spark, "y")) == folder and os.path.isdir(folder)
+    assert not os.path.exists(folder) and os.path.dirname(new_work_dir(spark, "y")) != folder
+    with pytest.raises(ZeroDivisionError), working_tables(spark) as folder:
+        stored(spark.range(3), "x")
+        1 / 0
+    assert not os.path.exists(folder)
+
+
+def test_hashed_vehicles_load_the_same_fact(spark, tmp_path):
+    staging = str(tmp_path / "staging")
+    ops = spark.createDataFrame([(f"V{i % 5}", "SP", 2024, 1 + i % 12, i) for i in range(40)] + [("V9", "SP", 2024, 1, 7)],
+                                "veiculo_id string, estado string, ano int, mes int, km_rodado int")
+    ops = ops.select("*", *(F.lit(1).cast(t).alias(c) for c, t in STAR_MEASURES.items() if c != "km_rodado"))
+    vehicles = spark.createDataFrame([(f"V{i}",) for i in range(5)], "veiculo_id string")
+    vehicles = vehicles.select("*", *(F.lit(1).cast(t).alias(c) for c, t in DIM_VEICULO.items() if c != "id_veiculo"))
+    writers.write_staging({"frota_enriquecida": ops, "veiculos_clean": vehicles}, staging, "20250101")
+    before = set(os.listdir(shared_dir(spark).removeprefix("file:")))
+    facts = {}
+    for hashed in (False, True):
+        star_ = pipelines.run_load(spark, staging, str(tmp_path / f"w{hashed}"), 4, hashed_vehicles=hashed)
+        facts[hashed] = rows(star_["fato_frota"].join(star_["dim_veiculo"], "sk_veiculo").select("id_veiculo", "sk_tempo", "km_rodado"))
+    assert facts[True] == facts[False] and len(facts[True]) == 40
+    assert set(os.listdir(shared_dir(spark).removeprefix("file:"))) == before  # no working table is left
+
+
 def test_work_dirs_are_fresh(spark):
     assert new_work_dir(spark, "x") != new_work_dir(spark, "x")

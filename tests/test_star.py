@@ -81,3 +81,25 @@ def test_constraint_report(spark):
         ("fato_frota", "pk sk_fato_frota"): 1, ("fato_frota", "not null km_rodado"): 1,
         ("fato_frota", "not null sk_estado"): 1, ("fato_frota", "fk sk_estado"): 1,
     }
+
+
+def test_repeated_keys_are_counted_in_the_words_that_hold_them(spark):
+    keys = [*range(-200, 5000), 0, -1, -1, -1, 63, 64, 64, 2**62, -(2**62), 2**62, None, None]
+    fato = spark.createDataFrame([(k,) for k in keys], "sk_fato_frota long").repartition(7)
+    got = {r.verificacao: r.violacoes for r in quality.repeated_dense_keys(fato, "fato_frota", "sk_fato_frota").collect()}
+    assert got == {"pk sk_fato_frota": 5}
+    unique = spark.range(-300, 9000).selectExpr("id AS sk_fato_frota").repartition(7)
+    assert quality.repeated_dense_keys(unique, "fato_frota", "sk_fato_frota").first().violacoes == 0
+    assert quality.repeated_dense_keys(unique.limit(0), "fato_frota", "sk_fato_frota").first().violacoes == 0
+
+
+def test_hashed_vehicle_keys_and_their_collisions(spark):
+    vehicles = spark.createDataFrame([("V2", "A"), ("V1", "B"), ("V1", "B"), (None, "C")], "veiculo_id string, marca string")
+    dim = star.dim_veiculo(vehicles, hashed=True)
+    assert dim.columns == ["sk_veiculo", "id_veiculo", "marca"]
+    got = {r.id_veiculo: r.sk_veiculo for r in dim.collect()}
+    assert got[None] is None and got["V1"] != got["V2"]
+    assert got == {r.id_veiculo: r.sk_veiculo for r in star.dim_veiculo(vehicles.repartition(5), hashed=True).collect()}
+    assert star.key_collisions(dim).collect() == []
+    planted = dim.withColumn("sk_veiculo", F.when(F.col("sk_veiculo").isNotNull(), 7))
+    assert [tuple(r) for r in star.key_collisions(planted).collect()] == [(7, 2, "V1", "V2")]
