@@ -39,10 +39,11 @@ def line_report(
     id; rows that repeat an id count as one document. An empty table gives an empty table. Other
     columns travel in ``row`` and may have any name.
 
-    A hot line costs one row per document: counts are pre-aggregated before each shuffle, and the
-    table of repeated keys is written first, so that Spark can split a hot key of the join.
+    Texts are split and lines hashed once, into a stored table of numbers. A hot line costs one row per document: counts
+    are pre-aggregated before each shuffle, and the table of repeated keys is written first, so that Spark can split a
+    hot key of the join.
     """
-    lines = _exploded(docs, id_col, text_col, min_chars)
+    lines = stored(_exploded(docs, id_col, text_col, min_chars), "line-keys")
     repeated = stored(
         lines.groupBy("h1", "h2")
         .agg(F.count_distinct("id").alias("n"), F.max("id").alias("holder"))

@@ -130,3 +130,11 @@ def test_insertions_with_cut_ends_equal_brute_force(spark):
         docs.append((j, prose(500 + j, 37) + " " + " ".join(words) + " " + prose(600 + j, 41)))
     assert len(brute(docs, items)) >= 3
     assert found(spark, docs, items) == brute(docs, items)
+
+
+def test_benchmark_with_columns_of_clashing_names(spark):
+    items = spark.createDataFrame([(*r, "x", 1, 2, "h") for r in ITEMS], "item_id long, text string, words string, n int, id int, hash string")
+    docs = spark.createDataFrame([(*r, 3, "y", 4) for r in DOCS], "doc_id long, text string, item int, code string, start int")
+    got = {(r.doc_id, r.item_id, round(r.similarity, 9), r.start_word) for r in dc.leaked_pairs(docs, items).collect()}
+    assert got == brute(DOCS, ITEMS)
+    assert dc.drop_leaked(docs, items).columns == docs.columns

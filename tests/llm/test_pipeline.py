@@ -59,6 +59,68 @@ def test_each_stage_decides(spark, table_dir, tmp_path):
     assert sorted((r.doc_id or -1, r.start, r.ids_crc32) for r in run) == sorted((r.doc_id or -1, r.start, r.ids_crc32) for r in packed)
 
 
+def test_run_equals_brute_force(spark, table_dir):
+    """All five stages by loops over all rows, pairs and windows."""
+    import math
+    import zlib
+    from collections import defaultdict
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from tests.llm import test_dart_minhash, test_decontaminate, test_line_dedup
+
+    docs, labels, items = ([tuple(r) for r in spark.read.parquet(f"{table_dir}/{t}.parquet").collect()] for t in ("documents", "labels", "benchmark"))
+    rows = [(d[0], d[1]) for d in docs]
+    text = {i: t for i, t in rows if i is not None}
+    taught = [(i, q) for i, q, _ in labels if i in text and q in (0, 1) and zlib.crc32(str(i).encode()) % 4 != 2]
+    x, y = np.array([quality.text_features(text[i]) for i, _ in taught]), np.array([q for _, q in taught], float)
+    order = np.lexsort([*x.T, y])
+    model = quality.fit(x[order], y[order])
+
+    def score(value):
+        row, total = quality.text_features(value), model.base
+        for v, edges, table in zip(row, model.edges, model.tables):
+            total += table[sum(e <= v for e in edges)]
+        for (a, b), table in zip(model.pairs, model.pair_tables):
+            total += table[sum(e <= row[a] for e in model.pair_edges[a]), sum(e <= row[b] for e in model.pair_edges[b])]
+        return 1 / (1 + math.exp(-total))
+
+    rows = [(i, t) for i, t in rows if score(t) >= 0.7]
+    holders = defaultdict(set)
+    rank = lambda i: float("-inf") if i is None else i
+    for i, t in rows:
+        for line in (t or "").split("\n"):
+            if len(test_line_dedup.key(line)) >= 20:
+                holders[test_line_dedup.key(line)].add(rank(i))
+    gone = lambda i, k: len(holders[k]) >= 3 and max(holders[k]) != rank(i)
+    rows = [(i, t and "\n".join(x for x in t.split("\n") if not gone(i, test_line_dedup.key(x)))) for i, t in rows]
+    numbered = [(dart_minhash.NO_ID if i is None else i, t) for i, t in rows]
+    firsts = {}
+    for (i, t), (_, c) in zip(sorted(numbered, key=lambda r: r[0]), test_dart_minhash.exact_classes(numbered)):
+        if i == c:
+            firsts.setdefault(c, (None if i == dart_minhash.NO_ID else i, t))
+    rows = list(firsts.values())
+    leaked = {i for i, *_ in test_decontaminate.brute(rows, items)}
+    rows = [r for r in rows if r[0] not in leaked]
+    encode = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = {i: np.array([*encode.encode(t or "", add_special_tokens=False).ids, 1], "<u4") for i, t in rows}
+
+    run = corpus_pipeline.run(spark, table_dir).collect()
+    assert {r.doc_id for r in run} == set(want)
+    for i, ids in want.items():
+        pieces = sorted((r for r in run if r.doc_id == i), key=lambda r: r.start)
+        assert [r.start for r in pieces] == [0, *np.cumsum([r.length for r in pieces])[:-1]] and sum(r.length for r in pieces) == len(ids)
+        for r in pieces:
+            assert r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
+    places = defaultdict(list)
+    for r in run:
+        places[r.sequence_id].append((r.offset, r.length))
+    for held in places.values():
+        held.sort()
+        assert [o for o, _ in held] == [0, *np.cumsum([n for _, n in held])[:-1]] and sum(n for _, n in held) <= 2048
+
+
 def test_stages_are_the_operators(spark, table_dir):
     docs = spark.read.parquet(f"{table_dir}/documents.parquet")
     labels, items = (spark.read.parquet(f"{table_dir}/{t}.parquet") for t in ("labels", "benchmark"))

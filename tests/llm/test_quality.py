@@ -75,3 +75,10 @@ def test_scores_equal_looking_up_every_table(spark, sf):
             total += table[sum(e <= row[a] for e in model.pair_edges[a]), sum(e <= row[b] for e in model.pair_edges[b])]
         assert math.isclose(r.score, 1 / (1 + math.exp(-total)), rel_tol=1e-9)
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+
+
+def test_labels_with_columns_of_clashing_names(spark, sf):
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    more = labels.selectExpr("*", "'t' AS text", "0.5 AS score", "1 AS x", "'en' AS lang")
+    a, b = (sorted(quality.score_documents(docs, x).collect()) for x in (labels, more))
+    assert a == b
