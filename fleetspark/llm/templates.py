@@ -3,8 +3,9 @@
 Pages of one host with the same kinds of elements have one shape. A token is an element with its path, or a
 block of text with its path. Tokens of one shape that occur equally often on each of its pages form a class, and
 classes nest as the elements do: a text in the class of the element around it, of the container around
-that, or of the whole page stands wherever that stands, so it is template. What stands in the other slots is data, unless
-a slot is a menu, a notice or another part around the article.
+that, or of the whole page stands wherever that stands, so it is template. What stands in the other slots is data. The slot of the
+articles is the innermost container that holds most of a shape's text; what stands beside it goes, whatever it is called.
+Names of elements decide inside that slot, and on pages of shapes too rare to show a template.
 
 Counts per page meet as sums of page hashes: tokens with equal sums have equal occurrence vectors. So
 a shape of any number of pages is summed up where its pages lie.
@@ -17,6 +18,7 @@ import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from hashlib import blake2b
+from typing import NamedTuple
 
 import pyarrow as pa
 import xxhash
@@ -32,6 +34,8 @@ PAGES = 5
 SHARE = 0.2
 #: a slot is a menu if more than this share of its text is in links
 LINKS = 0.5
+#: the slot of the articles is sought among so many outer containers of a text
+LEVELS = 64
 #: an element named like a part around the article is none if it holds the article or, on a page without a marked
 #: one, more than this share of the text; elements marked as main yield to articles that hold this share of their text
 MOST = 0.5
@@ -79,23 +83,27 @@ ENDS = {
 @dataclass
 class Block:
     """A block of text, the element it stands in and that one's nearest container, ``kind`` 2 inside an article, 1 inside
-    another element marked as main, else 0."""
+    another element marked as main, else 0; ``around`` if names put it around the article."""
 
     text: str
     path: int
     container: int
     linked: int
     kind: int
+    around: bool = False
     inside: tuple[int, ...] = ()
 
 
 @dataclass
 class Page:
-    """Blocks outside the parts around the article, the paths of all elements, and the shape they make up."""
+    """Blocks outside the parts around the article, the paths of all elements, the shape they make up, and the slots: for
+    each container of any text the outer containers down to it, the outermost one among them that is marked as
+    main (0 for none), and characters of text that is no link."""
 
     blocks: list[Block] = field(default_factory=list)
     paths: list[int] = field(default_factory=list)
     shape: int = 0
+    slots: dict[int, list] = field(default_factory=dict)
 
 
 def _signed(number: int) -> int:
@@ -129,13 +137,29 @@ def named_like(marks: list[str]) -> str:
     return found
 
 
+class _Open(NamedTuple):
+    """An open element: its path, plain path (without numbers), containers down to it, the outermost of them that is marked,
+    whether it is around the article, kind, the doubtful elements it is in, and how many of those began before the article."""
+
+    name: str = ""
+    path: int = 0
+    plain: int = 0
+    containers: tuple[int, ...] = (0,)
+    container: int = 0
+    marked: int = 0
+    around: bool = False
+    kind: int = 0
+    inside: tuple[int, ...] = ()
+    before: int = 0
+
+
 def parse(page: str) -> Page:
-    """Blocks and elements of a page. Elements that are open are known by their name, path, plain path (without
-    numbers), container, whether they are around the article, kind, and the doubtful elements they are in."""
+    """Blocks, elements and slots of a page."""
     out = Page()
+    found: list[Block] = []
     shape: set[int] = set()
     children: list[dict[int, int]] = [{}]  # of the open elements, how many of each path so far
-    stack: list[tuple] = [("", 0, 0, 0, False, 0, ())]
+    stack = [_Open()]
     doubtful: list[list] = []  # of each doubtful element: characters in it, holds the article, is for readers
     parts: list[str] = []
     linked = 0
@@ -147,29 +171,31 @@ def parse(page: str) -> Page:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                _, path, _, container, _, kind, inside = stack[-1]
-                out.blocks.append(Block(text, path, container, min(linked, len(text)), kind, inside))
-                for k in inside:
-                    doubtful[k][0] += len(text)
-                    doubtful[k][1] |= kind > 0 and k < doubts_before[-1]
+                top = stack[-1]
+                block = Block(text, top.path, top.container, min(linked, len(text)), top.kind, top.around, top.inside)
+                found.append(block)
+                slot = out.slots.setdefault(top.container, [top.containers, top.marked, 0])
+                slot[2] += len(text) - block.linked
+                if not top.around:
+                    for k in top.inside:
+                        doubtful[k][0] += len(text)
+                        doubtful[k][1] |= top.kind > 0 and k < top.before
             parts.clear()
         linked = 0
 
-    doubts_before = [0]  # number of doubtful elements when the outermost article or main of the open ones began
-
     def leave(at: int) -> None:
-        del stack[at:], children[at:], doubts_before[at:]
+        del stack[at:], children[at:]
 
     def close(name: str) -> None:
         for at in range(len(stack) - 1, 0, -1):
-            if stack[at][0] == name:
+            if stack[at].name == name:
                 end_block()
                 leave(at)
                 return
 
     def text(raw: str) -> None:
         nonlocal linked
-        if raw and not stack[-1][4]:
+        if raw:
             raw = html.unescape(raw) if "&" in raw else raw
             parts.append(raw)
             if links:
@@ -194,52 +220,56 @@ def parse(page: str) -> Page:
         if name not in BLOCKS:
             continue
         if closing:
-            if name == "p" and all(s[0] != "p" for s in stack):
+            if name == "p" and all(s.name != "p" for s in stack):
                 end_block()
             close(name)
             continue
         end_block()
-        if stack[-1][0] == "p":  # no element of these kinds stands in a paragraph
+        if stack[-1].name == "p":  # no element of these kinds stands in a paragraph
             leave(len(stack) - 1)
         if name in ENDS:
             ended, bound = ENDS[name]
             for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in bound:
+                if stack[k].name in bound:
                     break
-                if stack[k][0] in ended:
+                if stack[k].name in ended:
                     leave(k)
                     break
         if name in VOID:
             continue
         marks = [m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)] if attributes else []
-        _, parent, plain, container, around, kind, inside = stack[-1]
+        top = stack[-1]
+        kind, inside = top.kind, top.inside
         like = named_like(marks) if marks and name not in ("body", "html") else ""
-        before = doubts_before[-1] if kind else len(doubtful)
         if name == "article" and like != "readers":
             kind, like = 2, ""
         elif name == "main" or any(map(_MAIN.search, marks)):
             kind, like = max(kind, 1), "" if like != "readers" else like
-        around, marked = around or name in AROUND, marked or kind > 0
+        marked = marked or kind > 0
+        before = top.before if top.kind else len(doubtful)
         if like or name in SOFT and not (name == "header" and kind):
             inside = (*inside, len(doubtful))
             doubtful.append([0, False, like == "readers"])
         called = name + (f".{marks[0].split()[0]}" if marks and marks[0].split() else "")
-        plain, path = step(plain, called), step(parent, called)
+        plain, path = step(top.plain, called), step(top.path, called)
+        container, containers, outer = top.container, top.containers, top.marked
         if name not in ROWS:
             children[-1][path] = nth = children[-1].get(path, 0) + 1
-            path = step(parent, f"{called}{nth}") if nth > 1 else path
+            path = step(top.path, f"{called}{nth}") if nth > 1 else path
             container = path
-        stack.append((name, path, plain, container, around, kind, inside))
+            if len(containers) <= LEVELS:
+                containers = (*containers, path)
+                outer = outer or (path if kind else 0)
+        stack.append(_Open(name, path, plain, containers, container, outer, top.around or name in AROUND, kind, inside, before))
         children.append({})
-        doubts_before.append(before)
         out.paths.append(path)
         shape.add(plain)
     text(page[at:])
     end_block()
-    total = sum(len(b.text) for b in out.blocks)
+    total = sum(len(b.text) for b in found if not b.around)
     gone = {k for k, (chars, holds, readers) in enumerate(doubtful)
             if not holds and (marked or readers or chars <= MOST * total)}
-    out.blocks = [b for b in out.blocks if not gone.intersection(b.inside)]
+    out.blocks = [b for b in found if not b.around and not gone.intersection(b.inside)]
     out.shape = _signed(xxhash.xxh64_intdigest(" ".join(map(str, sorted(shape)))))
     return out
 
@@ -252,7 +282,7 @@ def best_kind(sizes: list[tuple[int, int]]) -> int:
 
 
 def main_text(page: str | None, dropped: Iterable[int] = ()) -> str:
-    """The text of a page's article. ``dropped`` are the tokens of its template that are no data: paths of
+    """The text of a page's article by the page alone. ``dropped`` are tokens of its template that are no data: paths of
     elements and texts. They go only if something is left without them."""
     found = parse(page or "").blocks
     return chosen_text([(b.text, b.path, text_token(b.path, b.text), b.kind) for b in found], dropped)
@@ -267,6 +297,12 @@ def chosen_text(blocks: list[tuple[str, int, int, int]], dropped: Iterable[int])
     return "\n\n".join(kept or [text for text, *_ in main])
 
 
+def in_region(container: int, containers: Iterable[int], region: list[int]) -> bool:
+    """Whether text of a container is in the slot of the articles, or stands directly in a container around it as a
+    title may. ``region`` are the containers down to that slot."""
+    return region[-1] in containers or container in region
+
+
 def text_token(path: int, text: str) -> int:
     return _signed(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), seed=path % 2**64) ^ 1)
 
@@ -281,12 +317,14 @@ def host_of(url: Column) -> Column:
 
 
 BLOCK = "array<struct<text string, path long, container long, linked int, kind int, token long>>"
+SLOT = "array<struct<container long, containers array<long>, marked long, chars long>>"
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """``page_id, url, host, shape, mark`` (a hash of the page), ``paths`` of its elements and ``blocks``."""
+    """``page_id, url, host, shape, mark`` (a hash of the page), ``paths`` of its elements, ``blocks`` and ``slots``."""
     fields = [("text", pa.string()), ("path", pa.int64()), ("container", pa.int64()), ("linked", pa.int32()),
               ("kind", pa.int32()), ("token", pa.int64())]
+    slot = pa.struct([("container", pa.int64()), ("containers", pa.list_(pa.int64())), ("marked", pa.int64()), ("chars", pa.int64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -300,14 +338,16 @@ def parsed(pages: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), part.column(2), pa.array([f.shape for f in found], pa.int64()),
                      pa.array(marks, pa.int64()), pa.array([f.paths for f in found], pa.list_(pa.int64())),
-                     pa.array([[dict(zip([n for n, _ in fields], b)) for b in bs] for bs in blocks], pa.list_(pa.struct(fields)))],
-                    names=["page_id", "url", "host", "shape", "mark", "paths", "blocks"])
+                     pa.array([[dict(zip([n for n, _ in fields], b)) for b in bs] for bs in blocks], pa.list_(pa.struct(fields))),
+                     pa.array([[{"container": c, "containers": list(v[0]), "marked": v[1], "chars": v[2]} for c, v in f.slots.items()]
+                               for f in found], pa.list_(slot))],
+                    names=["page_id", "url", "host", "shape", "mark", "paths", "blocks", "slots"])
 
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         host_of(F.col("url")).alias("host"), F.col("html").cast("string").alias("html"))
     return rows.mapInArrow(
-        run, f"page_id long, url string, host string, shape long, mark long, paths array<long>, blocks {BLOCK}")
+        run, f"page_id long, url string, host string, shape long, mark long, paths array<long>, blocks {BLOCK}, slots {SLOT}")
 
 
 GROUP = ["host", "shape"]
@@ -366,12 +406,43 @@ def host_templates(pages: DataFrame) -> DataFrame:
     return menus.unionByName(fixed).groupBy(*GROUP).agg(F.sort_array(F.collect_set("token")).alias("dropped"))
 
 
+def regions(pages: DataFrame) -> DataFrame:
+    """``host, shape, region``: for each shape of enough different pages the containers down to the slot of its articles.
+
+    That slot is the innermost container with most of the shape's text that is no link and, if any text is marked as main, with nearly
+    all of that; if it is part of a marked one, the outermost such is it.
+    """
+    able = pages.groupBy(*GROUP).agg(F.count_distinct("mark").alias("pages")).where(F.col("pages") >= PAGES).select(*GROUP)
+    slots = pages.select(*GROUP, F.inline("slots")).groupBy(*GROUP, "container").agg(
+        F.sum("chars").alias("chars"), F.first("containers").alias("containers"), F.first("marked").alias("marked"))
+    slots = stored(slots.join(able, GROUP), "slots")
+    main = F.when(F.col("marked") != 0, F.col("chars")).otherwise(0)
+    totals = slots.groupBy(*GROUP).agg(F.sum("chars").alias("total"), F.sum(main).alias("total_marked"))
+    parts = slots.select(*GROUP, "chars", main.alias("main"), "marked", "containers", F.posexplode("containers").alias("depth", "node"))
+    down = F.slice("containers", F.lit(1), F.col("depth") + 1)
+    parts = parts.groupBy(*GROUP, "node").agg(
+        F.sum("chars").alias("chars"), F.sum("main").alias("main"), F.first("depth").alias("depth"), F.first(down).alias("region"),
+        F.max(F.array_position(down, F.col("marked"))).alias("marked_at"))
+    holds = parts.join(totals, GROUP).where(
+        (F.col("total") > 0) & (F.col("chars") >= MOST * F.col("total")) & (F.col("main") >= (1 - SHARE) * F.col("total_marked")))
+    inner = holds.groupBy(*GROUP).agg(F.max_by(F.struct("region", "marked_at"), F.struct("depth", "node")).alias("best"))
+    # the root, number 0, is a place in every list but never marked
+    outer = F.when((F.col("best.marked_at") > 1), F.slice("best.region", F.lit(1), F.col("best.marked_at").cast("int")))
+    return inner.select(*GROUP, F.coalesce(outer, F.col("best.region")).alias("region"))
+
+
+def templates_of(pages: DataFrame) -> DataFrame:
+    """``host, shape, dropped, region`` from ``parsed`` pages (``host_templates``, ``regions``)."""
+    return host_templates(pages).join(regions(pages), GROUP, "full")
+
+
 def extract_pages(pages: DataFrame) -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` of every row.
 
     The text is the article's blocks in order, joined by two line feeds, character references decoded and
-    white space within a block turned into one space. Texts that the template of the page's host and shape shows to be no
-    data go. A page without an element marked as article or main is taken whole, but for that and for menus.
+    white space within a block turned into one space. Text outside the slot of the articles that the template of the page's
+    host and shape shows goes, and so do texts and menus that are part of that template. A page without an
+    element marked as article or main is taken whole, but for that.
     NULL html is empty, and so is its text; pages with a NULL or unreadable url are one host; repeated
     rows get the same text; an empty table gives an empty table. Other columns are not read.
     """
@@ -379,16 +450,19 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     def extracted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for blocks, dropped in zip(batch.column(2), batch.column(3)):
-                rows = [(b["text"], b["path"], b["token"], b["kind"]) for b in blocks.as_py()]
+            for blocks, slots, dropped, region in zip(*(batch.column(i) for i in (2, 3, 4, 5))):
+                region = region.as_py()
+                down = {x["container"]: x["containers"] for x in slots.as_py()}
+                rows = [(b["text"], b["path"], b["token"], b["kind"]) for b in blocks.as_py()
+                        if region is None or in_region(b["container"], down[b["container"]], region)]
                 found.append(chosen_text(rows, dropped.as_py() or ()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.string()), pa.array(map(len, found), pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])
 
     rows = stored(parsed(pages), "parsed")
-    templates = stored(host_templates(rows), "templates")
-    return rows.join(templates, GROUP, "left").select("page_id", "url", "blocks", "dropped").mapInArrow(
+    templates = stored(templates_of(rows), "templates")
+    return rows.join(templates, GROUP, "left").select("page_id", "url", "blocks", "slots", "dropped", "region").mapInArrow(
         extracted, "page_id long, url string, text string, n_chars long")
 
 

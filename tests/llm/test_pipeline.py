@@ -2,11 +2,14 @@ import subprocess
 import sys
 from functools import partial
 
+import numpy as np
 import public_tokenizers
 import pytest
 
 import corpus_pipeline
-from fleetspark.llm import dart_minhash, decontaminate, language_mix, lattice_lm, line_dedup, packing, quality, templates
+from fleetspark.llm import (
+    byte_bpe, dart_minhash, decontaminate, divergence, language_mix, lattice_lm, line_dedup, packing, quality, templates, vector_codes,
+)
 from fleetspark.llm.catalog import ORACLE, QUERIES
 from tests.llm.conftest import prose
 
@@ -65,7 +68,6 @@ def test_run_equals_brute_force(spark, table_dir):
     import zlib
     from collections import defaultdict
 
-    import numpy as np
     from tokenizers import Tokenizer
 
     from tests.llm import test_dart_minhash, test_decontaminate, test_line_dedup
@@ -175,7 +177,9 @@ def test_tasks_need_no_copy_of_the_package():
         encoder = partial(packing.Encoder, file.read(), public_tokenizers.PATTERN)
     page = partial(templates.main_text, "<p>a")
     calls = [partial(quality.text_features, "a b"), partial(dart_minhash.words_of, "A b"), encoder, page,
-             partial(language_mix.trigram_counts, "ab"), partial(lattice_lm.Lattice, [b"a"], 1)]
+             partial(language_mix.trigram_counts, "ab"), partial(lattice_lm.Lattice, [b"a"], 1),
+             partial(byte_bpe.Codec, b"YQ== 0\n", "."), partial(vector_codes.sequency_order, 8), partial(divergence.terms_of, b"A b"),
+             partial(dart_minhash._first_link, [np.array([1, 2])], [np.array([2, 1])], 0.8)]
     for call in calls:
         out = subprocess.run([sys.executable, "-c", script], input=cloudpickle.dumps(call), capture_output=True, cwd="/")
         assert out.returncode == 0, out.stderr.decode()

@@ -112,6 +112,45 @@ def test_template_texts_within_articles_go(spark):
         assert got[i].split("\n\n") == note + own + teasers + rare, i
 
 
+def unmarked(i, words=60):
+    """A title, a text in its own box, and boxes beside it that differ from page to page and are called nothing."""
+    own = [prose(i * 7 + k, words) for k in range(2)]
+    page = (f"<html><body><div class=x1><p>{prose(700 + i, 12)}</p></div><h1>{prose(900 + i, 4)}</h1>"
+            f"<div class=x2><p>{own[0]}</p><div><p>{own[1]}</p></div></div><div class=x3>{prose(800 + i, 15)}</div></body></html>")
+    return (i, "http://boxes.example/", page), "\n\n".join([prose(900 + i, 4), *own])
+
+
+def test_the_slot_of_the_articles_shows_in_many_pages(spark):
+    made = [unmarked(i) for i in range(12)]
+    assert rows_of(frame_of(spark, [p for p, _ in made])) == {p[0]: text for p, text in made}
+    few = rows_of(frame_of(spark, [p for p, _ in made[:4]]))  # too few pages: all boxes stay
+    assert all(prose(700 + i, 12) in few[i] and prose(800 + i, 15) in few[i] for i in range(4))
+    # one page whose own text is short does not move the slot
+    short, text = unmarked(50, 3)
+    assert rows_of(frame_of(spark, [p for p, _ in made] + [short]))[50] == text
+
+
+def test_articles_side_by_side_are_one_slot(spark):
+    pages, want = [], {}
+    for i in range(8):
+        own = [prose(i * 5 + k, 40 if k else 90) for k in range(3)]
+        body = "".join(f"<article><p>{t}</p></article>" for t in own)
+        pages.append((i, "http://list.example/", f"<html><body><div>{prose(300 + i, 9)}</div><div>{body}</div><nav>n</nav></body></html>"))
+        want[i] = "\n\n".join(own)
+    assert rows_of(frame_of(spark, pages)) == want
+    found = templates.regions(templates.parsed(frame_of(spark, pages))).collect()
+    path = templates.step(templates.path_of("/html/body"), "div2")
+    assert [r.region for r in found] == [[0, templates.path_of("/html"), templates.path_of("/html/body"), path]]
+
+
+def test_region_of_the_test_pages_is_their_article(spark, sf):
+    """By their classes alone: names of elements have no part in where most of a shape's text stands."""
+    pages = spark.read.parquet(f"{sf.replace('0.001', '0.1')}/pages.parquet")
+    found = templates.regions(templates.parsed(pages)).collect()
+    want = [0, *[templates.path_of(p) for p in ("/html", "/html/body", "/html/body/article")]]
+    assert len(found) > 40 and all(r.region == want for r in found)
+
+
 def test_few_pages_or_copies_prove_nothing(spark):
     for pages in (site(108)[0][:4], [(k, "http://site.example/", site(3)[0][2][2]) for k in range(20)]):
         got = rows_of(frame_of(spark, pages))
