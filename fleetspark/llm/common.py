@@ -22,11 +22,22 @@ def ship(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
+#: rows that Python workers take at once while a working table is written: texts and shingles are long, and both sides
+#: hold a batch in memory
+BATCH = 1024
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and go on from the files: it is computed once,
     a lost executor repeats a read, and the planner knows its size."""
     path = new_work_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(key)
+    conf.set(key, str(min(BATCH, int(before)) if int(before) > 0 else BATCH))
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(key, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -317,7 +317,7 @@ def _units(rows: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
                 before = len(unit[4])
                 unit[4].update(tokens.values.to_numpy().tolist())
                 total += len(unit[4]) - before
-                if total > 1_000_000:
+                if total > 200_000:
                     yield table()
                     held.clear()
                     total = 0
