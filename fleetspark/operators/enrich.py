@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import decimal_mean, ratio_or_zero, year_of_period
 
+# Columns that an enriched operation takes from its vehicle.
 VEHICLE_COLUMNS = [
     "veiculo_id", "marca", "ano_fabricacao", "km_atual", "status", "consumo_medio_km_l",
     "capacidade_carga_t",
