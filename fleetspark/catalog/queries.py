@@ -276,7 +276,8 @@ def dq_constraints(spark, sf):
     no distance where a vehicle stood still, one fact number a month for all operations of 56 trips."""
     s = feeds.load_star(spark, sf)
     shared = F.when(F.col("viagens_realizadas") == 56, -F.col("sk_tempo")).otherwise(F.col("sk_fato_frota"))
-    fato = star.add_fact_number(s["fato_frota"], blocks=16).withColumns(
+    checked = s["fato_frota"].select(*star.FACT_KEYS, "km_rodado", "viagens_realizadas")
+    fato = star.add_fact_number(checked, blocks=16).withColumns(
         {"sk_fato_frota": shared, "km_rodado": F.nullif("km_rodado", F.lit(0))})
     # a fact is a stored table; the checks read its columns one after the other
     fato = stored(fato.select("sk_fato_frota", *star.FACT_KEYS, "km_rodado"), "fato")
