@@ -89,10 +89,3 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = new_work_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and go on from there, so several results need one
-    computation and a lost executor repeats a read."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
