@@ -147,10 +147,11 @@ def load_star(spark: SparkSession, sf: str, *names: str) -> dict[str, DataFrame]
 # --- raw feeds --------------------------------------------------------------------
 
 def _state_names(spark: SparkSession, sf: str) -> DataFrame:
-    """``_uf`` (number), ``nome`` and ``regiao`` of the states."""
-    return dim_estado(spark, sf).select(
+    """``_uf`` (number), ``nome`` and ``regiao`` of the states, a short list sent to all tasks: the planner
+    takes the size of its join for large and would deal the feeds out by 25 states."""
+    return F.broadcast(dim_estado(spark, sf).select(
         F.col("sk_estado").alias("_uf"), F.col("sigla_estado").alias("nome"), "regiao"
-    )
+    ))
 
 
 def raw_prices(spark: SparkSession, sf: str) -> DataFrame:

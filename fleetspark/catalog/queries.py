@@ -51,7 +51,8 @@ def rounded(c: str, digits: int = 6) -> Column:
 # --- sources and sinks ------------------------------------------------------------
 
 def write_raw_csv(df: DataFrame, path: str) -> str:
-    df.write.options(header=True, nullValue=readers.MISSING).csv(path)
+    """A feed as compressed part files, each of a size that one task can read."""
+    df.write.options(header=True, nullValue=readers.MISSING, compression="lz4", maxRecordsPerFile=500_000).csv(path)
     return path
 
 

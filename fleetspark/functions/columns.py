@@ -53,7 +53,9 @@ def to_number(c: ColumnLike, type_: str = "decimal(28,8)") -> Column:
         exact = text.try_cast("decimal(38,10)")
         fits = F.coalesce(fits, F.when(exact == F.floor(exact), exact.try_cast(type_)))
     error = F.raise_error(F.concat(F.lit(f"number does not fit {type_}: "), text)).cast(type_)
-    return F.when(number, F.coalesce(fits, error))
+    # plain text that the type reads is such a number; only the rest is looked at more closely
+    plain = F.when(F.octet_length(text) == F.char_length(text), text.try_cast(type_))
+    return F.coalesce(plain, F.when(number, F.coalesce(fits, error)))
 
 
 def to_date_br(c: ColumnLike) -> Column:

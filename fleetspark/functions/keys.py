@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import stored
+
 
 def dense_number(
     df: DataFrame, name: str, order: Sequence[str], block: Column | None = None, blocks: int = 1024,
@@ -46,3 +48,27 @@ def dense_number(
         .withColumn(name, F.col("_before") + F.col("_pos"))
         .drop("_block", "_part", "_pos", "_before")
     )
+
+
+def stored_number(df: DataFrame, name: str, block: str, label: str) -> DataFrame:
+    """Add ``name`` = 1..n, following ``block`` (whole numbers), without moving a row.
+
+    The table is written, each file in order of ``block``, and a number is the place of the row in its file, shifted
+    by the rows of its block in files before and of the blocks before. It follows from the written files, so a
+    task that is run again gives the same numbers; another run over the same rows may number those of one block
+    in another order. Only one row per block and file meets in one task, and is sent to all.
+    """
+    place = F.coalesce(F.col(block).cast("long"), F.lit(-1).cast("long"))
+    rows = stored(df.sortWithinPartitions(place), label)
+    placed = rows.withColumns({"_block": place, "_file": F.col("_metadata.file_name"), "_row": F.col("_metadata.row_index")})
+    runs = placed.groupBy("_block", "_file").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"), F.max("_row").alias("_last"))
+    before = Window.orderBy("_block", "_file").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1 - F.col("_first")
+    torn = F.raise_error(F.lit(f"rows of {label} are not in order of {block}")).cast("long")
+    shifts = runs.select("_block", "_file", F.when(F.col("_last") - F.col("_first") + 1 == F.col("_n"), shift).otherwise(torn).alias("_shift"))
+    return (
+        placed.join(F.broadcast(shifts), ["_block", "_file"])
+        .withColumn(name, F.col("_shift") + F.col("_row"))
+        .drop("_block", "_file", "_row", "_shift")
+    )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import reference_data as ref
 from ..functions.columns import strip, to_date_br, to_number, upper_strip
+from ..session import stored
 
 # Wider than the star's types: a valid number is kept here, and one that a table type cannot hold fails
 # when it is loaded there.
@@ -29,6 +30,27 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+#: hashes of repeated rows that are sent to all tasks, 16 MB
+FEW_COPIES = 2_000_000
+
+
+def drop_rare_copies(df: DataFrame, order: str) -> DataFrame:
+    """What ``drop_duplicate_rows`` keeps, for a table in which copies are rare: they are found by a hash of
+    the row. Only rows that share theirs with another row are shuffled and compared in full; rows that differ and
+    share it stay both. The table is written first, as it is read three times, and each file in ``order``;
+    one with many copies is compared as a whole."""
+    rows = stored(df.withColumn("_hash", F.xxhash64(*df.columns)).sortWithinPartitions(order), "linhas")
+    seen = rows.groupBy("_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_hash")
+    repeated = stored(seen, "repetidas")
+    found = repeated.count()
+    if not found:
+        return rows.drop("_hash")
+    if found > FEW_COPIES:
+        return drop_duplicate_rows(rows.drop("_hash"))
+    single = rows.join(F.broadcast(repeated), "_hash", "left_anti").drop("_hash")
+    return single.unionByName(drop_duplicate_rows(rows.join(F.broadcast(repeated), "_hash", "left_semi").drop("_hash")))
+
+
 def keep_first_by_key(df: DataFrame, keys: Sequence[str], ordinal: str) -> DataFrame:
     """Keep the row of each key that comes first by ``ordinal``.
 
@@ -126,10 +148,12 @@ def clean_vehicles(df: DataFrame, ordinal: str) -> DataFrame:
     )
 
 
-def clean_operations(df: DataFrame) -> DataFrame:
-    """Operations: copies removed, costs and revenue as numbers, missing numbers 0."""
+def clean_operations(df: DataFrame, rare_copies: bool = False) -> DataFrame:
+    """Operations: copies removed, costs and revenue as numbers, missing numbers 0. With ``rare_copies`` by
+    ``drop_rare_copies``, which writes working tables in order of the year."""
+    rows = drop_rare_copies(df, "ano") if rare_copies else drop_duplicate_rows(df)
     return (
-        df.transform(drop_duplicate_rows)
+        rows
         .transform(parse_numbers, dict.fromkeys(COST_COLUMNS, MONEY))
         .transform(fill_zero)
         .transform(upper_text, ["estado"])

@@ -6,14 +6,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import reference_data as ref
 from ..functions.columns import kept_cast
-from ..functions.keys import dense_number
+from ..functions.keys import dense_number, stored_number
 from ..schemas import DIM_VEICULO, STAR_MEASURES
 from ..session import stored
 
 FACT_KEYS = ["sk_veiculo", "sk_estado", "sk_tempo"]
-DERIVED = ["custo_total", "custo_por_km", "margem_operacional", "km_por_litro_real", "idade_veiculo"]
-# Columns that tell the rows of one vehicle and month apart.
-ROW_SPREAD = ["sk_veiculo", "km_rodado", "litros_consumidos", "receita_estimada", "viagens_realizadas"]
 
 
 def month_key(year: Column | str = "ano", month: Column | str = "mes") -> Column:
@@ -139,14 +136,9 @@ def project_fact(df: DataFrame) -> DataFrame:
 
 
 def add_fact_number(fact: DataFrame, blocks: int = 1024) -> DataFrame:
-    """``sk_fato_frota`` = 1..n, following the months. Derived measures follow from the others and
-    take no part in the order. The fact is written first: counting the blocks reads a few of its
-    columns, and nothing is derived twice."""
-    fact = stored(fact, "fato")
-    order = [c for c in fact.columns if c != "sk_tempo" and c not in DERIVED]
-    spread = [c for c in ROW_SPREAD if c in order]
-    numbered = dense_number(fact, "sk_fato_frota", order, F.col("sk_tempo"), blocks, spread)
-    return numbered.select("sk_fato_frota", *fact.columns)
+    """``sk_fato_frota`` = 1..n, following the months. The fact is written first and numbered where its
+    rows lie (``stored_number``), so nothing is derived twice or shuffled. ``blocks`` has no meaning any more."""
+    return stored_number(fact, "sk_fato_frota", "sk_tempo", "fato").select("sk_fato_frota", *fact.columns)
 
 
 def fato_frota(

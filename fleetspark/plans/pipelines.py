@@ -13,7 +13,7 @@ from ..sources import readers, writers
 
 def run_etl(spark: SparkSession, raw: str, staging: str, date: str) -> dict[str, str]:
     """Newest raw feeds to the five staging tables. The small tables are written before the
-    enrichment reads them."""
+    enrichment reads them, so that operations, the large feed, are joined and written where they are read."""
     def feed(name: str) -> DataFrame:
         return readers.read_feed(spark, name, raw)
 
@@ -21,7 +21,6 @@ def run_etl(spark: SparkSession, raw: str, staging: str, date: str) -> dict[str,
     indicators = cleaning.clean_indicators(feed("indicators"))
     fleet = cleaning.clean_registered_fleet(feed("registered_fleet"))
     vehicles = cleaning.clean_vehicles(feed("vehicles"), "_ordem")
-    operations = cleaning.clean_operations(feed("operations"))
     # a pivot looks for its columns first: from the written monthly tables, not from the feeds again
     with working_tables(spark):
         small = writers.write_staging(
@@ -33,12 +32,12 @@ def run_etl(spark: SparkSession, raw: str, staging: str, date: str) -> dict[str,
             },
             staging, date,
         )
-    read = {name: spark.read.parquet(path) for name, path in small.items()}
-    enriched = enrich.enrich(
-        operations, read["veiculos_clean"], read["anp_mensal"], read["ibge_wide"],
-        read["denatran_resumo"],
-    )
-    return small | writers.write_staging({"frota_enriquecida": enriched}, staging, date)
+        read = {name: spark.read.parquet(path) for name, path in small.items()}
+        enriched = enrich.enrich(
+            cleaning.clean_operations(feed("operations"), rare_copies=True), read["veiculos_clean"],
+            read["anp_mensal"], read["ibge_wide"], read["denatran_resumo"],
+        )
+        return small | writers.write_staging({"frota_enriquecida": enriched}, staging, date)
 
 
 def run_load(

@@ -87,5 +87,5 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and go on from the files: it is computed once, a
     lost executor repeats a read, and the planner knows its size."""
     path = new_work_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

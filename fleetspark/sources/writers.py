@@ -16,14 +16,29 @@ from ..session import remove
 STAR_ORDER = ["dim_tempo", "dim_estado", "dim_veiculo", "fato_frota"]
 
 
+# A task keeps the files of so many years open at once; beyond that it sorts its rows by year first.
+OPEN_YEARS = 64
+
+
+def _write_by_year(df: DataFrame, path: str, column: str) -> None:
+    """Rows go into the files of their years as they come: no row leaves its task, and none is sorted."""
+    conf, key = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(key)
+    conf.set(key, str(max(OPEN_YEARS, int(before))))
+    try:
+        df.write.mode("overwrite").option("compression", "zstd").partitionBy(column).parquet(path)
+    finally:
+        conf.set(key, before)
+
+
 def write_staging(tables: Mapping[str, DataFrame], folder: str, date: str) -> dict[str, str]:
-    """Write ``<name>_<date>`` per table; the enriched operations are partitioned by year."""
+    """Write ``<name>_<date>`` per table; the enriched operations are partitioned by year. Each task writes a file
+    a year: to bring the years together would move the whole table."""
     paths = {}
     for name, df in tables.items():
         path = os.path.join(folder, f"{name}_{date}")
         if name == "frota_enriquecida":
-            # the rows of a year meet in a few tasks, a large year in more, and not in every task's file
-            df.hint("rebalance", "ano").write.mode("overwrite").partitionBy("ano").parquet(path)
+            _write_by_year(df, path, "ano")
         else:
             df.write.mode("overwrite").parquet(path)
         paths[name] = path
@@ -34,7 +49,7 @@ def write_fact(fact: DataFrame, folder: str) -> str:
     """Replace the fact, partitioned by year so queries for some years read only those."""
     path = os.path.join(folder, "fato_frota")
     by_year = fact.withColumn("ano_particao", F.floor(F.col("sk_tempo") / 100).cast("int"))
-    by_year.hint("rebalance", "ano_particao").write.mode("overwrite").partitionBy("ano_particao").parquet(path)
+    _write_by_year(by_year, path, "ano_particao")
     return path
 
 
