@@ -11,11 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetspark.llm import dart_minhash, decontaminate, line_dedup, packing, quality
-from fleetspark.llm.common import stored
+from fleetspark.llm.common import small_batches, stored
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
+    small_batches(spark)
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -36,6 +37,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as pieces of token sequences."""
+    small_batches(spark)
     return packing.packed_digests(docs)
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleetspark.session import new_work_dir
 
@@ -27,6 +30,30 @@ def ship(module: str) -> None:
 BATCH = 1024
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on Python workers of the session take at most ``BATCH`` rows at once: for results that the caller
+    writes, and not ``stored``."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = int(spark.conf.get(key))
+    spark.conf.set(key, str(min(BATCH, before) if before > 0 else BATCH))
+
+
+def frugal(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``run`` for ``mapInArrow``; at the end of a task its worker, which lives on, returns free memory to the system."""
+
+    def running(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # only the GNU library has it
+                pass
+
+    return running
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and go on from the files: it is computed once,
     a lost executor repeats a read, and the planner knows its size."""
@@ -66,3 +93,6 @@ def in_class(name: str, modulus: int, remainder: int) -> Column:
     """Whether crc32 of the id as text leaves ``remainder``; false for a NULL id."""
     crc = F.crc32(F.col(name).cast("string").cast("binary"))
     return F.coalesce(crc % modulus == remainder, F.lit(False))
+
+
+ship(__name__)

@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fleetspark.llm.common import NO_ID, id_key, ship, stored, whole_text
+from fleetspark.llm.common import NO_ID, frugal, id_key, ship, stored, whole_text
 
 SHINGLE, SIMILAR = 5, 0.8
 #: of a million pairs of similarity 0.8, seven miss all bands: (1 - 0.8^5)^30
@@ -147,7 +147,7 @@ def sign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     text = whole_text(text_col)
     rows = docs.select(id_key(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    return rows.mapInArrow(signed, "id long, th long, k1 long, k2 long, bands array<long>, sig binary")
+    return rows.mapInArrow(frugal(signed), "id long, th long, k1 long, k2 long, bands array<long>, sig binary")
 
 
 # --- candidates -------------------------------------------------------------------
@@ -207,7 +207,7 @@ def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         .join(sig.withColumnsRenamed({"node": "a", "sig": "sig_a"}), "a")
         .join(sig.withColumnsRenamed({"node": "b", "sig": "sig_b"}), "b")
     )
-    return stored(both.select("a", "b", "sig_a", "sig_b").mapInArrow(agreeing, "a long, b long"), "pairs")
+    return stored(both.select("a", "b", "sig_a", "sig_b").mapInArrow(frugal(agreeing), "a long, b long"), "pairs")
 
 
 def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -325,13 +325,13 @@ def _units(rows: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
             yield table()
 
     held = rows.join(texts, "node").select("node", "component", "text").mapInArrow(
-        cut, "node long, component long, size long, n long, tokens array<long>")
+        frugal(cut), "node long, component long, size long, n long, tokens array<long>")
     held = stored(held, "shingles")
     salts = held.groupBy("component", "size").agg(F.ceil(F.sum("n") / MASS).alias("salts"))
     salt = F.pmod(F.xxhash64("node"), F.greatest("salts", F.lit(1))).alias("salt")
     salted = held.join(stored(salts, "salts"), ["component", "size"]).select("component", "size", salt, "node", "n", "tokens")
     parts = salted.mapInArrow(
-        merged, "component long, size long, salt long, nodes long, node long, least long, most long, tokens array<long>")
+        frugal(merged), "component long, size long, salt long, nodes long, node long, least long, most long, tokens array<long>")
     # a unit has at most MASS shingles, or those of a few documents
     units = parts.groupBy(*UNIT).agg(
         F.sum("nodes").alias("nodes"), F.min("node").alias("node"), F.min("least").alias("least"), F.max("most").alias("most"),
@@ -392,7 +392,7 @@ def _unit_pairs(units: DataFrame, similar: float) -> DataFrame:
     shared = stored(each.groupBy("token").agg(*spread).where("x != y").select("token", "holders"), "shared")
     ranked = each.join(shared, "token").groupBy("unit", "component", "least", "most").agg(
         F.array_sort(F.collect_list(F.struct("holders", "token")))["token"].alias("tokens"))
-    fronts = stored(ranked.mapInArrow(prefixes, "key long, side long, unit long, component long"), "fronts")
+    fronts = stored(ranked.mapInArrow(frugal(prefixes), "key long, side long, unit long, component long"), "fronts")
     sides = [F.min("side").alias("s"), F.max("side").alias("t")]
     keys = fronts.groupBy("key").agg(*spread, *sides).where("x != y and s != t").select("key", "holders")
     salt = F.pmod(F.xxhash64("unit"), F.ceil(F.col("holders") / BLOCK)).alias("salt")
@@ -401,7 +401,7 @@ def _unit_pairs(units: DataFrame, similar: float) -> DataFrame:
     blocks = stored(blocks, "blocks")
     left = blocks.where("side = 0").select("key", F.col("held").alias("x"))
     right = blocks.where("side = 1").select("key", F.col("held").alias("y"))
-    return left.join(right, "key").select("x", "y").mapInArrow(crossed, "a long, b long").distinct()
+    return left.join(right, "key").select("x", "y").mapInArrow(frugal(crossed), "a long, b long").distinct()
 
 
 def _first_link(x: list[np.ndarray], y: list[np.ndarray], similar: float) -> tuple[int, int] | None:
@@ -452,7 +452,7 @@ def _unit_links(pairs: DataFrame, documents: DataFrame, units: DataFrame, simila
         pairs.join(kept.withColumnsRenamed({"unit": "a", "least": "n", "tokens": "x"}), "a")
         .join(kept.withColumnsRenamed({"unit": "b", "least": "m", "tokens": "y"}), "b")
     )
-    near = stored(both.select("a", "b", "n", "m", "x", "y").mapInArrow(enough, "a long, b long"), "near-units")
+    near = stored(both.select("a", "b", "n", "m", "x", "y").mapInArrow(frugal(enough), "a long, b long"), "near-units")
     wanted = near.select(F.col("a").alias("unit")).unionByName(near.select(F.col("b").alias("unit"))).distinct()
     wanted = stored(units.select("unit", *UNIT).join(wanted, "unit"), "wanted-units")
     held = documents.join(wanted, UNIT).groupBy("unit").agg(F.collect_list(F.struct("node", "tokens")).alias("held"))
@@ -461,7 +461,7 @@ def _unit_links(pairs: DataFrame, documents: DataFrame, units: DataFrame, simila
         near.join(held.withColumnsRenamed({"unit": "a", "held": "x"}), "a")
         .join(held.withColumnsRenamed({"unit": "b", "held": "y"}), "b")
     )
-    return both.select("x", "y").mapInArrow(linked, "a long, b long")
+    return both.select("x", "y").mapInArrow(frugal(linked), "a long, b long")
 
 
 def remaining_links(rows: DataFrame, texts: DataFrame, nodes: DataFrame, similar: float) -> DataFrame:
@@ -510,7 +510,7 @@ def verify(pairs: DataFrame, texts: DataFrame, similar: float = SIMILAR) -> Data
         pairs.join(texts.withColumnsRenamed({"node": "a", "text": "text_a"}), "a")
         .join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b")
     )
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(alike, "a long, b long, similarity double")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(frugal(alike), "a long, b long, similarity double")
 
 
 def _relabelled(edges: DataFrame, labels: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from fleetspark.llm.common import ship
+from fleetspark.llm.common import frugal, ship
 
 WINDOW, END = 2048, 1
 #: so many remaining pieces are packed together; a task holds no more of them
@@ -224,7 +224,7 @@ def pack_documents(
     with open(tokenizer_path or public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
         content = file.read()
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(packer(content, public_tokenizers.PATTERN, window, end, block), PIECES)
+    return rows.mapInArrow(frugal(packer(content, public_tokenizers.PATTERN, window, end, block)), PIECES)
 
 
 def sequences(pieces: DataFrame, window: int = WINDOW, pad: int = 0) -> DataFrame:

@@ -10,7 +10,7 @@ import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetspark.llm.common import in_class, ship
@@ -178,7 +178,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> AdditiveM
     nothing; a document with several labels teaches each."""
     able = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~in_class("doc_id", 4, 2))
     chosen = able.select("doc_id", "quality").orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample)
-    features = F.pandas_udf(lambda texts: pd.Series(list(feature_matrix(texts))), "array<double>")
+    features = F.arrow_udf(lambda texts: pa.array(list(feature_matrix(texts.to_pylist())), pa.list_(pa.float64())), "array<double>")
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most ``sample`` rows
     fitted = rows.select("quality", features("text").alias("x")).toPandas()
     x = np.array(fitted["x"].tolist(), float).reshape(-1, len(FEATURES))
@@ -188,7 +188,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> AdditiveM
 
 def quality_score(model: AdditiveModel, text: Column) -> Column:
     """Score of a text, 0 to 1; NULL counts as empty."""
-    return F.pandas_udf(lambda texts: pd.Series(model.score(feature_matrix(texts))), "double")(text)
+    return F.arrow_udf(lambda texts: pa.array(model.score(feature_matrix(texts.to_pylist()))), "double")(text)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
