@@ -595,11 +595,17 @@ def run_raw_to_staging(spark: SparkSession, sf: str) -> str:
 def enrich_pipeline(spark, sf):
     staging = run_raw_to_staging(spark, sf)
     rows = readers.read_latest_parquet(spark, staging, "frota_enriquecida")
-    return rows.groupBy("estado", "ano", "mes").agg(
+    # the least text would make Spark sort the rows of a single aggregate; as a key it is hashed
+    by_make = rows.groupBy("estado", "ano", "mes", "marca").agg(
         count(), F.sum("km_rodado").alias("km"), F.sum("custo_total").alias("custo_total"),
-        F.round(F.sum(F.round("custo_por_km", 6)), 6).alias("soma_custo_km"),
-        F.max("preco_diesel").alias("preco_diesel"),
-        F.round(F.max("`1-URGENT`"), 6).alias("urgent"),
+        F.sum(F.round("custo_por_km", 6)).alias("soma_custo_km"),
+        F.max("preco_diesel").alias("preco_diesel"), F.max("`1-URGENT`").alias("urgent"),
+        F.max("frota_total").alias("frota_total"),
+    )
+    return by_make.groupBy("estado", "ano", "mes").agg(
+        F.sum("n").alias("n"), F.sum("km").alias("km"), F.sum("custo_total").alias("custo_total"),
+        F.round(F.sum("soma_custo_km"), 6).alias("soma_custo_km"),
+        F.max("preco_diesel").alias("preco_diesel"), F.round(F.max("urgent"), 6).alias("urgent"),
         F.max("frota_total").alias("frota_total"), F.min("marca").alias("marca"),
     )
 

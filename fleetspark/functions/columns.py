@@ -44,18 +44,22 @@ def to_number(c: ColumnLike, type_: str = "decimal(28,8)") -> Column:
     """
     text = col(c).cast("string")
     value = text.try_cast("double")
-    number = value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
+    number = F.abs(value) < F.lit(float("inf"))  # NaN is no less than that
     if type_ == "double":
         return F.when(number, value)
-    whole = type_ in ("int", "long")
     fits = text.try_cast(type_)
-    if whole:  # what a CSV holds once its column had a gap is 12000.0
+    other = F.raise_error(F.concat(F.lit(f"number does not fit {type_}: "), text)).cast(type_)
+    # a failed cast costs an exception, so text without a number is told by how it starts (whole ones skip control characters)
+    starts = text > ""
+    if type_ in ("int", "long"):  # what a CSV holds once its column had a gap is 12000.0
         exact = text.try_cast("decimal(38,10)")
-        fits = F.coalesce(fits, F.when(exact == F.floor(exact), exact.try_cast(type_)))
-    error = F.raise_error(F.concat(F.lit(f"number does not fit {type_}: "), text)).cast(type_)
-    # plain text that the type reads is such a number; only the rest is looked at more closely
-    plain = F.when(F.octet_length(text) == F.char_length(text), text.try_cast(type_))
-    return F.coalesce(plain, F.when(number, F.coalesce(fits, error)))
+        other = F.coalesce(F.when(exact == F.floor(exact), exact.try_cast(type_)), other)
+    else:
+        starts &= text < ":"
+    # plain text that the type reads is such a number; only the rest is looked at more closely. Few casts keep the code
+    # generated for a feed's columns below the 8,000 bytes that the JVM compiles
+    plain = F.octet_length(text) == F.char_length(text)
+    return F.when(starts & (plain | number), F.coalesce(fits, F.when(number, other)))
 
 
 def to_date_br(c: ColumnLike) -> Column:

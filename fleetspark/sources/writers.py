@@ -26,7 +26,9 @@ def _write_by_year(df: DataFrame, path: str, column: str) -> None:
     before = conf.get(key)
     conf.set(key, str(max(OPEN_YEARS, int(before))))
     try:
-        df.write.mode("overwrite").option("compression", "zstd").partitionBy(column).parquet(path)
+        # the histograms of sizes are for readers other than Spark, and counted value by value
+        writer = df.write.options(**{"compression": "zstd", "parquet.size.statistics.enabled": "false"})
+        writer.mode("overwrite").partitionBy(column).parquet(path)
     finally:
         conf.set(key, before)
 

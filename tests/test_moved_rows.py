@@ -7,11 +7,11 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from fleetspark.catalog import feeds
+from fleetspark.catalog import feeds, queries
 from fleetspark.functions.columns import to_number
 from fleetspark.functions.keys import stored_number
-from fleetspark.operators import cleaning, star
-from fleetspark.sources import writers
+from fleetspark.operators import cleaning, standardize, star
+from fleetspark.sources import readers, writers
 
 from .conftest import rows
 
@@ -91,3 +91,38 @@ def test_numbers_in_plain_and_other_text(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in df.select(to_number("t", "decimal(18,2)")).collect()]
     assert got == [Decimal(x) if x else None for x in ("12", "7", "1000", "1.01", None, None, None, None, None, None, "12000")]
+
+
+def test_the_columns_of_operations_are_read_in_code_that_the_jvm_compiles(spark, sf, tmp_path):
+    path = queries.write_raw_csv(feeds.raw_operations(spark, sf), str(tmp_path / "feed"))
+    df = readers.read_feed(spark, "operations", "", path)
+    hashed = df.withColumn("_hash", F.xxhash64(*df.columns)).sortWithinPartitions("ano")
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = re.findall(r"maxMethodCodeSize:(\d+)", hashed._jdf.queryExecution().explainString(mode))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sizes and max(map(int, sizes)) < 8000
+
+
+def test_enriched_rows_are_not_sorted_to_be_counted(spark, sf):
+    steps = [line for line in plan(queries.QUERIES["enrich_pipeline"](spark, sf)).splitlines() if "Aggregate(" in line]
+    assert "HashAggregate(" in steps[-1]
+
+
+def test_mean_prices_are_as_wide_as_prices(spark):
+    df = spark.createDataFrame([("A", 2024, 1, "GNV", Decimal("99999999999999.9999"))], "estado string, ano int, mes int, produto string, valor_venda decimal(18,4)")
+    small = df.withColumn("valor_venda", F.lit(Decimal("1.2350")).cast("decimal(18,4)"))
+    wide = standardize.prices_wide(standardize.monthly_prices(small))
+    assert dict(wide.dtypes)["preco_gnv"] == "decimal(18,2)"
+    assert wide.first().preco_gnv == Decimal("1.24")
+
+
+@pytest.mark.parametrize("type_, texts, numbers", [
+    ("decimal(18,2)", ["\x0112", "12\n", ":1", "/1", "+4", ".5", "-.5e1", "é1", "\x7f12", "Infinity"], ["12", "12", None, None, "4", "0.5", "-5", None, None, None]),
+    ("int", ["\x7f12", "12\x7f", "", " ", "12000.0", "+4", "é1", "1e3", "abc"], ["12", "12", None, None, "12000", "4", None, "1000", None]),
+])
+def test_text_that_starts_oddly(spark, type_, texts, numbers):
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(to_number("t", type_)).collect()] == [Decimal(n) if n else None for n in numbers]
