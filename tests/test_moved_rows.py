@@ -112,9 +112,8 @@ def test_enriched_rows_are_not_sorted_to_be_counted(spark, sf):
 
 
 def test_mean_prices_are_as_wide_as_prices(spark):
-    df = spark.createDataFrame([("A", 2024, 1, "GNV", Decimal("99999999999999.9999"))], "estado string, ano int, mes int, produto string, valor_venda decimal(18,4)")
-    small = df.withColumn("valor_venda", F.lit(Decimal("1.2350")).cast("decimal(18,4)"))
-    wide = standardize.prices_wide(standardize.monthly_prices(small))
+    df = spark.createDataFrame([("A", 2024, 1, "GNV", Decimal("1.2350"))], "estado string, ano int, mes int, produto string, valor_venda decimal(18,4)")
+    wide = standardize.prices_wide(standardize.monthly_prices(df))
     assert dict(wide.dtypes)["preco_gnv"] == "decimal(18,2)"
     assert wide.first().preco_gnv == Decimal("1.24")
 
